@@ -210,6 +210,182 @@ FROM os WHERE ts_processed >= TIMESTAMP '1999-01-01'
 ORDER BY ts_processed DESC, id DESC LIMIT 100"""
 
 
+# ---------------------------------------------------------------------------------------
+# 2. Bulk JSONL, gate and extraction
+# ---------------------------------------------------------------------------------------
+# Fixed fixture rule: one export file per month of order creation, orders in key order; lines
+# are corrupted by a rule on the order key (m = key % 4999): 11 blank, 22 array, 33 bare
+# string, 44 cut object, 55 null, 66 single quotes, 77 an object with a wrongly typed id.
+CORRUPT_EVERY = 4999
+
+
+def _jsonl_lines(spark, sf_dir) -> DataFrame:
+    from orderlens.operators.projection import prune_nested
+    o = _orders(spark, sf_dir)
+    paths = resolve_field_paths(ORDER_SOURCE, [], bulk=True)
+    k = F.col("order_key")
+    body = F.col("_body")
+    m = k % CORRUPT_EVERY
+    ks = k.cast("string")
+    line = (F.when(m == 11, F.lit("   "))
+            .when(m == 22, F.concat(F.lit("["), body, F.lit("]")))
+            .when(m == 33, F.concat(F.lit('"'), F.col("name"), F.lit('"')))
+            .when(m == 44, F.expr("substring(_body, 1, length(_body) - 1)"))
+            .when(m == 55, F.lit("null"))
+            .when(m == 66, F.concat(F.lit("{'id':'"), ks, F.lit("'}")))
+            .when(m == 77, F.concat(F.lit('{"id": '), ks, F.lit(', "name": "#'), ks, F.lit('"}')))
+            .otherwise(body))
+    lines = o.select(
+        "order_key", "name",
+        F.concat(F.lit("orders-"), F.date_format("_ts_createdAt", "yyyy-MM")).alias("load_id"),
+        F.to_json(F.struct(*prune_nested(o, paths)), {"ignoreNullFields": "false"}).alias("_body"),
+    ).select("order_key", "load_id", line.alias("value"))
+    return number_rows(lines, ["order_key"], ["load_id"], out="line_no")
+
+
+def _parsed(spark, sf_dir) -> ParsedLines:
+    schema = _record_schema(resolve_field_paths(ORDER_SOURCE, [], bulk=True))
+    return classify_lines(_jsonl_lines(spark, sf_dir), schema)
+
+
+def q_jsonl_records(spark, sf_dir):
+    """Valid object lines with their line numbers, values read as text."""
+    r = _parsed(spark, sf_dir).records()
+    return r.select("load_id", "line_no", "id", "legacyResourceId", "name", "createdAt", "totalPrice",
+                    F.col("currentTotalPriceSet.shopMoney.amount").alias("currentAmount"))
+
+
+def q_jsonl_bad_lines(spark, sf_dir):
+    """Rejected lines with the two messages ("not a JSON object" / "not valid JSON")."""
+    return _parsed(spark, sf_dir).bad_lines().select("load_id", "line_no", "error")
+
+
+def _manifest(spark, sf_dir) -> DataFrame:
+    o = _orders(spark, sf_dir)
+    per = o.groupBy(F.concat(F.lit("orders-"), F.date_format("_ts_createdAt", "yyyy-MM")).alias("load_id"),
+                    F.month("_ts_createdAt").alias("mo"), F.year("_ts_createdAt").alias("yr")).agg(F.count(F.lit(1)).alias("n"))
+    expected = (F.when(F.col("mo") % 4 == 1, (F.col("n") + 1).cast("string"))
+                .when(F.col("mo") % 4 == 2, F.lit(None).cast("string"))
+                .when(F.col("mo") % 4 == 3, F.lit("n/a"))
+                .otherwise(F.col("n").cast("string")))
+    location = F.when((F.col("yr") == 2001) & (F.col("mo") >= 7), F.lit(None).cast("string")).otherwise(
+        F.concat(F.lit("landing/"), F.col("load_id"), F.lit(".jsonl")))
+    return per.select("load_id", expected.alias("expected_count"), location.alias("location"))
+
+
+def q_load_gate(spark, sf_dir):
+    """Completeness gate per monthly export."""
+    return load_gate(_parsed(spark, sf_dir).counts(["load_id"]), _manifest(spark, sf_dir))
+
+
+def q_extract_summary(spark, sf_dir):
+    """K4 + A1 + X22: released (gate-passing) records per export after P4, with file names."""
+    parsed = _parsed(spark, sf_dir)
+    gate = load_gate(parsed.counts(["load_id"]), _manifest(spark, sf_dir))
+    released = normalize_order_ids(release(parsed.records(), gate))
+    counts = released.groupBy("load_id").agg(F.count(F.lit(1)).alias("recordCount"))
+    start = F.to_timestamp(F.concat(F.substring("load_id", 8, 7), F.lit("-01 00:00:00")))
+    end = F.add_months(start, 1).cast("timestamp")
+    s_ms, e_ms = F.unix_millis(start).cast("string"), F.unix_millis(end).cast("string")
+    name = F.replace(F.replace(F.lit(DEFAULT_NAME), F.lit("{start}"), s_ms), F.lit("{end}"), e_ms)
+    return gate.join(counts, "load_id", "left").select(
+        "load_id", F.col("data_available").alias("dataAvailable"),
+        F.coalesce(F.col("recordCount"), F.lit(0)).alias("recordCount"),
+        name.alias("fileName"), F.concat(F.regexp_replace(name, r"(?i)\.json$", ""), F.lit(".jsonl")).alias("rawFileName"),
+        format_instant(start).alias("windowStart"), format_instant(end).alias("windowEnd"))
+
+
+SQL_JSONL_BASE = _with(ORDERS_CTE) + """,
+body AS (
+  SELECT order_key, name, 'orders-' || strftime(ts_created, '%Y-%m') AS load_id,
+         month(ts_created) AS mo, year(ts_created) AS yr,
+         json_object('cancelledAt', cancelledAt, 'createdAt', createdAt, 'currencyCode', currencyCode,
+           'currentTotalPriceSet', json_object('shopMoney', json_object('amount', totalPrice, 'currencyCode', 'USD')),
+           'currentTotalTaxSet', json_object('shopMoney', json_object('amount', taxAmount, 'currencyCode', 'USD')),
+           'displayFinancialStatus', displayFinancialStatus, 'displayFulfillmentStatus', displayFulfillmentStatus,
+           'email', email, 'id', id, 'legacyResourceId', legacyResourceId, 'name', name, 'processedAt', processedAt,
+           'subtotalPriceSet', json_object('shopMoney', json_object('amount', subtotalAmount, 'currencyCode', 'USD')),
+           'totalPrice', totalPrice,
+           'totalPriceSet', json_object('shopMoney', json_object('amount', totalPrice, 'currencyCode', 'USD')),
+           'updatedAt', updatedAt)::VARCHAR AS b
+  FROM os),
+lines AS (
+  SELECT load_id, mo, yr, order_key,
+    row_number() OVER (PARTITION BY load_id ORDER BY order_key) AS line_no,
+    CASE order_key % 4999
+      WHEN 11 THEN '   '
+      WHEN 22 THEN '[' || b || ']'
+      WHEN 33 THEN '"' || name || '"'
+      WHEN 44 THEN substring(b, 1, length(b) - 1)
+      WHEN 55 THEN 'null'
+      WHEN 66 THEN '{' || chr(39) || 'id' || chr(39) || ':' || chr(39) || order_key || chr(39) || '}'
+      WHEN 77 THEN '{"id": ' || order_key || ', "name": "#' || order_key || '"}'
+      ELSE b END AS line
+  FROM body),
+cls AS (
+  SELECT *, trim(line) AS t,
+    CASE WHEN trim(line) = '' THEN 'blank'
+         WHEN json_valid(trim(line)) AND json_type(trim(line)) = 'OBJECT' THEN 'record'
+         ELSE 'bad' END AS kind
+  FROM lines),
+cnt AS (
+  SELECT load_id, count(*) AS line_count, count(*) FILTER (WHERE kind = 'record') AS parsed_count,
+         count(*) FILTER (WHERE kind = 'bad') AS bad_count, min(line_no) FILTER (WHERE kind = 'bad') AS first_bad_line
+  FROM cls GROUP BY load_id),
+man AS (
+  SELECT load_id, mo, yr,
+    CASE WHEN mo % 4 = 1 THEN CAST(count(*) + 1 AS VARCHAR) WHEN mo % 4 = 2 THEN NULL
+         WHEN mo % 4 = 3 THEN 'n/a' ELSE CAST(count(*) AS VARCHAR) END AS exp_text,
+    CASE WHEN yr = 2001 AND mo >= 7 THEN NULL ELSE 'landing/' || load_id || '.jsonl' END AS loc
+  FROM body GROUP BY load_id, mo, yr),
+gate0 AS (
+  SELECT m.load_id, m.mo, m.yr,
+         CASE WHEN regexp_full_match(m.exp_text, '[+-]?[0-9]{1,18}') THEN CAST(m.exp_text AS BIGINT) END AS expected_count,
+         coalesce(c.line_count, 0) AS line_count, coalesce(c.parsed_count, 0) AS parsed_count,
+         coalesce(c.bad_count, 0) AS bad_count, c.first_bad_line, m.loc
+  FROM man m LEFT JOIN cnt c ON m.load_id = c.load_id),
+gate1 AS (
+  SELECT *, CASE
+      WHEN loc IS NULL AND expected_count > 0 THEN 'Shopify bulk operation completed with ' || expected_count || ' object(s) but returned no result download URL.'
+      WHEN loc IS NULL THEN NULL
+      WHEN bad_count > 0 THEN 'Shopify bulk operation result could not be parsed: ' || bad_count || ' bad line(s), first at line ' || first_bad_line || '.'
+      WHEN expected_count IS NOT NULL AND expected_count <> parsed_count THEN 'Shopify bulk operation result was incomplete: expected ' || expected_count || ' record(s) but parsed ' || parsed_count || '.'
+    END AS error
+  FROM gate0),
+gate AS (
+  SELECT load_id, expected_count, line_count, parsed_count, bad_count, error IS NULL AS ok,
+    (loc IS NOT NULL AND bad_count = 0 AND expected_count IS NOT NULL AND expected_count <> parsed_count) AS retryable,
+    CASE WHEN error IS NULL AND loc IS NOT NULL THEN parsed_count ELSE 0 END AS record_count,
+    (error IS NULL AND loc IS NOT NULL AND parsed_count > 0) AS data_available, error, mo, yr
+  FROM gate1)"""
+
+SQL_JSONL_RECORDS = SQL_JSONL_BASE + """
+SELECT load_id, line_no, json_extract_string(t, '$.id') AS id, json_extract_string(t, '$.legacyResourceId') AS legacyResourceId,
+       json_extract_string(t, '$.name') AS name, json_extract_string(t, '$.createdAt') AS createdAt,
+       json_extract_string(t, '$.totalPrice') AS totalPrice,
+       json_extract_string(t, '$.currentTotalPriceSet.shopMoney.amount') AS currentAmount
+FROM cls WHERE kind = 'record'"""
+
+SQL_JSONL_BAD = SQL_JSONL_BASE + """
+SELECT load_id, line_no,
+  'Shopify bulk operation JSONL line ' || line_no || CASE WHEN json_valid(t) THEN ' was not a JSON object.' ELSE ' was not valid JSON.' END AS error
+FROM cls WHERE kind = 'bad'"""
+
+SQL_LOAD_GATE = SQL_JSONL_BASE + """
+SELECT load_id, expected_count, line_count, parsed_count, bad_count, ok, retryable, record_count, data_available, error FROM gate"""
+
+SQL_EXTRACT_SUMMARY = SQL_JSONL_BASE + """,
+rel AS (
+  SELECT c.load_id, count(*) AS n FROM cls c JOIN gate g ON c.load_id = g.load_id
+  WHERE c.kind = 'record' AND g.ok AND g.data_available GROUP BY c.load_id),
+win AS (SELECT load_id, make_timestamp(yr, mo, 1, 0, 0, 0) AS ws FROM gate)
+SELECT g.load_id, g.data_available AS dataAvailable, coalesce(rel.n, 0) AS recordCount,
+  'shopify-orders-' || epoch_ms(w.ws) || '-' || epoch_ms(w.ws + INTERVAL 1 MONTH) || '.json' AS fileName,
+  'shopify-orders-' || epoch_ms(w.ws) || '-' || epoch_ms(w.ws + INTERVAL 1 MONTH) || '.jsonl' AS rawFileName,
+  strftime(w.ws, '%Y-%m-%dT%H:%M:%SZ') AS windowStart, strftime(w.ws + INTERVAL 1 MONTH, '%Y-%m-%dT%H:%M:%SZ') AS windowEnd
+FROM gate g JOIN win w ON g.load_id = w.load_id LEFT JOIN rel ON rel.load_id = g.load_id"""
+
+
 # ---------------------------------------------------------------------------------------
 # Registry
 # ---------------------------------------------------------------------------------------
@@ -220,6 +396,10 @@ _QUERIES: dict[str, tuple[Callable, str | None]] = {
     "orders_status": (q_orders_status, SQL_ORDERS_STATUS),
     "orders_children": (q_orders_children, SQL_ORDERS_CHILDREN),
     "orders_sorted_desc": (q_orders_sorted_desc, SQL_ORDERS_SORTED_DESC),
+    "jsonl_records": (q_jsonl_records, SQL_JSONL_RECORDS),
+    "jsonl_bad_lines": (q_jsonl_bad_lines, SQL_JSONL_BAD),
+    "load_gate": (q_load_gate, SQL_LOAD_GATE),
+    "extract_summary": (q_extract_summary, SQL_EXTRACT_SUMMARY),
 }
 
 

@@ -13,6 +13,7 @@ per group, however large the group.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,8 +30,11 @@ def number_rows(df: DataFrame, order_cols, group_cols=(), out: str = "row_no",
     """Dense 1-based numbers in ``order_cols`` order within ``group_cols``.
 
     ``group_cols + order_cols`` must identify a row (ties would make the numbering depend on
-    shuffle read order). Both passes read one range exchange, which Spark plans once and
-    reuses (``ReusedExchange``), so partition ids agree between the count and the numbering.
+    shuffle read order). The range-sorted, id-tagged frame is persisted so that the count pass
+    and the numbering pass read the very same partitions (two independent range exchanges
+    would sample different bounds, and AQE may re-split a shuffle read). The cache is
+    recomputable from lineage: a lost block is rebuilt from the same shuffle output with the
+    same partitioner and sort, so ids come out the same.
     """
     spark = df.sparkSession
     group_cols, order_cols = list(group_cols), list(order_cols)
@@ -44,6 +48,7 @@ def number_rows(df: DataFrame, order_cols, group_cols=(), out: str = "row_no",
         .withColumn("_mid", F.monotonically_increasing_id())
         .withColumn("_pid", F.shiftright("_mid", _IDX_BITS))
         .withColumn("_idx", F.col("_mid").bitwiseAND(F.lit(_IDX_MASK)))
+        .persist(StorageLevel.MEMORY_AND_DISK)
     )
     stats = ranged.groupBy(*gnames, "_pid").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_idx").alias("_first"))
     w = Window.partitionBy(*gnames).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
