@@ -386,6 +386,259 @@ SELECT g.load_id, g.data_available AS dataAvailable, coalesce(rel.n, 0) AS recor
 FROM gate g JOIN win w ON g.load_id = w.load_id LEFT JOIN rel ON rel.load_id = g.load_id"""
 
 
+# ---------------------------------------------------------------------------------------
+# 3. Id lookups
+# ---------------------------------------------------------------------------------------
+# Fixed fixture rule: the other system asks for one id per line item, spelled by line number:
+# 1 numeric, 2 gid, 3 numeric of key x 3, 4 padded numeric, 5 gid beyond the key range,
+# 6 gid of another object type, 7 blank.
+
+def _requests(spark, sf_dir) -> DataFrame:
+    li = _t(spark, sf_dir, "lineitem")
+    k, n = F.col("l_orderkey").cast("string"), F.col("l_linenumber")
+    raw = (F.when(n == 1, k)
+           .when(n == 2, F.concat(F.lit(ORDER_GID_PREFIX), k))
+           .when(n == 3, (F.col("l_orderkey") * 3).cast("string"))
+           .when(n == 4, F.concat(F.lit(" "), k, F.lit(" ")))
+           .when(n == 5, F.concat(F.lit(ORDER_GID_PREFIX), (F.col("l_orderkey") + 1000000).cast("string")))
+           .when(n == 6, F.concat(F.lit("gid://shopify/Customer/"), F.col("l_partkey").cast("string")))
+           .otherwise(F.lit("   ")))
+    return li.select(raw.alias("requested_id"), (F.col("l_orderkey") * 8 + n).alias("position"))
+
+
+SQL_REQUESTS_CTE = f"""
+req0 AS (
+  SELECT CASE l_linenumber
+      WHEN 1 THEN CAST(l_orderkey AS VARCHAR)
+      WHEN 2 THEN '{ORDER_GID_PREFIX}' || l_orderkey
+      WHEN 3 THEN CAST(l_orderkey * 3 AS VARCHAR)
+      WHEN 4 THEN ' ' || l_orderkey || ' '
+      WHEN 5 THEN '{ORDER_GID_PREFIX}' || (l_orderkey + 1000000)
+      WHEN 6 THEN 'gid://shopify/Customer/' || l_partkey
+      ELSE '   ' END AS raw,
+    l_orderkey * 8 + l_linenumber AS position
+  FROM lineitem),
+req AS (
+  SELECT DISTINCT trim(raw) AS requested_id FROM req0 WHERE trim(raw) <> ''),
+canon AS (
+  SELECT requested_id, CASE WHEN starts_with(requested_id, 'gid://') THEN requested_id
+                            ELSE '{ORDER_GID_PREFIX}' || requested_id END AS cid FROM req)"""
+
+
+def _split(spark, sf_dir):
+    return lookup.split_found_missing(_requests(spark, sf_dir), _orders(spark, sf_dir).select("id"))
+
+
+def q_ids_found(spark, sf_dir):
+    """Requested ids (as requested, trimmed, deduped) that exist."""
+    return lookup.found_ids(_split(spark, sf_dir))
+
+
+def q_ids_missing(spark, sf_dir):
+    """Requested ids that do not exist."""
+    return lookup.missing_ids(_split(spark, sf_dir))
+
+
+SQL_IDS_FOUND = _with(SQL_REQUESTS_CTE) + f"""
+SELECT requested_id FROM canon WHERE cid IN (SELECT '{ORDER_GID_PREFIX}' || o_orderkey FROM orders)"""
+
+SQL_IDS_MISSING = _with(SQL_REQUESTS_CTE) + f"""
+SELECT requested_id FROM canon WHERE cid NOT IN (SELECT '{ORDER_GID_PREFIX}' || o_orderkey FROM orders)"""
+
+
+def q_id_batches(spark, sf_dir):
+    """Distinct canonical ids in first-request order, in batches of 250."""
+    b = lookup.batch_ids(_requests(spark, sf_dir), size=lookup.LOOKUP_BATCH)
+    return b.groupBy("batch_no").agg(
+        F.count(F.lit(1)).alias("n_ids"),
+        F.min_by("canonical_id", "id_no").alias("first_id"),
+        F.max_by("canonical_id", "id_no").alias("last_id"))
+
+
+SQL_ID_BATCHES = _with(SQL_REQUESTS_CTE) + f""",
+c0 AS (
+  SELECT CASE WHEN starts_with(trim(raw), 'gid://') THEN trim(raw) ELSE '{ORDER_GID_PREFIX}' || trim(raw) END AS cid,
+         min(position) AS first_pos
+  FROM req0 WHERE trim(raw) <> '' GROUP BY 1),
+n AS (SELECT cid, row_number() OVER (ORDER BY first_pos, cid) AS id_no FROM c0),
+b AS (SELECT cid, id_no, (id_no - 1) // 250 AS batch_no FROM n)
+SELECT batch_no, count(*) AS n_ids, arg_min(cid, id_no) AS first_id, arg_max(cid, id_no) AS last_id
+FROM b GROUP BY batch_no"""
+
+
+def _reconciled(spark, sf_dir):
+    li = _t(spark, sf_dir, "lineitem")
+    left = li.select(F.when(F.col("l_linenumber") == 7, F.col("l_orderkey") + 1000000)
+                     .otherwise(F.col("l_orderkey")).cast("string").alias("left_id"))
+    o = _orders(spark, sf_dir)
+    right = o.filter((F.col("_ts_createdAt") >= F.lit("1997-01-01 00:00:00").cast("timestamp_ntz"))
+                     & (F.col("_ts_createdAt") < F.lit("1998-01-01 00:00:00").cast("timestamp_ntz"))).select(F.col("id").alias("right_id"))
+    rec = lookup.reconcile_ids(left, right)
+    confirmed = lookup.confirm_missing(rec, o.select("id"))
+    return rec.join(confirmed, "canonical_id", "left")
+
+
+def q_id_reconcile(spark, sf_dir):
+    """Other system's ids vs one year's extraction; ids the extraction lacks are
+    confirmed against every stored order (J1)."""
+    return _reconciled(spark, sf_dir)
+
+
+SQL_ID_RECONCILE = f"""
+WITH l AS (SELECT DISTINCT '{ORDER_GID_PREFIX}' || CASE WHEN l_linenumber = 7 THEN l_orderkey + 1000000 ELSE l_orderkey END AS cid FROM lineitem),
+r AS (SELECT DISTINCT '{ORDER_GID_PREFIX}' || o_orderkey AS cid FROM orders
+      WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1998-01-01'),
+allo AS (SELECT '{ORDER_GID_PREFIX}' || o_orderkey AS cid FROM orders),
+j AS (SELECT coalesce(l.cid, r.cid) AS canonical_id,
+             CASE WHEN l.cid IS NOT NULL AND r.cid IS NOT NULL THEN 'matched'
+                  WHEN l.cid IS NOT NULL THEN 'missing_right' ELSE 'missing_left' END AS state
+      FROM l FULL OUTER JOIN r ON l.cid = r.cid)
+SELECT canonical_id, state,
+  CASE WHEN state = 'missing_right' THEN canonical_id NOT IN (SELECT cid FROM allo) END AS confirmed_missing
+FROM j"""
+
+
+# ---------------------------------------------------------------------------------------
+# 4. Exchanges
+# ---------------------------------------------------------------------------------------
+SWEEP_START_MS = 852076800000   # 1997-01-01T00:00:00Z
+SWEEP_END_MS = 854755200000     # 1997-02-01T00:00:00Z
+
+
+def _returns(spark, sf_dir):
+    return ad.returns_shape(_t(spark, sf_dir, "lineitem"))
+
+
+def _sweep(spark, sf_dir):
+    return ex.sweep_exchanges(_orders(spark, sf_dir), _returns(spark, sf_dir), ad.LINE_ORDER,
+                              SWEEP_START_MS, SWEEP_END_MS)[0]
+
+
+def q_exchange_sweep(spark, sf_dir):
+    """Exchanges created in January 1997 (first live in-window return per order)."""
+    return _sweep(spark, sf_dir)
+
+
+SQL_EXCHANGE_SWEEP = _with(ORDERS_CTE, RETURNS_CTE) + """,
+cnt AS (SELECT l_orderkey, count(*) FILTER (WHERE live) AS exchangeReturnCount FROM rt10 GROUP BY l_orderkey),
+hit AS (
+  SELECT l_orderkey, arg_min(return_id, pos) AS returnId, arg_min(return_name, pos) AS returnName,
+         arg_min(return_status, pos) AS returnStatus, arg_min(epoch_ms(l_shipdate), pos) AS returnCreatedAtMillis
+  FROM rt10 WHERE live AND l_shipdate >= TIMESTAMP '1997-01-01' AND l_shipdate < TIMESTAMP '1997-02-01'
+  GROUP BY l_orderkey)
+SELECT os.legacyResourceId AS externalId, os.name AS orderName, hit.returnId, hit.returnName, hit.returnStatus,
+       hit.returnCreatedAtMillis, cnt.exchangeReturnCount
+FROM os JOIN hit ON hit.l_orderkey = os.order_key JOIN cnt ON cnt.l_orderkey = os.order_key
+WHERE os.ts_updated >= TIMESTAMP '1997-01-01' AND lower(os.returnStatus) <> 'no_return'
+  AND os.legacyResourceId IS NOT NULL AND os.legacyResourceId <> ''"""
+
+
+def q_exchange_counts(spark, sf_dir):
+    """A4 + T5: per order with returns, live exchange returns among the first 10, any date."""
+    o = _orders(spark, sf_dir).filter(F.col("returnStatus") != "NO_RETURN").select("id")
+    nested = ex.nest_returns(o, _returns(spark, sf_dir), ad.LINE_ORDER)
+    return nested.select("id", ex.count_exchange_returns(F.col("returns")).alias("exchangeReturnCount"),
+                         F.size("returns").alias("returnCount"))
+
+
+SQL_EXCHANGE_COUNTS = _with(RETURNS_CTE) + """
+SELECT order_id AS id, CAST(count(*) FILTER (WHERE live) AS INTEGER) AS exchangeReturnCount, CAST(count(*) AS INTEGER) AS returnCount
+FROM rt10 GROUP BY order_id"""
+
+
+def _state_requests(spark, sf_dir):
+    li = _t(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R")
+    k = F.col("l_orderkey").cast("string")
+    raw = F.when(F.col("l_linenumber") % 2 == 0, F.concat(F.lit(ORDER_GID_PREFIX), k)).otherwise(k)
+    return li.select(raw.alias("requested_id"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("position"))
+
+
+def q_exchange_state(spark, sf_dir):
+    """J2 + P6 + A5: nested exchange state of every order with an exchange line, flattened."""
+    st = ex.exchange_state_lookup(_state_requests(spark, sf_dir), _orders(spark, sf_dir), _returns(spark, sf_dir),
+                                  ad.LINE_ORDER, position_col="position")
+    e = st.select("order_key", "returnStatus", F.col("currentTotalAmount").cast("string").alias("currentTotalAmount"),
+                  "currentTotalCurrency", F.explode_outer("exchanges").alias("x"))
+    e = e.select("*", F.explode_outer("x.exchangeLineItems").alias("xi"))
+    e = e.select("*", F.explode_outer("xi.lineItems").alias("li"))
+    return e.select("order_key", "returnStatus", "currentTotalAmount", "currentTotalCurrency",
+                    F.col("x.returnId").alias("returnId"), F.col("x.status").alias("exchangeReturnStatus"),
+                    F.col("x.createdAt").alias("returnCreatedAt"), F.col("xi.id").alias("exchangeItemId"),
+                    F.col("xi.quantity").alias("exchangeQuantity"), F.col("li.id").alias("lineItemId"),
+                    F.col("li.sku").alias("lineItemSku"), F.col("li.quantity").alias("lineItemQuantity"))
+
+
+SQL_EXCHANGE_STATE = _with(ORDERS_CTE, RETURNS_CTE) + f""",
+want AS (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_returnflag = 'R'),
+x AS (SELECT * FROM rt10 WHERE has_exchange)
+SELECT CAST(os.order_key AS VARCHAR) AS order_key, os.returnStatus,
+  CAST(CAST(CAST(os.o_totalprice AS DECIMAL(20,2)) AS DECIMAL(20,4)) AS VARCHAR) AS currentTotalAmount,
+  'USD' AS currentTotalCurrency,
+  x.return_id AS returnId, x.return_status AS exchangeReturnStatus, x.return_created AS returnCreatedAt,
+  CASE WHEN x.return_id IS NOT NULL THEN 'gid://shopify/ExchangeLineItem/' || x.l_orderkey || '-' || x.l_linenumber || '-' || x.l_partkey || '-' || x.l_suppkey END AS exchangeItemId,
+  CAST(CAST(x.l_quantity AS INTEGER) AS VARCHAR) AS exchangeQuantity,
+  CASE WHEN x.return_id IS NOT NULL THEN 'gid://shopify/LineItem/' || x.l_orderkey || '-' || x.l_linenumber || '-' || x.l_partkey || '-' || x.l_suppkey END AS lineItemId,
+  CASE WHEN x.return_id IS NOT NULL THEN 'SKU-' || x.l_partkey END AS lineItemSku,
+  CAST(CAST(x.l_quantity AS INTEGER) AS VARCHAR) AS lineItemQuantity
+FROM os JOIN want ON want.l_orderkey = os.order_key
+LEFT JOIN x ON x.l_orderkey = os.order_key"""
+
+
+def _shape_texts(spark, sf_dir):
+    li = _t(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R")
+    item = F.concat(F.lit('{"id":"gid://shopify/LineItem/'), F.concat_ws("-", *[F.col(c).cast("string") for c in
+                                                                                ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]),
+                    F.lit('","sku":"SKU-'), F.col("l_partkey").cast("string"),
+                    F.lit('","quantity":"'), F.col("l_quantity").cast("int").cast("string"), F.lit('"}'))
+    r = F.col("l_linenumber") % 3
+    text = (F.when(r == 0, F.concat(F.lit("["), item, F.lit(",7]")))
+            .when(r == 1, F.concat(F.lit('{"nodes":['), item, F.lit("]}")))
+            .otherwise(F.lit('{"edges":[]}')))
+    rid = F.concat(F.lit("gid://shopify/Return/"), F.concat_ws("-", *[F.col(c).cast("string") for c in
+                                                                      ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]))
+    return li.select(rid.alias("return_id"), text.alias("line_items_text"))
+
+
+def q_child_shapes(spark, sf_dir):
+    """Nested line items arriving as a plain list or as {nodes: [...]}, normalised."""
+    t = _shape_texts(spark, sf_dir)
+    items, shape = ex.normalize_child_shape(F.col("line_items_text"))
+    return t.select("return_id", shape.alias("shape"), F.explode_outer(items).alias("it")).select(
+        "return_id", "shape", F.col("it.id").alias("item_id"), F.col("it.sku").alias("item_sku"),
+        F.col("it.quantity").alias("item_quantity"))
+
+
+SQL_CHILD_SHAPES = """
+WITH r AS (
+  SELECT 'gid://shopify/Return/' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS return_id,
+         l_linenumber % 3 AS kind,
+         'gid://shopify/LineItem/' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS item_id,
+         'SKU-' || l_partkey AS item_sku, CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS item_quantity
+  FROM lineitem WHERE l_returnflag = 'R')
+SELECT return_id, CASE kind WHEN 0 THEN 'list' WHEN 1 THEN 'connection' END AS shape,
+       CASE WHEN kind < 2 THEN item_id END AS item_id, CASE WHEN kind < 2 THEN item_sku END AS item_sku,
+       CASE WHEN kind < 2 THEN item_quantity END AS item_quantity
+FROM r"""
+
+
+def q_exchange_presence(spark, sf_dir):
+    """Expected exchange count per swept order against the other system's count."""
+    li = _t(spark, sf_dir, "lineitem")
+    other = li.filter((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")).groupBy(
+        F.col("l_orderkey").cast("string").alias("externalId")).agg(F.count(F.lit(1)).alias("other_exchange_count"))
+    return ex.exchange_presence(_sweep(spark, sf_dir), other)
+
+
+SQL_EXCHANGE_PRESENCE = f"""
+WITH sw AS ({SQL_EXCHANGE_SWEEP}),
+oth AS (SELECT CAST(l_orderkey AS VARCHAR) AS externalId, count(*) AS n FROM lineitem
+        WHERE l_returnflag = 'R' AND l_linestatus = 'F' GROUP BY 1)
+SELECT sw.externalId, sw.returnId, sw.exchangeReturnCount, coalesce(oth.n, 0) AS other_exchange_count,
+  CASE WHEN coalesce(oth.n, 0) >= sw.exchangeReturnCount THEN 'present'
+       WHEN coalesce(oth.n, 0) = 0 THEN 'missing' ELSE 'short' END AS presence
+FROM sw LEFT JOIN oth ON oth.externalId = sw.externalId"""
+
+
 # ---------------------------------------------------------------------------------------
 # Registry
 # ---------------------------------------------------------------------------------------
@@ -400,6 +653,15 @@ _QUERIES: dict[str, tuple[Callable, str | None]] = {
     "jsonl_bad_lines": (q_jsonl_bad_lines, SQL_JSONL_BAD),
     "load_gate": (q_load_gate, SQL_LOAD_GATE),
     "extract_summary": (q_extract_summary, SQL_EXTRACT_SUMMARY),
+    "ids_found": (q_ids_found, SQL_IDS_FOUND),
+    "ids_missing": (q_ids_missing, SQL_IDS_MISSING),
+    "id_batches": (q_id_batches, SQL_ID_BATCHES),
+    "id_reconcile": (q_id_reconcile, SQL_ID_RECONCILE),
+    "exchange_sweep": (q_exchange_sweep, SQL_EXCHANGE_SWEEP),
+    "exchange_counts": (q_exchange_counts, SQL_EXCHANGE_COUNTS),
+    "exchange_state": (q_exchange_state, SQL_EXCHANGE_STATE),
+    "child_shapes": (q_child_shapes, SQL_CHILD_SHAPES),
+    "exchange_presence": (q_exchange_presence, SQL_EXCHANGE_PRESENCE),
 }
 
 

@@ -107,19 +107,23 @@ def sweep_exchanges(orders: DataFrame, returns: DataFrame, return_order, start_m
 
 # --- P7 / P6 / J2 -----------------------------------------------------------------------
 
-ITEM_SCHEMA = "array<struct<id:string,sku:string,quantity:string>>"
+ITEM_STRUCT = "struct<id:string,sku:string,quantity:string>"
+ITEM_SCHEMA = f"array<{ITEM_STRUCT}>"
 
 
 def normalize_child_shape(text: Column) -> tuple[Column, Column]:
     """Nested list text in either shape -> (items, shape).
 
     A plain JSON list -> ``list``; an object with a ``nodes`` list -> ``connection``; anything
-    else -> empty list, shape null. Non-object entries are dropped."""
+    else -> empty list, shape null. Entries that are not objects are dropped (each entry is
+    first kept as raw JSON text, so one bad entry does not void the list)."""
     t = normalize(text)
-    as_list = F.when(t.startswith("["), F.from_json(t, ITEM_SCHEMA))
-    as_conn = F.when(t.startswith("{"), F.from_json(t, f"struct<nodes:{ITEM_SCHEMA}>")["nodes"])
+    as_list = F.when(t.startswith("["), F.from_json(t, "array<string>"))
+    as_conn = F.when(t.startswith("{"), F.from_json(t, "struct<nodes:array<string>>")["nodes"])
     shape = F.when(as_list.isNotNull(), F.lit("list")).when(as_conn.isNotNull(), F.lit("connection"))
-    items = F.coalesce(as_list, as_conn, F.array().cast(ITEM_SCHEMA))
+    raw = F.coalesce(as_list, as_conn, F.array().cast("array<string>"))
+    objects = F.filter(raw, lambda x: F.coalesce(F.trim(x).startswith("{"), F.lit(False)))
+    items = F.transform(objects, lambda x: F.from_json(x, ITEM_STRUCT))
     return F.filter(items, lambda x: x.isNotNull()), shape
 
 

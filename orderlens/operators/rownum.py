@@ -40,22 +40,22 @@ def number_rows(df: DataFrame, order_cols, group_cols=(), out: str = "row_no",
     group_cols, order_cols = list(group_cols), list(order_cols)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = _cols(group_cols) + _cols(order_cols)
-    gnames = [f"_g{i}" for i in range(len(group_cols))]
+    gnames = [f"__nr_g{i}" for i in range(len(group_cols))]
     ranged = (
         df.withColumns({g: F.col(c) if isinstance(c, str) else c for g, c in zip(gnames, group_cols)})
         .repartitionByRange(n, *keys)
         .sortWithinPartitions(*keys)
-        .withColumn("_mid", F.monotonically_increasing_id())
-        .withColumn("_pid", F.shiftright("_mid", _IDX_BITS))
-        .withColumn("_idx", F.col("_mid").bitwiseAND(F.lit(_IDX_MASK)))
+        .withColumn("__nr_mid", F.monotonically_increasing_id())
+        .withColumn("__nr_pid", F.shiftright("__nr_mid", _IDX_BITS))
+        .withColumn("__nr_idx", F.col("__nr_mid").bitwiseAND(F.lit(_IDX_MASK)))
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    stats = ranged.groupBy(*gnames, "_pid").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_idx").alias("_first"))
-    w = Window.partitionBy(*gnames).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
-    joined = ranged.join(stats.drop("_cnt"), on=[*gnames, "_pid"], how="inner")
-    return joined.withColumn(out, (F.col("_before") + F.col("_idx") - F.col("_first") + 1).cast("long")).drop(
-        "_mid", "_pid", "_idx", "_first", "_before", *gnames
+    stats = ranged.groupBy(*gnames, "__nr_pid").agg(F.count(F.lit(1)).alias("__nr_cnt"), F.min("__nr_idx").alias("__nr_first"))
+    w = Window.partitionBy(*gnames).orderBy("__nr_pid").rowsBetween(Window.unboundedPreceding, -1)
+    stats = stats.withColumn("__nr_before", F.coalesce(F.sum("__nr_cnt").over(w), F.lit(0)))
+    joined = ranged.join(stats.drop("__nr_cnt"), on=[*gnames, "__nr_pid"], how="inner")
+    return joined.withColumn(out, (F.col("__nr_before") + F.col("__nr_idx") - F.col("__nr_first") + 1).cast("long")).drop(
+        "__nr_mid", "__nr_pid", "__nr_idx", "__nr_first", "__nr_before", *gnames
     )
 
 
@@ -68,8 +68,8 @@ def top_n_per_group(df: DataFrame, group_cols, order_cols, n: int, out: str | No
     order = _cols(order_cols)
     salt = F.pmod(F.xxhash64(*order), F.lit(salt_buckets))
     first = Window.partitionBy(*_cols(group_cols), salt).orderBy(*order)
-    pre = df.withColumn("_salt", salt).withColumn("_rn1", F.row_number().over(first)).filter(F.col("_rn1") <= n)
+    pre = df.withColumn("__nr_salt", salt).withColumn("__nr_rn1", F.row_number().over(first)).filter(F.col("__nr_rn1") <= n)
     second = Window.partitionBy(*_cols(group_cols)).orderBy(*order)
-    pos = out or "_rn2"
-    res = pre.withColumn(pos, F.row_number().over(second)).filter(F.col(pos) <= n).drop("_salt", "_rn1")
+    pos = out or "__nr_rn2"
+    res = pre.withColumn(pos, F.row_number().over(second)).filter(F.col(pos) <= n).drop("__nr_salt", "__nr_rn1")
     return res if out else res.drop(pos)
