@@ -639,6 +639,294 @@ SELECT sw.externalId, sw.returnId, sw.exchangeReturnCount, coalesce(oth.n, 0) AS
 FROM sw LEFT JOIN oth ON oth.externalId = sw.externalId"""
 
 
+# ---------------------------------------------------------------------------------------
+# 5. API-log analytics
+# ---------------------------------------------------------------------------------------
+
+def _log(spark, sf_dir) -> DataFrame:
+    pin_utc(spark)
+    lg = ad.event_log(_t(spark, sf_dir, "events"))
+    return number_rows(lg, ["ts", "event_id"], ["request_id"], out="attempt")
+
+
+def q_response_classes(spark, sf_dir):
+    """L1: every captured response classified (2 attempts per request)."""
+    c = apilog.classify_responses(_log(spark, sf_dir).withColumn("max_attempts", F.lit(2)))
+    return c.select("event_id", "request_id", "attempt", "ok", "retryable", "throttled", "error_text", "requested_cost")
+
+
+def q_throttle_delay(spark, sf_dir):
+    """Wait before the next try from the cost block of each response."""
+    c = apilog.classify_responses(_log(spark, sf_dir).withColumn("max_attempts", F.lit(2)))
+    from orderlens.functions.money import throttle_delay_millis
+    return c.select("event_id", throttle_delay_millis(F.col("requested_cost"), F.col("currently_available"),
+                                                      F.col("restore_rate")).alias("delay_ms"))
+
+
+def q_retry_plan(spark, sf_dir):
+    """L2: per request attempts used, final outcome and planned waiting (mutations: 1 try)."""
+    return apilog.retry_plan(_log(spark, sf_dir))
+
+
+def q_download_outcomes(spark, sf_dir):
+    """L3: result downloads, up to 3 attempts, 429/5xx retried."""
+    lg = _log(spark, sf_dir)
+    et = F.col("event_type")
+    code = (F.when(et == "purchase", 200).when(et == "signup", 500).when(et == "view", 429)
+            .when(et == "click", 404).otherwise(503))
+    d = lg.select(F.col("request_id").alias("download_id"), "attempt", code.alias("status_code"))
+    return apilog.download_outcomes(d)
+
+
+def _op_events(spark, sf_dir):
+    pin_utc(spark)
+    ev = _t(spark, sf_dir, "events")
+    return number_rows(ev.select("event_id", "ts", "user_id", "event_type", "value"), ["ts", "event_id"], ["user_id"], out="n")
+
+
+def q_operation_rollup(spark, sf_dir):
+    """A2: bulk-operation status history per operation (user): polls, final status, outcome."""
+    e = _op_events(spark, sf_dir)
+    et, v = F.col("event_type"), F.col("value")
+    status = (F.when(et == "signup", "CREATED").when(et == "view", "RUNNING").when(et == "click", "running")
+              .when(et == "purchase", F.when(v > 300, "COMPLETED").otherwise("RUNNING"))
+              .otherwise(F.when(v > 330, "FAILED").when(v > 300, "CANCELED").otherwise("running")))
+    s = e.select(F.col("user_id").alias("operation_id"), (F.col("n") - 1).alias("seq"), status.alias("status"))
+    return apilog.operation_rollup(s)
+
+
+def q_start_retries(spark, sf_dir):
+    """A3 + X17: start attempts per operation; concurrent-run rejections retried up to 10 times."""
+    e = _op_events(spark, sf_dir)
+    et = F.col("event_type")
+    msg = (F.when(et == "view", "A bulk operation for this app and shop is already in progress.")
+           .when(et == "click", "Another bulk operation is already running.")
+           .when(et == "signup", "Bulk operation is already running")
+           .when(et == "error", "Bulk queries cannot use that field."))
+    s = e.select(F.col("user_id").alias("operation_id"), F.col("n").alias("attempt"), (et == "purchase").alias("ok"),
+                 msg.alias("message"))
+    return apilog.start_retry_rollup(s)
+
+
+def q_connection_checks(spark, sf_dir):
+    """L4: ordered connection checks per config from captured connect / orders responses."""
+    c = ad.configs_shape(_t(spark, sf_dir, "customer"))
+    k = F.col("custkey")
+    ks = k.cast("string")
+    confs = c.select("config_id", F.col("access_token").alias("accessToken"),
+                     F.when(k % 50 == 0, F.lit("Credential could not be decrypted.")).alias("credential_error"),
+                     F.col("shop_api_url").alias("shop_url"), "api_version", "can_read_orders")
+    m9 = k % 9
+    connect = c.select("config_id",
+                       F.when(m9 == 0, 401).when(m9 == 1, 404).when(m9 == 2, 503).when(m9 == 3, 0).otherwise(200).alias("status_code"),
+                       F.when(m9 >= 4, F.concat(F.lit('{"data":{"shop":{"myshopifyDomain":"shop'), ks, F.lit('.myshopify.com"}}}')))
+                       .otherwise(F.lit("")).alias("body"))
+    m7 = k % 7
+    probe = c.select("config_id",
+                     F.when(m7 == 1, 500).otherwise(200).alias("status_code"),
+                     F.when(m7 == 0, F.lit('{"data":null,"errors":[{"message":"Access denied for orders field. Required access: read_orders"}]}'))
+                     .when(m7 == 1, F.lit(""))
+                     .when(m7 == 2, F.lit('{"errors":[{"message":"Internal error"}]}'))
+                     .otherwise(F.lit('{"data":{"orders":{"edges":[]}}}')).alias("body"),
+                     (k % 2).alias("order_count"))
+    return apilog.check_rows(confs, connect, probe)
+
+
+SQL_LOG_CTE = """
+lg0 AS (
+  SELECT e.*, CAST(json_extract(props, '$.k') AS INTEGER) AS k,
+         user_id || '-' || strftime(ts, '%Y-%m-%d') AS request_id,
+         row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) AS attempt
+  FROM events e),
+lg AS (
+  SELECT *,
+    CASE WHEN event_type IN ('purchase','view','click') THEN 200
+         WHEN event_type = 'signup' THEN CASE WHEN value < 100 THEN 429 ELSE 503 END
+         ELSE CASE WHEN value < 200 THEN 200 ELSE 404 END END AS status_code,
+    CASE WHEN event_type = 'purchase' THEN '{"data":{"orders":{"edges":[]}},"extensions":{"cost":{"requestedQueryCost":' || (k + 10) || ',"actualQueryCost":' || k || ',"throttleStatus":{"maximumAvailable":1000,"currentlyAvailable":' || (k * 7 % 100) || ',"restoreRate":50}}}}'
+         WHEN event_type = 'view' THEN '{"errors":[{"message":"Throttled","extensions":{"code":"THROTTLED"}}],"extensions":{"cost":{"requestedQueryCost":' || (k + 10) || ',"actualQueryCost":0,"throttleStatus":{"maximumAvailable":1000,"currentlyAvailable":' || (k % 10) || ',"restoreRate":' || ((k % 5) * 10) || '}}}}'
+         WHEN event_type = 'click' THEN '{"data":null,"errors":[{"message":"Access denied for orders field.","extensions":{"code":"ACCESS_DENIED"}},{"message":"  "}]}'
+         WHEN event_type = 'signup' THEN CASE WHEN value < 100 THEN '' ELSE 'Service Unavailable' END
+         ELSE CASE WHEN value < 100 THEN 'not-json' WHEN value < 200 THEN '{"errors":[{"message":"   "}],"data":{}}' ELSE '' END END AS body,
+    CASE WHEN user_id % 10 = 0 THEN 1 ELSE 2 END AS max_plan
+  FROM lg0),
+cl0 AS (
+  SELECT *, (status_code < 200 OR status_code >= 300) AS http_bad,
+         NOT coalesce(CASE WHEN json_valid(body) THEN json_type(body) = 'OBJECT' END, false) AS json_bad
+  FROM lg),
+cl1 AS (
+  SELECT *,
+    CASE WHEN NOT http_bad AND NOT json_bad THEN
+      list_filter(list_transform(coalesce(json_extract_string(body, '$.errors[*].message'), []), lambda m: trim(m)), lambda m: m IS NOT NULL AND m <> '') END AS msgs,
+    CASE WHEN NOT http_bad AND NOT json_bad THEN
+      list_has_any(coalesce(json_extract_string(body, '$.errors[*].extensions.code'), []), ['THROTTLED', 'MAX_COST_EXCEEDED']) END AS has_throttle,
+    CASE WHEN NOT http_bad AND NOT json_bad THEN TRY_CAST(json_extract_string(body, '$.extensions.cost.requestedQueryCost') AS VARCHAR) END AS requested_cost,
+    CASE WHEN NOT http_bad AND NOT json_bad THEN json_extract_string(body, '$.extensions.cost.throttleStatus.currentlyAvailable') END AS currently_available,
+    CASE WHEN NOT http_bad AND NOT json_bad THEN json_extract_string(body, '$.extensions.cost.throttleStatus.restoreRate') END AS restore_rate
+  FROM cl0),
+cl AS (
+  SELECT *,
+    CASE WHEN http_bad THEN 'http' WHEN json_bad THEN 'json' WHEN len(msgs) > 0 THEN 'graphql' ELSE 'ok' END AS kind
+  FROM cl1),
+cls AS (
+  SELECT *, kind = 'ok' AS ok,
+    (kind = 'graphql' AND coalesce(has_throttle, false)) AS throttled,
+    CASE WHEN kind = 'http' THEN 'Shopify GraphQL request failed with HTTP ' || status_code || '.'
+         WHEN kind = 'json' THEN 'Shopify GraphQL response was not valid JSON.'
+         WHEN kind = 'graphql' THEN array_to_string(list_transform(msgs, lambda m: 'Shopify GraphQL error: ' || m), '; ') END AS error_text
+  FROM cl),
+dl AS (
+  SELECT *,
+    CASE WHEN requested_cost IS NULL OR currently_available IS NULL OR restore_rate IS NULL
+              OR CAST(restore_rate AS BIGINT) <= 0 OR CAST(requested_cost AS BIGINT) - CAST(currently_available AS BIGINT) <= 0 THEN 1000
+         ELSE least(10000, greatest(1000, ((CAST(requested_cost AS BIGINT) - CAST(currently_available AS BIGINT)) * 1000
+                                           + CAST(restore_rate AS BIGINT) - 1) // CAST(restore_rate AS BIGINT))) END AS delay_ms
+  FROM cls)"""
+
+SQL_RESPONSE_CLASSES = _with(SQL_LOG_CTE) + """
+SELECT event_id, request_id, attempt, ok,
+  CASE WHEN kind = 'http' THEN (status_code = 429 OR status_code >= 500) AND attempt < 2
+       WHEN kind = 'graphql' THEN coalesce(has_throttle, false) AND attempt < 2 ELSE false END AS retryable,
+  throttled, error_text, requested_cost
+FROM cls"""
+
+SQL_THROTTLE_DELAY = _with(SQL_LOG_CTE) + """
+SELECT event_id, delay_ms FROM dl"""
+
+SQL_RETRY_PLAN = _with(SQL_LOG_CTE) + """,
+rp AS (
+  SELECT *,
+    CASE WHEN kind = 'http' THEN (status_code = 429 OR status_code >= 500) AND attempt < max_plan
+         WHEN kind = 'graphql' THEN coalesce(has_throttle, false) AND attempt < max_plan ELSE false END AS retryable
+  FROM dl),
+st AS (SELECT *, (ok OR NOT retryable OR attempt >= max_plan) AS stop_here FROM rp),
+ends AS (SELECT request_id, min(attempt) FILTER (WHERE stop_here) AS first_stop, max(attempt) AS last FROM st GROUP BY request_id),
+j AS (SELECT st.*, coalesce(ends.first_stop, ends.last) AS used, ends.first_stop IS NULL AS unfinished
+      FROM st JOIN ends USING (request_id))
+SELECT request_id, max(attempt) AS attempts_used,
+  arg_max(ok, attempt) AS final_ok, arg_max(status_code, attempt) AS final_status_code,
+  arg_max_null(error_text, attempt) AS final_error,
+  sum(CASE WHEN NOT stop_here AND (throttled OR status_code = 429) THEN delay_ms ELSE 0 END) AS planned_delay_ms,
+  bool_or(unfinished) AS unfinished
+FROM j WHERE attempt <= used GROUP BY request_id"""
+
+SQL_DOWNLOAD_OUTCOMES = _with(SQL_LOG_CTE) + """,
+d AS (
+  SELECT request_id AS download_id, attempt,
+    CASE event_type WHEN 'purchase' THEN 200 WHEN 'signup' THEN 500 WHEN 'view' THEN 429 WHEN 'click' THEN 404 ELSE 503 END AS status_code
+  FROM lg0),
+d1 AS (SELECT *, status_code >= 200 AND status_code < 300 AS ok,
+              (status_code = 429 OR status_code >= 500) AS retry FROM d),
+d2 AS (SELECT *, (ok OR NOT retry OR attempt >= 3) AS stop_here FROM d1),
+ends AS (SELECT download_id, coalesce(min(attempt) FILTER (WHERE stop_here), max(attempt)) AS used FROM d2 GROUP BY download_id)
+SELECT d2.download_id, attempt AS attempts_used, ok, retry AND NOT ok AS retryable, status_code,
+  CASE WHEN NOT ok THEN 'Shopify bulk operation result download failed with HTTP ' || status_code || '.' END AS error,
+  CASE WHEN NOT ok THEN attempt END AS download_attempt_count
+FROM d2 JOIN ends ON ends.download_id = d2.download_id AND d2.attempt = ends.used"""
+
+SQL_OP_EVENTS = """
+oe AS (
+  SELECT e.*, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events e)"""
+
+SQL_OPERATION_ROLLUP = _with(SQL_OP_EVENTS) + """,
+s AS (
+  SELECT user_id AS operation_id, n - 1 AS seq,
+    upper(CASE WHEN event_type = 'signup' THEN 'CREATED' WHEN event_type = 'view' THEN 'RUNNING' WHEN event_type = 'click' THEN 'running'
+               WHEN event_type = 'purchase' THEN CASE WHEN value > 300 THEN 'COMPLETED' ELSE 'RUNNING' END
+               ELSE CASE WHEN value > 330 THEN 'FAILED' WHEN value > 300 THEN 'CANCELED' ELSE 'running' END END) AS st
+  FROM oe),
+t AS (SELECT *, st IN ('COMPLETED', 'FAILED', 'CANCELED', 'CANCELLED', 'EXPIRED') AS term FROM s),
+ends AS (SELECT operation_id, min(seq) FILTER (WHERE term AND seq <= 60) AS stop_seq, max(seq) AS last_seq FROM t GROUP BY operation_id),
+j AS (SELECT t.* FROM t JOIN ends USING (operation_id) WHERE t.seq <= coalesce(ends.stop_seq, least(ends.last_seq, 60))),
+a AS (SELECT operation_id, count(*) AS history_length, arg_max(st, seq) AS final_status FROM j GROUP BY operation_id)
+SELECT operation_id, history_length - 1 AS poll_count, final_status,
+  CASE WHEN final_status = 'COMPLETED' THEN 'COMPLETED'
+       WHEN final_status IN ('FAILED', 'CANCELED', 'CANCELLED', 'EXPIRED') THEN 'FAILED'
+       WHEN history_length > 60 THEN 'TIMED_OUT' ELSE 'RUNNING' END AS outcome,
+  history_length
+FROM a"""
+
+SQL_START_RETRIES = _with(SQL_OP_EVENTS) + """,
+s AS (
+  SELECT user_id AS operation_id, n AS attempt, event_type = 'purchase' AS ok,
+    CASE event_type WHEN 'view' THEN 'A bulk operation for this app and shop is already in progress.'
+                    WHEN 'click' THEN 'Another bulk operation is already running.'
+                    WHEN 'signup' THEN 'Bulk operation is already running'
+                    WHEN 'error' THEN 'Bulk queries cannot use that field.' END AS message
+  FROM oe),
+c AS (
+  SELECT *, (NOT ok AND coalesce(lower(trim(message)) LIKE '%bulk operation%' AND (
+      lower(message) LIKE '%already in progress%' OR lower(message) LIKE '%already running%'
+      OR lower(message) LIKE '%operation is running%' OR lower(message) LIKE '%another bulk operation%'), false)) AS conc
+  FROM s),
+st AS (SELECT *, (ok OR NOT conc OR attempt >= 11) AS stop_here FROM c),
+ends AS (SELECT operation_id, min(attempt) FILTER (WHERE stop_here) AS first_stop, max(attempt) AS last FROM st GROUP BY operation_id),
+j AS (SELECT st.*, ends.first_stop FROM st JOIN ends USING (operation_id) WHERE attempt <= coalesce(ends.first_stop, ends.last)),
+a AS (SELECT operation_id, arg_max(ok, attempt) AS e_ok, arg_max(conc, attempt) AS e_conc, arg_max_null(message, attempt) AS e_msg,
+             count(*) FILTER (WHERE conc) AS rej, bool_or(first_stop IS NULL) AS open FROM j GROUP BY operation_id)
+SELECT operation_id,
+  CASE WHEN open THEN 'PENDING' WHEN e_ok THEN 'STARTED' WHEN e_conc THEN 'EXHAUSTED' ELSE 'FAILED' END AS outcome,
+  CASE WHEN e_ok OR NOT e_conc THEN rej ELSE rej - 1 END AS start_retry_count,
+  CASE WHEN NOT e_ok THEN e_msg END AS last_error
+FROM a"""
+
+SQL_CONFIGS_CTE = """
+cf AS (
+  SELECT c_name AS config_id, 'Store ' || (c_custkey % 97) AS description, c_mktsegment AS tenant_id,
+    'user' || (c_custkey % 20) AS created_by,
+    CASE WHEN c_custkey % 11 = 0 THEN 'http://shop' || c_custkey || '.myshopify.com'
+         WHEN c_custkey % 13 = 0 THEN 'https://shop' || c_custkey || '.example.com'
+         WHEN c_custkey % 17 = 0 THEN 'https://shop' || c_custkey || '.myshopify.com/admin/api/2024-01/graphql.json'
+         ELSE 'https://shop' || c_custkey || '.myshopify.com/' END AS shop_api_url,
+    CASE c_nationkey % 5 WHEN 0 THEN '2025-07' WHEN 1 THEN '2025-10' WHEN 2 THEN '2026-01' WHEN 3 THEN 'unstable' ELSE '2025-7' END AS api_version,
+    CASE c_custkey % 3 WHEN 0 THEN 'America/Chicago' WHEN 1 THEN 'America/Los_Angeles' END AS time_zone,
+    CASE WHEN c_acctbal >= 0 THEN 'tok-' || c_custkey END AS access_token,
+    CASE c_custkey % 10 WHEN 0 THEN 'N' WHEN 1 THEN NULL ELSE 'Y' END AS is_active,
+    CASE c_custkey % 4 WHEN 0 THEN 'N' WHEN 1 THEN NULL ELSE 'Y' END AS can_read_orders,
+    c_custkey AS custkey
+  FROM customer)"""
+
+_DESCRIBE_SQL = """CASE WHEN {s} = 401 OR {s} = 403 THEN 'The access token was rejected (HTTP ' || {s} || ').'
+  WHEN {s} = 429 THEN 'Shopify rate-limited the request (HTTP 429).'
+  WHEN {s} >= 500 THEN 'Shopify returned a server error (HTTP ' || {s} || ').'
+  WHEN {s} > 0 THEN 'The request failed with HTTP ' || {s} || '.'
+  ELSE 'The shop could not be reached.' END"""
+
+SQL_CONNECTION_CHECKS = _with(SQL_CONFIGS_CTE) + f""",
+b AS (
+  SELECT config_id, custkey,
+    coalesce(CASE WHEN custkey % 50 = 0 THEN 'Credential could not be decrypted.' END,
+             CASE WHEN access_token IS NULL OR trim(access_token) = '' THEN 'No access token is stored for this configuration.' END) AS cred_fail,
+    trim(shop_api_url) AS shop_url, trim(api_version) AS ver,
+    coalesce(upper(trim(can_read_orders)) = 'N', false) AS disabled,
+    CASE custkey % 9 WHEN 0 THEN 401 WHEN 1 THEN 404 WHEN 2 THEN 503 WHEN 3 THEN 0 ELSE 200 END AS cs,
+    custkey % 9 >= 4 AS c_ok, 'shop' || custkey || '.myshopify.com' AS domain,
+    CASE WHEN custkey % 7 = 1 THEN 500 ELSE 200 END AS os,
+    custkey % 7 >= 3 AS o_ok, custkey % 7 = 0 AS scope_missing, custkey % 2 AS order_count
+  FROM cf)
+SELECT config_id, 'credential' AS check_key, 1 AS position, CASE WHEN cred_fail IS NOT NULL THEN 'FAIL' ELSE 'PASS' END AS status,
+  cred_fail AS detail FROM b
+UNION ALL
+SELECT config_id, 'reachable', 2,
+  CASE WHEN cred_fail IS NOT NULL THEN 'SKIP' WHEN cs = 404 OR c_ok THEN 'PASS' ELSE 'FAIL' END,
+  CASE WHEN cred_fail IS NOT NULL THEN 'Not attempted.' WHEN c_ok THEN domain WHEN cs = 404 THEN shop_url
+       ELSE {_DESCRIBE_SQL.format(s='cs')} END FROM b
+UNION ALL
+SELECT config_id, 'apiVersion', 3,
+  CASE WHEN cred_fail IS NOT NULL THEN 'SKIP' WHEN cs = 404 THEN 'FAIL' WHEN c_ok THEN 'PASS' ELSE 'SKIP' END,
+  CASE WHEN cred_fail IS NOT NULL THEN 'Not attempted.'
+       WHEN cs = 404 THEN 'The shop did not serve API version ' || ver || '. Check the version and the shop URL.'
+       WHEN c_ok THEN ver ELSE 'Not attempted.' END FROM b
+UNION ALL
+SELECT config_id, 'ordersRead', 4,
+  CASE WHEN cred_fail IS NOT NULL OR cs = 404 OR NOT c_ok THEN 'SKIP' WHEN disabled THEN 'SKIP' WHEN o_ok THEN 'PASS' ELSE 'FAIL' END,
+  CASE WHEN cred_fail IS NOT NULL OR cs = 404 OR NOT c_ok THEN 'Not attempted.'
+       WHEN disabled THEN 'This configuration is not enabled for order reads.'
+       WHEN o_ok THEN CASE WHEN order_count = 1 THEN '1 order returned' ELSE 'no orders in range' END
+       WHEN scope_missing THEN 'The token is missing the read_orders scope.'
+       ELSE {_DESCRIBE_SQL.format(s='os')} END FROM b"""
+
+
 # ---------------------------------------------------------------------------------------
 # Registry
 # ---------------------------------------------------------------------------------------
@@ -662,6 +950,13 @@ _QUERIES: dict[str, tuple[Callable, str | None]] = {
     "exchange_state": (q_exchange_state, SQL_EXCHANGE_STATE),
     "child_shapes": (q_child_shapes, SQL_CHILD_SHAPES),
     "exchange_presence": (q_exchange_presence, SQL_EXCHANGE_PRESENCE),
+    "response_classes": (q_response_classes, SQL_RESPONSE_CLASSES),
+    "throttle_delay": (q_throttle_delay, SQL_THROTTLE_DELAY),
+    "retry_plan": (q_retry_plan, SQL_RETRY_PLAN),
+    "download_outcomes": (q_download_outcomes, SQL_DOWNLOAD_OUTCOMES),
+    "operation_rollup": (q_operation_rollup, SQL_OPERATION_ROLLUP),
+    "start_retries": (q_start_retries, SQL_START_RETRIES),
+    "connection_checks": (q_connection_checks, SQL_CONNECTION_CHECKS),
 }
 
 

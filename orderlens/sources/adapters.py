@@ -174,3 +174,65 @@ def returns_shape(lineitem: DataFrame) -> DataFrame:
 
 def load_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders_shape(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
+
+
+# --- logs and configs ---------------------------------------------------------------------
+
+def configs_shape(customer: DataFrame) -> DataFrame:
+    """Connection configs, one per customer: tenant = market segment, id = customer name,
+    URL / version / zone / token / flags varied by rule (no token when the balance is < 0)."""
+    k = F.col("c_custkey")
+    ks = k.cast("string")
+    url = (F.when(k % 11 == 0, F.concat(F.lit("http://shop"), ks, F.lit(".myshopify.com")))
+           .when(k % 13 == 0, F.concat(F.lit("https://shop"), ks, F.lit(".example.com")))
+           .when(k % 17 == 0, F.concat(F.lit("https://shop"), ks, F.lit(".myshopify.com/admin/api/2024-01/graphql.json")))
+           .otherwise(F.concat(F.lit("https://shop"), ks, F.lit(".myshopify.com/"))))
+    nk = F.col("c_nationkey") % 5
+    version = (F.when(nk == 0, F.lit("2025-07")).when(nk == 1, F.lit("2025-10")).when(nk == 2, F.lit("2026-01"))
+               .when(nk == 3, F.lit("unstable")).otherwise(F.lit("2025-7")))
+    zone = F.when(k % 3 == 0, F.lit("America/Chicago")).when(k % 3 == 1, F.lit("America/Los_Angeles"))
+    return customer.select(
+        F.col("c_name").alias("config_id"),
+        F.concat(F.lit("Store "), (k % 97).cast("string")).alias("description"),
+        F.col("c_mktsegment").alias("tenant_id"),
+        F.concat(F.lit("user"), (k % 20).cast("string")).alias("created_by"),
+        url.alias("shop_api_url"),
+        version.alias("api_version"),
+        zone.alias("time_zone"),
+        F.when(F.col("c_acctbal") >= 0, F.concat(F.lit("tok-"), ks)).alias("access_token"),
+        F.when(k % 10 == 0, F.lit("N")).when(k % 10 == 1, F.lit(None).cast("string")).otherwise(F.lit("Y")).alias("is_active"),
+        F.when(k % 4 == 0, F.lit("N")).when(k % 4 == 1, F.lit(None).cast("string")).otherwise(F.lit("Y")).alias("can_read_orders"),
+        k.alias("custkey"),
+    )
+
+
+def event_log(events: DataFrame) -> DataFrame:
+    """Captured API responses: one per event; a request is (user, day); ``ts`` orders the
+    attempts. Status code and body follow the event type (and value) by rule."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    ks = k.cast("string")
+    v = F.col("value")
+    et = F.col("event_type")
+    cost_ok = F.concat(
+        F.lit('{"data":{"orders":{"edges":[]}},"extensions":{"cost":{"requestedQueryCost":'), (k + 10).cast("string"),
+        F.lit(',"actualQueryCost":'), ks, F.lit(',"throttleStatus":{"maximumAvailable":1000,"currentlyAvailable":'),
+        (k * 7 % 100).cast("string"), F.lit(',"restoreRate":50}}}}'))
+    throttled = F.concat(
+        F.lit('{"errors":[{"message":"Throttled","extensions":{"code":"THROTTLED"}}],"extensions":{"cost":{"requestedQueryCost":'),
+        (k + 10).cast("string"), F.lit(',"actualQueryCost":0,"throttleStatus":{"maximumAvailable":1000,"currentlyAvailable":'),
+        (k % 10).cast("string"), F.lit(',"restoreRate":'), ((k % 5) * 10).cast("string"), F.lit("}}}}"))
+    denied = F.lit('{"data":null,"errors":[{"message":"Access denied for orders field.","extensions":{"code":"ACCESS_DENIED"}},{"message":"  "}]}')
+    status = (F.when(et.isin("purchase", "view", "click"), F.lit(200))
+              .when(et == "signup", F.when(v < 100, F.lit(429)).otherwise(F.lit(503)))
+              .otherwise(F.when(v < 200, F.lit(200)).otherwise(F.lit(404))))
+    body = (F.when(et == "purchase", cost_ok).when(et == "view", throttled).when(et == "click", denied)
+            .when(et == "signup", F.when(v < 100, F.lit("")).otherwise(F.lit("Service Unavailable")))
+            .otherwise(F.when(v < 100, F.lit("not-json")).when(v < 200, F.lit('{"errors":[{"message":"   "}],"data":{}}'))
+                       .otherwise(F.lit(""))))
+    query = F.when(F.col("user_id") % 10 == 0, F.lit("# start a run\nmutation Run { run { id } }")).otherwise(
+        F.lit("query Orders { orders { id } }"))
+    return events.select(
+        "event_id", "ts", "user_id", "event_type", "value",
+        F.concat(F.col("user_id").cast("string"), F.lit("-"), F.date_format("ts", "yyyy-MM-dd")).alias("request_id"),
+        status.alias("status_code"), body.alias("body"), query.alias("query"),
+    )
