@@ -927,6 +927,283 @@ SELECT config_id, 'ordersRead', 4,
        ELSE {_DESCRIBE_SQL.format(s='os')} END FROM b"""
 
 
+# ---------------------------------------------------------------------------------------
+# 6. Tenant-scoped configs (T6 F7 F8 P8 A6 J4 J5 J6) and scalar rules
+# ---------------------------------------------------------------------------------------
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+ACTIVE_TENANT, ACTIVE_USER = "BUILDING", "admin"
+
+
+def _configs(spark, sf_dir):
+    return ad.configs_shape(_t(spark, sf_dir, "customer"))
+
+
+def q_config_list(spark, sf_dir):
+    """T6 + F7 + F8 + P8: second page (20 rows) of a tenant's configs matching "STORE 1"."""
+    rows, _ = cfg.list_configs(_configs(spark, sf_dir), ACTIVE_TENANT, "STORE 1", page_index=1, page_size=20)
+    return rows
+
+
+def q_config_list_totals(spark, sf_dir):
+    """Total count and page count of the same listing."""
+    _, pages = cfg.list_configs(_configs(spark, sf_dir), ACTIVE_TENANT, "STORE 1", page_index=1, page_size=20)
+    return pages
+
+
+def q_config_usable(spark, sf_dir):
+    """One usability check per order (config by customer; trusted or session tenant)."""
+    o = _t(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    seg = F.array(*[F.lit(x) for x in SEGMENTS])
+    cid = (F.when(k % 11 == 0, F.lit("Customer#999999999")).when(k % 13 == 0, F.lit("  "))
+           .otherwise(F.concat(F.lit("Customer#"), F.lpad(F.col("o_custkey").cast("string"), 9, "0"))))
+    req = o.select(k.alias("request_id"), cid.alias("config_id"),
+                   F.when(k % 2 == 0, F.element_at(seg, (k % 5 + 1).cast("int"))).alias("trusted_tenant"),
+                   F.when(k % 2 == 1, F.element_at(seg, (F.floor(k / 2) % 5 + 1).cast("int"))).alias("session_tenant"))
+    res = cfg.check_usable(req, _configs(spark, sf_dir))
+    return res.select("request_id", "config_id", "usable", F.array_join("errors", " | ").alias("errors"))
+
+
+def _updates(spark, sf_dir):
+    c = _t(spark, sf_dir, "customer").filter(F.col("c_custkey") % 3 == 0)
+    k = F.col("c_custkey")
+    ks = k.cast("string")
+    rule = F.floor(k / 3) % 5
+    new_id = F.concat(F.lit("New#"), ks)
+    return c.select(
+        F.when(rule >= 3, new_id).otherwise(F.col("c_name")).alias("config_id"),
+        F.when(rule == 0, F.concat(F.lit("Updated "), ks)).when(rule == 3, F.concat(F.lit("New "), ks)).alias("description"),
+        F.when(rule == 2, F.concat(F.lit("http://shop"), ks, F.lit(".myshopify.com")))
+        .when(rule == 0, F.concat(F.lit("https://shop"), ks, F.lit(".myshopify.com/")))
+        .otherwise(F.concat(F.lit("https://shop"), ks, F.lit(".myshopify.com"))).alias("shop_api_url"),
+        F.when(rule == 0, F.lit("2026-01")).when(rule == 3, F.lit("UNSTABLE ")).when(rule == 4, F.lit("2026-04"))
+        .otherwise(F.lit("2025-10")).alias("api_version"),
+        F.when(rule == 0, F.lit("")).when(rule == 1, F.lit("Central")).when(rule == 3, F.lit("America/Chicago")).alias("time_zone"),
+        F.when(rule == 3, F.concat(F.lit("tok-new-"), ks)).when(rule == 0, F.lit("")).alias("access_token"),
+        F.when(rule == 0, F.lit("no")).when(rule == 3, F.lit("")).alias("is_active"),
+        F.when(rule == 0, F.lit("yes")).when(rule == 3, F.lit("Y")).alias("can_read_orders"),
+        k.alias("position"),
+    )
+
+
+def _merge(spark, sf_dir):
+    return cfg.merge_configs(_configs(spark, sf_dir), _updates(spark, sf_dir), ACTIVE_TENANT, ACTIVE_USER,
+                             position_col="position")
+
+
+def q_config_merge(spark, sf_dir):
+    """The config table after the upsert, redacted."""
+    return cfg.redact(_merge(spark, sf_dir)[0])
+
+
+def q_config_merge_outcomes(spark, sf_dir):
+    """Per update key inserted / updated / rejected with the ordered errors."""
+    out = _merge(spark, sf_dir)[1]
+    return out.select("config_id", "action", F.array_join("errors", " | ").alias("errors"))
+
+
+def q_config_delete(spark, sf_dir):
+    """Delete requests of one tenant: own rows go, unknown / other tenants are refused."""
+    c = _t(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    ids = (c.filter(k % 10 == 0).select(F.col("c_name").alias("config_id"))
+           .unionByName(c.filter(k % 25 == 0).select(F.concat(F.lit("Missing#"), k.cast("string")).alias("config_id")))
+           .unionByName(c.filter(k % 99 == 0).select(F.lit(" ").alias("config_id"))))
+    _, outcomes = cfg.delete_configs(_configs(spark, sf_dir), ids, ACTIVE_TENANT)
+    return outcomes
+
+
+def q_endpoints(spark, sf_dir):
+    """X12 + X13 + X14 + X23: endpoint, version validity and URL policy per config."""
+    from orderlens.functions.endpoints import admin_endpoint, normalize_api_version, url_error, valid_api_version
+    c = _configs(spark, sf_dir)
+    return c.select("config_id", admin_endpoint(F.col("shop_api_url"), F.col("api_version")).alias("endpoint"),
+                    valid_api_version(normalize_api_version(F.col("api_version"))).alias("version_valid"),
+                    url_error(F.col("shop_api_url")).alias("url_error"))
+
+
+def q_window_bounds(spark, sf_dir):
+    """X2 + X4 + X5: window bounds written in eight forms, parsed to UTC, and the calendar
+    window start in America/Chicago."""
+    from orderlens.functions.instants import parse_window_bound, window_bound_error
+    pin_utc(spark)
+    o = _t(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    ts1 = F.col("o_orderdate") + F.make_dt_interval(F.lit(0), (k % 24).cast("int"), F.lit(0), F.lit(0))
+    r = k % 8
+    text = (F.when(r == 0, F.unix_millis(ts1.cast("timestamp")).cast("string"))
+            .when(r == 1, F.date_format(ts1, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+            .when(r == 2, F.date_format(ts1, "yyyy-MM-dd'T'HH:mm:ss'-05:00'"))
+            .when(r == 3, F.date_format(ts1, "yyyy-MM-dd'T'HH:mm:ss'+00:00[UTC]'"))
+            .when(r == 4, F.date_format(ts1, "yyyy-MM-dd HH:mm:ss"))
+            .when(r == 5, F.date_format(ts1, "yyyy-MM-dd'T'HH:mm"))
+            .when(r == 6, F.date_format(ts1, "yyyy-MM-dd"))
+            .when(k % 16 == 7, F.lit("not-a-date")).otherwise(F.lit("  ")))
+    b = o.select(k.alias("order_key"), text.alias("t"))
+    parsed = parse_window_bound(F.col("t"))
+    start, _ = source_window(parsed, parsed, "America/Chicago", preserve=False)
+    return b.select("order_key", format_instant(parsed).alias("bound"),
+                    window_bound_error(F.col("t"), "windowStart").alias("error"),
+                    format_instant(start).alias("calendar_start"))
+
+
+SQL_CONFIG_REDACT = """config_id, description, tenant_id, created_by, shop_api_url, api_version,
+  coalesce(nullif(trim(time_zone), ''), 'UTC') AS time_zone, coalesce(nullif(trim(is_active), ''), 'Y') AS is_active,
+  coalesce(lower(trim(can_read_orders)) IN ('y', 'yes', 'true', '1', 't', 'on'), false) AS can_read_orders,
+  coalesce(trim(access_token) <> '', false) AS has_access_token"""
+
+SQL_CONFIG_LIST_SEL = """
+sel AS (
+  SELECT * FROM cf WHERE tenant_id = 'BUILDING' AND (
+    coalesce(config_id ILIKE '%STORE 1%', false) OR coalesce(description ILIKE '%STORE 1%', false)
+    OR coalesce(shop_api_url ILIKE '%STORE 1%', false) OR coalesce(api_version ILIKE '%STORE 1%', false)
+    OR coalesce(time_zone ILIKE '%STORE 1%', false)))"""
+
+SQL_CONFIG_LIST = _with(SQL_CONFIGS_CTE, SQL_CONFIG_LIST_SEL) + f"""
+SELECT {SQL_CONFIG_REDACT} FROM sel
+ORDER BY description NULLS LAST, config_id NULLS LAST LIMIT 20 OFFSET 20"""
+
+SQL_CONFIG_LIST_TOTALS = _with(SQL_CONFIGS_CTE, SQL_CONFIG_LIST_SEL) + """
+SELECT count(*) AS total_count, 1 AS page_index, 20 AS page_size, CAST(ceil(count(*) / 20.0) AS BIGINT) AS page_count FROM sel"""
+
+SQL_CONFIG_USABLE = _with(SQL_CONFIGS_CTE) + """,
+r AS (
+  SELECT o_orderkey AS request_id,
+    nullif(trim(CASE WHEN o_orderkey % 11 = 0 THEN 'Customer#999999999' WHEN o_orderkey % 13 = 0 THEN '  '
+                     ELSE 'Customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') END), '') AS cid,
+    CASE WHEN o_orderkey % 2 = 0 THEN ['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY'][o_orderkey % 5 + 1] END AS trusted,
+    CASE WHEN o_orderkey % 2 = 1 THEN ['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY'][(o_orderkey // 2) % 5 + 1] END AS sess
+  FROM orders),
+j AS (
+  SELECT r.*, cf.config_id IS NOT NULL AS found, nullif(trim(cf.tenant_id), '') AS tenant, cf.is_active, cf.can_read_orders
+  FROM r LEFT JOIN cf ON cf.config_id = r.cid),
+e AS (
+  SELECT *, CASE WHEN cid IS NULL THEN 'Shopify auth config ID is required.'
+      WHEN NOT found THEN 'Shopify auth config ''' || cid || ''' was not found.'
+      WHEN trusted IS NOT NULL AND tenant IS DISTINCT FROM trusted THEN 'Shopify auth config ''' || cid || ''' is not available in this automation tenant.'
+      WHEN trusted IS NULL AND (sess IS NULL OR tenant IS DISTINCT FROM sess) THEN 'Shopify auth config ''' || cid || ''' is not available in your active tenant.'
+    END AS first_err
+  FROM j),
+e2 AS (
+  SELECT *,
+    CASE WHEN first_err IS NULL AND upper(coalesce(nullif(trim(is_active), ''), 'Y')) = 'N' THEN 'Shopify auth config ' || cid || ' is inactive.' END AS inactive,
+    CASE WHEN first_err IS NULL AND upper(coalesce(nullif(trim(can_read_orders), ''), 'N')) = 'N' THEN 'Shopify auth config ' || cid || ' is not enabled for order reads.' END AS denied
+  FROM e)
+SELECT request_id, cid AS config_id, first_err IS NULL AND inactive IS NULL AND denied IS NULL AS usable,
+  array_to_string(list_filter([first_err, inactive, denied], lambda x: x IS NOT NULL), ' | ') AS errors
+FROM e2"""
+
+SQL_MERGE_CTE = """
+up0 AS (SELECT c_custkey AS k, (c_custkey // 3) % 5 AS rule, c_name FROM customer WHERE c_custkey % 3 = 0),
+up AS (
+  SELECT CASE WHEN rule >= 3 THEN 'New#' || k ELSE c_name END AS config_id,
+    CASE rule WHEN 0 THEN 'Updated ' || k WHEN 3 THEN 'New ' || k END AS u_description,
+    CASE rule WHEN 2 THEN 'http://shop' || k || '.myshopify.com' ELSE 'https://shop' || k || '.myshopify.com' END AS u_url,
+    CASE rule WHEN 0 THEN '2026-01' WHEN 3 THEN 'unstable' WHEN 4 THEN '2026-04' ELSE '2025-10' END AS u_version,
+    CASE rule WHEN 1 THEN 'Central' WHEN 3 THEN 'America/Chicago' END AS u_zone,
+    CASE rule WHEN 3 THEN 'tok-new-' || k END AS u_token,
+    CASE rule WHEN 0 THEN 'N' ELSE 'Y' END AS u_active,
+    CASE rule WHEN 0 THEN 'Y' WHEN 3 THEN 'Y' ELSE 'N' END AS u_read
+  FROM up0),
+mj AS (
+  SELECT up.*, cf.config_id IS NOT NULL AS ex, cf.tenant_id AS c_tenant, cf.created_by AS c_created,
+         cf.time_zone AS c_zone, cf.access_token AS c_token
+  FROM up LEFT JOIN cf ON cf.config_id = up.config_id),
+m1 AS (
+  SELECT *, regexp_extract(lower(u_url), '^[a-z][a-z0-9+.-]*://([^/:?#]*)', 1) AS host,
+         lower(regexp_extract(u_url, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)) AS proto
+  FROM mj),
+m2 AS (
+  SELECT *, CASE WHEN host = '' THEN 'Shop/API URL: URL is not valid.'
+                 WHEN proto <> 'https' THEN 'Shop/API URL: URL must use https.'
+                 WHEN NOT ends_with(host, '.myshopify.com') THEN 'Shop/API URL: URL host must end with .myshopify.com.' END AS url_err,
+    CASE WHEN NOT (u_version = 'unstable' OR regexp_full_match(u_version, '[0-9]{4}-[0-9]{2}')) THEN 'API version must use YYYY-MM format or unstable.' END AS ver_err
+  FROM m1),
+m3 AS (
+  SELECT *, (url_err IS NULL AND ver_err IS NULL) AS basic_ok FROM m2),
+m4 AS (
+  SELECT *, coalesce(u_zone, CASE WHEN basic_ok THEN nullif(trim(c_zone), '') END, 'UTC') AS zone,
+    CASE WHEN basic_ok AND ex AND c_tenant IS NOT NULL AND c_tenant <> 'BUILDING' THEN 'Shopify auth config ''' || config_id || ''' is not available in your active tenant.' END AS ten_err
+  FROM m3),
+m5 AS (
+  SELECT *, CASE WHEN zone NOT IN (SELECT name FROM pg_timezone_names()) THEN 'Shopify timezone ''' || zone || ''' is not valid.' END AS zone_err
+  FROM m4),
+m6 AS (
+  SELECT *, list_filter([url_err, ver_err, ten_err, zone_err], lambda x: x IS NOT NULL) AS errs0 FROM m5),
+m7 AS (
+  SELECT *, list_concat(errs0, CASE WHEN len(errs0) = 0 AND NOT ex AND u_token IS NULL THEN ['Access token is required for new Shopify auth configs.'] ELSE [] END) AS errs
+  FROM m6),
+stored AS (
+  SELECT config_id, u_description AS description, coalesce(c_tenant, 'BUILDING') AS tenant_id,
+    CASE WHEN c_tenant IS NOT NULL THEN c_created ELSE 'admin' END AS created_by,
+    u_url AS shop_api_url, u_version AS api_version, zone AS time_zone, coalesce(u_token, c_token) AS access_token,
+    u_active AS is_active, u_read AS can_read_orders
+  FROM m7 WHERE len(errs) = 0)"""
+
+SQL_CONFIG_MERGE = _with(SQL_CONFIGS_CTE, SQL_MERGE_CTE) + f""",
+merged AS (
+  SELECT config_id, description, tenant_id, created_by, shop_api_url, api_version, time_zone, access_token, is_active, can_read_orders
+  FROM cf WHERE config_id NOT IN (SELECT config_id FROM stored)
+  UNION ALL SELECT * FROM stored)
+SELECT {SQL_CONFIG_REDACT} FROM merged"""
+
+SQL_CONFIG_MERGE_OUTCOMES = _with(SQL_CONFIGS_CTE, SQL_MERGE_CTE) + """
+SELECT config_id, CASE WHEN len(errs) > 0 THEN 'rejected' WHEN ex THEN 'updated' ELSE 'inserted' END AS action,
+  array_to_string(errs, ' | ') AS errors
+FROM m7"""
+
+SQL_CONFIG_DELETE = _with(SQL_CONFIGS_CTE) + """,
+ids AS (
+  SELECT c_name AS requested_id FROM customer WHERE c_custkey % 10 = 0
+  UNION ALL SELECT 'Missing#' || c_custkey FROM customer WHERE c_custkey % 25 = 0
+  UNION ALL SELECT ' ' FROM customer WHERE c_custkey % 99 = 0),
+j AS (
+  SELECT ids.requested_id, nullif(trim(ids.requested_id), '') AS config_id, cf.config_id IS NOT NULL AS found,
+         nullif(trim(cf.tenant_id), '') AS tenant
+  FROM ids LEFT JOIN cf ON cf.config_id = nullif(trim(ids.requested_id), '')),
+e AS (
+  SELECT *, CASE WHEN config_id IS NULL THEN 'Shopify auth config ID is required.'
+                 WHEN NOT found THEN 'Shopify auth config ''' || config_id || ''' was not found.'
+                 WHEN tenant IS DISTINCT FROM 'BUILDING' THEN 'Shopify auth config ''' || config_id || ''' is not available in your active tenant.' END AS error
+  FROM j)
+SELECT requested_id, config_id, error IS NULL AS deleted, error FROM e"""
+
+SQL_ENDPOINTS = _with(SQL_CONFIGS_CTE) + """,
+b AS (
+  SELECT config_id, regexp_replace(nullif(trim(shop_api_url), ''), '/+$', '') AS base, nullif(trim(api_version), '') AS ver,
+         lower(nullif(trim(api_version), '')) AS lver, nullif(trim(shop_api_url), '') AS u
+  FROM cf),
+h AS (
+  SELECT *, regexp_extract(lower(u), '^[a-z][a-z0-9+.-]*://([^/:?#]*)', 1) AS host,
+         lower(regexp_extract(u, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)) AS proto, strpos(base, '/admin/api') AS idx
+  FROM b)
+SELECT config_id,
+  CASE WHEN base IS NULL OR ver IS NULL THEN NULL
+       WHEN ends_with(base, '/graphql.json') THEN base
+       WHEN idx > 0 THEN substr(base, 1, idx + 9) || '/' || ver || '/graphql.json'
+       ELSE base || '/admin/api/' || ver || '/graphql.json' END AS endpoint,
+  coalesce(lver = 'unstable' OR regexp_full_match(lver, '[0-9]{4}-[0-9]{2}'), false) AS version_valid,
+  CASE WHEN u IS NULL THEN 'Shop API URL is required.'
+       WHEN host = '' THEN 'URL is not valid.'
+       WHEN proto <> 'https' THEN 'URL must use https.'
+       WHEN NOT ends_with(host, '.myshopify.com') THEN 'URL host must end with .myshopify.com.' END AS url_error
+FROM h"""
+
+SQL_WINDOW_BOUNDS = """
+WITH b AS (
+  SELECT o_orderkey AS order_key, o_orderkey % 8 AS r, o_orderkey % 16 AS r16,
+         o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER)) AS ts1, o_orderdate
+  FROM orders),
+p AS (
+  SELECT *, CASE r WHEN 2 THEN ts1 + INTERVAL 5 HOUR WHEN 6 THEN o_orderdate WHEN 7 THEN NULL ELSE ts1 END AS parsed FROM b)
+SELECT order_key, strftime(parsed, '%Y-%m-%dT%H:%M:%SZ') AS bound,
+  CASE WHEN r = 7 AND r16 = 7 THEN 'windowStart must be a Timestamp, Date, ISO-8601 value, SQL timestamp text, or epoch milliseconds.'
+       WHEN r = 7 THEN 'windowStart is required.' END AS error,
+  strftime(CASE WHEN parsed = date_trunc('day', parsed) THEN (parsed AT TIME ZONE 'America/Chicago') AT TIME ZONE 'UTC' ELSE parsed END,
+           '%Y-%m-%dT%H:%M:%SZ') AS calendar_start
+FROM p"""
+
+
 # ---------------------------------------------------------------------------------------
 # Registry
 # ---------------------------------------------------------------------------------------
@@ -957,6 +1234,14 @@ _QUERIES: dict[str, tuple[Callable, str | None]] = {
     "operation_rollup": (q_operation_rollup, SQL_OPERATION_ROLLUP),
     "start_retries": (q_start_retries, SQL_START_RETRIES),
     "connection_checks": (q_connection_checks, SQL_CONNECTION_CHECKS),
+    "config_list": (q_config_list, SQL_CONFIG_LIST),
+    "config_list_totals": (q_config_list_totals, SQL_CONFIG_LIST_TOTALS),
+    "config_usable": (q_config_usable, SQL_CONFIG_USABLE),
+    "config_merge": (q_config_merge, SQL_CONFIG_MERGE),
+    "config_merge_outcomes": (q_config_merge_outcomes, SQL_CONFIG_MERGE_OUTCOMES),
+    "config_delete": (q_config_delete, SQL_CONFIG_DELETE),
+    "endpoints": (q_endpoints, SQL_ENDPOINTS),
+    "window_bounds": (q_window_bounds, SQL_WINDOW_BOUNDS),
 }
 
 

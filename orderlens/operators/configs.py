@@ -52,7 +52,7 @@ def search(df: DataFrame, query: str | None) -> DataFrame:
     q = normalize_py(query)
     if q is None:
         return df
-    pattern = F.lit(f"%{q}%")
+    pattern = f"%{q}%"
     return df.filter(reduce(or_, [F.coalesce(F.col(c).ilike(pattern), F.lit(False)) for c in SEARCH_COLUMNS]))
 
 
@@ -159,14 +159,10 @@ def merge_configs(current: DataFrame, updates: DataFrame, active_tenant: str, ac
     keyed = u.filter(F.col("config_id").isNotNull())
     last = keyed.groupBy("config_id").agg(F.max_by(F.struct(*[c for c in keyed.columns if c != "config_id"]), "_pos").alias("u")).select("config_id", "u.*")
     blank_ids = u.filter(F.col("config_id").isNull())
-    cur = current.select(*[F.col(c).alias("c_" + c if c != "config_id" else c) for c in CONFIG_COLUMNS])
+    cur = current.select(*[F.col(c).alias("c_" + c if c != "config_id" else c) for c in CONFIG_COLUMNS],
+                         F.lit(True).alias("_found"))
     j = last.unionByName(blank_ids).join(cur, "config_id", "left")
-    exists = F.col("c_tenant_id").isNotNull() | F.col("c_shop_api_url").isNotNull() | F.col("c_created_by").isNotNull() | F.col("c_access_token").isNotNull()
-    exists = F.coalesce(exists, F.lit(False))
-    zone = F.coalesce(F.col("u_zone"), normalize("c_time_zone"), F.lit(DEFAULT_TIME_ZONE))
-    zones = zone_table(spark)
-    j = j.withColumn("_zone", zone).join(F.broadcast(zones.withColumn("_zone_ok", F.lit(True))),
-                                         F.col("_zone") == zones["zone"], "left").drop("zone")
+    exists = F.coalesce(F.col("_found"), F.lit(False))
     uerr = url_error(F.col("u_url"))
     basic = F.array(
         F.when(F.col("config_id").isNull(), F.lit(ID_REQUIRED)),
@@ -176,13 +172,19 @@ def merge_configs(current: DataFrame, updates: DataFrame, active_tenant: str, ac
         F.when(F.col("u_version").isNotNull() & ~valid_api_version(F.col("u_version")), F.lit(VERSION_INVALID)),
     )
     basic_ok = F.size(F.array_compact(basic)) == 0
+    # the stored row is only looked at once the request itself is valid
+    zone = F.coalesce(F.col("u_zone"), F.when(basic_ok, normalize("c_time_zone")), F.lit(DEFAULT_TIME_ZONE))
+    zones = zone_table(spark)
+    j = j.withColumn("_zone", zone).join(F.broadcast(zones.withColumn("_zone_ok", F.lit(True))),
+                                         F.col("_zone") == zones["zone"], "left").drop("zone")
     other_tenant = basic_ok & exists & F.col("c_tenant_id").isNotNull() & (F.col("c_tenant_id") != F.lit(active_tenant))
-    errors = F.array_compact(F.concat(
+    before_token = F.array_compact(F.concat(
         basic,
         F.array(F.when(other_tenant, _text(OTHER_ACTIVE_TENANT, id=F.col("config_id")))),
         F.array(F.when(F.col("_zone_ok").isNull(), _text(ZONE_INVALID, tz=F.col("_zone")))),
-        F.array(F.when(basic_ok & ~other_tenant & ~exists & F.col("u_token").isNull(), F.lit(TOKEN_REQUIRED))),
     ))
+    errors = F.array_compact(F.concat(before_token, F.array(
+        F.when((F.size(before_token) == 0) & ~exists & F.col("u_token").isNull(), F.lit(TOKEN_REQUIRED)))))
     j = j.withColumns({"_errors": errors, "_exists": exists})
     ok = F.size(F.col("_errors")) == 0
     outcomes = j.select("config_id", F.when(~ok, F.lit("rejected")).when(F.col("_exists"), F.lit("updated"))
