@@ -67,9 +67,10 @@ def release(records: DataFrame, gate: DataFrame, key: str = "load_id", mode: str
     reference behaviour); ``mode='raise'`` fails the job when any load in ``records`` failed."""
     passing = gate.filter(F.col("ok") & F.col("data_available")).select(key)
     if mode == "raise":
-        failing = gate.filter(~F.col("ok")).select(key, "error")
+        failing = gate.filter(~F.col("ok")).select(key, F.col("error").alias("_gate_error"))
         checked = records.join(failing, key, "left")
-        return checked.withColumn(
-            "_chk", F.when(F.col("error").isNotNull(), F.raise_error(F.col("error")))
-        ).drop("_chk", "error")
+        # the check sits in a filter, so column pruning cannot drop it
+        return checked.filter(F.coalesce(
+            F.when(F.col("_gate_error").isNotNull(), F.raise_error(F.col("_gate_error"))).cast("boolean"),
+            F.lit(True))).drop("_gate_error")
     return records.join(passing, key, "left_semi")
