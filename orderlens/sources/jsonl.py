@@ -10,9 +10,11 @@ cut objects and single quotes); the values come from a second ``from_json`` with
 schema, every leaf read as text so a wrongly typed value never drops the record.
 
 Line numbers for files: each file split is read whole by one task, in file order. Rows are
-tagged with ``monotonically_increasing_id``; a tiny per-split table (count, first id) gets
-cumulative offsets per file and is joined back (AQE broadcasts it after checking its runtime
-size). No data is funnelled through one task and nothing goes through the driver.
+tagged with ``monotonically_increasing_id``; a small per-split table (count, first id) gets
+cumulative offsets per file and is broadcast back after a size check (one row per split,
+bounded by input size / split size). No data is funnelled through one task and nothing but
+that one count reaches the driver. Split packing is deterministic, so both scans of the
+files assign the same ids.
 """
 
 from __future__ import annotations
@@ -36,18 +38,40 @@ NOT_OBJECT = "Shopify bulk operation JSONL line {n} was not a JSON object."
 NOT_JSON = "Shopify bulk operation JSONL line {n} was not valid JSON."
 
 
-def read_text_lines(spark: SparkSession, path) -> DataFrame:
-    """Lines of one or more text files: (file, line_no, value); numbering restarts per file."""
-    base = spark.read.text(path).select(
+# Split-offset tables up to this many rows are broadcast (about 32 bytes a row: two path
+# hashes, the split start and the offset); beyond it the join is a regular shuffle join.
+MAX_BROADCAST_SPLITS = 4_000_000
+
+
+def read_text_lines(spark: SparkSession, path, max_broadcast_splits: int = MAX_BROADCAST_SPLITS) -> DataFrame:
+    """Lines of one or more text files: (file, line_no, value); numbering restarts per file.
+
+    Pass 1 counts lines per file split (one small row per split, keyed by two hashes of the
+    path and the split start). Its size is checked once (a count of that small table), and it
+    is broadcast when within ``max_broadcast_splits``, so pass 2 numbers the lines where they
+    were read, without shuffling the text."""
+    return number_split_lines(spark.read.text(path), max_broadcast_splits)
+
+
+def number_split_lines(text: DataFrame, max_broadcast_splits: int = MAX_BROADCAST_SPLITS) -> DataFrame:
+    """Per-file line numbers for a text-file read (``value`` plus the hidden ``_metadata``
+    column of a file source); also used per micro-batch by the streaming reader."""
+    meta = F.col("_metadata.file_path") if "file" not in text.columns else F.col("file")
+    block = F.col("_metadata.file_block_start") if "_block" not in text.columns else F.col("_block")
+    base = text.select(
         "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("_block"),
+        meta.alias("file"),
+        F.xxhash64(meta).alias("_fh1"),
+        F.hash(meta).alias("_fh2"),
+        block.alias("_block"),
         F.monotonically_increasing_id().alias("_mid"),
     )
-    stats = base.groupBy("file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
-    w = Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-    out = base.join(stats, ["file", "_block"], "inner")
+    keys = ["_fh1", "_fh2", "_block"]
+    stats = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
+    w = Window.partitionBy("_fh1", "_fh2").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    stats = stats.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n").cache()
+    small = stats.count() <= max_broadcast_splits
+    out = base.join(F.broadcast(stats) if small else stats, keys, "inner")
     return out.select("file", (F.col("_before") + F.col("_mid") - F.col("_first") + 1).alias("line_no"), "value")
 
 

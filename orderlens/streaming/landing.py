@@ -8,23 +8,12 @@ processes what is there and stops, so the same code serves batch back-fills.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.normalize import normalize_order_ids
-from ..sources.jsonl import classify_lines
-
-
-def _number_batch(batch: DataFrame) -> DataFrame:
-    """Per-file line numbers inside one micro-batch (whole files per batch): the same
-    per-split offset scheme as ``read_text_lines``."""
-    base = batch.withColumn("_mid", F.monotonically_increasing_id())
-    stats = base.groupBy("file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
-    w = Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-    return base.join(stats, ["file", "_block"]).select(
-        "file", (F.col("_before") + F.col("_mid") - F.col("_first") + 1).alias("line_no"), "value")
+from ..sources.jsonl import classify_lines, number_split_lines
 
 
 def stream_landing(spark: SparkSession, landing: str, schema: T.StructType, records_out: str,
@@ -37,7 +26,7 @@ def stream_landing(spark: SparkSession, landing: str, schema: T.StructType, reco
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        parsed = classify_lines(_number_batch(batch), schema)
+        parsed = classify_lines(number_split_lines(batch), schema)
         normalize_order_ids(parsed.records()).withColumn("batch_id", F.lit(batch_id)) \
             .write.mode("append").option("ignoreNullFields", "false").json(records_out)
         parsed.bad_lines().withColumn("batch_id", F.lit(batch_id)).write.mode("append").json(bad_out)
