@@ -16,6 +16,9 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import cut_lineage
 
 _IDX_BITS = 33
 _IDX_MASK = (1 << _IDX_BITS) - 1
@@ -26,7 +29,7 @@ def _cols(xs):
 
 
 def number_rows(df: DataFrame, order_cols, group_cols=(), out: str = "row_no",
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, materialize: str = "persist") -> DataFrame:
     """Dense 1-based numbers in ``order_cols`` order within ``group_cols``.
 
     ``group_cols + order_cols`` must identify a row (ties would make the numbering depend on
@@ -48,8 +51,8 @@ def number_rows(df: DataFrame, order_cols, group_cols=(), out: str = "row_no",
         .withColumn("__nr_mid", F.monotonically_increasing_id())
         .withColumn("__nr_pid", F.shiftright("__nr_mid", _IDX_BITS))
         .withColumn("__nr_idx", F.col("__nr_mid").bitwiseAND(F.lit(_IDX_MASK)))
-        .persist(StorageLevel.MEMORY_AND_DISK)
     )
+    ranged = cut_lineage(ranged) if materialize == "checkpoint" else ranged.persist(StorageLevel.MEMORY_AND_DISK)
     stats = ranged.groupBy(*gnames, "__nr_pid").agg(F.count(F.lit(1)).alias("__nr_cnt"), F.min("__nr_idx").alias("__nr_first"))
     w = Window.partitionBy(*gnames).orderBy("__nr_pid").rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.withColumn("__nr_before", F.coalesce(F.sum("__nr_cnt").over(w), F.lit(0)))
@@ -66,7 +69,9 @@ def top_n_per_group(df: DataFrame, group_cols, order_cols, n: int, out: str | No
     ``out`` (optional) receives the 1-based position within the group."""
     group_cols = list(group_cols)
     order = _cols(order_cols)
-    salt = F.pmod(F.xxhash64(*order), F.lit(salt_buckets))
+    # salt from the row's own columns (deterministic, so a recomputed task salts the same way)
+    hashable = [F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    salt = F.pmod(F.xxhash64(*hashable), F.lit(salt_buckets))
     first = Window.partitionBy(*_cols(group_cols), salt).orderBy(*order)
     pre = df.withColumn("__nr_salt", salt).withColumn("__nr_rn1", F.row_number().over(first)).filter(F.col("__nr_rn1") <= n)
     second = Window.partitionBy(*_cols(group_cols)).orderBy(*order)

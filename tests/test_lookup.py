@@ -51,3 +51,19 @@ def test_orders_by_id_and_reconcile(spark):
                    "gid://shopify/Order/4": "missing_right", "gid://shopify/Order/5": "missing_left"}
     conf = {r["canonical_id"]: r["confirmed_missing"] for r in lookup.confirm_missing(lookup.reconcile_ids(left, right), orders).collect()}
     assert conf == {"gid://shopify/Order/2": False, "gid://shopify/Order/4": True}
+
+
+def test_number_rows_checkpoint_and_hot_group(spark):
+    from orderlens.operators.rownum import number_rows, top_n_per_group
+    df = spark.range(0, 30000).withColumn("g", F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 7))
+    for mode in ("persist", "checkpoint"):
+        n = number_rows(df, ["id"], ["g"], out="rn", materialize=mode)
+        bad = n.groupBy("g").agg(F.count("*").alias("c"), F.max("rn").alias("mx"), F.countDistinct("rn").alias("d")) \
+               .filter("c != mx or c != d")
+        assert bad.count() == 0
+    top = top_n_per_group(df, ["g"], [F.col("id").desc()], 3, out="pos")
+    got = sorted((r["g"], r["pos"], r["id"]) for r in top.collect())
+    grp = lambda i: 0 if i % 3 == 0 else i % 7
+    for g in range(7):
+        expect = sorted((i for i in range(30000) if grp(i) == g), reverse=True)[:3]
+        assert [x[2] for x in got if x[0] == g] == expect
