@@ -394,7 +394,7 @@ FROM gate g JOIN win w ON g.load_id = w.load_id LEFT JOIN rel ON rel.load_id = g
 # 6 gid of another object type, 7 blank.
 
 def _requests(spark, sf_dir) -> DataFrame:
-    li = _t(spark, sf_dir, "lineitem")
+    li = ad.table(spark, sf_dir, "lineitem", spread_rows=True)
     k, n = F.col("l_orderkey").cast("string"), F.col("l_linenumber")
     raw = (F.when(n == 1, k)
            .when(n == 2, F.concat(F.lit(ORDER_GID_PREFIX), k))
@@ -585,7 +585,7 @@ LEFT JOIN x ON x.l_orderkey = os.order_key"""
 
 
 def _shape_texts(spark, sf_dir):
-    li = _t(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R")
+    li = ad.table(spark, sf_dir, "lineitem", spread_rows=True).filter(F.col("l_returnflag") == "R")
     item = F.concat(F.lit('{"id":"gid://shopify/LineItem/'), F.concat_ws("-", *[F.col(c).cast("string") for c in
                                                                                 ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]),
                     F.lit('","sku":"SKU-'), F.col("l_partkey").cast("string"),
@@ -1027,7 +1027,7 @@ def q_window_bounds(spark, sf_dir):
     window start in America/Chicago."""
     from orderlens.functions.instants import parse_window_bound, window_bound_error
     pin_utc(spark)
-    o = _t(spark, sf_dir, "orders")
+    o = ad.table(spark, sf_dir, "orders", spread_rows=True)
     k = F.col("o_orderkey")
     ts1 = F.col("o_orderdate") + F.make_dt_interval(F.lit(0), (k % 24).cast("int"), F.lit(0), F.lit(0))
     r = k % 8

@@ -28,6 +28,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "ord
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # small local inputs: keep post-shuffle stages wide enough for row-heavy work
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
         .config("spark.sql.session.timeZone", UTC)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -37,6 +37,17 @@ LINE_ORDER = ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey", "l_quantit
               "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
 
 
+# Declared schemas of the driver tables (no schema inference job per read).
+DRIVER_SCHEMAS = {
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+}
+
 # Columns that identify a row of each driver table (used to spread an under-split scan).
 ROW_KEYS = {
     "lineitem": ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"],
@@ -47,23 +58,26 @@ ROW_KEYS = {
 
 
 def spread(df: DataFrame, keys=None) -> DataFrame:
-    """Parallelism guard for under-split inputs.
+    """Parallelism guard for under-split inputs, applied where row-level work comes before the
+    first shuffle (an aggregation needs none: it combines map-side in the scan task).
 
     A scan with fewer partitions than the session's default parallelism (one small file with a
     single row group is read by one task) is hash-partitioned on a row key, so the row-level
     work after it uses every core. The key identifies a row, so the spread is balanced even
     when one order or user holds a third of the rows, and deterministic (no local sort, safe
-    to recompute after an executor loss); aggregations after it still combine map-side. On a
-    cluster the scan already has thousands of splits and this is a no-op."""
+    to recompute after an executor loss). On a cluster the scan already has thousands of
+    splits and this is a no-op."""
     target = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target, *keys) if keys else df.repartition(target)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df, ROW_KEYS.get(name))
+def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
+    """A driver table read with its declared schema; ``spread_rows`` applies :func:`spread`."""
+    reader = spark.read.schema(DRIVER_SCHEMAS[name]) if name in DRIVER_SCHEMAS else spark.read
+    df = reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df, ROW_KEYS.get(name)) if spread_rows else df
 
 
 def _map(c: Column, mapping: dict) -> Column:
@@ -95,6 +109,7 @@ def line_totals(lineitem: DataFrame) -> DataFrame:
 def orders_shape(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     k = F.col("o_orderkey")
     totals = line_totals(lineitem)
+    orders = spread(orders, ROW_KEYS["orders"])
     o = orders.join(totals, orders["o_orderkey"] == totals["l_orderkey"], "left")
     created = F.col("o_orderdate")
     updated = F.coalesce(F.col("_last_ship"), created)
@@ -145,7 +160,7 @@ def _qty() -> Column:
 def line_items_shape(lineitem: DataFrame) -> DataFrame:
     """Child table for ``lineItems``: ``order_id`` = order gid, catalogue child fields, and the
     line columns that give the list order (``LINE_ORDER``)."""
-    return lineitem.select(
+    return spread(lineitem, ROW_KEYS["lineitem"]).select(
         F.concat(F.lit(ORDER_GID_PREFIX), F.col("l_orderkey").cast("string")).alias("order_id"),
         *LINE_ORDER,
         _line_gid(LINE_ITEM_GID_PREFIX).alias("id"),
@@ -173,7 +188,7 @@ def return_status_rule() -> Column:
 
 def returns_shape(lineitem: DataFrame) -> DataFrame:
     """One row per return: ``order_id``, list-order columns, and the return struct fields."""
-    r = lineitem.filter(F.col("l_returnflag").isin("A", "R"))
+    r = spread(lineitem.filter(F.col("l_returnflag").isin("A", "R")), ROW_KEYS["lineitem"])
     item = F.struct(
         _line_gid(LINE_ITEM_GID_PREFIX).alias("id"),
         F.concat(F.lit("SKU-"), F.col("l_partkey").cast("string")).alias("sku"),
@@ -256,7 +271,7 @@ def event_log(events: DataFrame) -> DataFrame:
                        .otherwise(F.lit(""))))
     query = F.when(F.col("user_id") % 10 == 0, F.lit("# start a run\nmutation Run { run { id } }")).otherwise(
         F.lit("query Orders { orders { id } }"))
-    return events.select(
+    return spread(events, ROW_KEYS["events"]).select(
         "event_id", "ts", "user_id", "event_type", "value",
         F.concat(F.col("user_id").cast("string"), F.lit("-"), F.date_format("ts", "yyyy-MM-dd")).alias("request_id"),
         status.alias("status_code"), body.alias("body"), query.alias("query"),
