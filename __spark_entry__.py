@@ -235,12 +235,14 @@ def _jsonl_lines(spark, sf_dir) -> DataFrame:
             .when(m == 66, F.concat(F.lit("{'id':'"), ks, F.lit("'}")))
             .when(m == 77, F.concat(F.lit('{"id": '), ks, F.lit(', "name": "#'), ks, F.lit('"}')))
             .otherwise(body))
-    lines = o.select(
-        "order_key", "name",
-        F.concat(F.lit("orders-"), F.date_format("_ts_createdAt", "yyyy-MM")).alias("load_id"),
-        F.to_json(F.struct(*prune_nested(o, paths)), {"ignoreNullFields": "false"}).alias("_body"),
-    ).select("order_key", "load_id", line.alias("value"))
-    return number_rows(lines, ["order_key"], ["load_id"], out="line_no")
+    # number the export lines on the narrow (load, key) rows, then build the text once
+    numbered = number_rows(
+        o.select("order_key", F.concat(F.lit("orders-"), F.date_format("_ts_createdAt", "yyyy-MM")).alias("load_id"),
+                 *prune_nested(o, paths)),
+        ["order_key"], ["load_id"], out="line_no")
+    body_struct = F.struct(*[F.col(c) for c in sorted({p.split(".")[0] for p in paths})])
+    return numbered.withColumn("_body", F.to_json(body_struct, {"ignoreNullFields": "false"})).select(
+        "order_key", "load_id", "line_no", line.alias("value"))
 
 
 def _parsed(spark, sf_dir) -> ParsedLines:
