@@ -1206,6 +1206,81 @@ SELECT order_key, strftime(parsed, '%Y-%m-%dT%H:%M:%SZ') AS bound,
 FROM p"""
 
 
+# ---------------------------------------------------------------------------------------
+# 7. Point reads, sweep candidates and instant forms
+# ---------------------------------------------------------------------------------------
+
+def q_orders_by_id(spark, sf_dir):
+    """The orders behind every exchange line, fetched by id (numeric or gid spelling;
+    blank and unknown ids match nothing)."""
+    li = _t(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R")
+    k = F.col("l_orderkey")
+    raw = (F.when(F.col("l_linenumber") == 7, F.lit(" "))
+           .when(F.col("l_linenumber") % 2 == 0, F.concat(F.lit(ORDER_GID_PREFIX), k.cast("string")))
+           .when(F.col("l_linenumber") == 5, (k + 1000000).cast("string"))
+           .otherwise(k.cast("string")))
+    got = lookup.orders_by_id(_orders(spark, sf_dir), li.select(raw.alias("requested_id")))
+    return got.select("id", "name", "totalPrice", "returnStatus")
+
+
+SQL_ORDERS_BY_ID = _with(ORDERS_CTE) + f""",
+req AS (
+  SELECT nullif(trim(CASE WHEN l_linenumber = 7 THEN ' '
+                          WHEN l_linenumber % 2 = 0 THEN '{ORDER_GID_PREFIX}' || l_orderkey
+                          WHEN l_linenumber = 5 THEN CAST(l_orderkey + 1000000 AS VARCHAR)
+                          ELSE CAST(l_orderkey AS VARCHAR) END), '') AS rid
+  FROM lineitem WHERE l_returnflag = 'R'),
+gid AS (SELECT DISTINCT CASE WHEN starts_with(rid, 'gid://') THEN rid ELSE '{ORDER_GID_PREFIX}' || rid END AS g
+        FROM req WHERE rid IS NOT NULL)
+SELECT id, name, totalPrice, returnStatus FROM os WHERE id IN (SELECT g FROM gid)"""
+
+
+def q_sweep_candidates(spark, sf_dir):
+    """S7 + F5: orders updated since the window start (no upper bound) with return activity."""
+    c = ex.sweep_candidates(_orders(spark, sf_dir), "1998-06-01T00:00:00Z")
+    return c.select("id", "updatedAt", "returnStatus")
+
+
+SQL_SWEEP_CANDIDATES = _with(ORDERS_CTE) + """
+SELECT id, updatedAt, returnStatus FROM os
+WHERE ts_updated >= TIMESTAMP '1998-06-01' AND lower(trim(returnStatus)) IS DISTINCT FROM 'no_return'"""
+
+
+def q_instant_forms(spark, sf_dir):
+    """X1 + X3 + X4: instants written in seven forms; the filter parser (X1) and the strict
+    instant parser (X3) on each, results as ISO text and epoch millis."""
+    from orderlens.functions.instants import parse_instant_filter
+    pin_utc(spark)
+    o = ad.table(spark, sf_dir, "orders", spread_rows=True)
+    k = F.col("o_orderkey")
+    ts1 = F.col("o_orderdate") + F.make_dt_interval(F.lit(0), (k % 24).cast("int"), (k % 60).cast("int"), F.lit(0))
+    r = k % 7
+    text = (F.when(r == 0, F.date_format(ts1, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+            .when(r == 1, F.date_format(ts1, "yyyy-MM-dd'T'HH:mm:ss'+02:00'"))
+            .when(r == 2, F.date_format(ts1, "yyyy-MM-dd'T'HH:mm'-05:00'"))
+            .when(r == 3, F.date_format(ts1, "yyyy-MM-dd'T'HH:mm:ss'+00:00[UTC]'"))
+            .when(r == 4, F.date_format(ts1, "yyyy-MM-dd'T'HH:mm:ss"))
+            .when(r == 5, F.date_format(ts1, "yyyy-MM-dd"))
+            .otherwise(F.unix_millis(ts1.cast("timestamp")).cast("string")))
+    b = o.select(k.alias("order_key"), text.alias("t"))
+    return b.select("order_key", format_instant(parse_instant_filter(F.col("t"))).alias("filter_instant"),
+                    parse_iso_millis(F.col("t")).alias("instant_millis"))
+
+
+SQL_INSTANT_FORMS = """
+WITH b AS (
+  SELECT o_orderkey AS order_key, o_orderkey % 7 AS r,
+         o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER)) + to_minutes(CAST(o_orderkey % 60 AS INTEGER)) AS ts1
+  FROM orders),
+p AS (
+  SELECT order_key, r,
+    CASE r WHEN 0 THEN ts1 WHEN 1 THEN ts1 - INTERVAL 2 HOUR WHEN 2 THEN ts1 + INTERVAL 5 HOUR
+           WHEN 3 THEN ts1 WHEN 4 THEN ts1 END AS x1,
+    CASE r WHEN 0 THEN ts1 WHEN 1 THEN ts1 - INTERVAL 2 HOUR WHEN 2 THEN ts1 + INTERVAL 5 HOUR END AS x3
+  FROM b)
+SELECT order_key, strftime(x1, '%Y-%m-%dT%H:%M:%SZ') AS filter_instant, epoch_ms(x3) AS instant_millis FROM p"""
+
+
 # ---------------------------------------------------------------------------------------
 # Registry
 # ---------------------------------------------------------------------------------------
@@ -1244,6 +1319,9 @@ _QUERIES: dict[str, tuple[Callable, str | None]] = {
     "config_delete": (q_config_delete, SQL_CONFIG_DELETE),
     "endpoints": (q_endpoints, SQL_ENDPOINTS),
     "window_bounds": (q_window_bounds, SQL_WINDOW_BOUNDS),
+    "orders_by_id": (q_orders_by_id, SQL_ORDERS_BY_ID),
+    "sweep_candidates": (q_sweep_candidates, SQL_SWEEP_CANDIDATES),
+    "instant_forms": (q_instant_forms, SQL_INSTANT_FORMS),
 }
 
 

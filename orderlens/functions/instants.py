@@ -96,6 +96,7 @@ def window_bound_py(value) -> _dt.datetime:
 # --- column side ---------------------------------------------------------------------------
 
 _OFFSET_FORM = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:\d{2})(\[[^\]]+\])?$"
+_INSTANT_FORM = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:\d{2})$"
 _LOCAL_FORM = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?$"
 _SQL_FORM = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}(\.\d{1,9})?$"
 _DATE_FORM = r"^\d{4}-\d{2}-\d{2}$"
@@ -114,10 +115,11 @@ def _micros_cut(t: Column) -> Column:
 
 
 def parse_iso_instant(c) -> Column:
-    """X3 core: trimmed instant with ``Z`` or an offset -> timestamp (null when bad)."""
+    """X3 core: trimmed instant with ``Z`` or an offset -> timestamp (null when bad); a
+    bracketed zone id is not an instant and is refused."""
     t = normalize(c)
     fixed = _micros_cut(_with_seconds(t))
-    return F.when(t.rlike(_OFFSET_FORM), fixed.try_cast("timestamp"))
+    return F.when(t.rlike(_INSTANT_FORM), fixed.try_cast("timestamp"))
 
 
 def parse_iso_millis(c) -> Column:

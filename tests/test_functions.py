@@ -155,3 +155,9 @@ def test_indicator_and_names(spark):
     assert one(spark, lambda c: text.indicator(c, False), "yes") == "Y"
     assert one(spark, lambda c: text.json_file_name(c, F.lit("x")), "run") == "run.json"
     assert one(spark, lambda c: text.jsonl_file_name(c, F.lit("x")), "run.JSON") == "run.jsonl"
+
+
+def test_iso_millis_refuses_zone_id(spark):
+    assert one(spark, instants.parse_iso_millis, "2026-07-28T00:00:00+00:00[UTC]") is None
+    assert one(spark, lambda c: instants.format_instant(instants.parse_instant_filter(c)),
+               "2026-07-28T00:00:00+00:00[UTC]") == "2026-07-28T00:00:00Z"
