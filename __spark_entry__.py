@@ -508,12 +508,12 @@ SWEEP_END_MS = 854755200000     # 1997-02-01T00:00:00Z
 
 
 def _returns(spark, sf_dir):
-    return ad.returns_shape(_t(spark, sf_dir, "lineitem"))
+    return ad.return_rows(_t(spark, sf_dir, "lineitem"))
 
 
 def _sweep(spark, sf_dir):
     return ex.sweep_exchanges(_orders(spark, sf_dir), _returns(spark, sf_dir), ad.LINE_ORDER,
-                              SWEEP_START_MS, SWEEP_END_MS)[0]
+                              SWEEP_START_MS, SWEEP_END_MS, fields=ad.return_fields())[0]
 
 
 def q_exchange_sweep(spark, sf_dir):
@@ -538,7 +538,7 @@ WHERE os.ts_updated >= TIMESTAMP '1997-01-01' AND lower(os.returnStatus) <> 'no_
 def q_exchange_counts(spark, sf_dir):
     """A4 + T5: per order with returns, live exchange returns among the first 10, any date."""
     o = _orders(spark, sf_dir).filter(F.col("returnStatus") != "NO_RETURN").select("id")
-    nested = ex.nest_returns(o, _returns(spark, sf_dir), ad.LINE_ORDER)
+    nested = ex.nest_returns(o, _returns(spark, sf_dir), ad.LINE_ORDER, fields=ad.return_fields())
     return nested.select("id", ex.count_exchange_returns(F.col("returns")).alias("exchangeReturnCount"),
                          F.size("returns").alias("returnCount"))
 
@@ -558,7 +558,7 @@ def _state_requests(spark, sf_dir):
 def q_exchange_state(spark, sf_dir):
     """J2 + P6 + A5: nested exchange state of every order with an exchange line, flattened."""
     st = ex.exchange_state_lookup(_state_requests(spark, sf_dir), _orders(spark, sf_dir), _returns(spark, sf_dir),
-                                  ad.LINE_ORDER, position_col="position")
+                                  ad.LINE_ORDER, position_col="position", fields=ad.return_fields())
     e = st.select("order_key", "returnStatus", F.col("currentTotalAmount").cast("string").alias("currentTotalAmount"),
                   "currentTotalCurrency", F.explode_outer("exchanges").alias("x"))
     e = e.select("*", F.explode_outer("x.exchangeLineItems").alias("xi"))

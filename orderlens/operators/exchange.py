@@ -32,9 +32,12 @@ RETURN_FIELDS = ("id", "name", "status", "createdAt", "exchangeLineItems")
 
 def nest_returns(orders: DataFrame, returns: DataFrame, order_cols, cap: int = RETURNS_CAP,
                  fields=RETURN_FIELDS) -> DataFrame:
-    """T5: the first ``cap`` returns of each order (list order) as array column ``returns``."""
-    return attach_children(orders, returns, "id", "order_id", list(order_cols),
-                           {f: F.col(f) for f in fields}, cap, "returns")
+    """T5: the first ``cap`` returns of each order (list order) as array column ``returns``.
+
+    ``fields`` is a list of return columns, or a dict {field: Column} of expressions over the
+    return rows, evaluated after the top-n (so the rows sorted and shuffled stay narrow)."""
+    cols = fields if isinstance(fields, dict) else {f: F.col(f) for f in fields}
+    return attach_children(orders, returns, "id", "order_id", list(order_cols), cols, cap, "returns")
 
 
 def _has_exchange(r: Column, cap: int) -> Column:
@@ -72,7 +75,7 @@ def sweep_candidates(orders: DataFrame, start_iso: str) -> DataFrame:
 
 
 def sweep_exchanges(orders: DataFrame, returns: DataFrame, return_order, start_ms: int, end_ms: int,
-                    max_pages: int | None = None, page_size: int = SWEEP_PAGE_SIZE):
+                    max_pages: int | None = None, page_size: int = SWEEP_PAGE_SIZE, fields=RETURN_FIELDS):
     """S7 -> optional T4 cap (``max_pages x page_size`` orders in updatedAt order) -> W1 ->
     legacy id present (no gid fallback here) -> P9 with A4.
 
@@ -88,7 +91,7 @@ def sweep_exchanges(orders: DataFrame, returns: DataFrame, return_order, start_m
         cands = cands.orderBy(*sort_columns(cands, "UPDATED_AT", False)).limit(cap)
     else:
         truncated = orders.sparkSession.range(1).select(F.lit(False).alias("truncated"))
-    nested = nest_returns(cands.select("id", "legacyResourceId", "name"), returns, return_order)
+    nested = nest_returns(cands.select("id", "legacyResourceId", "name"), returns, return_order, fields=fields)
     hit = first_in_window_return(F.col("returns"), start_ms, end_ms)
     rows = nested.select("legacyResourceId", "name", hit.alias("_hit"),
                          count_exchange_returns(F.col("returns")).alias("exchangeReturnCount"))
@@ -157,24 +160,27 @@ def exchange_state(nested: DataFrame, items_cap: int = STATE_EXCHANGE_ITEMS_CAP,
 
 
 def exchange_state_lookup(requests: DataFrame, orders: DataFrame, returns: DataFrame, return_order,
-                          request_col: str = "requested_id", position_col: str | None = None) -> DataFrame:
+                          request_col: str = "requested_id", position_col: str | None = None,
+                          fields=RETURN_FIELDS) -> DataFrame:
     """Requested ids -> canonical gids (deduped) -> matching orders -> P6, keyed by the
     legacy id (else the text after the last ``/``); a later request wins on an equal key (A5).
 
-    Empty input is *not ok* in the original; callers check ``requests`` before trusting an empty
-    result (see ``state_lookup_ok``)."""
+    The keep-last choice is made on the narrow (key, id, position) rows before any nesting, so
+    only the winning orders are nested. Empty input is *not ok* in the original; callers check
+    ``requests`` with :func:`state_lookup_ok` before trusting an empty result."""
     pos = F.col(position_col) if position_col else F.lit(0).cast("long")
     gids = (requests.select(to_order_gid_state(F.col(request_col)).alias("_gid"), pos.alias("_pos"))
             .filter(F.col("_gid").isNotNull()).groupBy("_gid").agg(F.min("_pos").alias("_pos")))
     hit = orders.join(gids, orders["id"] == gids["_gid"], "inner").drop("_gid")
-    nested = nest_returns(hit.select("id", "legacyResourceId", "returnStatus", "currentTotalPriceSet", "_pos"),
-                          returns, return_order)
-    state = exchange_state(nested, keep=("_pos",))
     key = F.coalesce(normalize(F.col("legacyResourceId")), legacy_from_gid(F.col("id")))
-    keyed = state.withColumn("order_key", key).filter(F.col("order_key").isNotNull())
-    latest = keyed.groupBy("order_key").agg(F.max_by(F.struct(*[c for c in keyed.columns if c != "order_key"]),
-                                                     F.struct("_pos", "id")).alias("s"))
-    return latest.select("order_key", "s.*").drop("_pos")
+    keyed = hit.withColumn("order_key", key).filter(F.col("order_key").isNotNull())
+    winners = keyed.groupBy("order_key").agg(F.max_by("id", F.struct("_pos", "id")).alias("_win"))
+    chosen = keyed.join(winners, (keyed["order_key"] == winners["order_key"]) & (keyed["id"] == winners["_win"]),
+                        "left_semi")
+    nested = nest_returns(chosen.select("id", "order_key", "legacyResourceId", "returnStatus", "currentTotalPriceSet"),
+                          returns, return_order, fields=fields)
+    return exchange_state(nested, keep=("order_key",)).select("order_key", *[c for c in (
+        "id", "legacyResourceId", "returnStatus", "currentTotalAmount", "currentTotalCurrency", "exchanges")])
 
 
 def state_lookup_ok(requests: DataFrame, request_col: str = "requested_id") -> DataFrame:

@@ -186,9 +186,23 @@ def return_status_rule() -> Column:
     )
 
 
-def returns_shape(lineitem: DataFrame) -> DataFrame:
-    """One row per return: ``order_id``, list-order columns, and the return struct fields."""
+RETURN_ROW_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag",
+                      "l_linestatus", "l_shipdate"]
+EXCHANGE_ITEMS_TYPE = ("array<struct<id:string,quantity:string,"
+                       "lineItems:array<struct<id:string,sku:string,quantity:string>>>>")
+
+
+def return_rows(lineitem: DataFrame) -> DataFrame:
+    """Narrow return rows (raw line columns plus ``order_id``): the nested return fields are
+    built from them by :func:`return_fields` only after the per-order top-n, so the sorts and
+    shuffles before it move narrow rows."""
     r = spread(lineitem.filter(F.col("l_returnflag").isin("A", "R")), ROW_KEYS["lineitem"])
+    cols = list(dict.fromkeys(LINE_ORDER + RETURN_ROW_COLUMNS))
+    return r.select(F.concat(F.lit(ORDER_GID_PREFIX), F.col("l_orderkey").cast("string")).alias("order_id"), *cols)
+
+
+def return_fields() -> dict:
+    """The return struct fields as expressions over :func:`return_rows` columns."""
     item = F.struct(
         _line_gid(LINE_ITEM_GID_PREFIX).alias("id"),
         F.concat(F.lit("SKU-"), F.col("l_partkey").cast("string")).alias("sku"),
@@ -199,17 +213,20 @@ def returns_shape(lineitem: DataFrame) -> DataFrame:
         _qty().alias("quantity"),
         F.array(item).alias("lineItems"),
     )
-    return r.select(
-        F.concat(F.lit(ORDER_GID_PREFIX), F.col("l_orderkey").cast("string")).alias("order_id"),
-        *LINE_ORDER,
-        _line_gid(RETURN_GID_PREFIX).alias("id"),
-        F.concat(F.lit("#"), F.col("l_orderkey").cast("string"), F.lit("-R"), F.col("l_linenumber").cast("string")).alias("name"),
-        return_status_rule().alias("status"),
-        format_instant(F.col("l_shipdate")).alias("createdAt"),
-        F.when(F.col("l_returnflag") == "R", F.array(exchange))
-        .otherwise(F.array().cast("array<struct<id:string,quantity:string,lineItems:array<struct<id:string,sku:string,quantity:string>>>>"))
-        .alias("exchangeLineItems"),
-    )
+    return {
+        "id": _line_gid(RETURN_GID_PREFIX),
+        "name": F.concat(F.lit("#"), F.col("l_orderkey").cast("string"), F.lit("-R"), F.col("l_linenumber").cast("string")),
+        "status": return_status_rule(),
+        "createdAt": format_instant(F.col("l_shipdate")),
+        "exchangeLineItems": F.when(F.col("l_returnflag") == "R", F.array(exchange))
+        .otherwise(F.array().cast(EXCHANGE_ITEMS_TYPE)),
+    }
+
+
+def returns_shape(lineitem: DataFrame) -> DataFrame:
+    """One row per return: ``order_id``, list-order columns, and the return struct fields."""
+    rows = return_rows(lineitem)
+    return rows.select("order_id", *LINE_ORDER, *[c.alias(k) for k, c in return_fields().items()])
 
 
 def load_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
