@@ -13,9 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.functions.ids import ORDER_GID_PREFIX, legacy_from_gid, to_order_gid_lookup
+from orderlens.functions.ids import ORDER_GID_PREFIX
 from orderlens.functions.instants import format_instant, parse_iso_millis, source_window
-from orderlens.functions.text import normalize
 from orderlens.operators import apilog, configs as cfg, exchange as ex, lookup
 from orderlens.operators.normalize import normalize_order_ids
 from orderlens.operators.paging import encode_cursor

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.messages import (FAILED_STATUSES, THROTTLE_CODES, describe_failure, is_concurrent_message,
                                   missing_scope)
 from ..functions.money import throttle_delay_millis
-from ..functions.text import col_of, is_mutation, normalize
+from ..functions.text import is_mutation, normalize
 from ..sources.jsonl import PROBE_OPTIONS, PROBE_SCHEMA
 
 # Attempt limits of the original clients.

@@ -67,8 +67,12 @@ def spread(df: DataFrame, keys=None) -> DataFrame:
     when one order or user holds a third of the rows, and deterministic (no local sort, safe
     to recompute after an executor loss). On a cluster the scan already has thousands of
     splits and this is a no-op."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave the plan as it is
+        return df
+    if current >= target:
         return df
     return df.repartition(target, *keys) if keys else df.repartition(target)
 
