@@ -18,6 +18,8 @@ from ..functions.text import normalize
 from ..plans.catalog import SourceDef
 
 INSTANT_PREFIX = "_ts_"
+# Date partition columns a stored order table may carry (``write_records(partition_by_day=...)``).
+PARTITION_DATE_COLUMNS = {"createdAt": "created_date", "updatedAt": "updated_date", "processedAt": "processed_date"}
 
 
 def instant_column(df: DataFrame, name: str) -> Column:
@@ -50,6 +52,11 @@ def compile_filters(df: DataFrame, source: SourceDef, filters: dict) -> Column |
             c = instant_column(df, d.column)
             lit = instant_literal(df, d.column, value)
             preds.append(c >= lit if d.comparator == ">=" else c < lit)
+            day_col = PARTITION_DATE_COLUMNS.get(d.column)
+            if day_col in df.columns:
+                # implied predicate on the date partition column: lets Spark prune partitions
+                day = F.to_date(F.lit(value[:10]))
+                preds.append(F.col(day_col) >= day if d.comparator == ">=" else F.col(day_col) <= day)
         else:
             preds.append(F.lower(F.col(d.column)) == F.lit(value.lower()))
     return reduce(and_, preds) if preds else None

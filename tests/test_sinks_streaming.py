@@ -69,3 +69,20 @@ def test_streaming_landing(spark, tmpdir_path):
     assert sorted(r["id"] for r in recs.collect()) == ["1001", "1002", "7"]
     bad = spark.read.json(os.path.join(tmpdir_path, "bad")).collect()
     assert [(os.path.basename(r["file"]), r["line_no"]) for r in bad] == [("a.jsonl", 3)]
+
+
+def test_partitioned_records_prune(spark, tmpdir_path):
+    import __spark_entry__ as E
+    from orderlens.operators.filters import apply_filters
+    from orderlens.plans.catalog import ORDER_SOURCE, normalize_filters
+    from orderlens.sinks.files import write_records
+    o = E._orders(spark, "/root/testdata/sf0.001").select("id", "name", "createdAt", "updatedAt")
+    base = write_records(o, tmpdir_path, "part-test", partition_by_day="createdAt", fmt="parquet")
+    back = spark.read.parquet(os.path.join(base, "records"))
+    f = normalize_filters(ORDER_SOURCE, {"createdAtFrom": "1996-03-01T00:00:00Z", "createdAtTo": "1996-04-01T00:00:00Z"})
+    got = apply_filters(back, ORDER_SOURCE, f)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(created_date" in plan and "created_date#" in plan
+    want = apply_filters(o, ORDER_SOURCE, f)
+    assert sorted(r["id"] for r in got.select("id").collect()) == sorted(r["id"] for r in want.select("id").collect())
+    assert got.count() > 0
