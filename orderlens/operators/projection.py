@@ -71,3 +71,22 @@ def attach_children(parents: DataFrame, children: DataFrame, parent_key: str, ch
     empty = F.array().cast(grouped.schema[name].dataType)
     out = parents.join(grouped, parents[parent_key] == grouped["_ck"], "left").drop("_ck")
     return out.withColumn(name, F.coalesce(F.col(name), empty))
+
+
+def select_fields(df: DataFrame, paths=None, source=None) -> DataFrame:
+    """The requested catalogue paths (defaults when none; required ids first; unknown paths
+    are an error), merged into nested columns (P3)."""
+    from ..plans.catalog import ORDER_SOURCE, resolve_field_paths
+    return df.select(*prune_nested(df, resolve_field_paths(source or ORDER_SOURCE, paths)))
+
+
+def select_bulk_fields(df: DataFrame, paths=None, source=None) -> DataFrame:
+    """As P1 with the 20-field bulk default; child-list paths are an error."""
+    from ..plans.catalog import ORDER_SOURCE, resolve_field_paths
+    return df.select(*prune_nested(df, resolve_field_paths(source or ORDER_SOURCE, paths, bulk=True)))
+
+
+def take_children(df: DataFrame, n=None, root: str = "lineItems") -> DataFrame:
+    """P5 on nested input: the first n children (default 50, clamped to 1..100) of ``root``."""
+    from ..plans.catalog import clamp
+    return df.withColumn(root, slice_children(root, clamp(n, 50, 100)))

@@ -78,3 +78,11 @@ def top_n_per_group(df: DataFrame, group_cols, order_cols, n: int, out: str | No
     pos = out or "__nr_rn2"
     res = pre.withColumn(pos, F.row_number().over(second)).filter(F.col(pos) <= n).drop("__nr_salt", "__nr_rn1")
     return res if out else res.drop(pos)
+
+
+def keep_last(df: DataFrame, key_cols, seq_col: str) -> DataFrame:
+    """A5: one row per key, the one with the highest ``seq_col`` ("later row wins"). A max_by per
+    key: partial aggregation, so a hot key is reduced map-side before the shuffle."""
+    others = [c for c in df.columns if c not in key_cols]
+    agg = df.groupBy(*key_cols).agg(F.max_by(F.struct(*others), F.col(seq_col)).alias("__kl"))
+    return agg.select(*key_cols, "__kl.*")
