@@ -728,8 +728,8 @@ def q_connection_checks(spark, sf_dir):
                      F.when(m7 == 0, F.lit('{"data":null,"errors":[{"message":"Access denied for orders field. Required access: read_orders"}]}'))
                      .when(m7 == 1, F.lit(""))
                      .when(m7 == 2, F.lit('{"errors":[{"message":"Internal error"}]}'))
-                     .otherwise(F.lit('{"data":{"orders":{"edges":[]}}}')).alias("body"),
-                     (k % 2).alias("order_count"))
+                     .when(k % 2 == 1, F.lit('{"data":{"orders":{"edges":[{"node":{"id":"gid://shopify/Order/1"}}]}}}'))
+                     .otherwise(F.lit('{"data":{"orders":{"edges":[]}}}')).alias("body"))
     return apilog.check_rows(confs, connect, probe)
 
 

@@ -23,13 +23,23 @@ DOWNLOAD_MAX_ATTEMPTS = 3
 MAX_POLL_ATTEMPTS = 60
 START_RETRY_ATTEMPTS = 10
 
+# ``errors`` entries are kept as raw JSON text: an entry may be an object with a message or a
+# plain string, and both count.
 BODY_SCHEMA = (
-    "data string, errors array<struct<message:string,extensions:struct<code:string>>>, "
+    "data string, errors array<string>, "
     "extensions struct<cost:struct<requestedQueryCost:string,actualQueryCost:string,"
     "throttleStatus:struct<maximumAvailable:string,currentlyAvailable:string,restoreRate:string>>>"
 )
 
 
+def _error_message(e: Column) -> Column:
+    return F.when(F.trim(e).startswith("{"), F.get_json_object(e, "$.message")).otherwise(e)
+
+
+def _error_code(e: Column) -> Column:
+    return F.when(F.trim(e).startswith("{"), F.get_json_object(e, "$.extensions.code"))
+
+
 def _is_json_object(text: Column) -> Column:
     probe = F.from_json(text, PROBE_SCHEMA, PROBE_OPTIONS)
     return F.coalesce(normalize(text).isNotNull() & probe["_corrupt_record"].isNull(), F.lit(False))
@@ -48,9 +58,9 @@ def classify_responses(log: DataFrame, status_col: str = "status_code", body_col
     max_a = F.col(max_col).cast("int") if max_col else F.lit(1)
     left = attempt < max_a
     body = F.from_json(F.col(body_col), BODY_SCHEMA)
-    errs = F.filter(F.coalesce(body["errors"], F.array()), lambda e: e.isNotNull())
-    messages = F.filter(F.transform(errs, lambda e: normalize(e["message"])), lambda m: m.isNotNull())
-    throttled = F.exists(errs, lambda e: normalize(e["extensions"]["code"]).isin(*THROTTLE_CODES))
+    errs = F.filter(F.coalesce(body["errors"], F.array().cast("array<string>")), lambda e: e.isNotNull())
+    messages = F.filter(F.transform(errs, lambda e: normalize(_error_message(e))), lambda m: m.isNotNull())
+    throttled = F.exists(errs, lambda e: F.coalesce(normalize(_error_code(e)).isin(*THROTTLE_CODES), F.lit(False)))
     http_bad = (s < 200) | (s >= 300)
     json_bad = ~_is_json_object(F.col(body_col))
     has_err = F.size(messages) > 0
@@ -196,13 +206,15 @@ def check_rows(configs: DataFrame, connect: DataFrame, orders_probe: DataFrame,
     PASS / FAIL / SKIP, from captured responses of the connect call and the orders call.
 
     ``configs``: key, accessToken, credential_error, shop_url, api_version, can_read_orders.
-    ``connect`` / ``orders_probe``: key, status_code, body, (orders: order_count)."""
+    ``connect`` / ``orders_probe``: key, status_code, body. Orders returned by the probe are
+    the edges in its body ("1 order returned" for exactly one)."""
     c = classify_responses(connect.withColumn("attempt", F.lit(1)).withColumn("max_attempts", F.lit(1)))
     c = c.select(key, F.col("status_code").alias("c_status"), F.col("ok").alias("c_ok"),
                  F.get_json_object("body", "$.data.shop.myshopifyDomain").alias("c_domain"))
     o = classify_responses(orders_probe.withColumn("attempt", F.lit(1)).withColumn("max_attempts", F.lit(1)))
+    edges = F.from_json(F.get_json_object("body", "$.data.orders.edges"), "array<string>")
     o = o.select(key, F.col("status_code").alias("o_status"), F.col("ok").alias("o_ok"),
-                 F.col("graphql_messages").alias("o_msgs"), F.col("order_count").alias("o_count"))
+                 F.col("graphql_messages").alias("o_msgs"), F.coalesce(F.size(edges), F.lit(0)).alias("o_count"))
     j = configs.join(c, key, "left").join(o, key, "left")
     cred_fail = F.coalesce(normalize(F.col("credential_error")),
                            F.when(normalize(F.col("accessToken")).isNull(), F.lit("No access token is stored for this configuration.")))

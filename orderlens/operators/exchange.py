@@ -41,8 +41,8 @@ def nest_returns(orders: DataFrame, returns: DataFrame, order_cols, cap: int = R
 
 
 def _has_exchange(r: Column, cap: int) -> Column:
-    items = F.filter(F.slice(F.coalesce(r["exchangeLineItems"], F.array()), 1, cap), lambda x: x.isNotNull())
-    return F.size(items) > 0
+    """A non-empty exchange item list (its entries are not inspected here)."""
+    return F.size(F.slice(F.coalesce(r["exchangeLineItems"], F.array()), 1, cap)) > 0
 
 
 def in_window_live_exchange(r: Column, start_ms: int, end_ms: int, items_cap: int = SWEEP_EXCHANGE_ITEMS_CAP) -> Column:
@@ -172,7 +172,8 @@ def exchange_state_lookup(requests: DataFrame, orders: DataFrame, returns: DataF
     gids = (requests.select(to_order_gid_state(F.col(request_col)).alias("_gid"), pos.alias("_pos"))
             .filter(F.col("_gid").isNotNull()).groupBy("_gid").agg(F.min("_pos").alias("_pos")))
     hit = orders.join(gids, orders["id"] == gids["_gid"], "inner").drop("_gid")
-    key = F.coalesce(normalize(F.col("legacyResourceId")), legacy_from_gid(F.col("id")))
+    # an empty legacy id falls back to the gid tail; any other text (even spaces) is the key
+    key = F.coalesce(F.nullif(F.col("legacyResourceId"), F.lit("")), legacy_from_gid(F.col("id")))
     keyed = hit.withColumn("order_key", key).filter(F.col("order_key").isNotNull())
     winners = keyed.groupBy("order_key").agg(F.max_by("id", F.struct("_pos", "id")).alias("_win"))
     chosen = keyed.join(winners, (keyed["order_key"] == winners["order_key"]) & (keyed["id"] == winners["_win"]),

@@ -44,12 +44,15 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "ord
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) is a scratch folder created and set."""
+    Only a local-mode session (tests, the local bench) that names none gets a scratch folder; on
+    a cluster a machine-local folder would not survive an executor loss, so one is required."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(configured)
         return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("Set spark.checkpoint.dir to a shared folder (e.g. on HDFS or object storage).")
     folder = tempfile.mkdtemp(prefix="orderlens-ckpt-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", folder)
     spark.sparkContext.setCheckpointDir(folder)

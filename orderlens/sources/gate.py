@@ -35,7 +35,7 @@ def load_gate(counts: DataFrame, manifest: DataFrame, key: str = "load_id") -> D
     ``manifest``: key, expected_count (text as reported), location (text or null)."""
     m = manifest.select(key, normalize("expected_count").alias("_exp_text"), normalize("location").alias("_loc"))
     j = m.join(counts, key, "left")
-    expected = F.when(F.col("_exp_text").rlike(r"^[+-]?\d{1,18}$"), F.col("_exp_text").try_cast("long"))
+    expected = F.when(F.col("_exp_text").rlike(r"^[+-]?\d+$"), F.col("_exp_text").try_cast("long"))
     parsed = F.coalesce(F.col("parsed_count"), F.lit(0))
     bad = F.coalesce(F.col("bad_count"), F.lit(0))
     no_loc = F.col("_loc").isNull()

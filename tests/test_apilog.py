@@ -94,3 +94,10 @@ def test_check_rows(spark):
     assert got[("off", "ordersRead")] == ("SKIP", "This configuration is not enabled for order reads.")
     assert got[("good", "ordersRead")] == ("PASS", "1 order returned")
     assert all(len([r for r in rows if r["config_id"] == c]) == 4 for c in ["none", "good"])
+
+
+def test_string_errors_and_edges(spark):
+    c = classify(spark, [("s", 1, 2, 200, '{"errors":["plain failure", "  "]}'),
+                         ("m", 1, 2, 200, '{"errors":[{"message":"x","extensions":{"code":"MAX_COST_EXCEEDED"}}]}')])
+    assert c["s"]["error_text"] == "Shopify GraphQL error: plain failure" and not c["s"]["throttled"]
+    assert c["m"]["throttled"] and c["m"]["retryable"]
