@@ -341,7 +341,7 @@ man AS (
   FROM body GROUP BY load_id, mo, yr),
 gate0 AS (
   SELECT m.load_id, m.mo, m.yr,
-         CASE WHEN regexp_full_match(m.exp_text, '[+-]?[0-9]{1,18}') THEN CAST(m.exp_text AS BIGINT) END AS expected_count,
+         CASE WHEN regexp_full_match(m.exp_text, '[+-]?[0-9]+') THEN TRY_CAST(m.exp_text AS BIGINT) END AS expected_count,
          coalesce(c.line_count, 0) AS line_count, coalesce(c.parsed_count, 0) AS parsed_count,
          coalesce(c.bad_count, 0) AS bad_count, c.first_bad_line, m.loc
   FROM man m LEFT JOIN cnt c ON m.load_id = c.load_id),
