@@ -35,9 +35,23 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ad.table(spark, sf_dir, name)
 
 
+_VIEWS: dict = {}
+
+
+def _view(spark, sf_dir, name, build):
+    """Adapter views are lazy plans; build each once per session and table folder (it saves
+    the Python-side plan construction, not any Spark work). Views that persist data are not
+    kept here."""
+    key = (id(spark), sf_dir, name)
+    if key not in _VIEWS:
+        _VIEWS[key] = build()
+    return _VIEWS[key]
+
+
 def _orders(spark, sf_dir):
     pin_utc(spark)
-    return ad.orders_shape(_t(spark, sf_dir, "orders"), _t(spark, sf_dir, "lineitem"))
+    return _view(spark, sf_dir, "orders",
+                 lambda: ad.orders_shape(_t(spark, sf_dir, "orders"), _t(spark, sf_dir, "lineitem")))
 
 
 # ---------------------------------------------------------------------------------------
@@ -507,7 +521,7 @@ SWEEP_END_MS = 854755200000     # 1997-02-01T00:00:00Z
 
 
 def _returns(spark, sf_dir):
-    return ad.return_rows(_t(spark, sf_dir, "lineitem"))
+    return _view(spark, sf_dir, "returns", lambda: ad.return_rows(_t(spark, sf_dir, "lineitem")))
 
 
 def _sweep(spark, sf_dir):
@@ -936,7 +950,7 @@ ACTIVE_TENANT, ACTIVE_USER = "BUILDING", "admin"
 
 
 def _configs(spark, sf_dir):
-    return ad.configs_shape(_t(spark, sf_dir, "customer"))
+    return _view(spark, sf_dir, "configs", lambda: ad.configs_shape(_t(spark, sf_dir, "customer")))
 
 
 def q_config_list(spark, sf_dir):

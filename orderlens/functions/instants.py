@@ -160,14 +160,8 @@ def window_bound_error(c, label: str) -> Column:
 
 def format_instant(c) -> Column:
     """ISO-8601 text in UTC; a zero fraction is not printed, else 3 or 6 digits."""
-    ts = col_of(c)
-    micros = F.unix_micros(ts.cast("timestamp")) % F.lit(1_000_000)
-    frac = (
-        F.when(micros == 0, F.lit(""))
-        .when(micros % 1000 == 0, F.concat(F.lit("."), F.date_format(ts, "SSS")))
-        .otherwise(F.concat(F.lit("."), F.date_format(ts, "SSSSSS")))
-    )
-    return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), frac, F.lit("Z"))
+    full = F.date_format(col_of(c), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    return F.regexp_replace(F.regexp_replace(full, r"\.000000Z$", "Z"), r"(\.\d{3})000Z$", "$1Z")
 
 
 def source_window(start, end, tz, preserve: bool):
