@@ -57,30 +57,45 @@ def classify_responses(log: DataFrame, status_col: str = "status_code", body_col
     attempt = F.col(attempt_col).cast("int")
     max_a = F.col(max_col).cast("int") if max_col else F.lit(1)
     left = attempt < max_a
-    body = F.from_json(F.col(body_col), BODY_SCHEMA)
-    errs = F.filter(F.coalesce(body["errors"], F.array().cast("array<string>")), lambda e: e.isNotNull())
-    messages = F.filter(F.transform(errs, lambda e: normalize(_error_message(e))), lambda m: m.isNotNull())
-    throttled = F.exists(errs, lambda e: F.coalesce(normalize(_error_code(e)).isin(*THROTTLE_CODES), F.lit(False)))
-    http_bad = (s < 200) | (s >= 300)
-    json_bad = ~_is_json_object(F.col(body_col))
-    has_err = F.size(messages) > 0
-    kind = F.when(http_bad, F.lit("http")).when(json_bad, F.lit("json")).when(has_err, F.lit("graphql")).otherwise(F.lit("ok"))
-    cost = body["extensions"]["cost"]
-    return log.withColumns({
-        "ok": kind == "ok",
-        "failure": F.when(kind != "ok", kind),
-        "throttled": (kind == "graphql") & F.coalesce(throttled, F.lit(False)),
-        "retryable": F.when(kind == "http", ((s == 429) | (s >= 500)) & left)
-                      .when(kind == "graphql", F.coalesce(throttled, F.lit(False)) & left)
-                      .otherwise(F.lit(False)),
-        "error_text": F.when(kind == "http", F.concat(F.lit("Shopify GraphQL request failed with HTTP "), s.cast("string"), F.lit(".")))
-                       .when(kind == "json", F.lit("Shopify GraphQL response was not valid JSON."))
-                       .when(kind == "graphql", F.array_join(F.transform(messages, lambda m: F.concat(F.lit("Shopify GraphQL error: "), m)), "; ")),
-        "graphql_messages": F.when(kind == "graphql", messages).otherwise(F.array().cast("array<string>")),
-        "requested_cost": F.when(~http_bad & ~json_bad, cost["requestedQueryCost"]),
-        "currently_available": F.when(~http_bad & ~json_bad, cost["throttleStatus"]["currentlyAvailable"]),
-        "restore_rate": F.when(~http_bad & ~json_bad, cost["throttleStatus"]["restoreRate"]),
+    # staged: the body is parsed once, the messages and codes derived once, then every output
+    # column reads those (an expensive expression used twice is not re-inlined by the optimizer)
+    staged = log.withColumns({
+        "__s": s,
+        "__left": left,
+        "__body": F.from_json(F.col(body_col), BODY_SCHEMA),
+        "__is_obj": _is_json_object(F.col(body_col)),
+    })
+    staged = staged.withColumns({
+        "__errs": F.filter(F.coalesce(F.col("__body.errors"), F.array().cast("array<string>")), lambda e: e.isNotNull()),
     })
+    staged = staged.withColumns({
+        "__msgs": F.filter(F.transform(F.col("__errs"), lambda e: normalize(_error_message(e))), lambda m: m.isNotNull()),
+        "__thr": F.coalesce(F.exists(F.col("__errs"), lambda e: F.coalesce(normalize(_error_code(e)).isin(*THROTTLE_CODES),
+                                                                            F.lit(False))), F.lit(False)),
+    })
+    sc = F.col("__s")
+    http_bad = (sc < 200) | (sc >= 300)
+    kind = (F.when(http_bad, F.lit("http")).when(~F.col("__is_obj"), F.lit("json"))
+            .when(F.size("__msgs") > 0, F.lit("graphql")).otherwise(F.lit("ok")))
+    staged = staged.withColumn("__kind", kind)
+    k = F.col("__kind")
+    parsed_ok = (k == "graphql") | (k == "ok")
+    cost = F.col("__body.extensions.cost")
+    return staged.withColumns({
+        "ok": k == "ok",
+        "failure": F.when(k != "ok", k),
+        "throttled": (k == "graphql") & F.col("__thr"),
+        "retryable": F.when(k == "http", ((sc == 429) | (sc >= 500)) & F.col("__left"))
+                      .when(k == "graphql", F.col("__thr") & F.col("__left"))
+                      .otherwise(F.lit(False)),
+        "error_text": F.when(k == "http", F.concat(F.lit("Shopify GraphQL request failed with HTTP "), sc.cast("string"), F.lit(".")))
+                       .when(k == "json", F.lit("Shopify GraphQL response was not valid JSON."))
+                       .when(k == "graphql", F.array_join(F.transform("__msgs", lambda m: F.concat(F.lit("Shopify GraphQL error: "), m)), "; ")),
+        "graphql_messages": F.when(k == "graphql", F.col("__msgs")).otherwise(F.array().cast("array<string>")),
+        "requested_cost": F.when(parsed_ok, cost["requestedQueryCost"]),
+        "currently_available": F.when(parsed_ok, cost["throttleStatus"]["currentlyAvailable"]),
+        "restore_rate": F.when(parsed_ok, cost["throttleStatus"]["restoreRate"]),
+    }).drop("__s", "__left", "__body", "__is_obj", "__errs", "__msgs", "__thr", "__kind")
 
 
 def _first_stop(df: DataFrame, key: str, attempt_col: str, stop: Column) -> DataFrame:
