@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 
 from .text import col_of, normalize, normalize_py
 
+# Window-bound messages (the label is put in front).
+MSG_REQUIRED = "is required."
+MSG_BAD_BOUND = "must be a Timestamp, Date, ISO-8601 value, SQL timestamp text, or epoch milliseconds."
+
 # --- driver side (filter literals, window arguments) -------------------------------------
 
 _ISO = re.compile(
@@ -76,7 +80,7 @@ def window_bound_py(value) -> _dt.datetime:
         return _dt.datetime(value.year, value.month, value.day)
     text = normalize_py(value)
     if text is None:
-        raise ValueError("is required.")
+        raise ValueError(MSG_REQUIRED)
     if re.fullmatch(r"-?\d+", text):
         return _dt.datetime(1970, 1, 1) + _dt.timedelta(milliseconds=int(text))
     parsed = parse_instant_py(text)
@@ -90,7 +94,7 @@ def window_bound_py(value) -> _dt.datetime:
     m = re.fullmatch(r"(\d{4})-(\d{2})-(\d{2})", text)
     if m:
         return _dt.datetime(*(int(x) for x in m.groups()))
-    raise ValueError("must be a Timestamp, Date, ISO-8601 value, SQL timestamp text, or epoch milliseconds.")
+    raise ValueError(MSG_BAD_BOUND)
 
 
 # --- column side ---------------------------------------------------------------------------
@@ -152,9 +156,8 @@ def parse_window_bound(c) -> Column:
 def window_bound_error(c, label: str) -> Column:
     t = normalize(c)
     return (
-        F.when(t.isNull(), F.lit(f"{label} is required."))
-        .when(parse_window_bound(c).isNull(),
-              F.lit(f"{label} must be a Timestamp, Date, ISO-8601 value, SQL timestamp text, or epoch milliseconds."))
+        F.when(t.isNull(), F.lit(f"{label} {MSG_REQUIRED}"))
+        .when(parse_window_bound(c).isNull(), F.lit(f"{label} {MSG_BAD_BOUND}"))
     )
 
 

@@ -13,6 +13,14 @@ CONCURRENT_PHRASES = ("already in progress", "already running", "operation is ru
 FAILED_STATUSES = ("FAILED", "CANCELED", "CANCELLED", "EXPIRED")
 # Error codes that mean "throttled".
 THROTTLE_CODES = ("THROTTLED", "MAX_COST_EXCEEDED")
+# Failure sentences by HTTP status ({s} is the status).
+FAIL_REJECTED = "The access token was rejected (HTTP {s})."
+FAIL_RATE_LIMITED = "Shopify rate-limited the request (HTTP 429)."
+FAIL_SERVER = "Shopify returned a server error (HTTP {s})."
+FAIL_OTHER = "The request failed with HTTP {s}."
+FAIL_UNREACHABLE = "The shop could not be reached."
+# Phrases that mark a missing scope.
+SCOPE_PHRASES = ("access denied", "required access")
 
 
 def is_canceled(c) -> Column:
@@ -47,20 +55,25 @@ def render_user_errors(errors) -> Column:
 
 def missing_scope(messages) -> Column:
     """Any message contains "access denied" or "required access"."""
-    return F.coalesce(
-        F.exists(col_of(messages), lambda m: F.lower(normalize(m)).contains("access denied")
-                 | F.lower(normalize(m)).contains("required access")),
-        F.lit(False),
-    )
+    def hit(m: Column) -> Column:
+        low = F.lower(normalize(m))
+        out = F.lit(False)
+        for p in SCOPE_PHRASES:
+            out = out | low.contains(p)
+        return out
+    return F.coalesce(F.exists(col_of(messages), hit), F.lit(False))
 
 
 def describe_failure(status_code) -> Column:
-    """Fixed sentence per HTTP status (fixed values: the sentences)."""
+    """Fixed sentence per HTTP status."""
     s = F.coalesce(col_of(status_code).cast("int"), F.lit(0))
+
+    def fill(t: str) -> Column:
+        return F.replace(F.lit(t), F.lit("{s}"), s.cast("string"))
     return (
-        F.when((s == 401) | (s == 403), F.concat(F.lit("The access token was rejected (HTTP "), s.cast("string"), F.lit(").")))
-        .when(s == 429, F.lit("Shopify rate-limited the request (HTTP 429)."))
-        .when(s >= 500, F.concat(F.lit("Shopify returned a server error (HTTP "), s.cast("string"), F.lit(").")))
-        .when(s > 0, F.concat(F.lit("The request failed with HTTP "), s.cast("string"), F.lit(".")))
-        .otherwise(F.lit("The shop could not be reached."))
+        F.when((s == 401) | (s == 403), fill(FAIL_REJECTED))
+        .when(s == 429, F.lit(FAIL_RATE_LIMITED))
+        .when(s >= 500, fill(FAIL_SERVER))
+        .when(s > 0, fill(FAIL_OTHER))
+        .otherwise(F.lit(FAIL_UNREACHABLE))
     )

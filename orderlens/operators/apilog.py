@@ -23,6 +23,28 @@ DOWNLOAD_MAX_ATTEMPTS = 3
 MAX_POLL_ATTEMPTS = 60
 START_RETRY_ATTEMPTS = 10
 
+# Response and check messages.
+MSG_HTTP_FAILED = "Shopify GraphQL request failed with HTTP {s}."
+MSG_NOT_JSON = "Shopify GraphQL response was not valid JSON."
+MSG_GRAPHQL_ERROR = "Shopify GraphQL error: "
+MSG_DOWNLOAD_FAILED = "Shopify bulk operation result download failed with HTTP {s}."
+MSG_NO_TOKEN = "No access token is stored for this configuration."
+MSG_NOT_ATTEMPTED = "Not attempted."
+MSG_VERSION_NOT_SERVED = "The shop did not serve API version {v}. Check the version and the shop URL."
+MSG_ORDERS_DISABLED = "This configuration is not enabled for order reads."
+MSG_ONE_ORDER = "1 order returned"
+MSG_NO_ORDERS = "no orders in range"
+MSG_MISSING_SCOPE = "The token is missing the read_orders scope."
+# Check keys in their order.
+CHECK_KEYS = ("credential", "reachable", "apiVersion", "ordersRead")
+
+
+def _fill(template: str, **cols) -> Column:
+    out = F.lit(template)
+    for k, c in cols.items():
+        out = F.replace(out, F.lit("{" + k + "}"), c.cast("string"))
+    return out
+
 # ``errors`` entries are kept as raw JSON text: an entry may be an object with a message or a
 # plain string, and both count.
 BODY_SCHEMA = (
@@ -88,9 +110,9 @@ def classify_responses(log: DataFrame, status_col: str = "status_code", body_col
         "retryable": F.when(k == "http", ((sc == 429) | (sc >= 500)) & F.col("__left"))
                       .when(k == "graphql", F.col("__thr") & F.col("__left"))
                       .otherwise(F.lit(False)),
-        "error_text": F.when(k == "http", F.concat(F.lit("Shopify GraphQL request failed with HTTP "), sc.cast("string"), F.lit(".")))
-                       .when(k == "json", F.lit("Shopify GraphQL response was not valid JSON."))
-                       .when(k == "graphql", F.array_join(F.transform("__msgs", lambda m: F.concat(F.lit("Shopify GraphQL error: "), m)), "; ")),
+        "error_text": F.when(k == "http", _fill(MSG_HTTP_FAILED, s=sc))
+                       .when(k == "json", F.lit(MSG_NOT_JSON))
+                       .when(k == "graphql", F.array_join(F.transform("__msgs", lambda m: F.concat(F.lit(MSG_GRAPHQL_ERROR), m)), "; ")),
         "graphql_messages": F.when(k == "graphql", F.col("__msgs")).otherwise(F.array().cast("array<string>")),
         "requested_cost": F.when(parsed_ok, cost["requestedQueryCost"]),
         "currently_available": F.when(parsed_ok, cost["throttleStatus"]["currentlyAvailable"]),
@@ -152,8 +174,7 @@ def download_outcomes(log: DataFrame, key: str = "download_id", attempt_col: str
         F.col("_ok").alias("ok"),
         (F.col("_retry") & ~F.col("_ok")).alias("retryable"),
         F.col(status_col).alias("status_code"),
-        F.when(~F.col("_ok"), F.concat(F.lit("Shopify bulk operation result download failed with HTTP "),
-                                       s.cast("string"), F.lit("."))).alias("error"),
+        F.when(~F.col("_ok"), _fill(MSG_DOWNLOAD_FAILED, s=s)).alias("error"),
         F.when(~F.col("_ok"), F.col(attempt_col)).alias("download_attempt_count"),
     )
 
@@ -232,9 +253,9 @@ def check_rows(configs: DataFrame, connect: DataFrame, orders_probe: DataFrame,
                  F.col("graphql_messages").alias("o_msgs"), F.coalesce(F.size(edges), F.lit(0)).alias("o_count"))
     j = configs.join(c, key, "left").join(o, key, "left")
     cred_fail = F.coalesce(normalize(F.col("credential_error")),
-                           F.when(normalize(F.col("accessToken")).isNull(), F.lit("No access token is stored for this configuration.")))
+                           F.when(normalize(F.col("accessToken")).isNull(), F.lit(MSG_NO_TOKEN)))
     skipped = F.lit("SKIP")
-    not_tried = F.lit("Not attempted.")
+    not_tried = F.lit(MSG_NOT_ATTEMPTED)
     cs = F.coalesce(F.col("c_status").cast("int"), F.lit(0))
     disabled = F.coalesce(F.upper(normalize(F.col("can_read_orders"))) == "N", F.lit(False))
     pass_, fail = F.lit("PASS"), F.lit("FAIL")
@@ -243,17 +264,15 @@ def check_rows(configs: DataFrame, connect: DataFrame, orders_probe: DataFrame,
                    F.when(F.col("c_ok"), F.coalesce(normalize(F.col("c_domain")), normalize(F.col("shop_url")))).otherwise(normalize(F.col("shop_url")))))
              .otherwise(_check("reachable", 2, fail, describe_failure(cs))))
     version = (F.when(cred_fail.isNotNull(), _check("apiVersion", 3, skipped, not_tried))
-               .when(cs == 404, _check("apiVersion", 3, fail, F.concat(F.lit("The shop did not serve API version "),
-                                                                      normalize(F.col("api_version")),
-                                                                      F.lit(". Check the version and the shop URL."))))
+               .when(cs == 404, _check("apiVersion", 3, fail, _fill(MSG_VERSION_NOT_SERVED, v=normalize(F.col("api_version")))))
                .when(F.col("c_ok"), _check("apiVersion", 3, pass_, normalize(F.col("api_version"))))
                .otherwise(_check("apiVersion", 3, skipped, not_tried)))
-    orders_detail = F.when(F.col("o_count") == 1, F.lit("1 order returned")).otherwise(F.lit("no orders in range"))
+    orders_detail = F.when(F.col("o_count") == 1, F.lit(MSG_ONE_ORDER)).otherwise(F.lit(MSG_NO_ORDERS))
     reads = (F.when(cred_fail.isNotNull() | (cs == 404) | ~F.coalesce(F.col("c_ok"), F.lit(False)),
                     _check("ordersRead", 4, skipped, not_tried))
-             .when(disabled, _check("ordersRead", 4, skipped, F.lit("This configuration is not enabled for order reads.")))
+             .when(disabled, _check("ordersRead", 4, skipped, F.lit(MSG_ORDERS_DISABLED)))
              .when(F.col("o_ok"), _check("ordersRead", 4, pass_, orders_detail))
-             .when(missing_scope(F.col("o_msgs")), _check("ordersRead", 4, fail, F.lit("The token is missing the read_orders scope.")))
+             .when(missing_scope(F.col("o_msgs")), _check("ordersRead", 4, fail, F.lit(MSG_MISSING_SCOPE)))
              .otherwise(_check("ordersRead", 4, fail, describe_failure(F.col("o_status")))))
     cred = F.when(cred_fail.isNotNull(), _check("credential", 1, fail, cred_fail)).otherwise(
         _check("credential", 1, pass_, F.lit(None).cast("string")))
