@@ -58,12 +58,17 @@ def slice_children(c, n: int) -> Column:
 
 
 def attach_children(parents: DataFrame, children: DataFrame, parent_key: str, child_key: str,
-                    order_cols, child_cols: dict, n: int, name: str) -> DataFrame:
+                    order_cols, child_cols: dict, n: int, name: str, max_parents: int | None = None) -> DataFrame:
     """P5 on a child table: the first ``n`` children per parent (``order_cols`` order) as an
     array ``name`` of structs built from ``child_cols`` ({field: Column}).
 
-    The array never holds more than ``n`` entries, so the per-parent collect is bounded."""
-    keys = children.join(parents.select(F.col(parent_key).alias(child_key)).distinct(), child_key, "left_semi")
+    The array never holds more than ``n`` entries, so the per-parent collect is bounded.
+    ``max_parents`` is a proven bound on the parent rows (a page); the parent keys are then
+    broadcast explicitly, otherwise the join strategy is left to AQE's runtime size check."""
+    parent_keys = parents.select(F.col(parent_key).alias(child_key)).distinct()
+    if max_parents is not None:
+        parent_keys = F.broadcast(parent_keys)
+    keys = children.join(parent_keys, child_key, "left_semi")
     ranked = top_n_per_group(keys, [child_key], order_cols, n, out="_pos")
     packed = ranked.select(child_key, F.struct(F.col("_pos"), F.struct(*[c.alias(k) for k, c in child_cols.items()]).alias("v")).alias("e"))
     grouped = packed.groupBy(child_key).agg(F.sort_array(F.collect_list("e")).alias("_arr"))

@@ -89,7 +89,7 @@ def read_orders(orders: DataFrame, spec: ReadSpec, line_items: DataFrame | None
             rows = rows.withColumn("lineItems", slice_children("lineItems", n_items))
         elif line_items is not None:
             rows = attach_children(rows, line_items, "id", "order_id", list(line_item_order),
-                                   line_item_columns(line_items), n_items, "lineItems")
+                                   line_item_columns(line_items), n_items, "lineItems", max_parents=size)
         else:
             raise ValueError("lineItems were requested but no line-item input was given.")
     out = rows.select(*prune_nested(rows, paths), "cursor")
