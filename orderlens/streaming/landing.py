@@ -1,8 +1,9 @@
 """Incremental extraction from a landing folder with Structured Streaming.
 
-Each new export file dropped into the landing folder is read once (file source, exactly-once
-via the checkpoint), classified strictly (S1), numbered per file, id-normalised (P4) and
-appended to the records sink; bad lines go to a second sink. ``trigger(availableNow=True)``
+Each new export file dropped into the landing folder is read once (file source, progress kept
+in the checkpoint), classified strictly (S1), numbered per file, id-normalised (P4) and written
+to the records sink under its micro-batch id (a replayed batch overwrites its own folder, so the
+output is exactly-once); bad lines go to a second sink. ``trigger(availableNow=True)``
 processes what is there and stops, so the same code serves batch back-fills.
 """
 
@@ -26,10 +27,12 @@ def stream_landing(spark: SparkSession, landing: str, schema: T.StructType, reco
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        # each micro-batch owns one ``batch_id=N`` folder and overwrites it: a batch replayed
+        # after a failure rewrites its own output instead of appending it twice
         parsed = classify_lines(number_split_lines(batch), schema)
-        normalize_order_ids(parsed.records()).withColumn("batch_id", F.lit(batch_id)) \
-            .write.mode("append").option("ignoreNullFields", "false").json(records_out)
-        parsed.bad_lines().withColumn("batch_id", F.lit(batch_id)).write.mode("append").json(bad_out)
+        normalize_order_ids(parsed.records()).write.mode("overwrite").option("ignoreNullFields", "false") \
+            .json(f"{records_out.rstrip('/')}/batch_id={batch_id}")
+        parsed.bad_lines().write.mode("overwrite").json(f"{bad_out.rstrip('/')}/batch_id={batch_id}")
 
     writer = src.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
