@@ -200,7 +200,8 @@ def return_rows(lineitem: DataFrame) -> DataFrame:
     """Narrow return rows (raw line columns plus ``order_id``): the nested return fields are
     built from them by :func:`return_fields` only after the per-order top-n, so the sorts and
     shuffles before it move narrow rows."""
-    r = spread(lineitem.filter(F.col("l_returnflag").isin("A", "R")), ROW_KEYS["lineitem"])
+    # light per-row work only (the structs come later), so no spread before the first shuffle
+    r = lineitem.filter(F.col("l_returnflag").isin("A", "R"))
     cols = list(dict.fromkeys(LINE_ORDER + RETURN_ROW_COLUMNS))
     return r.select(F.concat(F.lit(ORDER_GID_PREFIX), F.col("l_orderkey").cast("string")).alias("order_id"), *cols)
 
