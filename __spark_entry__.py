@@ -660,8 +660,9 @@ FROM sw LEFT JOIN oth ON oth.externalId = sw.externalId"""
 
 def _log(spark, sf_dir) -> DataFrame:
     pin_utc(spark)
-    lg = ad.event_log(_t(spark, sf_dir, "events"))
-    return number_rows(lg, ["ts", "event_id"], ["request_id"], out="attempt")
+    ev = _t(spark, sf_dir, "events").withColumn("request_id", ad.event_request_id())
+    # attempts are numbered on the raw events; the response bodies are built once, after that
+    return ad.event_log(number_rows(ev, ["ts", "event_id"], ["request_id"], out="attempt"))
 
 
 def q_response_classes(spark, sf_dir):

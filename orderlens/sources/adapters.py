@@ -270,7 +270,8 @@ def configs_shape(customer: DataFrame) -> DataFrame:
 
 def event_log(events: DataFrame) -> DataFrame:
     """Captured API responses: one per event; a request is (user, day); ``ts`` orders the
-    attempts. Status code and body follow the event type (and value) by rule."""
+    attempts. Status code and body follow the event type (and value) by rule; input columns
+    (e.g. an attempt number given before) are kept."""
     k = F.get_json_object("props", "$.k").cast("int")
     ks = k.cast("string")
     v = F.col("value")
@@ -293,8 +294,12 @@ def event_log(events: DataFrame) -> DataFrame:
                        .otherwise(F.lit(""))))
     query = F.when(F.col("user_id") % 10 == 0, F.lit("# start a run\nmutation Run { run { id } }")).otherwise(
         F.lit("query Orders { orders { id } }"))
-    return spread(events, ROW_KEYS["events"]).select(
-        "event_id", "ts", "user_id", "event_type", "value",
-        F.concat(F.col("user_id").cast("string"), F.lit("-"), F.date_format("ts", "yyyy-MM-dd")).alias("request_id"),
-        status.alias("status_code"), body.alias("body"), query.alias("query"),
-    )
+    return spread(events, ROW_KEYS["events"]).withColumns({
+        "request_id": event_request_id(),
+        "status_code": status, "body": body, "query": query,
+    })
+
+
+def event_request_id() -> Column:
+    """A request is one user-day of events."""
+    return F.concat(F.col("user_id").cast("string"), F.lit("-"), F.date_format("ts", "yyyy-MM-dd"))
