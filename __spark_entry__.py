@@ -1295,6 +1295,53 @@ p AS (
 SELECT order_key, strftime(x1, '%Y-%m-%dT%H:%M:%SZ') AS filter_instant, epoch_ms(x3) AS instant_millis FROM p"""
 
 
+# ---------------------------------------------------------------------------------------
+# 8. Page info and user errors (T3 pageInfo, X18 X17)
+# ---------------------------------------------------------------------------------------
+
+def q_orders_page_info(spark, sf_dir):
+    """pageInfo of the ``orders_page`` read: hasNextPage and the cursor of its last row."""
+    spec = ReadSpec(filters={"createdAtFrom": "1996-01-01T00:00:00Z", "createdAtTo": "1997-01-01T00:00:00-05:00"},
+                    page_size=500, after=encode_cursor(*PAGE_AFTER))
+    return read_orders(_orders(spark, sf_dir), spec).page.info()
+
+
+SQL_ORDERS_PAGE_INFO = _with(ORDERS_CTE) + f""",
+sel AS (
+  SELECT ts_created, id, {_sql_cursor('createdAt')} FROM os
+  WHERE ts_created >= TIMESTAMP '1996-01-01' AND ts_created < TIMESTAMP '1997-01-01 05:00:00'
+    AND (ts_created > TIMESTAMP '1996-03-01' OR (ts_created = TIMESTAMP '1996-03-01' AND id > '{PAGE_AFTER[1]}'))
+  ORDER BY ts_created, id LIMIT 251),
+n AS (SELECT cursor, row_number() OVER (ORDER BY ts_created, id) AS rn FROM sel)
+SELECT count(*) > 250 AS hasNextPage, arg_max(cursor, rn) FILTER (WHERE rn <= 250) AS endCursor FROM n"""
+
+
+def q_user_errors(spark, sf_dir):
+    """X18 + X17: start-response user errors (captured per event) rendered as
+    ``field.path: message`` (blanks dropped) and tested for a concurrent-run rejection."""
+    from orderlens.functions.messages import is_concurrent_message, render_user_errors
+    ev = _t(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k")
+    et = F.col("event_type")
+    text = (F.when(et == "error", F.concat(
+                F.lit('[{"field":["bulkOperation","query"],"message":"Bulk queries cannot use field f'), k,
+                F.lit('."},{"field":[],"message":"  "},{"field":["input"," "],"message":null}]')))
+            .when(et == "click", F.lit('[{"field":null,"message":"Another bulk operation is already running."}]'))
+            .otherwise(F.lit("[]")))
+    errs = F.from_json(text, "array<struct<field:array<string>,message:string>>")
+    rendered = render_user_errors(errs)
+    return ev.select("event_id", F.array_join(rendered, "; ").alias("rendered"),
+                     F.exists(rendered, is_concurrent_message).alias("concurrent"))
+
+
+SQL_USER_ERRORS = """
+SELECT event_id,
+  CASE event_type WHEN 'error' THEN 'bulkOperation.query: Bulk queries cannot use field f' || json_extract(props, '$.k') || '.; input'
+                  WHEN 'click' THEN 'Another bulk operation is already running.' ELSE '' END AS rendered,
+  event_type = 'click' AS concurrent
+FROM events"""
+
+
 # ---------------------------------------------------------------------------------------
 # Registry
 # ---------------------------------------------------------------------------------------
@@ -1336,6 +1383,8 @@ _QUERIES: dict[str, tuple[Callable, str | None]] = {
     "orders_by_id": (q_orders_by_id, SQL_ORDERS_BY_ID),
     "sweep_candidates": (q_sweep_candidates, SQL_SWEEP_CANDIDATES),
     "instant_forms": (q_instant_forms, SQL_INSTANT_FORMS),
+    "orders_page_info": (q_orders_page_info, SQL_ORDERS_PAGE_INFO),
+    "user_errors": (q_user_errors, SQL_USER_ERRORS),
 }
 
 
