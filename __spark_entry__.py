@@ -8,6 +8,7 @@ column names.
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -1388,6 +1389,20 @@ _QUERIES: dict[str, tuple[Callable, str | None]] = {
 }
 
 
+def _add_corpus_queries() -> None:
+    """The corpus operators live in a subpackage of their own, which may be absent."""
+    try:
+        corpus = importlib.import_module("orderlens.llm.queries")
+    except ModuleNotFoundError as e:
+        if not (e.name or "").startswith("orderlens.llm"):
+            raise
+        return
+    _QUERIES.update({name: (run, corpus.ORACLES.get(name)) for name, run in corpus.QUERIES.items()})
+
+
+_add_corpus_queries()
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the bulk month extraction with normalised ids, on sf0.001."""
     return q_orders_window(spark, SMOKE_DIR)
