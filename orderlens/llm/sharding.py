@@ -128,18 +128,27 @@ def best_fit_decreasing(items: list[tuple[int, int]], capacity: int) -> list[int
 
 
 def pack_into(items: list[tuple[int, int]], shards: int) -> list[int]:
-    """Shards of the items under the smallest capacity at which ``shards`` bins are enough."""
-    total = sum(s for s, _ in items)
-    low = max([math.ceil(total / shards), *(s for s, _ in items)], default=1)
-    high, best = max(2 * low, 1), None
+    """Shards of the items: an item that is more than an even share of what is left gets a shard to
+    itself; the others go under the smallest capacity at which the remaining shards are enough."""
+    out, left = [0] * len(items), sorted(range(len(items)), key=lambda i: (-items[i][0], items[i][1]))
+    rest, alone = sum(s for s, _ in items), 0
+    while alone < min(shards - 1, len(left)) and items[left[alone]][0] * (shards - alone) > rest:
+        out[left[alone]], rest = alone, rest - items[left[alone]][0]
+        alone += 1
+    left, free = left[alone:], shards - alone
+    own = [items[i] for i in left]
+    low = max([math.ceil(rest / free), *(s for s, _ in own)], default=1)
+    high, best = max(2 * low, 1), [0] * len(own)  # best fit never needs more than twice the even share
     while low <= high:
         capacity = (low + high) // 2
-        got = best_fit_decreasing(items, capacity)
-        if max(got, default=0) < shards:
+        got = best_fit_decreasing(own, capacity)
+        if max(got, default=0) < free:
             best, high = got, capacity - 1
         else:
             low = capacity + 1
-    return best if best is not None else [i % shards for i in range(len(items))]
+    for i, bin_ in zip(left, best):
+        out[i] = alone + bin_
+    return out
 
 
 def shard(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text", fine: int = FINE,

@@ -1,0 +1,98 @@
+"""Each stage against a plain version on a small corpus, and the whole run."""
+
+import random
+from collections import Counter, defaultdict
+
+import corpus_pipeline
+import pytest
+from test_classifiers import BAD, corpus
+from test_simhash import plain_components
+
+from orderlens.llm import rules, secrets
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def rows_of(texts):
+    return [(i, t, "en", "src", None if t is None else len(t)) for i, t in texts]
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    d = str(tmp_path_factory.mktemp("corpus"))
+    docs, labels = corpus(600, 3)
+    rnd, base = random.Random(1), [x for x in docs if "$" not in x[1]][:30]
+    docs += [(1000 + k, t) for k, (_, t) in enumerate(base)]  # copies
+    docs += [(2000, "token = " + "ab12" * 10 + " " + " ".join(f"u{rnd.randrange(999)}" for _ in range(90))), (2001, None), (2002, ""), (None, base[0][1]), (None, None), (2000, "x")]
+    spark.createDataFrame(rows_of(docs), SCHEMA).write.parquet(f"{d}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
+    return d
+
+
+def step(spark, folder, name):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    out = dict(corpus_pipeline.STAGES)[name](spark, docs, folder)
+    return [tuple(r) for r in docs.collect()], out
+
+
+def test_stage_names_and_columns(spark, folder):
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "quality_rules", "near_duplicates", "secrets", "packing"]
+    for name, _ in corpus_pipeline.STAGES[:-1]:
+        given, out = step(spark, folder, name)
+        assert out.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def test_toxic_documents_go(spark, folder):
+    given, out = step(spark, folder, "toxicity")
+    left = Counter(tuple(r) for r in out.collect())
+    wrong = [r for r in given if (left[r] > 0) == any(w in (r[1] or "") for w in BAD)]
+    assert len(wrong) <= 0.03 * len(given) and not left - Counter(given)
+
+
+def test_rules_by_row(spark, folder):
+    given, out = step(spark, folder, "quality_rules")
+    keep = [r for r in given if not rules.base_failed(m := rules.measure(r[1])) and rules.verdict(m)]
+    assert Counter(tuple(r) for r in out.collect()) == Counter(keep) and 0 < len(keep) < len(given)
+
+
+def test_one_row_of_each_component_stays(spark, folder):
+    given, out = step(spark, folder, "near_duplicates")
+    docs = [(i, r[1]) for i, r in enumerate(given)]
+    groups = defaultdict(list)
+    for (i, _, part), n in plain_components(docs).items():
+        groups[part].append(given[i])
+    left = Counter(tuple(r) for r in out.collect())
+    assert sum(left.values()) == len(groups)
+    for members in groups.values():
+        assert sum(left[m] for m in {*members}) == 1
+        stayed = next(m for m in members if left[m])
+        assert stayed[0] == min((m[0] for m in members if m[0] is not None), default=None)
+
+
+def test_secrets_are_masked(spark, folder):
+    given, out = step(spark, folder, "secrets")
+    want = Counter()
+    for r in given:
+        t = secrets.redact(r[1])
+        want[(r[0], t, *r[2:4], r[4] if t == r[1] else len(t))] += 1
+    got = Counter(tuple(r) for r in out.collect())
+    assert got == want and any("[SECRET]" in (r[1] or "") for r in got)
+
+
+def test_extra_columns_with_clashing_names(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").selectExpr("*", "'a' AS row", "'b' AS fp", "'c' AS score", "'d' AS key")
+    for name, f in corpus_pipeline.STAGES[:-1]:
+        out = f(spark, docs, folder)
+        assert out.columns == docs.columns and {(r.row, r.fp, r.score, r.key) for r in out.collect()} == {("a", "b", "c", "d")}
+
+
+def test_whole_run(spark, folder, tmp_path):
+    rows = corpus_pipeline.run(spark, folder).collect()
+    tokens = defaultdict(int)
+    for r in rows:
+        tokens[r.doc_id] += r.length
+    assert tokens and all(tokens[r.doc_id] == r.doc_tokens for r in rows)
+    assert not {r.doc_id for r in rows} & set(range(1000, 1030))  # copies are gone
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
