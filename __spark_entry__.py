@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from orderlens.functions.ids import ORDER_GID_PREFIX
 from orderlens.functions.instants import format_instant, parse_iso_millis, source_window
+from orderlens.functions.text import json_file_name, jsonl_file_name
 from orderlens.operators import apilog, configs as cfg, exchange as ex, lookup
 from orderlens.operators.normalize import normalize_order_ids
 from orderlens.operators.paging import encode_cursor
@@ -23,7 +24,7 @@ from orderlens.operators.projection import flatten
 from orderlens.operators.rownum import number_rows
 from orderlens.plans.catalog import ORDER_SOURCE, resolve_field_paths
 from orderlens.plans.spec import ReadSpec, read_orders, read_orders_bulk
-from orderlens.session import pin_utc
+from orderlens.session import pin_utc, written_stage
 from orderlens.sources import adapters as ad
 from orderlens.sources.gate import load_gate, release
 from orderlens.sources.jsonl import ParsedLines, classify_lines
@@ -36,23 +37,9 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ad.table(spark, sf_dir, name)
 
 
-_VIEWS: dict = {}
-
-
-def _view(spark, sf_dir, name, build):
-    """Adapter views are lazy plans; build each once per session and table folder (it saves
-    the Python-side plan construction, not any Spark work). Views that persist data are not
-    kept here."""
-    key = (id(spark), sf_dir, name)
-    if key not in _VIEWS:
-        _VIEWS[key] = build()
-    return _VIEWS[key]
-
-
 def _orders(spark, sf_dir):
     pin_utc(spark)
-    return _view(spark, sf_dir, "orders",
-                 lambda: ad.orders_shape(_t(spark, sf_dir, "orders"), _t(spark, sf_dir, "lineitem")))
+    return ad.orders_shape(_t(spark, sf_dir, "orders"), _t(spark, sf_dir, "lineitem"))
 
 
 # ---------------------------------------------------------------------------------------
@@ -110,10 +97,10 @@ rt AS (
     strftime(l_shipdate, {ISO}) AS return_created,
     row_number() OVER (PARTITION BY l_orderkey ORDER BY {LINE_ORDER_SQL}) AS pos
   FROM lineitem l WHERE l_returnflag IN ('A','R')),
-rt10 AS (
+rx AS (
   SELECT *, (l_returnflag = 'R') AS has_exchange,
          (l_returnflag = 'R' AND upper(trim(return_status)) <> 'CANCELED') AS live
-  FROM rt WHERE pos <= 10)"""
+  FROM rt)"""
 
 
 def _with(*ctes: str) -> str:
@@ -194,8 +181,8 @@ def q_orders_children(spark, sf_dir):
     plan = read_orders(_orders(spark, sf_dir), spec, line_items=ad.line_items_shape(_t(spark, sf_dir, "lineitem")),
                        line_item_order=ad.LINE_ORDER)
     df = plan.df
-    return df.select("id", "legacyResourceId", "name", F.posexplode_outer("lineItems").alias("p", "li")).select(
-        "id", "legacyResourceId", "name", (F.col("p") + 1).alias("child_pos"),
+    return df.select("id", "legacyResourceId", "name", "hasMoreLineItems", F.posexplode_outer("lineItems").alias("p", "li")).select(
+        "id", "legacyResourceId", "name", "hasMoreLineItems", (F.col("p") + 1).alias("child_pos"),
         F.col("li.quantity").alias("quantity"), F.col("li.sku").alias("sku"),
         F.col("li.variant.title").alias("variant_title"))
 
@@ -206,9 +193,9 @@ pg AS (SELECT order_key, id, legacyResourceId, name FROM os
        ORDER BY ts_created, id LIMIT 50),
 li AS (SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY {LINE_ORDER_SQL}) AS child_pos,
               CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS quantity, 'SKU-' || l_partkey AS sku,
-              'Supplier ' || l_suppkey AS variant_title
+              'Supplier ' || l_suppkey AS variant_title, count(*) OVER (PARTITION BY l_orderkey) AS n
        FROM lineitem WHERE l_orderkey IN (SELECT order_key FROM pg))
-SELECT pg.id, pg.legacyResourceId, pg.name, li.child_pos, li.quantity, li.sku, li.variant_title
+SELECT pg.id, pg.legacyResourceId, pg.name, coalesce(li.n > 3, false) AS hasMoreLineItems, li.child_pos, li.quantity, li.sku, li.variant_title
 FROM pg LEFT JOIN li ON li.l_orderkey = pg.order_key AND li.child_pos <= 3"""
 
 
@@ -229,7 +216,8 @@ ORDER BY ts_processed DESC, id DESC LIMIT 100"""
 # ---------------------------------------------------------------------------------------
 # Fixed fixture rule: one export file per month of order creation, orders in key order; lines
 # are corrupted by a rule on the order key (m = key % 4999): 11 blank, 22 array, 33 bare
-# string, 44 cut object, 55 null, 66 single quotes, 77 an object with a wrongly typed id.
+# string, 44 cut object, 55 null, 66 single quotes, 77 an object with a wrongly typed id, 88 two
+# objects, 99 a comma after the object, 111 a bracket after it.
 CORRUPT_EVERY = 4999
 
 
@@ -248,15 +236,19 @@ def _jsonl_lines(spark, sf_dir) -> DataFrame:
             .when(m == 55, F.lit("null"))
             .when(m == 66, F.concat(F.lit("{'id':'"), ks, F.lit("'}")))
             .when(m == 77, F.concat(F.lit('{"id": '), ks, F.lit(', "name": "#'), ks, F.lit('"}')))
+            .when(m == 88, F.concat(body, body))
+            .when(m == 99, F.concat(body, F.lit(",")))
+            .when(m == 111, F.concat(body, F.lit("}")))
             .otherwise(body))
-    # number the export lines on the narrow (load, key) rows, then build the text once
-    numbered = number_rows(
-        o.select("order_key", F.concat(F.lit("orders-"), F.date_format("_ts_createdAt", "yyyy-MM")).alias("load_id"),
-                 *prune_nested(o, paths)),
-        ["order_key"], ["load_id"], out="line_no")
+    # the export lines are numbered on narrow (load, key) rows; the text is built once, after that
+    narrow = _t(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("order_key"), F.concat(F.lit("orders-"), F.date_format("o_orderdate", "yyyy-MM")).alias("load_id"))
+    numbered = o.select("order_key", *prune_nested(o, paths)).join(
+        number_rows(narrow, ["order_key"], ["load_id"], out="line_no"), "order_key")
     body_struct = F.struct(*[F.col(c) for c in sorted({p.split(".")[0] for p in paths})])
-    return numbered.withColumn("_body", F.to_json(body_struct, {"ignoreNullFields": "false"})).select(
-        "order_key", "load_id", "line_no", line.alias("value"))
+    # the export as it lands: written once, then read as text by whoever parses it
+    return written_stage(numbered.withColumn("_body", F.to_json(body_struct, {"ignoreNullFields": "false"})).select(
+        "order_key", "load_id", "line_no", line.alias("value")), "export")
 
 
 def _parsed(spark, sf_dir) -> ParsedLines:
@@ -295,19 +287,24 @@ def q_load_gate(spark, sf_dir):
 
 
 def q_extract_summary(spark, sf_dir):
-    """K4 + A1 + X22: released (gate-passing) records per export after P4, with file names."""
+    """K4 + A1 + X22: released (gate-passing) records per export after P4: their number, ids and
+    amounts, with file names."""
     parsed = _parsed(spark, sf_dir)
     gate = load_gate(parsed.counts(["load_id"]), _manifest(spark, sf_dir))
     released = normalize_order_ids(release(parsed.records(), gate))
-    counts = released.groupBy("load_id").agg(F.count(F.lit(1)).alias("recordCount"))
+    counts = released.groupBy("load_id").agg(
+        F.count(F.lit(1)).alias("recordCount"), F.min("id").alias("firstId"), F.max("id").alias("lastId"),
+        F.count_if(F.col("shopifyGid") == F.concat(F.lit(ORDER_GID_PREFIX), F.col("id"))).alias("gidCount"),
+        F.sum(F.col("currentTotalPriceSet.shopMoney.amount").try_cast("decimal(20,2)")).cast("string").alias("currentTotal"))
     start = F.to_timestamp(F.concat(F.substring("load_id", 8, 7), F.lit("-01 00:00:00")))
     end = F.add_months(start, 1).cast("timestamp")
     s_ms, e_ms = F.unix_millis(start).cast("string"), F.unix_millis(end).cast("string")
     name = F.replace(F.replace(F.lit(DEFAULT_NAME), F.lit("{start}"), s_ms), F.lit("{end}"), e_ms)
     return gate.join(counts, "load_id", "left").select(
         "load_id", F.col("data_available").alias("dataAvailable"),
-        F.coalesce(F.col("recordCount"), F.lit(0)).alias("recordCount"),
-        name.alias("fileName"), F.concat(F.regexp_replace(name, r"(?i)\.json$", ""), F.lit(".jsonl")).alias("rawFileName"),
+        F.coalesce(F.col("recordCount"), F.lit(0)).alias("recordCount"), "firstId", "lastId",
+        F.coalesce(F.col("gidCount"), F.lit(0)).alias("gidCount"), "currentTotal",
+        json_file_name(name, name).alias("fileName"), jsonl_file_name(name, name).alias("rawFileName"),
         format_instant(start).alias("windowStart"), format_instant(end).alias("windowEnd"))
 
 
@@ -336,6 +333,9 @@ lines AS (
       WHEN 55 THEN 'null'
       WHEN 66 THEN '{' || chr(39) || 'id' || chr(39) || ':' || chr(39) || order_key || chr(39) || '}'
       WHEN 77 THEN '{"id": ' || order_key || ', "name": "#' || order_key || '"}'
+      WHEN 88 THEN b || b
+      WHEN 99 THEN b || ','
+      WHEN 111 THEN b || '}'
       ELSE b END AS line
   FROM body),
 cls AS (
@@ -392,10 +392,16 @@ SELECT load_id, expected_count, line_count, parsed_count, bad_count, ok, retryab
 
 SQL_EXTRACT_SUMMARY = SQL_JSONL_BASE + """,
 rel AS (
-  SELECT c.load_id, count(*) AS n FROM cls c JOIN gate g ON c.load_id = g.load_id
-  WHERE c.kind = 'record' AND g.ok AND g.data_available GROUP BY c.load_id),
+  SELECT r.load_id, count(*) AS n, min(r.oid) AS first_id, max(r.oid) AS last_id,
+    count(*) FILTER (WHERE r.gid = 'gid://shopify/Order/' || r.oid) AS gids, CAST(sum(TRY_CAST(r.amount AS DECIMAL(20,2))) AS VARCHAR) AS total
+  FROM (SELECT load_id, json_extract_string(t, '$.id') AS gid,
+          coalesce(nullif(trim(json_extract_string(t, '$.legacyResourceId')), ''), regexp_extract(json_extract_string(t, '$.id'), '(\\d+)$', 1)) AS oid,
+          json_extract_string(t, '$.currentTotalPriceSet.shopMoney.amount') AS amount
+        FROM cls WHERE kind = 'record') r JOIN gate g ON r.load_id = g.load_id
+  WHERE g.ok AND g.data_available GROUP BY r.load_id),
 win AS (SELECT load_id, make_timestamp(yr, mo, 1, 0, 0, 0) AS ws FROM gate)
-SELECT g.load_id, g.data_available AS dataAvailable, coalesce(rel.n, 0) AS recordCount,
+SELECT g.load_id, g.data_available AS dataAvailable, coalesce(rel.n, 0) AS recordCount, rel.first_id AS firstId, rel.last_id AS lastId,
+  coalesce(rel.gids, 0) AS gidCount, rel.total AS currentTotal,
   'shopify-orders-' || epoch_ms(w.ws) || '-' || epoch_ms(w.ws + INTERVAL 1 MONTH) || '.json' AS fileName,
   'shopify-orders-' || epoch_ms(w.ws) || '-' || epoch_ms(w.ws + INTERVAL 1 MONTH) || '.jsonl' AS rawFileName,
   strftime(w.ws, '%Y-%m-%dT%H:%M:%SZ') AS windowStart, strftime(w.ws + INTERVAL 1 MONTH, '%Y-%m-%dT%H:%M:%SZ') AS windowEnd
@@ -410,7 +416,7 @@ FROM gate g JOIN win w ON g.load_id = w.load_id LEFT JOIN rel ON rel.load_id = g
 # 6 gid of another object type, 7 blank.
 
 def _requests(spark, sf_dir) -> DataFrame:
-    li = ad.table(spark, sf_dir, "lineitem", spread_rows=True)
+    li = ad.table(spark, sf_dir, "lineitem")
     k, n = F.col("l_orderkey").cast("string"), F.col("l_linenumber")
     raw = (F.when(n == 1, k)
            .when(n == 2, F.concat(F.lit(ORDER_GID_PREFIX), k))
@@ -522,7 +528,8 @@ SWEEP_END_MS = 854755200000     # 1997-02-01T00:00:00Z
 
 
 def _returns(spark, sf_dir):
-    return _view(spark, sf_dir, "returns", lambda: ad.return_rows(_t(spark, sf_dir, "lineitem")))
+    pin_utc(spark)
+    return ad.return_rows(_t(spark, sf_dir, "lineitem"))
 
 
 def _sweep(spark, sf_dir):
@@ -536,11 +543,11 @@ def q_exchange_sweep(spark, sf_dir):
 
 
 SQL_EXCHANGE_SWEEP = _with(ORDERS_CTE, RETURNS_CTE) + """,
-cnt AS (SELECT l_orderkey, count(*) FILTER (WHERE live) AS exchangeReturnCount FROM rt10 GROUP BY l_orderkey),
+cnt AS (SELECT l_orderkey, count(*) FILTER (WHERE live) AS exchangeReturnCount FROM rx GROUP BY l_orderkey),
 hit AS (
   SELECT l_orderkey, arg_min(return_id, pos) AS returnId, arg_min(return_name, pos) AS returnName,
          arg_min(return_status, pos) AS returnStatus, arg_min(epoch_ms(l_shipdate), pos) AS returnCreatedAtMillis
-  FROM rt10 WHERE live AND l_shipdate >= TIMESTAMP '1997-01-01' AND l_shipdate < TIMESTAMP '1997-02-01'
+  FROM rx WHERE live AND l_shipdate >= TIMESTAMP '1997-01-01' AND l_shipdate < TIMESTAMP '1997-02-01'
   GROUP BY l_orderkey)
 SELECT os.legacyResourceId AS externalId, os.name AS orderName, hit.returnId, hit.returnName, hit.returnStatus,
        hit.returnCreatedAtMillis, cnt.exchangeReturnCount
@@ -550,16 +557,15 @@ WHERE os.ts_updated >= TIMESTAMP '1997-01-01' AND lower(os.returnStatus) <> 'no_
 
 
 def q_exchange_counts(spark, sf_dir):
-    """A4 + T5: per order with returns, live exchange returns among the first 10, any date."""
-    o = _orders(spark, sf_dir).filter(F.col("returnStatus") != "NO_RETURN").select("id")
-    nested = ex.nest_returns(o, _returns(spark, sf_dir), ad.LINE_ORDER, fields=ad.return_fields())
-    return nested.select("id", ex.count_exchange_returns(F.col("returns")).alias("exchangeReturnCount"),
-                         F.size("returns").alias("returnCount"))
+    """A4 + T5: per order with returns, its live exchange returns of any date, and all returns."""
+    totals = ex.exchange_totals(_returns(spark, sf_dir), ad.LINE_ORDER, SWEEP_START_MS, SWEEP_END_MS, ad.return_fields())
+    return totals.select(F.col("order_id").alias("id"), F.col("exchangeReturnCount").cast("int").alias("exchangeReturnCount"),
+                         F.col("returnCount").cast("int").alias("returnCount"))
 
 
 SQL_EXCHANGE_COUNTS = _with(RETURNS_CTE) + """
 SELECT order_id AS id, CAST(count(*) FILTER (WHERE live) AS INTEGER) AS exchangeReturnCount, CAST(count(*) AS INTEGER) AS returnCount
-FROM rt10 GROUP BY order_id"""
+FROM rx GROUP BY order_id"""
 
 
 def _state_requests(spark, sf_dir):
@@ -572,7 +578,7 @@ def _state_requests(spark, sf_dir):
 def q_exchange_state(spark, sf_dir):
     """J2 + P6 + A5: nested exchange state of every order with an exchange line, flattened."""
     st = ex.exchange_state_lookup(_state_requests(spark, sf_dir), _orders(spark, sf_dir), _returns(spark, sf_dir),
-                                  ad.LINE_ORDER, position_col="position", fields=ad.return_fields())
+                                  ad.LINE_ORDER, position_col="position", fields=ad.return_fields(text_children=True))
     e = st.select("order_key", "returnStatus", F.col("currentTotalAmount").cast("string").alias("currentTotalAmount"),
                   "currentTotalCurrency", F.explode_outer("exchanges").alias("x"))
     e = e.select("*", F.explode_outer("x.exchangeLineItems").alias("xi"))
@@ -580,19 +586,21 @@ def q_exchange_state(spark, sf_dir):
     return e.select("order_key", "returnStatus", "currentTotalAmount", "currentTotalCurrency",
                     F.col("x.returnId").alias("returnId"), F.col("x.status").alias("exchangeReturnStatus"),
                     F.col("x.createdAt").alias("returnCreatedAt"), F.col("xi.id").alias("exchangeItemId"),
-                    F.col("xi.quantity").alias("exchangeQuantity"), F.col("li.id").alias("lineItemId"),
+                    F.col("xi.quantity").alias("exchangeQuantity"), F.col("xi.shape").alias("lineItemsShape"),
+                    F.col("li.id").alias("lineItemId"),
                     F.col("li.sku").alias("lineItemSku"), F.col("li.quantity").alias("lineItemQuantity"))
 
 
 SQL_EXCHANGE_STATE = _with(ORDERS_CTE, RETURNS_CTE) + f""",
 want AS (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_returnflag = 'R'),
-x AS (SELECT * FROM rt10 WHERE has_exchange)
+x AS (SELECT * FROM rx WHERE has_exchange)
 SELECT CAST(os.order_key AS VARCHAR) AS order_key, os.returnStatus,
   CAST(CAST(CAST(os.o_totalprice AS DECIMAL(20,2)) AS DECIMAL(20,4)) AS VARCHAR) AS currentTotalAmount,
   'USD' AS currentTotalCurrency,
   x.return_id AS returnId, x.return_status AS exchangeReturnStatus, x.return_created AS returnCreatedAt,
   CASE WHEN x.return_id IS NOT NULL THEN 'gid://shopify/ExchangeLineItem/' || x.l_orderkey || '-' || x.l_linenumber || '-' || x.l_partkey || '-' || x.l_suppkey END AS exchangeItemId,
   CAST(CAST(x.l_quantity AS INTEGER) AS VARCHAR) AS exchangeQuantity,
+  CASE WHEN x.return_id IS NOT NULL THEN CASE x.l_linenumber % 2 WHEN 1 THEN 'list' ELSE 'connection' END END AS lineItemsShape,
   CASE WHEN x.return_id IS NOT NULL THEN 'gid://shopify/LineItem/' || x.l_orderkey || '-' || x.l_linenumber || '-' || x.l_partkey || '-' || x.l_suppkey END AS lineItemId,
   CASE WHEN x.return_id IS NOT NULL THEN 'SKU-' || x.l_partkey END AS lineItemSku,
   CAST(CAST(x.l_quantity AS INTEGER) AS VARCHAR) AS lineItemQuantity
@@ -601,7 +609,7 @@ LEFT JOIN x ON x.l_orderkey = os.order_key"""
 
 
 def _shape_texts(spark, sf_dir):
-    li = ad.table(spark, sf_dir, "lineitem", spread_rows=True).filter(F.col("l_returnflag") == "R")
+    li = ad.table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R")
     item = F.concat(F.lit('{"id":"gid://shopify/LineItem/'), F.concat_ws("-", *[F.col(c).cast("string") for c in
                                                                                 ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]),
                     F.lit('","sku":"SKU-'), F.col("l_partkey").cast("string"),
@@ -669,7 +677,8 @@ def _log(spark, sf_dir) -> DataFrame:
 def q_response_classes(spark, sf_dir):
     """L1: every captured response classified (2 attempts per request)."""
     c = apilog.classify_responses(_log(spark, sf_dir).withColumn("max_attempts", F.lit(2)))
-    return c.select("event_id", "request_id", "attempt", "ok", "retryable", "throttled", "error_text", "requested_cost")
+    return c.select("event_id", "request_id", "attempt", "ok", "retryable", "throttled", "error_text", "data", "requested_cost",
+                    "actual_cost", "maximum_available")
 
 
 def q_throttle_delay(spark, sf_dir):
@@ -709,7 +718,8 @@ def q_operation_rollup(spark, sf_dir):
               .when(et == "purchase", F.when(v > 300, "COMPLETED").otherwise("RUNNING"))
               .otherwise(F.when(v > 330, "FAILED").when(v > 300, "CANCELED").otherwise("running")))
     s = e.select(F.col("user_id").alias("operation_id"), (F.col("n") - 1).alias("seq"), status.alias("status"))
-    return apilog.operation_rollup(s)
+    r = apilog.operation_rollup(s)
+    return r.withColumn("status_history", F.array_join(F.transform("status_history", lambda x: x["status"]), ">"))
 
 
 def q_start_retries(spark, sf_dir):
@@ -722,7 +732,9 @@ def q_start_retries(spark, sf_dir):
            .when(et == "error", "Bulk queries cannot use that field."))
     s = e.select(F.col("user_id").alias("operation_id"), F.col("n").alias("attempt"), (et == "purchase").alias("ok"),
                  msg.alias("message"))
-    return apilog.start_retry_rollup(s)
+    r = apilog.start_retry_rollup(s)
+    return r.withColumn("retry_history", F.array_join(F.transform(
+        "retry_history", lambda x: F.concat(x["attempt"].cast("string"), F.lit(":"), x["message"])), "|"))
 
 
 def q_connection_checks(spark, sf_dir):
@@ -737,7 +749,7 @@ def q_connection_checks(spark, sf_dir):
     connect = c.select("config_id",
                        F.when(m9 == 0, 401).when(m9 == 1, 404).when(m9 == 2, 503).when(m9 == 3, 0).otherwise(200).alias("status_code"),
                        F.when(m9 >= 4, F.concat(F.lit('{"data":{"shop":{"myshopifyDomain":"shop'), ks, F.lit('.myshopify.com"}}}')))
-                       .otherwise(F.lit("")).alias("body"))
+                       .otherwise(F.lit("")).alias("body"), (k % 500 + 20).alias("duration_ms"))
     m7 = k % 7
     probe = c.select("config_id",
                      F.when(m7 == 1, 500).otherwise(200).alias("status_code"),
@@ -745,7 +757,7 @@ def q_connection_checks(spark, sf_dir):
                      .when(m7 == 1, F.lit(""))
                      .when(m7 == 2, F.lit('{"errors":[{"message":"Internal error"}]}'))
                      .when(k % 2 == 1, F.lit('{"data":{"orders":{"edges":[{"node":{"id":"gid://shopify/Order/1"}}]}}}'))
-                     .otherwise(F.lit('{"data":{"orders":{"edges":[]}}}')).alias("body"))
+                     .otherwise(F.lit('{"data":{"orders":{"edges":[]}}}')).alias("body"), (k % 300 + 5).alias("duration_ms"))
     return apilog.check_rows(confs, connect, probe)
 
 
@@ -764,7 +776,8 @@ lg AS (
          WHEN event_type = 'view' THEN '{"errors":[{"message":"Throttled","extensions":{"code":"THROTTLED"}}],"extensions":{"cost":{"requestedQueryCost":' || (k + 10) || ',"actualQueryCost":0,"throttleStatus":{"maximumAvailable":1000,"currentlyAvailable":' || (k % 10) || ',"restoreRate":' || ((k % 5) * 10) || '}}}}'
          WHEN event_type = 'click' THEN '{"data":null,"errors":[{"message":"Access denied for orders field.","extensions":{"code":"ACCESS_DENIED"}},{"message":"  "}]}'
          WHEN event_type = 'signup' THEN CASE WHEN value < 100 THEN '' ELSE 'Service Unavailable' END
-         ELSE CASE WHEN value < 100 THEN 'not-json' WHEN value < 200 THEN '{"errors":[{"message":"   "}],"data":{}}' ELSE '' END END AS body,
+         ELSE CASE WHEN value < 25 THEN '{"errors":"Not Found"}' WHEN value < 50 THEN '{"errors":{"message":"Not Found"}}'
+                   WHEN value < 75 THEN '{"data":{"orders":1}} trailing' WHEN value < 100 THEN 'not-json' WHEN value < 200 THEN '{"errors":[{"message":"   "}],"data":{}}' ELSE '' END END AS body,
     CASE WHEN user_id % 10 = 0 THEN 1 ELSE 2 END AS max_plan
   FROM lg0),
 cl0 AS (
@@ -777,19 +790,24 @@ cl1 AS (
       list_filter(list_transform(coalesce(json_extract_string(body, '$.errors[*].message'), []), lambda m: trim(m)), lambda m: m IS NOT NULL AND m <> '') END AS msgs,
     CASE WHEN NOT http_bad AND NOT json_bad THEN
       list_has_any(coalesce(json_extract_string(body, '$.errors[*].extensions.code'), []), ['THROTTLED', 'MAX_COST_EXCEEDED']) END AS has_throttle,
+    CASE WHEN NOT http_bad AND NOT json_bad THEN coalesce(json_type(body, '$.errors') NOT IN ('ARRAY', 'NULL')
+      AND json_extract_string(body, '$.errors') NOT IN ('', 'false', '0', '{}'), false) ELSE false END AS errors_odd,
     CASE WHEN NOT http_bad AND NOT json_bad THEN TRY_CAST(json_extract_string(body, '$.extensions.cost.requestedQueryCost') AS VARCHAR) END AS requested_cost,
+    CASE WHEN NOT http_bad AND NOT json_bad THEN json_extract_string(body, '$.extensions.cost.actualQueryCost') END AS actual_cost,
+    CASE WHEN NOT http_bad AND NOT json_bad THEN json_extract_string(body, '$.extensions.cost.throttleStatus.maximumAvailable') END AS maximum_available,
     CASE WHEN NOT http_bad AND NOT json_bad THEN json_extract_string(body, '$.extensions.cost.throttleStatus.currentlyAvailable') END AS currently_available,
     CASE WHEN NOT http_bad AND NOT json_bad THEN json_extract_string(body, '$.extensions.cost.throttleStatus.restoreRate') END AS restore_rate
   FROM cl0),
 cl AS (
   SELECT *,
-    CASE WHEN http_bad THEN 'http' WHEN json_bad THEN 'json' WHEN len(msgs) > 0 THEN 'graphql' ELSE 'ok' END AS kind
+    CASE WHEN http_bad THEN 'http' WHEN json_bad THEN 'json' WHEN errors_odd THEN 'shape' WHEN len(msgs) > 0 THEN 'graphql' ELSE 'ok' END AS kind
   FROM cl1),
 cls AS (
   SELECT *, kind = 'ok' AS ok,
     (kind = 'graphql' AND coalesce(has_throttle, false)) AS throttled,
     CASE WHEN kind = 'http' THEN 'Shopify GraphQL request failed with HTTP ' || status_code || '.'
          WHEN kind = 'json' THEN 'Shopify GraphQL response was not valid JSON.'
+         WHEN kind = 'shape' THEN 'Shopify GraphQL request failed before a valid response was received.'
          WHEN kind = 'graphql' THEN array_to_string(list_transform(msgs, lambda m: 'Shopify GraphQL error: ' || m), '; ') END AS error_text
   FROM cl),
 dl AS (
@@ -803,8 +821,9 @@ dl AS (
 SQL_RESPONSE_CLASSES = _with(SQL_LOG_CTE) + """
 SELECT event_id, request_id, attempt, ok,
   CASE WHEN kind = 'http' THEN (status_code = 429 OR status_code >= 500) AND attempt < 2
-       WHEN kind = 'graphql' THEN coalesce(has_throttle, false) AND attempt < 2 ELSE false END AS retryable,
-  throttled, error_text, requested_cost
+       WHEN kind = 'graphql' THEN coalesce(has_throttle, false) AND attempt < 2 WHEN kind = 'shape' THEN attempt < 2 ELSE false END AS retryable,
+  throttled, error_text, CASE WHEN kind = 'ok' THEN CAST(json_extract(body, '$.data') AS VARCHAR) END AS data,
+  requested_cost, actual_cost, maximum_available
 FROM cls"""
 
 SQL_THROTTLE_DELAY = _with(SQL_LOG_CTE) + """
@@ -814,7 +833,8 @@ SQL_RETRY_PLAN = _with(SQL_LOG_CTE) + """,
 rp AS (
   SELECT *,
     CASE WHEN kind = 'http' THEN (status_code = 429 OR status_code >= 500) AND attempt < max_plan
-         WHEN kind = 'graphql' THEN coalesce(has_throttle, false) AND attempt < max_plan ELSE false END AS retryable
+         WHEN kind = 'graphql' THEN coalesce(has_throttle, false) AND attempt < max_plan
+         WHEN kind = 'shape' THEN attempt < max_plan ELSE false END AS retryable
   FROM dl),
 st AS (SELECT *, (ok OR NOT retryable OR attempt >= max_plan) AS stop_here FROM rp),
 ends AS (SELECT request_id, min(attempt) FILTER (WHERE stop_here) AS first_stop, max(attempt) AS last FROM st GROUP BY request_id),
@@ -824,8 +844,9 @@ SELECT request_id, max(attempt) AS attempts_used,
   arg_max(ok, attempt) AS final_ok, arg_max(status_code, attempt) AS final_status_code,
   arg_max_null(error_text, attempt) AS final_error,
   sum(CASE WHEN NOT stop_here AND (throttled OR status_code = 429) THEN delay_ms ELSE 0 END) AS planned_delay_ms,
-  bool_or(unfinished) AS unfinished
-FROM j WHERE attempt <= used GROUP BY request_id"""
+  bool_or(unfinished) AS unfinished, any_value(ignored) AS ignored_rows
+FROM j JOIN (SELECT request_id, count(*) FILTER (WHERE attempt > max_plan) AS ignored FROM st GROUP BY request_id) USING (request_id)
+WHERE attempt <= used GROUP BY request_id"""
 
 SQL_DOWNLOAD_OUTCOMES = _with(SQL_LOG_CTE) + """,
 d AS (
@@ -838,7 +859,8 @@ d2 AS (SELECT *, (ok OR NOT retry OR attempt >= 3) AS stop_here FROM d1),
 ends AS (SELECT download_id, coalesce(min(attempt) FILTER (WHERE stop_here), max(attempt)) AS used FROM d2 GROUP BY download_id)
 SELECT d2.download_id, attempt AS attempts_used, ok, retry AND NOT ok AS retryable, status_code,
   CASE WHEN NOT ok THEN 'Shopify bulk operation result download failed with HTTP ' || status_code || '.' END AS error,
-  CASE WHEN NOT ok THEN attempt END AS download_attempt_count
+  CASE WHEN NOT ok THEN attempt END AS download_attempt_count,
+  (SELECT count(*) FROM d2 o WHERE o.download_id = d2.download_id AND o.attempt > 3) AS ignored_rows
 FROM d2 JOIN ends ON ends.download_id = d2.download_id AND d2.attempt = ends.used"""
 
 SQL_OP_EVENTS = """
@@ -855,13 +877,19 @@ s AS (
 t AS (SELECT *, st IN ('COMPLETED', 'FAILED', 'CANCELED', 'CANCELLED', 'EXPIRED') AS term FROM s),
 ends AS (SELECT operation_id, min(seq) FILTER (WHERE term AND seq <= 60) AS stop_seq, max(seq) AS last_seq FROM t GROUP BY operation_id),
 j AS (SELECT t.* FROM t JOIN ends USING (operation_id) WHERE t.seq <= coalesce(ends.stop_seq, least(ends.last_seq, 60))),
-a AS (SELECT operation_id, count(*) AS history_length, arg_max(st, seq) AS final_status FROM j GROUP BY operation_id)
-SELECT operation_id, history_length - 1 AS poll_count, final_status,
-  CASE WHEN final_status = 'COMPLETED' THEN 'COMPLETED'
+a AS (SELECT operation_id, count(*) AS history_length, arg_max(st, seq) AS final_status, string_agg(st, '>' ORDER BY seq) AS status_history
+      FROM j GROUP BY operation_id),
+ig AS (SELECT operation_id, count(*) FILTER (WHERE seq > 60) AS ignored_rows FROM s GROUP BY operation_id),
+o AS (
+  SELECT *, CASE WHEN final_status = 'COMPLETED' THEN 'COMPLETED'
        WHEN final_status IN ('FAILED', 'CANCELED', 'CANCELLED', 'EXPIRED') THEN 'FAILED'
-       WHEN history_length > 60 THEN 'TIMED_OUT' ELSE 'RUNNING' END AS outcome,
-  history_length
-FROM a"""
+       WHEN history_length > 60 THEN 'TIMED_OUT' ELSE 'RUNNING' END AS outcome
+  FROM a JOIN ig USING (operation_id))
+SELECT operation_id, history_length - 1 AS poll_count, final_status, outcome, history_length, status_history,
+  CASE outcome WHEN 'FAILED' THEN 'Shopify bulk operation ' || operation_id || ' ended with status ' || final_status || '.'
+    WHEN 'TIMED_OUT' THEN 'Shopify bulk operation ' || operation_id || ' did not complete after 60 poll attempt(s).' END AS error,
+  ignored_rows
+FROM o"""
 
 SQL_START_RETRIES = _with(SQL_OP_EVENTS) + """,
 s AS (
@@ -880,12 +908,19 @@ st AS (SELECT *, (ok OR NOT conc OR attempt >= 11) AS stop_here FROM c),
 ends AS (SELECT operation_id, min(attempt) FILTER (WHERE stop_here) AS first_stop, max(attempt) AS last FROM st GROUP BY operation_id),
 j AS (SELECT st.*, ends.first_stop FROM st JOIN ends USING (operation_id) WHERE attempt <= coalesce(ends.first_stop, ends.last)),
 a AS (SELECT operation_id, arg_max(ok, attempt) AS e_ok, arg_max(conc, attempt) AS e_conc, arg_max_null(message, attempt) AS e_msg,
-             count(*) FILTER (WHERE conc) AS rej, bool_or(first_stop IS NULL) AS open FROM j GROUP BY operation_id)
+             count(*) FILTER (WHERE conc) AS rej, bool_or(first_stop IS NULL) AS open,
+             coalesce(string_agg(attempt || ':' || message, '|' ORDER BY attempt)
+               FILTER (WHERE conc AND attempt <= 10 AND (first_stop IS NULL OR attempt < first_stop)), '') AS retry_history
+      FROM j GROUP BY operation_id),
+ig AS (SELECT operation_id, count(*) FILTER (WHERE attempt > 11) AS ignored_rows FROM s GROUP BY operation_id)
 SELECT operation_id,
   CASE WHEN open THEN 'PENDING' WHEN e_ok THEN 'STARTED' WHEN e_conc THEN 'EXHAUSTED' ELSE 'FAILED' END AS outcome,
   CASE WHEN e_ok OR NOT e_conc THEN rej ELSE rej - 1 END AS start_retry_count,
-  CASE WHEN NOT e_ok THEN e_msg END AS last_error
-FROM a"""
+  CASE WHEN NOT e_ok THEN e_msg END AS last_error, retry_history,
+  CASE WHEN NOT open AND NOT e_ok AND e_conc THEN
+    'Shopify bulk operation could not start because another bulk operation was still running after 10 retry attempt(s).' END AS error,
+  ignored_rows
+FROM a JOIN ig USING (operation_id)"""
 
 SQL_CONFIGS_CTE = """
 cf AS (
@@ -919,29 +954,32 @@ b AS (
     CASE custkey % 9 WHEN 0 THEN 401 WHEN 1 THEN 404 WHEN 2 THEN 503 WHEN 3 THEN 0 ELSE 200 END AS cs,
     custkey % 9 >= 4 AS c_ok, 'shop' || custkey || '.myshopify.com' AS domain,
     CASE WHEN custkey % 7 = 1 THEN 500 ELSE 200 END AS os,
-    custkey % 7 >= 3 AS o_ok, custkey % 7 = 0 AS scope_missing, custkey % 2 AS order_count
+    custkey % 500 + 20 AS c_ms, custkey % 300 + 5 AS o_ms, custkey % 7 >= 3 AS o_ok, custkey % 7 = 0 AS scope_missing, custkey % 2 AS order_count
   FROM cf)
-SELECT config_id, 'credential' AS check_key, 1 AS position, CASE WHEN cred_fail IS NOT NULL THEN 'FAIL' ELSE 'PASS' END AS status,
-  cred_fail AS detail FROM b
+SELECT * EXCLUDE (c_ms, o_ms),
+  CASE WHEN status = 'SKIP' THEN NULL WHEN check_key = 'reachable' THEN c_ms WHEN check_key = 'ordersRead' THEN o_ms END AS duration_millis
+FROM (
+SELECT config_id, 'credential' AS check_key, 'Credential readable' AS label, 1 AS position, CASE WHEN cred_fail IS NOT NULL THEN 'FAIL' ELSE 'PASS' END AS status,
+  cred_fail AS detail, c_ms, o_ms FROM b
 UNION ALL
-SELECT config_id, 'reachable', 2,
+SELECT config_id, 'reachable', 'Shop reachable', 2,
   CASE WHEN cred_fail IS NOT NULL THEN 'SKIP' WHEN cs = 404 OR c_ok THEN 'PASS' ELSE 'FAIL' END,
   CASE WHEN cred_fail IS NOT NULL THEN 'Not attempted.' WHEN c_ok THEN domain WHEN cs = 404 THEN shop_url
-       ELSE {_DESCRIBE_SQL.format(s='cs')} END FROM b
+       ELSE {_DESCRIBE_SQL.format(s='cs')} END, c_ms, o_ms FROM b
 UNION ALL
-SELECT config_id, 'apiVersion', 3,
+SELECT config_id, 'apiVersion', 'API version supported', 3,
   CASE WHEN cred_fail IS NOT NULL THEN 'SKIP' WHEN cs = 404 THEN 'FAIL' WHEN c_ok THEN 'PASS' ELSE 'SKIP' END,
   CASE WHEN cred_fail IS NOT NULL THEN 'Not attempted.'
        WHEN cs = 404 THEN 'The shop did not serve API version ' || ver || '. Check the version and the shop URL.'
-       WHEN c_ok THEN ver ELSE 'Not attempted.' END FROM b
+       WHEN c_ok THEN ver ELSE 'Not attempted.' END, c_ms, o_ms FROM b
 UNION ALL
-SELECT config_id, 'ordersRead', 4,
+SELECT config_id, 'ordersRead', 'Orders readable', 4,
   CASE WHEN cred_fail IS NOT NULL OR cs = 404 OR NOT c_ok THEN 'SKIP' WHEN disabled THEN 'SKIP' WHEN o_ok THEN 'PASS' ELSE 'FAIL' END,
   CASE WHEN cred_fail IS NOT NULL OR cs = 404 OR NOT c_ok THEN 'Not attempted.'
        WHEN disabled THEN 'This configuration is not enabled for order reads.'
        WHEN o_ok THEN CASE WHEN order_count = 1 THEN '1 order returned' ELSE 'no orders in range' END
        WHEN scope_missing THEN 'The token is missing the read_orders scope.'
-       ELSE {_DESCRIBE_SQL.format(s='os')} END FROM b"""
+       ELSE {_DESCRIBE_SQL.format(s='os')} END, c_ms, o_ms FROM b)"""
 
 
 # ---------------------------------------------------------------------------------------
@@ -952,7 +990,7 @@ ACTIVE_TENANT, ACTIVE_USER = "BUILDING", "admin"
 
 
 def _configs(spark, sf_dir):
-    return _view(spark, sf_dir, "configs", lambda: ad.configs_shape(_t(spark, sf_dir, "customer")))
+    return ad.configs_shape(_t(spark, sf_dir, "customer"))
 
 
 def q_config_list(spark, sf_dir):
@@ -985,21 +1023,26 @@ def _updates(spark, sf_dir):
     c = _t(spark, sf_dir, "customer").filter(F.col("c_custkey") % 3 == 0)
     k = F.col("c_custkey")
     ks = k.cast("string")
+    # rule 0 and rule 3 with an even key come again with an http URL, which is refused and must not
+    # undo the first; rule 4 comes again with the token it lacked, without a zone
     rule = F.floor(k / 3) % 5
+    again = c.withColumn("_again", F.lit(True)).filter((rule == 4) | (rule.isin(0, 3) & (k % 2 == 0)))
+    c = c.withColumn("_again", F.lit(False)).unionByName(again)
+    again = F.col("_again")
     new_id = F.concat(F.lit("New#"), ks)
     return c.select(
         F.when(rule >= 3, new_id).otherwise(F.col("c_name")).alias("config_id"),
         F.when(rule == 0, F.concat(F.lit("Updated "), ks)).when(rule == 3, F.concat(F.lit("New "), ks)).alias("description"),
-        F.when(rule == 2, F.concat(F.lit("http://shop"), ks, F.lit(".myshopify.com")))
+        F.when((rule == 2) | (again & (rule != 4)), F.concat(F.lit("http://shop"), ks, F.lit(".myshopify.com")))
         .when(rule == 0, F.concat(F.lit("https://shop"), ks, F.lit(".myshopify.com/")))
         .otherwise(F.concat(F.lit("https://shop"), ks, F.lit(".myshopify.com"))).alias("shop_api_url"),
         F.when(rule == 0, F.lit("2026-01")).when(rule == 3, F.lit("UNSTABLE ")).when(rule == 4, F.lit("2026-04"))
         .otherwise(F.lit("2025-10")).alias("api_version"),
         F.when(rule == 0, F.lit("")).when(rule == 1, F.lit("Central")).when(rule == 3, F.lit("America/Chicago")).alias("time_zone"),
-        F.when(rule == 3, F.concat(F.lit("tok-new-"), ks)).when(rule == 0, F.lit("")).alias("access_token"),
+        F.when((rule == 3) | (again & (rule == 4)), F.concat(F.lit("tok-new-"), ks)).when(rule == 0, F.lit("")).alias("access_token"),
         F.when(rule == 0, F.lit("no")).when(rule == 3, F.lit("")).alias("is_active"),
         F.when(rule == 0, F.lit("yes")).when(rule == 3, F.lit("Y")).alias("can_read_orders"),
-        k.alias("position"),
+        (k * 2 + again.cast("long")).alias("position"),
     )
 
 
@@ -1014,9 +1057,9 @@ def q_config_merge(spark, sf_dir):
 
 
 def q_config_merge_outcomes(spark, sf_dir):
-    """Per update key inserted / updated / rejected with the ordered errors."""
+    """Per update inserted / updated / rejected with the ordered errors."""
     out = _merge(spark, sf_dir)[1]
-    return out.select("config_id", "action", F.array_join("errors", " | ").alias("errors"))
+    return out.select("config_id", "position", "action", F.array_join("errors", " | ").alias("errors"))
 
 
 def q_config_delete(spark, sf_dir):
@@ -1044,7 +1087,7 @@ def q_window_bounds(spark, sf_dir):
     window start in America/Chicago."""
     from orderlens.functions.instants import parse_window_bound, window_bound_error
     pin_utc(spark)
-    o = ad.table(spark, sf_dir, "orders", spread_rows=True)
+    o = ad.table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
     ts1 = F.col("o_orderdate") + F.make_dt_interval(F.lit(0), (k % 24).cast("int"), F.lit(0), F.lit(0))
     r = k % 8
@@ -1111,14 +1154,15 @@ SELECT request_id, cid AS config_id, first_err IS NULL AND inactive IS NULL AND
 FROM e2"""
 
 SQL_MERGE_CTE = """
-up0 AS (SELECT c_custkey AS k, (c_custkey // 3) % 5 AS rule, c_name FROM customer WHERE c_custkey % 3 = 0),
+up00 AS (SELECT c_custkey AS k, (c_custkey // 3) % 5 AS rule, c_name FROM customer WHERE c_custkey % 3 = 0),
+up0 AS (SELECT *, 0 AS again FROM up00 UNION ALL SELECT *, 1 FROM up00 WHERE rule = 4 OR (rule IN (0, 3) AND k % 2 = 0)),
 up AS (
-  SELECT CASE WHEN rule >= 3 THEN 'New#' || k ELSE c_name END AS config_id,
+  SELECT CASE WHEN rule >= 3 THEN 'New#' || k ELSE c_name END AS config_id, k * 2 + again AS position,
     CASE rule WHEN 0 THEN 'Updated ' || k WHEN 3 THEN 'New ' || k END AS u_description,
-    CASE rule WHEN 2 THEN 'http://shop' || k || '.myshopify.com' ELSE 'https://shop' || k || '.myshopify.com' END AS u_url,
+    CASE WHEN rule = 2 OR (again = 1 AND rule <> 4) THEN 'http://shop' || k || '.myshopify.com' ELSE 'https://shop' || k || '.myshopify.com' END AS u_url,
     CASE rule WHEN 0 THEN '2026-01' WHEN 3 THEN 'unstable' WHEN 4 THEN '2026-04' ELSE '2025-10' END AS u_version,
     CASE rule WHEN 1 THEN 'Central' WHEN 3 THEN 'America/Chicago' END AS u_zone,
-    CASE rule WHEN 3 THEN 'tok-new-' || k END AS u_token,
+    CASE WHEN rule = 3 OR (again = 1 AND rule = 4) THEN 'tok-new-' || k END AS u_token,
     CASE rule WHEN 0 THEN 'N' ELSE 'Y' END AS u_active,
     CASE rule WHEN 0 THEN 'Y' WHEN 3 THEN 'Y' ELSE 'N' END AS u_read
   FROM up0),
@@ -1155,7 +1199,7 @@ stored AS (
     CASE WHEN c_tenant IS NOT NULL THEN c_created ELSE 'admin' END AS created_by,
     u_url AS shop_api_url, u_version AS api_version, zone AS time_zone, coalesce(u_token, c_token) AS access_token,
     u_active AS is_active, u_read AS can_read_orders
-  FROM m7 WHERE len(errs) = 0)"""
+  FROM m7 WHERE len(errs) = 0 QUALIFY row_number() OVER (PARTITION BY config_id ORDER BY position DESC) = 1)"""
 
 SQL_CONFIG_MERGE = _with(SQL_CONFIGS_CTE, SQL_MERGE_CTE) + f""",
 merged AS (
@@ -1165,7 +1209,7 @@ merged AS (
 SELECT {SQL_CONFIG_REDACT} FROM merged"""
 
 SQL_CONFIG_MERGE_OUTCOMES = _with(SQL_CONFIGS_CTE, SQL_MERGE_CTE) + """
-SELECT config_id, CASE WHEN len(errs) > 0 THEN 'rejected' WHEN ex THEN 'updated' ELSE 'inserted' END AS action,
+SELECT config_id, position, CASE WHEN len(errs) > 0 THEN 'rejected' WHEN ex THEN 'updated' ELSE 'inserted' END AS action,
   array_to_string(errs, ' | ') AS errors
 FROM m7"""
 
@@ -1266,7 +1310,7 @@ def q_instant_forms(spark, sf_dir):
     instant parser (X3) on each, results as ISO text and epoch millis."""
     from orderlens.functions.instants import parse_instant_filter
     pin_utc(spark)
-    o = ad.table(spark, sf_dir, "orders", spread_rows=True)
+    o = ad.table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
     ts1 = F.col("o_orderdate") + F.make_dt_interval(F.lit(0), (k % 24).cast("int"), (k % 60).cast("int"), F.lit(0))
     r = k % 7

@@ -2,13 +2,16 @@
 
 Spark keeps microseconds; the JVM library behind the original kept nanoseconds. Every parser
 here is a guarded ``try_`` form, so a bad value yields null (or an error text) and never fails
-the job. Sessions are pinned to UTC (``orderlens.session.pin_utc``).
+the job. Text is parsed and printed with an explicit zone, so results do not depend on the
+session's time zone.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import re
+import zoneinfo
+from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,13 +30,24 @@ _ISO = re.compile(
 )
 
 
-def _offset(text: str) -> _dt.timezone:
+# The widest offset from UTC that the calendar library allows, in seconds.
+MAX_OFFSET_SECONDS = 18 * 3600
+
+
+@lru_cache(maxsize=1)
+def zone_ids() -> frozenset:
+    """Time-zone ids that may stand in brackets behind an offset."""
+    return frozenset(zoneinfo.available_timezones()) | {"Z", "UTC", "GMT", "UT"}
+
+
+def _offset(text: str) -> _dt.timezone | None:
     if text == "Z":
         return _dt.timezone.utc
-    sign = -1 if text[0] == "-" else 1
-    parts = [int(p) for p in text[1:].split(":")]
-    secs = parts[0] * 3600 + parts[1] * 60 + (parts[2] if len(parts) > 2 else 0)
-    return _dt.timezone(sign * _dt.timedelta(seconds=secs))
+    hours, minutes, *seconds = (int(x) for x in text[1:].split(":"))
+    total = hours * 3600 + minutes * 60 + sum(seconds)
+    if total > MAX_OFFSET_SECONDS or minutes > 59 or sum(seconds) > 59:
+        return None
+    return _dt.timezone(_dt.timedelta(seconds=-total if text[0] == "-" else total))
 
 
 def parse_instant_py(text: str, allow_local: bool = True) -> _dt.datetime | None:
@@ -45,19 +59,20 @@ def parse_instant_py(text: str, allow_local: bool = True) -> _dt.datetime | None
     if not m:
         return None
     date, hh, mm, ss, frac, off, zone = m.groups()
-    if zone is not None and off is None:
+    if zone is not None and (off is None or zone not in zone_ids()):
         return None
     if off is None and not allow_local:
         return None
+    shift = _offset(off) if off is not None else _dt.timezone.utc
+    if shift is None:
+        return None
     try:
         y, mo, d = (int(x) for x in date.split("-"))
         micros = int((frac or "0").ljust(9, "0")[:6])
-        value = _dt.datetime(y, mo, d, int(hh), int(mm), int(ss or 0), micros)
-    except ValueError:
+        value = _dt.datetime(y, mo, d, int(hh), int(mm), int(ss or 0), micros, tzinfo=shift)
+        return value.astimezone(_dt.timezone.utc).replace(tzinfo=None)
+    except (ValueError, OverflowError):
         return None
-    if off is not None:
-        value = value.replace(tzinfo=_offset(off)).astimezone(_dt.timezone.utc).replace(tzinfo=None)
-    return value
 
 
 def format_instant_py(value: _dt.datetime) -> str:
@@ -81,20 +96,31 @@ def window_bound_py(value) -> _dt.datetime:
     text = normalize_py(value)
     if text is None:
         raise ValueError(MSG_REQUIRED)
-    if re.fullmatch(r"-?\d+", text):
-        return _dt.datetime(1970, 1, 1) + _dt.timedelta(milliseconds=int(text))
-    parsed = parse_instant_py(text)
-    if parsed is not None:
-        return parsed
+    value = parse_instant_py(text)
+    if value is None:
+        for form in (_epoch_millis, _sql_text, _date_text):
+            try:
+                value = form(text)
+            except (ValueError, OverflowError):
+                value = None
+            if value is not None:
+                break
+    if value is None:
+        raise ValueError(MSG_BAD_BOUND)
+    return value
+
+
+def _epoch_millis(text: str) -> _dt.datetime | None:
+    return _dt.datetime(1970, 1, 1) + _dt.timedelta(milliseconds=int(text)) if re.fullmatch(r"-?\d+", text) else None
+
+
+def _sql_text(text: str) -> _dt.datetime | None:
     m = re.fullmatch(r"(\d{4})-(\d{1,2})-(\d{1,2}) (\d{1,2}):(\d{1,2}):(\d{1,2})(?:\.(\d{1,9}))?", text)
-    if m:
-        y, mo, d, h, mi, s, frac = m.groups()
-        return _dt.datetime(int(y), int(mo), int(d), int(h), int(mi), int(s),
-                            int((frac or "0").ljust(9, "0")[:6]))
-    m = re.fullmatch(r"(\d{4})-(\d{2})-(\d{2})", text)
-    if m:
-        return _dt.datetime(*(int(x) for x in m.groups()))
-    raise ValueError(MSG_BAD_BOUND)
+    return _dt.datetime(*(int(x) for x in m.groups()[:6]), int((m[7] or "0").ljust(9, "0")[:6])) if m else None
+
+
+def _date_text(text: str) -> _dt.datetime | None:
+    return _dt.datetime(*(int(x) for x in text.split("-"))) if re.fullmatch(r"\d{4}-\d{2}-\d{2}", text) else None
 
 
 # --- column side ---------------------------------------------------------------------------
@@ -131,28 +157,49 @@ def parse_iso_millis(c) -> Column:
     return F.unix_millis(parse_iso_instant(c))
 
 
-def parse_instant_filter(c) -> Column:
-    """X1 for columns: offset/zoned forms, or local date-time read as UTC (session UTC)."""
+def _known_zone(t: Column) -> Column:
+    """No zone in brackets, or one that exists."""
+    zone = F.regexp_extract(t, r"\[([^\]]*)\]$", 1)
+    return ~F.endswith(t, F.lit("]")) | zone.isin(*sorted(zone_ids()))
+
+
+def _common_era(c) -> Column:
+    """Normalised text; null in the year 0000, which the driver form cannot hold."""
     t = normalize(c)
+    return F.when(~t.startswith("0000-"), t)
+
+
+def parse_instant_filter(c) -> Column:
+    """X1 for columns: offset/zoned forms, or local date-time read as UTC."""
+    t = _common_era(c)
     fixed = _micros_cut(_with_seconds(t))
     return (
-        F.when(t.rlike(_OFFSET_FORM), fixed.try_cast("timestamp"))
-        .when(t.rlike(_LOCAL_FORM), fixed.try_cast("timestamp"))
+        F.when(t.rlike(_OFFSET_FORM) & _known_zone(t), fixed.try_cast("timestamp"))
+        .when(t.rlike(_LOCAL_FORM), F.concat(fixed, F.lit("Z")).try_cast("timestamp"))
     )
 
 
 def parse_window_bound(c) -> Column:
     """X2 for columns: epoch millis text, ISO forms, SQL text, local, date -> timestamp."""
-    t = normalize(c)
+    t = _common_era(c)
     fixed = _micros_cut(_with_seconds(t))
     return (
-        F.when(t.rlike(r"^-?\d+$"), F.timestamp_millis(t.try_cast("long")))
-        .when(t.rlike(_OFFSET_FORM) | t.rlike(_LOCAL_FORM), fixed.try_cast("timestamp"))
-        .when(t.rlike(_SQL_FORM), _micros_cut(t).try_cast("timestamp"))
-        .when(t.rlike(_DATE_FORM), t.try_cast("date").cast("timestamp"))
+        F.when(t.rlike(r"^-?\d+$"), _bounded_millis(t.try_cast("long")))
+        .when(t.rlike(_OFFSET_FORM) & _known_zone(t), fixed.try_cast("timestamp"))
+        .when(t.rlike(_LOCAL_FORM), F.concat(fixed, F.lit("Z")).try_cast("timestamp"))
+        .when(t.rlike(_SQL_FORM), F.concat(_micros_cut(t), F.lit("Z")).try_cast("timestamp"))
+        .when(t.rlike(_DATE_FORM), F.concat(t, F.lit("T00:00:00Z")).try_cast("timestamp"))
     )
 
 
+# First and last millisecond of the years 1 to 9999, the instants both forms can hold.
+MIN_MILLIS, MAX_MILLIS = -62135596800000, 253402300799999
+
+
+def _bounded_millis(ms: Column) -> Column:
+    return F.when(ms.between(MIN_MILLIS, MAX_MILLIS), F.timestamp_millis(ms))
+
+
 def window_bound_error(c, label: str) -> Column:
     t = normalize(c)
     return (
@@ -161,14 +208,22 @@ def window_bound_error(c, label: str) -> Column:
     )
 
 
+def _utc_wall_clock(ts: Column) -> Column:
+    """The instant's UTC date and time without a zone; a value without a zone is UTC already."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    shifted = F.timestamp_add("MICROSECOND", F.unix_micros(ts.cast("timestamp")), epoch)
+    return F.when(F.typeof(ts) == "timestamp_ntz", ts.cast("timestamp_ntz")).otherwise(shifted)
+
+
 def format_instant(c) -> Column:
-    """ISO-8601 text in UTC; a zero fraction is not printed, else 3 or 6 digits.
-    One formatting call per row, cut to length by the microseconds."""
-    ts = col_of(c)
-    full = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    micros = F.unix_micros(ts.cast("timestamp")) % F.lit(1_000_000)
-    cut = F.when(micros == 0, F.substring(full, 1, 19)).when(micros % 1000 == 0, F.substring(full, 1, 23)).otherwise(full)
-    return F.concat(cut, F.lit("Z"))
+    """ISO-8601 text in UTC, whatever the session's zone; a zero fraction is not printed,
+    else 3 or 6 digits."""
+    text = _utc_wall_clock(col_of(c)).cast("string")  # prints as many fraction digits as needed
+    whole = F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8))
+    fraction = F.substring(text, 21, 6)
+    n = F.length(fraction)
+    return F.concat(whole, F.when(n == 0, F.lit("")).otherwise(
+        F.concat(F.lit("."), F.rpad(fraction, 6, "0").substr(F.lit(1), F.when(n <= 3, F.lit(3)).otherwise(F.lit(6))))), F.lit("Z"))
 
 
 def source_window(start, end, tz, preserve: bool):
@@ -182,6 +237,21 @@ def source_window(start, end, tz, preserve: bool):
     zone = col_of(tz) if not isinstance(tz, str) else F.lit(tz)
 
     def shift(x: Column) -> Column:
-        return F.when(x == F.date_trunc("day", x), F.to_utc_timestamp(x, zone)).otherwise(x)
+        midnight = F.pmod(F.unix_micros(x.cast("timestamp")), F.lit(86_400_000_000)) == 0
+        return F.when(midnight, F.to_utc_timestamp(x, zone)).otherwise(x)
 
     return shift(s), shift(e)
+
+
+def source_window_py(start: _dt.datetime, end: _dt.datetime, tz: str, preserve: bool) -> tuple[_dt.datetime, _dt.datetime]:
+    """X5 on the driver, for naive UTC bounds."""
+    if preserve:
+        return start, end
+    zone = zoneinfo.ZoneInfo(tz)
+
+    def shift(x: _dt.datetime) -> _dt.datetime:
+        if x.time() != _dt.time():
+            return x
+        return x.replace(tzinfo=zone).astimezone(_dt.timezone.utc).replace(tzinfo=None)
+
+    return shift(start), shift(end)

@@ -11,7 +11,7 @@ import zoneinfo
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.endpoints import normalize_api_version, normalize_url, url_error, valid_api_version
@@ -95,19 +95,32 @@ NOT_FOUND = "Shopify auth config '{id}' was not found."
 OTHER_AUTOMATION_TENANT = "Shopify auth config '{id}' is not available in this automation tenant."
 OTHER_ACTIVE_TENANT = "Shopify auth config '{id}' is not available in your active tenant."
 INACTIVE = "Shopify auth config {id} is inactive."
-NOT_PERMITTED = "Shopify auth config {id} is not enabled for order reads."
+NOT_PERMITTED = "Shopify auth config {id} is not enabled for {what}."
+# Fixed value: what the default permission flag stands for.
+ORDER_READS = "order reads"
 
 
-def check_usable(requests: DataFrame, configs: DataFrame, key: str = "request_id") -> DataFrame:
+def left_join_by_id(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """Left join on a key that may be blank: rows without one stay out of the shuffle, where they
+    would all meet in one partition."""
+    with_id = rows.filter(F.col(key).isNotNull()).join(table, key, "left")
+    extra = [F.lit(None).cast(f.dataType).alias(f.name) for f in table.schema.fields if f.name != key]
+    return with_id.unionByName(rows.filter(F.col(key).isNull()).select("*", *extra))
+
+
+def check_usable(requests: DataFrame, configs: DataFrame, key: str = "request_id",
+                 permission_col: str | None = "can_read_orders") -> DataFrame:
     """Per request (``config_id``, ``trusted_tenant`` or ``session_tenant``) the ordered
     error list: id blank; not found; other tenant (two wordings); then -- only when those
-    passed -- inactive (null counts as Y) and not permitted (null counts as N)."""
+    passed -- inactive (null counts as Y) and not permitted (null counts as N).
+
+    ``permission_col`` is the flag that must not be N; None asks for no permission."""
     r = requests.select(key, normalize("config_id").alias("_cid"), normalize("trusted_tenant").alias("_trusted"),
                         normalize("session_tenant").alias("_session"))
     c = configs.select(F.col("config_id").alias("_cid"), F.lit(True).alias("_found"),
                        normalize("tenant_id").alias("_tenant"), F.col("is_active").alias("_active"),
-                       F.col("can_read_orders").alias("_read"))
-    j = r.join(c, "_cid", "left")
+                       (F.col(permission_col) if permission_col else F.lit("Y")).cast("string").alias("_read"))
+    j = left_join_by_id(r, c, "_cid")
     cid = F.coalesce(F.col("_cid"), F.lit(""))
     found = F.coalesce(F.col("_found"), F.lit(False))
     tenant_ok = F.when(F.col("_trusted").isNotNull(), F.col("_tenant").eqNullSafe(F.col("_trusted"))).otherwise(
@@ -117,7 +130,8 @@ def check_usable(requests: DataFrame, configs: DataFrame, key: str = "request_id
              .when(~tenant_ok, F.when(F.col("_trusted").isNotNull(), _text(OTHER_AUTOMATION_TENANT, id=cid))
                    .otherwise(_text(OTHER_ACTIVE_TENANT, id=cid))))
     inactive = F.when(first.isNull() & (F.upper(F.coalesce(normalize("_active"), F.lit("Y"))) == "N"), _text(INACTIVE, id=cid))
-    denied = F.when(first.isNull() & (F.upper(F.coalesce(normalize("_read"), F.lit("N"))) == "N"), _text(NOT_PERMITTED, id=cid))
+    denied = F.when(first.isNull() & (F.upper(F.coalesce(normalize("_read"), F.lit("N"))) == "N"),
+                    _text(NOT_PERMITTED, id=cid, what=F.lit(ORDER_READS if permission_col == "can_read_orders" else permission_col or "")))
     errors = F.array_compact(F.array(first, inactive, denied))
     return j.select(key, F.col("_cid").alias("config_id"), (F.size(errors) == 0).alias("usable"), errors.alias("errors"))
 
@@ -139,30 +153,30 @@ ZONE_INVALID = "Shopify timezone '{tz}' is not valid."
 
 
 def merge_configs(current: DataFrame, updates: DataFrame, active_tenant: str, active_user: str,
-                  position_col: str | None = None):
-    """Upsert. Returns ``(merged, outcomes)``: the new table and, per update key,
-    ``action`` (inserted / updated / rejected) with the error list.
-
-    Blank token keeps the stored one; blank time zone keeps the stored one, else UTC; owner
-    and creator are kept (new rows get the active tenant and user); description, URL, version
-    and flags are overwritten (flags default Y / N); another tenant's row is refused. The last
-    update per key wins when several are given."""
+                  position_col: str):
+    """Upsert, as if the updates were saved one at a time in ``position_col`` order (which must
+    tell the updates of a key apart). Returns ``(merged, outcomes)``: the new table and, for every
+    update, its position, ``action`` (inserted / updated / rejected) and the error list.
+
+    A rejected update changes nothing; the last valid one of a key decides. Blank token and blank
+    time zone keep what is stored by then (no zone: UTC); owner and creator are kept (new rows get
+    the active tenant and user); description, URL, version and flags are overwritten (flags default
+    Y / N); another tenant's row is refused."""
     spark = current.sparkSession
-    pos = F.col(position_col) if position_col else F.lit(0)
     u = updates.select(
         normalize("config_id").alias("config_id"), normalize("description").alias("u_description"),
         normalize_url(F.col("shop_api_url")).alias("u_url"), normalize_api_version(F.col("api_version")).alias("u_version"),
         normalize("time_zone").alias("u_zone"), normalize("access_token").alias("u_token"),
         indicator(F.col("is_active"), True).alias("u_active"), indicator(F.col("can_read_orders"), False).alias("u_read"),
-        pos.alias("_pos"),
+        F.col(position_col).alias("_pos"),
     )
-    keyed = u.filter(F.col("config_id").isNotNull())
-    last = keyed.groupBy("config_id").agg(F.max_by(F.struct(*[c for c in keyed.columns if c != "config_id"]), "_pos").alias("u")).select("config_id", "u.*")
-    blank_ids = u.filter(F.col("config_id").isNull())
     cur = current.select(*[F.col(c).alias("c_" + c if c != "config_id" else c) for c in CONFIG_COLUMNS],
                          F.lit(True).alias("_found"))
-    j = last.unionByName(blank_ids).join(cur, "config_id", "left")
-    exists = F.coalesce(F.col("_found"), F.lit(False))
+    j = left_join_by_id(u, cur, "config_id").withColumn("_exists", F.coalesce(F.col("_found"), F.lit(False)))
+    j = j.withColumn("c_zone", normalize("c_time_zone"))
+    zones = F.broadcast(zone_table(spark))
+    for name in ("u_zone", "c_zone"):
+        j = j.join(zones.select(F.col("zone").alias(name), F.lit(True).alias(f"{name}_known")), name, "left")
     uerr = url_error(F.col("u_url"))
     basic = F.array(
         F.when(F.col("config_id").isNull(), F.lit(ID_REQUIRED)),
@@ -171,36 +185,54 @@ def merge_configs(current: DataFrame, updates: DataFrame, active_tenant: str, ac
         F.when(F.col("u_version").isNull(), F.lit(VERSION_REQUIRED)),
         F.when(F.col("u_version").isNotNull() & ~valid_api_version(F.col("u_version")), F.lit(VERSION_INVALID)),
     )
-    basic_ok = F.size(F.array_compact(basic)) == 0
+    j = j.withColumn("_basic", F.array_compact(basic))
     # the stored row is only looked at once the request itself is valid
-    zone = F.coalesce(F.col("u_zone"), F.when(basic_ok, normalize("c_time_zone")), F.lit(DEFAULT_TIME_ZONE))
-    zones = zone_table(spark)
-    j = j.withColumn("_zone", zone).join(F.broadcast(zones.withColumn("_zone_ok", F.lit(True))),
-                                         F.col("_zone") == zones["zone"], "left").drop("zone")
-    other_tenant = basic_ok & exists & F.col("c_tenant_id").isNotNull() & (F.col("c_tenant_id") != F.lit(active_tenant))
-    before_token = F.array_compact(F.concat(
-        basic,
-        F.array(F.when(other_tenant, _text(OTHER_ACTIVE_TENANT, id=F.col("config_id")))),
-        F.array(F.when(F.col("_zone_ok").isNull(), _text(ZONE_INVALID, tz=F.col("_zone")))),
-    ))
-    errors = F.array_compact(F.concat(before_token, F.array(
-        F.when((F.size(before_token) == 0) & ~exists & F.col("u_token").isNull(), F.lit(TOKEN_REQUIRED)))))
-    j = j.withColumns({"_errors": errors, "_exists": exists})
-    ok = F.size(F.col("_errors")) == 0
-    outcomes = j.select("config_id", F.when(~ok, F.lit("rejected")).when(F.col("_exists"), F.lit("updated"))
+    basic_ok = F.size("_basic") == 0
+    other_tenant = F.col("_exists") & F.col("c_tenant_id").isNotNull() & (F.col("c_tenant_id") != F.lit(active_tenant))
+    own_zone = F.col("u_zone").isNotNull()
+    sound = basic_ok & ~other_tenant
+    j = j.withColumns({
+        "_other": basic_ok & other_tenant,
+        # such an update is saved whatever came before it, but for a new row's token
+        "_sets_zone": sound & own_zone & F.col("u_zone_known").isNotNull(),
+        "_brings_token": sound & F.col("u_token").isNotNull() & (~own_zone | F.col("u_zone_known").isNotNull()),
+    })
+    # what the updates of a key up to this one, and before it, have left in the table; updates without
+    # a key are spread by position, since each is refused on its own
+    order = Window.partitionBy("config_id", F.when(F.col("config_id").isNull(), F.col("_pos"))).orderBy("_pos")
+    so_far, before = order.rowsBetween(Window.unboundedPreceding, 0), order.rowsBetween(Window.unboundedPreceding, -1)
+    j = j.withColumn("_has_token", F.col("_exists") | F.max("_brings_token").over(so_far))
+    j = j.withColumn("_left_zone", F.last(F.when(F.col("_sets_zone") & F.col("_has_token"), F.col("u_zone")), True).over(before))
+    zone_used = F.coalesce("u_zone", "_left_zone", F.when(basic_ok, F.col("c_zone")), F.lit(DEFAULT_TIME_ZONE))
+    zone_ok = (F.when(own_zone, F.col("u_zone_known").isNotNull()).when(F.col("_left_zone").isNotNull(), F.lit(True))
+               .when(basic_ok & F.col("c_zone").isNotNull(), F.col("c_zone_known").isNotNull()).otherwise(F.lit(True)))
+    j = j.withColumns({"_zone": zone_used, "_zone_ok": zone_ok})
+    before_token = F.concat(F.col("_basic"), F.array_compact(F.array(
+        F.when(F.col("_other"), _text(OTHER_ACTIVE_TENANT, id=F.col("config_id"))),
+        F.when(~F.col("_zone_ok"), _text(ZONE_INVALID, tz=F.col("_zone"))))))
+    j = j.withColumn("_first_errors", before_token)
+    errors = F.concat(F.col("_first_errors"), F.array_compact(F.array(
+        F.when((F.size("_first_errors") == 0) & ~F.col("_has_token"), F.lit(TOKEN_REQUIRED)))))
+    j = j.withColumn("_errors", errors).withColumn("_ok", F.size("_errors") == 0)
+    j = j.withColumns({
+        "_saved_before": F.coalesce(F.max("_ok").over(before), F.lit(False)),
+        "_token": F.last(F.when(F.col("_ok"), F.col("u_token")), True).over(so_far),
+    })
+    outcomes = j.select("config_id", F.col("_pos").alias("position"),
+                        F.when(~F.col("_ok"), F.lit("rejected")).when(F.col("_exists") | F.col("_saved_before"), F.lit("updated"))
                         .otherwise(F.lit("inserted")).alias("action"), F.col("_errors").alias("errors"))
-    stored = j.filter(ok).select(
-        "config_id",
+    row = F.struct(
         F.col("u_description").alias("description"),
         F.coalesce(F.col("c_tenant_id"), F.lit(active_tenant)).alias("tenant_id"),
         F.when(F.col("c_tenant_id").isNotNull(), F.col("c_created_by")).otherwise(F.lit(active_user)).alias("created_by"),
         F.col("u_url").alias("shop_api_url"),
         F.col("u_version").alias("api_version"),
         F.col("_zone").alias("time_zone"),
-        F.coalesce(F.col("u_token"), F.col("c_access_token")).alias("access_token"),
+        F.coalesce(F.col("_token"), F.col("c_access_token")).alias("access_token"),
         F.col("u_active").alias("is_active"),
         F.col("u_read").alias("can_read_orders"),
     )
+    stored = j.filter("_ok").groupBy("config_id").agg(F.max_by(row, "_pos").alias("r")).select("config_id", "r.*")
     untouched = current.join(stored.select("config_id"), "config_id", "left_anti").select(*CONFIG_COLUMNS)
     return untouched.unionByName(stored.select(*CONFIG_COLUMNS)), outcomes
 
@@ -210,7 +242,7 @@ def delete_configs(current: DataFrame, ids: DataFrame, tenant: str | None, id_co
     Returns ``(remaining, outcomes)``."""
     req = ids.select(F.col(id_col).alias("requested_id"), normalize(F.col(id_col)).alias("config_id"))
     cur = current.select("config_id", normalize("tenant_id").alias("_tenant"), F.lit(True).alias("_found"))
-    j = req.join(cur, "config_id", "left")
+    j = left_join_by_id(req, cur, "config_id")
     cid = F.coalesce(F.col("config_id"), F.lit(""))
     error = (F.when(F.col("config_id").isNull(), F.lit(ID_REQUIRED))
              .when(F.col("_found").isNull(), _text(NOT_FOUND, id=cid))

@@ -1,111 +1,123 @@
 """Exchanges: sweep (S7 F5 F6 W1 W2 P9 A4 T5), nested state (P6 P7 J2 A5), presence.
 
-Returns sit in a child table; each order gets at most ``returns_cap`` of them (list order) as
-an array, so every per-order array is bounded. Everything after that is array functions on
-one row (``filter`` / ``transform`` / ``get``): no shuffle, no explode, no UDF.
+Returns sit in a child table. The sweep needs only totals and the first match of each order, so it
+is one aggregation by order, combined before the shuffle: no array, no window and no limit on the
+number of returns. The state's result is nested by contract; its returns are packed once per order.
+Caps are options, off by default, and a capped result says where it was cut.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.ids import legacy_from_gid, to_order_gid_state
-from ..functions.instants import parse_iso_millis
+from ..functions.instants import format_instant_py, parse_iso_millis
 from ..functions.messages import is_canceled
 from ..functions.money import to_decimal_or_null
 from ..functions.text import normalize
-from .filters import instant_column, not_keyword
-from .paging import sort_columns
+from ..sources.gate import behind
+from .filters import instant_column, instant_literal, not_keyword
+from .paging import sort_columns, truncated_flag
 from .projection import attach_children
 
-# Nested page sizes of the original queries.
-RETURNS_CAP = 10
-SWEEP_EXCHANGE_ITEMS_CAP = 1
-STATE_EXCHANGE_ITEMS_CAP = 20
-STATE_LINE_ITEMS_CAP = 20
+# Fixed value: orders on a page of the original sweep.
 SWEEP_PAGE_SIZE = 100
-SWEEP_MAX_PAGES = 40
 
 RETURN_FIELDS = ("id", "name", "status", "createdAt", "exchangeLineItems")
 
 
-def nest_returns(orders: DataFrame, returns: DataFrame, order_cols, cap: int = RETURNS_CAP,
+def _named(fields) -> dict:
+    return fields if isinstance(fields, dict) else {f: F.col(f) for f in fields}
+
+
+def nest_returns(orders: DataFrame, returns: DataFrame, order_cols, cap: int | None = None,
                  fields=RETURN_FIELDS) -> DataFrame:
-    """T5: the first ``cap`` returns of each order (list order) as array column ``returns``.
+    """T5: the returns of each order (list order) as array column ``returns``; with ``cap`` the
+    first that many, and ``returnsTruncated`` says which orders had more.
 
     ``fields`` is a list of return columns, or a dict {field: Column} of expressions over the
-    return rows, evaluated after the top-n (so the rows sorted and shuffled stay narrow)."""
-    cols = fields if isinstance(fields, dict) else {f: F.col(f) for f in fields}
-    return attach_children(orders, returns, "id", "order_id", list(order_cols), cols, cap, "returns")
+    return rows, evaluated after a cap (so the rows sorted and shuffled stay narrow)."""
+    return attach_children(orders, returns, "id", "order_id", list(order_cols), _named(fields), cap, "returns",
+                           truncated="returnsTruncated" if cap else None)
 
 
-def _has_exchange(r: Column, cap: int) -> Column:
+def _has_exchange(r) -> Column:
     """A non-empty exchange item list (its entries are not inspected here)."""
-    return F.size(F.slice(F.coalesce(r["exchangeLineItems"], F.array()), 1, cap)) > 0
+    return F.size(F.coalesce(r["exchangeLineItems"], F.array())) > 0
 
 
-def in_window_live_exchange(r: Column, start_ms: int, end_ms: int, items_cap: int = SWEEP_EXCHANGE_ITEMS_CAP) -> Column:
-    """>= 1 exchange item, not cancelled, createdAt parses and start <= t < end."""
+def live_exchange(r) -> Column:
+    """>= 1 exchange item and not cancelled; ``r`` is a return struct or {field: Column}."""
+    return F.coalesce(_has_exchange(r) & ~is_canceled(r["status"]), F.lit(False))
+
+
+def in_window_live_exchange(r, start_ms: int, end_ms: int) -> Column:
+    """a live exchange whose createdAt parses and start <= t < end."""
     t = parse_iso_millis(r["createdAt"])
-    return (_has_exchange(r, items_cap) & ~is_canceled(r["status"]) & t.isNotNull()
-            & (t >= F.lit(start_ms)) & (t < F.lit(end_ms)))
+    return live_exchange(r) & t.isNotNull() & (t >= F.lit(start_ms)) & (t < F.lit(end_ms))
 
 
-def first_in_window_return(returns: Column, start_ms: int, end_ms: int,
-                           items_cap: int = SWEEP_EXCHANGE_ITEMS_CAP) -> Column:
-    """The first matching return in list order (null when none)."""
-    live = F.filter(returns, lambda r: r.isNotNull() & in_window_live_exchange(r, start_ms, end_ms, items_cap))
-    return F.get(live, 0)
+def first_in_window_return(returns: Column, start_ms: int, end_ms: int) -> Column:
+    """W1 on nested input: the first matching return in list order (null when none)."""
+    return F.get(F.filter(returns, lambda r: r.isNotNull() & in_window_live_exchange(r, start_ms, end_ms)), 0)
 
 
-def count_exchange_returns(returns: Column, items_cap: int = SWEEP_EXCHANGE_ITEMS_CAP) -> Column:
-    """A4: returns with >= 1 exchange item that are not cancelled, any date."""
-    live = F.filter(F.coalesce(returns, F.array()),
-                    lambda r: r.isNotNull() & _has_exchange(r, items_cap) & ~is_canceled(r["status"]))
-    return F.size(live)
+def count_exchange_returns(returns: Column) -> Column:
+    """A4 on nested input: live exchanges of any date."""
+    return F.size(F.filter(F.coalesce(returns, F.array()), lambda r: r.isNotNull() & live_exchange(r)))
+
+
+def exchange_totals(returns: DataFrame, return_order, start_ms: int, end_ms: int, fields=RETURN_FIELDS) -> DataFrame:
+    """W1 and A4 over the return table: per ``order_id`` the count of live exchanges, the count of
+    returns, and the first in-window live exchange in list order."""
+    r = _named(fields)
+    hit = in_window_live_exchange(r, start_ms, end_ms)
+    first = F.struct(r["id"].alias("id"), r["name"].alias("name"), r["status"].alias("status"),
+                     parse_iso_millis(r["createdAt"]).alias("createdMillis"))
+    return returns.groupBy("order_id").agg(
+        F.count_if(live_exchange(r)).alias("exchangeReturnCount"),
+        F.count(F.lit(1)).alias("returnCount"),
+        F.min_by(F.when(hit, first), F.when(hit, F.struct(*return_order))).alias("hit"),
+    )
 
 
 def sweep_candidates(orders: DataFrame, start_iso: str) -> DataFrame:
     """``updatedAt >= start`` (no upper bound: later activity must not hide an in-window
     return) and return status other than ``no_return`` (F5)."""
-    from .filters import instant_literal
     ts = instant_column(orders, "updatedAt")
     return orders.filter((ts >= instant_literal(orders, "updatedAt", start_iso)) & not_keyword(F.col("returnStatus"), "no_return"))
 
 
 def sweep_exchanges(orders: DataFrame, returns: DataFrame, return_order, start_ms: int, end_ms: int,
-                    max_pages: int | None = None, page_size: int = SWEEP_PAGE_SIZE, fields=RETURN_FIELDS):
+                    max_pages: int | None = None, page_size: int = SWEEP_PAGE_SIZE, fields=RETURN_FIELDS,
+                    status: DataFrame | None = None):
     """S7 -> optional T4 cap (``max_pages x page_size`` orders in updatedAt order) -> W1 ->
     legacy id present (no gid fallback here) -> P9 with A4.
 
     Returns ``(exchanges, truncated)``; ``truncated`` is a one-row frame. ``max_pages=None``
-    (no cap) is the default: the sweep sees every candidate."""
-    from ..functions.instants import format_instant_py
-    import datetime as _dt
-    start_iso = format_instant_py(_dt.datetime(1970, 1, 1) + _dt.timedelta(milliseconds=start_ms))
-    cands = sweep_candidates(orders, start_iso)
-    if max_pages is not None:
-        cap = max_pages * page_size
-        truncated = cands.limit(cap + 1).agg((F.count(F.lit(1)) > cap).alias("truncated"))
+    (no cap) is the default: the sweep sees every candidate. ``status`` is the lookup's one-row
+    status (column ``ok``): a failed lookup yields no exchanges."""
+    cands = sweep_candidates(orders, format_instant_py(_dt.datetime(1970, 1, 1) + _dt.timedelta(milliseconds=start_ms)))
+    cap = None if max_pages is None else max_pages * page_size
+    truncated = truncated_flag(cands, cap)
+    if cap is not None:
         cands = cands.orderBy(*sort_columns(cands, "UPDATED_AT", False)).limit(cap)
-    else:
-        truncated = orders.sparkSession.range(1).select(F.lit(False).alias("truncated"))
-    nested = nest_returns(cands.select("id", "legacyResourceId", "name"), returns, return_order, fields=fields)
-    hit = first_in_window_return(F.col("returns"), start_ms, end_ms)
-    rows = nested.select("legacyResourceId", "name", hit.alias("_hit"),
-                         count_exchange_returns(F.col("returns")).alias("exchangeReturnCount"))
-    rows = rows.filter(F.col("_hit").isNotNull() & (F.coalesce(F.col("legacyResourceId"), F.lit("")) != ""))
-    exchanges = rows.select(
+    totals = exchange_totals(returns, return_order, start_ms, end_ms, fields).filter(F.col("hit").isNotNull())
+    known = cands.select("id", "legacyResourceId", "name").filter(F.coalesce(F.col("legacyResourceId"), F.lit("")) != "")
+    exchanges = known.join(totals, known["id"] == totals["order_id"]).select(
         F.col("legacyResourceId").alias("externalId"),
         F.col("name").alias("orderName"),
-        F.col("_hit.id").alias("returnId"),
-        F.col("_hit.name").alias("returnName"),
-        F.col("_hit.status").alias("returnStatus"),
-        parse_iso_millis(F.col("_hit.createdAt")).alias("returnCreatedAtMillis"),
-        F.col("exchangeReturnCount"),
+        F.col("hit.id").alias("returnId"),
+        F.col("hit.name").alias("returnName"),
+        F.col("hit.status").alias("returnStatus"),
+        F.col("hit.createdMillis").alias("returnCreatedAtMillis"),
+        F.col("exchangeReturnCount").cast("int").alias("exchangeReturnCount"),
     )
-    return exchanges, truncated
+    return behind(exchanges, status), truncated
 
 
 # --- P7 / P6 / J2 -----------------------------------------------------------------------
@@ -130,23 +142,33 @@ def normalize_child_shape(text: Column) -> tuple[Column, Column]:
     return F.filter(items, lambda x: x.isNotNull()), shape
 
 
-def _state_item(x: Column, line_cap: int) -> Column:
-    lines = F.filter(F.coalesce(x["lineItems"], F.array()), lambda y: y.isNotNull())
+def _line_items(item: Column, is_text: bool) -> tuple[Column, Column]:
+    """(line items, shape) of an exchange item whose ``lineItems`` is an array or JSON text."""
+    if is_text:
+        return normalize_child_shape(item["lineItems"])
+    return F.filter(F.coalesce(item["lineItems"], F.array()), lambda y: y.isNotNull()), F.lit("list")
+
+
+def _state_item(x: Column, is_text: bool) -> Column:
+    lines, shape = _line_items(x, is_text)
     return F.struct(
         x["id"].alias("id"), x["quantity"].alias("quantity"),
-        F.transform(F.slice(lines, 1, line_cap),
-                    lambda y: F.struct(y["id"].alias("id"), y["sku"].alias("sku"), y["quantity"].alias("quantity"))).alias("lineItems"),
+        F.transform(lines, lambda y: F.struct(y["id"].alias("id"), y["sku"].alias("sku"), y["quantity"].alias("quantity"))).alias("lineItems"),
+        shape.alias("shape"),
     )
 
 
-def exchange_state(nested: DataFrame, items_cap: int = STATE_EXCHANGE_ITEMS_CAP,
-                   line_cap: int = STATE_LINE_ITEMS_CAP, keep=()) -> DataFrame:
+def exchange_state(nested: DataFrame, keep=()) -> DataFrame:
     """Per order the return status, current total (bad amount -> null) and the returns that
-    carry >= 1 exchange item -- cancelled ones included."""
+    carry >= 1 exchange item -- cancelled ones included. Line items come as an array or as JSON
+    text in either shape (P7); each exchange item records the ``shape`` it had."""
+    item_type = nested.schema["returns"].dataType.elementType["exchangeLineItems"].dataType.elementType
+    is_text = isinstance(item_type["lineItems"].dataType, T.StringType)
+
     def ex(r: Column) -> Column:
-        items = F.filter(F.slice(F.coalesce(r["exchangeLineItems"], F.array()), 1, items_cap), lambda x: x.isNotNull())
+        items = F.filter(F.coalesce(r["exchangeLineItems"], F.array()), lambda x: x.isNotNull())
         return F.struct(r["id"].alias("returnId"), r["status"].alias("status"), r["createdAt"].alias("createdAt"),
-                        F.transform(items, lambda x: _state_item(x, line_cap)).alias("exchangeLineItems"))
+                        F.transform(items, lambda x: _state_item(x, is_text)).alias("exchangeLineItems"))
     exchanges = F.filter(F.transform(F.filter(F.coalesce(F.col("returns"), F.array()), lambda r: r.isNotNull()), ex),
                          lambda e: F.size(e["exchangeLineItems"]) > 0)
     money = F.col("currentTotalPriceSet.shopMoney")
@@ -161,13 +183,13 @@ def exchange_state(nested: DataFrame, items_cap: int = STATE_EXCHANGE_ITEMS_CAP,
 
 def exchange_state_lookup(requests: DataFrame, orders: DataFrame, returns: DataFrame, return_order,
                           request_col: str = "requested_id", position_col: str | None = None,
-                          fields=RETURN_FIELDS) -> DataFrame:
+                          fields=RETURN_FIELDS, status: DataFrame | None = None) -> DataFrame:
     """Requested ids -> canonical gids (deduped) -> matching orders -> P6, keyed by the
     legacy id (else the text after the last ``/``); a later request wins on an equal key (A5).
 
     The keep-last choice is made on the narrow (key, id, position) rows before any nesting, so
-    only the winning orders are nested. Empty input is *not ok* in the original; callers check
-    ``requests`` with :func:`state_lookup_ok` before trusting an empty result."""
+    only the winning orders are nested. ``status`` is the lookup's one-row status (column ``ok``):
+    a failed lookup yields nothing. Empty input is *not ok*: :func:`state_lookup_ok` says so."""
     pos = F.col(position_col) if position_col else F.lit(0).cast("long")
     gids = (requests.select(to_order_gid_state(F.col(request_col)).alias("_gid"), pos.alias("_pos"))
             .filter(F.col("_gid").isNotNull()).groupBy("_gid").agg(F.min("_pos").alias("_pos")))
@@ -180,13 +202,17 @@ def exchange_state_lookup(requests: DataFrame, orders: DataFrame, returns: DataF
                         "left_semi")
     nested = nest_returns(chosen.select("id", "order_key", "legacyResourceId", "returnStatus", "currentTotalPriceSet"),
                           returns, return_order, fields=fields)
-    return exchange_state(nested, keep=("order_key",)).select("order_key", *[c for c in (
-        "id", "legacyResourceId", "returnStatus", "currentTotalAmount", "currentTotalCurrency", "exchanges")])
+    return behind(exchange_state(nested, keep=("order_key",)), status).select(
+        "order_key", "id", "legacyResourceId", "returnStatus", "currentTotalAmount", "currentTotalCurrency", "exchanges")
 
 
-def state_lookup_ok(requests: DataFrame, request_col: str = "requested_id") -> DataFrame:
-    """One row: ``ok`` is false when no usable id was requested (the original's contract)."""
-    return requests.agg(F.count(to_order_gid_state(F.col(request_col))).alias("n")).select((F.col("n") > 0).alias("ok"))
+def state_lookup_ok(requests: DataFrame, request_col: str = "requested_id", status: DataFrame | None = None) -> DataFrame:
+    """One row: ``ok`` is false when no usable id was requested (the original's contract), or when
+    the lookup's own ``status`` is not ok."""
+    asked = requests.agg(F.count(to_order_gid_state(F.col(request_col))).alias("n")).select((F.col("n") > 0).alias("ok"))
+    if status is None:
+        return asked
+    return asked.unionByName(status.select("ok")).agg(F.coalesce(F.bool_and("ok") & (F.count("ok") == 2), F.lit(False)).alias("ok"))
 
 
 def exchange_presence(sweep: DataFrame, other_counts: DataFrame, key: str = "externalId",

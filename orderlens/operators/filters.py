@@ -37,7 +37,7 @@ def instant_literal(df: DataFrame, name: str, iso_text: str) -> Column:
     shadow = INSTANT_PREFIX + name
     if shadow in df.columns and isinstance(df.schema[shadow].dataType, T.TimestampNTZType):
         return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
-    return F.lit(value.isoformat(sep=" ")).cast("timestamp")
+    return F.lit(value.isoformat(sep=" ") + "Z").cast("timestamp")
 
 
 def compile_filters(df: DataFrame, source: SourceDef, filters: dict) -> Column | None:

@@ -56,9 +56,10 @@ def after_predicate(df: DataFrame, sort_key: str, cursor: str, reverse: bool, id
     if sort_text is None or parse_instant_py(sort_text) is None:
         return k.isNull() & ((i < F.lit(row_id)) if reverse else (i > F.lit(row_id)))
     v = instant_literal(df, field, sort_text)
+    # the first part follows from the second; alone it is simple enough to reach the scan
     if reverse:
-        return (k < v) | ((k == v) & (i < F.lit(row_id))) | k.isNull()
-    return (k > v) | ((k == v) & (i > F.lit(row_id))) | k.isNull()
+        return ((k <= v) | k.isNull()) & ((k < v) | ((k == v) & (i < F.lit(row_id))) | k.isNull())
+    return ((k >= v) | k.isNull()) & ((k > v) | ((k == v) & (i > F.lit(row_id))) | k.isNull())
 
 
 @dataclass
@@ -82,24 +83,14 @@ def page(df: DataFrame, sort_key: str, size: int, after: str | None = None, reve
     """One keyset page. ``rows`` keeps every input column plus ``cursor``."""
     if after:
         df = df.filter(after_predicate(df, sort_key, after, reverse, id_col))
-    order = sort_columns(df, sort_key, reverse, id_col)
-    with_cursor = df.withColumn("cursor", cursor_column(df, sort_key, id_col))
-    probe = with_cursor.orderBy(*order).limit(size + 1)
-    # a window over at most size + 1 rows (the limit above bounds it)
-    probe = probe.withColumn("_page_pos", F.row_number().over(
-        Window.orderBy(*sort_columns(probe, sort_key, reverse, id_col))))
-    rows = with_cursor.orderBy(*order).limit(size)
+    # one top-k of size + 1 rows; cursor texts and positions are made for those rows only
+    top = df.orderBy(*sort_columns(df, sort_key, reverse, id_col)).limit(size + 1)
+    probe = top.withColumn("cursor", cursor_column(top, sort_key, id_col)).withColumn(
+        "_page_pos", F.row_number().over(Window.orderBy(*sort_columns(top, sort_key, reverse, id_col))))
+    rows = probe.filter(F.col("_page_pos") <= size).orderBy("_page_pos").drop("_page_pos")
     return Page(rows=rows, probe=probe, size=size)
 
 
-def cap_rows(df: DataFrame, order: list[Column], max_rows: int | None) -> tuple[DataFrame, Column | None]:
-    """T4: keep the first ``max_rows`` rows in order; ``truncated`` is true only if more
-    remained. ``max_rows=None`` (the default at scale) keeps everything."""
-    if max_rows is None:
-        return df, None
-    return df.orderBy(*order).limit(max_rows), None
-
-
 def truncated_flag(df: DataFrame, max_rows: int | None) -> DataFrame:
     """One-row frame: did the input hold more than ``max_rows`` rows?"""
     if max_rows is None:

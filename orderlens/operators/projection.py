@@ -58,24 +58,33 @@ def slice_children(c, n: int) -> Column:
 
 
 def attach_children(parents: DataFrame, children: DataFrame, parent_key: str, child_key: str,
-                    order_cols, child_cols: dict, n: int, name: str, max_parents: int | None = None) -> DataFrame:
-    """P5 on a child table: the first ``n`` children per parent (``order_cols`` order) as an
-    array ``name`` of structs built from ``child_cols`` ({field: Column}).
-
-    The array never holds more than ``n`` entries, so the per-parent collect is bounded.
-    ``max_parents`` is a proven bound on the parent rows (a page); the parent keys are then
-    broadcast explicitly, otherwise the join strategy is left to AQE's runtime size check."""
-    parent_keys = parents.select(F.col(parent_key).alias(child_key)).distinct()
+                    order_cols, child_cols: dict, n: int | None, name: str, max_parents: int | None = None,
+                    truncated: str | None = None) -> DataFrame:
+    """P5 on a child table: the children of each parent (``order_cols`` order) as an array ``name``
+    of structs built from ``child_cols`` ({field: Column}); with ``n`` the first that many, and a
+    boolean column ``truncated`` may tell whether there were more.
+
+    ``parent_key`` identifies a parent row. ``max_parents`` is a proven bound on the parent rows (a
+    page); the parent keys are then broadcast explicitly, otherwise the join strategy is left to
+    AQE's runtime size check."""
+    parent_keys = parents.select(F.col(parent_key).alias(child_key))
     if max_parents is not None:
         parent_keys = F.broadcast(parent_keys)
-    keys = children.join(parent_keys, child_key, "left_semi")
-    ranked = top_n_per_group(keys, [child_key], order_cols, n, out="_pos")
-    packed = ranked.select(child_key, F.struct(F.col("_pos"), F.struct(*[c.alias(k) for k, c in child_cols.items()]).alias("v")).alias("e"))
+    kept = children.join(parent_keys, child_key, "left_semi")
+    value = F.struct(*[c.alias(k) for k, c in child_cols.items()]).alias("v")
+    if n is None:
+        packed = kept.select(child_key, F.struct(*[F.col(c) if isinstance(c, str) else c for c in order_cols], value).alias("e"))
+    else:  # one more than asked for tells whether there are more
+        ranked = top_n_per_group(kept, [child_key], order_cols, n + 1, out="_pos")
+        packed = ranked.select(child_key, F.struct(F.col("_pos"), value).alias("e"))
     grouped = packed.groupBy(child_key).agg(F.sort_array(F.collect_list("e")).alias("_arr"))
-    grouped = grouped.select(F.col(child_key).alias("_ck"), F.transform("_arr", lambda e: e["v"]).alias(name))
+    values = F.transform("_arr", lambda e: e["v"])
+    more = F.lit(False) if n is None else F.size("_arr") > n
+    grouped = grouped.select(F.col(child_key).alias("_ck"), (values if n is None else F.slice(values, 1, n)).alias(name), more.alias("_more"))
     empty = F.array().cast(grouped.schema[name].dataType)
     out = parents.join(grouped, parents[parent_key] == grouped["_ck"], "left").drop("_ck")
-    return out.withColumn(name, F.coalesce(F.col(name), empty))
+    out = out.withColumn(name, F.coalesce(F.col(name), empty))
+    return out.withColumn(truncated, F.coalesce("_more", F.lit(False))).drop("_more") if truncated else out.drop("_more")
 
 
 def select_fields(df: DataFrame, paths=None, source=None) -> DataFrame:

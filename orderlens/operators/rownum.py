@@ -6,19 +6,16 @@ no larger than #groups + #partitions --, take cumulative offsets over that small
 number each row inside its partition. A group holding a third of all rows is spread over
 many range partitions instead of landing in one task.
 
-``top_n_per_group`` keeps the first n rows per group with a salted first pass: each
-(group, salt) slice keeps its own first n, so the second pass sees at most n x salts rows
-per group, however large the group.
+``top_n_per_group`` is one row number with a limit, which Spark plans with a limit per group
+before the shuffle as well: a task sends at most n rows of a group, however large it is.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..session import cut_lineage
+from ..session import written_stage
 
 _IDX_BITS = 33
 _IDX_MASK = (1 << _IDX_BITS) - 1
@@ -29,54 +26,45 @@ def _cols(xs):
 
 
 def number_rows(df: DataFrame, order_cols, group_cols=(), out: str = "row_no",
-                num_partitions: int | None = None, materialize: str = "persist") -> DataFrame:
+                num_partitions: int | None = None) -> DataFrame:
     """Dense 1-based numbers in ``order_cols`` order within ``group_cols``.
 
-    ``group_cols + order_cols`` must identify a row (ties would make the numbering depend on
-    shuffle read order). The range-sorted, id-tagged frame is persisted so that the count pass
-    and the numbering pass read the very same partitions (two independent range exchanges
-    would sample different bounds, and AQE may re-split a shuffle read). The cache is
-    recomputable from lineage: a lost block is rebuilt from the same shuffle output with the
-    same partitioner and sort, so ids come out the same.
-    """
-    spark = df.sparkSession
+    ``group_cols + order_cols`` should identify a row (ties are numbered in any order). The
+    range-sorted, id-tagged rows are written once to a folder of this call's own, which the count
+    pass and the numbering pass both read: two independent range exchanges would sample different
+    bounds. Without ``num_partitions`` the session's adaptive planning sets their number. Pass
+    narrow rows: every column given is sorted and written."""
     group_cols, order_cols = list(group_cols), list(order_cols)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = _cols(group_cols) + _cols(order_cols)
     gnames = [f"__nr_g{i}" for i in range(len(group_cols))]
-    ranged = (
-        df.withColumns({g: F.col(c) if isinstance(c, str) else c for g, c in zip(gnames, group_cols)})
-        .repartitionByRange(n, *keys)
-        .sortWithinPartitions(*keys)
+    tagged = df.withColumns({g: F.col(c) if isinstance(c, str) else c for g, c in zip(gnames, group_cols)})
+    dealt = tagged.repartitionByRange(num_partitions, *keys) if num_partitions else tagged.repartitionByRange(*keys)
+    ranged = written_stage(
+        dealt.sortWithinPartitions(*keys)
         .withColumn("__nr_mid", F.monotonically_increasing_id())
         .withColumn("__nr_pid", F.shiftright("__nr_mid", _IDX_BITS))
-        .withColumn("__nr_idx", F.col("__nr_mid").bitwiseAND(F.lit(_IDX_MASK)))
-    )
-    ranged = cut_lineage(ranged) if materialize == "checkpoint" else ranged.persist(StorageLevel.MEMORY_AND_DISK)
+        .withColumn("__nr_idx", F.col("__nr_mid").bitwiseAND(F.lit(_IDX_MASK))), "numbered-rows")
     stats = ranged.groupBy(*gnames, "__nr_pid").agg(F.count(F.lit(1)).alias("__nr_cnt"), F.min("__nr_idx").alias("__nr_first"))
     w = Window.partitionBy(*gnames).orderBy("__nr_pid").rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.withColumn("__nr_before", F.coalesce(F.sum("__nr_cnt").over(w), F.lit(0)))
-    joined = ranged.join(stats.drop("__nr_cnt"), on=[*gnames, "__nr_pid"], how="inner")
+    # null-safe on the groups: rows whose group is null are numbered too
+    stats = stats.select(*[F.col(g).alias(g + "s") for g in gnames], F.col("__nr_pid").alias("__nr_pids"), "__nr_first", "__nr_before")
+    same = F.col("__nr_pid") == F.col("__nr_pids")
+    for g in gnames:
+        same = same & F.col(g).eqNullSafe(F.col(g + "s"))
+    joined = ranged.join(stats, same, "inner").drop("__nr_pids", *[g + "s" for g in gnames])
     return joined.withColumn(out, (F.col("__nr_before") + F.col("__nr_idx") - F.col("__nr_first") + 1).cast("long")).drop(
         "__nr_mid", "__nr_pid", "__nr_idx", "__nr_first", "__nr_before", *gnames
     )
 
 
-def top_n_per_group(df: DataFrame, group_cols, order_cols, n: int, out: str | None = None,
-                    salt_buckets: int = 32) -> DataFrame:
+def top_n_per_group(df: DataFrame, group_cols, order_cols, n: int, out: str | None = None) -> DataFrame:
     """First ``n`` rows per group in ``order_cols`` order (asc unless Columns say otherwise).
 
     ``out`` (optional) receives the 1-based position within the group."""
-    group_cols = list(group_cols)
-    order = _cols(order_cols)
-    # salt from the row's own columns (deterministic, so a recomputed task salts the same way)
-    hashable = [F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    salt = F.pmod(F.xxhash64(*hashable), F.lit(salt_buckets))
-    first = Window.partitionBy(*_cols(group_cols), salt).orderBy(*order)
-    pre = df.withColumn("__nr_salt", salt).withColumn("__nr_rn1", F.row_number().over(first)).filter(F.col("__nr_rn1") <= n)
-    second = Window.partitionBy(*_cols(group_cols)).orderBy(*order)
-    pos = out or "__nr_rn2"
-    res = pre.withColumn(pos, F.row_number().over(second)).filter(F.col(pos) <= n).drop("__nr_salt", "__nr_rn1")
+    pos = out or "__nr_rn"
+    w = Window.partitionBy(*_cols(list(group_cols))).orderBy(*_cols(order_cols))
+    res = df.withColumn(pos, F.row_number().over(w)).filter(F.col(pos) <= n)
     return res if out else res.drop(pos)
 
 

@@ -16,10 +16,15 @@ from ..functions.text import normalize_py
 from ..operators.filters import apply_filters
 from ..operators.paging import Page, page
 from ..operators.projection import attach_children, prune_nested, slice_children
+from ..session import written_stage
 from .catalog import (ORDERS, SourceDef, clamp, normalize_filters, render_search_query, require_source,
                       resolve_child_page_sizes, resolve_field_paths, resolve_sort_key)
 
 
+#: Whether an order has more children than the page shows.
+MORE_ITEMS = "hasMoreLineItems"
+
+
 @dataclass
 class ReadSpec:
     source_id: str | None = ORDERS
@@ -86,13 +91,15 @@ def read_orders(orders: DataFrame, spec: ReadSpec, line_items: DataFrame | None
     n_items = child_sizes.get("lineItems")
     if n_items is not None:
         if "lineItems" in rows.columns:
-            rows = rows.withColumn("lineItems", slice_children("lineItems", n_items))
+            rows = rows.withColumn(MORE_ITEMS, F.coalesce(F.size("lineItems") > n_items, F.lit(False))) \
+                .withColumn("lineItems", slice_children("lineItems", n_items))
         elif line_items is not None:
-            rows = attach_children(rows, line_items, "id", "order_id", list(line_item_order),
-                                   line_item_columns(line_items), n_items, "lineItems", max_parents=size)
+            # a page of at most `size` rows, read by two joins: written once, so orders are scanned once
+            rows = attach_children(written_stage(rows, "page"), line_items, "id", "order_id", list(line_item_order),
+                                   line_item_columns(line_items), n_items, "lineItems", max_parents=size, truncated=MORE_ITEMS)
         else:
             raise ValueError("lineItems were requested but no line-item input was given.")
-    out = rows.select(*prune_nested(rows, paths), "cursor")
+    out = rows.select(*prune_nested(rows, paths), *([MORE_ITEMS] if n_items is not None else []), "cursor")
     return Plan(source, paths, filters, render_search_query(source, filters), sort_key, size,
                 child_sizes, reverse, out, pg)
 

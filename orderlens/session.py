@@ -65,6 +65,24 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
+def written_stage(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once below the shared checkpoint folder and read back.
+
+    Every reader sees the same rows, a lost executor costs nothing, and the folder is new each
+    time, so a later run over grown or rewritten inputs never meets an older result."""
+    path = staging_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_stage(staged: DataFrame) -> None:
+    """Delete a written stage once its last reader has run."""
+    spark = staged.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in staged.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable lineage cut: ``checkpoint()`` writes to the shared checkpoint folder, so the
     result survives executor loss (unlike ``localCheckpoint``)."""

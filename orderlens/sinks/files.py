@@ -10,21 +10,22 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.instants import format_instant_py, window_bound_py
-from ..functions.text import normalize_py
+from ..functions.instants import format_instant, format_instant_py, parse_iso_instant, source_window_py, window_bound_py
+from ..functions.text import normalize, normalize_py
+from ..operators.configs import DEFAULT_TIME_ZONE, ID_REQUIRED, check_usable
+from ..operators.filters import compile_filters, instant_column
 from ..operators.normalize import normalize_order_ids
-from ..plans.catalog import ORDER_SOURCE, normalize_filters, render_search_query, resolve_field_paths, resolve_sort_key
+from ..plans.catalog import ORDER_SOURCE, normalize_filters, render_search_query, resolve_field_paths
+from ..session import written_stage
 from ..sources.gate import load_gate, release
-from ..sources.jsonl import read_bulk_jsonl
+from ..sources.jsonl import classify_lines, count_kinds, read_text_lines, schema_of_strings
 
-# Default result name pattern and record type.
+# Fixed value: default result name pattern.
 DEFAULT_NAME = "shopify-orders-{start}-{end}.json"
-RECORD_TYPE = "SHOPIFY_ORDERS"
 
 
 def json_name(name: str | None, fallback: str) -> str:
@@ -49,14 +50,15 @@ def write_records(records: DataFrame, location: str, name: str, metadata: DataFr
     ``partition_by_day`` (``createdAt`` / ``updatedAt`` / ``processedAt``) adds the matching
     ``*_date`` column and partitions the files by it; datetime filters on a table read back from
     there get an implied date predicate (``compile_filters``) and prune whole partitions."""
-    from ..functions.instants import parse_iso_instant
     from ..operators.filters import PARTITION_DATE_COLUMNS
     base = f"{location.rstrip('/')}/{name}"
     writer_df = records
     parts: list[str] = []
     if partition_by_day:
         day_col = PARTITION_DATE_COLUMNS[partition_by_day]
-        writer_df = records.withColumn(day_col, F.to_date(parse_iso_instant(F.col(partition_by_day))))
+        # the UTC day, whatever the session's zone
+        day = F.substring(format_instant(parse_iso_instant(F.col(partition_by_day))), 1, 10)
+        writer_df = records.withColumn(day_col, F.to_date(day))
         parts = [day_col]
     w = writer_df.write.mode("overwrite").partitionBy(*parts)
     if fmt == "json":
@@ -68,103 +70,147 @@ def write_records(records: DataFrame, location: str, name: str, metadata: DataFr
     return base
 
 
-def write_raw_sidecar(lines: DataFrame, location: str, name: str, value_col: str = "value") -> str | None:
-    """K2: the raw lines unmodified, only when there are any."""
-    if lines.isEmpty():
-        return None
+def write_raw_sidecar(lines: DataFrame, location: str, name: str, value_col: str = "value") -> str:
+    """K2: the raw lines unmodified."""
     path = f"{location.rstrip('/')}/{name}"
     lines.select(value_col).write.mode("overwrite").text(path)
     return path
 
 
+_TEXTS = T.ArrayType(T.StringType())
+# Metadata keys in their order, and the constant entries.
 METADATA_FIELDS = [
-    ("sourceType", T.StringType()), ("mode", T.StringType()), ("shopifyAuthConfigId", T.StringType()),
-    ("sourceTimeZone", T.StringType()), ("preserveWindowInstants", T.BooleanType()),
-    ("filterFields", T.ArrayType(T.StringType())), ("searchQuery", T.StringType()), ("sortKey", T.StringType()),
-    ("windowStart", T.StringType()), ("windowEnd", T.StringType()), ("bulkOperationId", T.StringType()),
-    ("pollCount", T.LongType()), ("startRetryCount", T.LongType()), ("jsonlLineCount", T.LongType()),
-    ("fileName", T.StringType()), ("rawFileName", T.StringType()), ("recordCount", T.LongType()),
+    ("sourceType", T.StringType()), ("extractionMode", T.StringType()), ("graphqlExecutionMode", T.StringType()),
+    ("shopifyAuthConfigId", T.StringType()), ("automationId", T.StringType()), ("fileSide", T.StringType()),
+    ("systemEnumId", T.StringType()), ("sourceTypeEnumId", T.StringType()), ("sourceTimeZone", T.StringType()),
+    ("calendarDateNormalized", T.BooleanType()), ("exactWindowPreserved", T.BooleanType()), ("filterFields", _TEXTS),
+    ("searchQueries", _TEXTS), ("windowStartUtc", T.StringType()), ("windowEndUtc", T.StringType()),
+    ("bulkOperation", T.StringType()), ("bulkPollCount", T.LongType()), ("bulkStatusHistory", _TEXTS),
+    ("bulkStartRetryCount", T.LongType()), ("bulkStartRetryHistory", _TEXTS), ("bulkJsonlLineCount", T.LongType()),
+    ("rawJsonlFileName", T.StringType()), ("rawJsonlLocation", T.StringType()), ("extractedRecordCount", T.LongType()),
 ]
+SOURCE_TYPE, EXTRACTION_MODE, EXECUTION_MODE, FILE_TYPE = "SHOPIFY_GRAPHQL_ORDERS", "BULK_OPERATION_DATE_FILTER", "BULK_OPERATION", "DftJson"
+FILTER_FIELDS = ["created_at"]
+METADATA_SCHEMA = T.StructType([T.StructField(n, t, True) for n, t in METADATA_FIELDS])
 
 
 def run_metadata(spark: SparkSession, **values) -> DataFrame:
-    """K3: one row; never a URL or a token (only the named fields exist)."""
-    schema = T.StructType([T.StructField(n, t, True) for n, t in METADATA_FIELDS])
-    row = tuple(values.get(n) for n, _ in METADATA_FIELDS)
-    return spark.createDataFrame([row], schema)
+    """K3: one row; never a URL or a token (only the named fields exist). Nulls are dropped where it
+    is written."""
+    return spark.createDataFrame([tuple(values.get(n) for n, _ in METADATA_FIELDS)], METADATA_SCHEMA)
+
+
+STATUS_SCHEMA = T.StructType([
+    T.StructField("dataAvailable", T.BooleanType()), T.StructField("fileLocation", T.StringType()),
+    T.StructField("fileName", T.StringType()), T.StructField("fileTypeEnumId", T.StringType()),
+    T.StructField("recordCount", T.LongType()), T.StructField("requestMetadata", METADATA_SCHEMA),
+    T.StructField("warnings", _TEXTS), T.StructField("errors", _TEXTS),
+])
 
 
 @dataclass
 class Extraction:
-    records: DataFrame      # normalised records of passing loads (empty when the gate failed)
-    status: DataFrame       # one row: dataAvailable, recordCount, errors, ...
-    gate: DataFrame
-    file_name: str
-    raw_file_name: str
+    """``records`` are the normalised records (none on an error), ``status`` the job's one-row
+    result, ``gate`` the load's gate row (None where the job stopped before reading)."""
+
+    records: DataFrame
+    status: DataFrame
+    gate: DataFrame | None
+    file_name: str | None
+    raw_file_name: str | None
 
 
 def extract_orders(spark: SparkSession, jsonl_path: str, expected_count, location_present: bool,
-                   window_start, window_end, location: str | None = None, name: str | None = None,
-                   config_id: str | None = None, time_zone: str | None = None,
-                   preserve_instants: bool = False, write: bool = False) -> Extraction:
-    """K4: window bounds -> strict JSONL read (S1) -> gate (S2) -> id normalisation (P4) ->
-    optional write of records, sidecar and metadata (K1-K3). On any error nothing is written
-    and ``dataAvailable`` is false."""
+                   window_start, window_end, config_id: str | None = None, configs: DataFrame | None = None,
+                   tenant: str | None = None, location: str | None = None, name: str | None = None,
+                   preserve_instants: bool = False, write: bool = False, run: dict | None = None) -> Extraction:
+    """K4: bounds and config check (J4) -> window in the config's zone (X5) -> strict JSONL read
+    -> gate (S2) -> id normalisation (P4) -> optional write of records, sidecar and metadata (K1-K3).
+
+    ``configs`` is the config table and ``tenant`` the asking tenant; without a table the config is
+    only required to be named, and its zone is UTC. The export is taken to hold what was asked for:
+    created within the half-open window; records outside it are kept, and counted in a warning.
+    ``run`` may carry entries of the metadata that only the caller knows (bulk operation, histories,
+    automation). On any error nothing is written and ``dataAvailable`` is false; a successful run
+    without records writes its metadata and an empty record list."""
     errors: list[str] = []
-    bounds = []
+    bounds: dict[str, _dt.datetime] = {}
     for label, value in (("windowStart", window_start), ("windowEnd", window_end)):
         try:
-            bounds.append(window_bound_py(value))
+            bounds[label] = window_bound_py(value)
         except ValueError as exc:
             errors.append(f"{label} {exc}")
-            bounds.append(None)
-    start, end = bounds
-    start_ms = int((start - _dt.datetime(1970, 1, 1)).total_seconds() * 1000) if start else 0
-    end_ms = int((end - _dt.datetime(1970, 1, 1)).total_seconds() * 1000) if end else 0
-    file_name = json_name(name, DEFAULT_NAME.format(start=start_ms, end=end_ms))
+    config = normalize_py(config_id)
+    zone = DEFAULT_TIME_ZONE
+    if not config:
+        errors.append(ID_REQUIRED)
+    elif not errors and configs is not None:
+        asked = spark.createDataFrame([(0, config, normalize_py(tenant), None)],
+                                      "request_id int, config_id string, trusted_tenant string, session_tenant string")
+        errors += check_usable(asked, configs).first()["errors"]
+        stored = configs.filter(normalize("config_id") == config).select(normalize("time_zone")).first()
+        zone = (stored[0] if stored else None) or DEFAULT_TIME_ZONE
+    schema = _record_schema(resolve_field_paths(ORDER_SOURCE, [], bulk=True))
+    if errors:
+        return _stopped(spark, schema, errors)
+    start, end = source_window_py(bounds["windowStart"], bounds["windowEnd"], zone, preserve_instants)
+    millis = [int((x - _dt.datetime(1970, 1, 1)) / _dt.timedelta(milliseconds=1)) for x in (start, end)]
+    file_name = json_name(name, DEFAULT_NAME.format(start=millis[0], end=millis[1]))
     raw_name = jsonl_name(file_name, file_name)
-    paths = resolve_field_paths(ORDER_SOURCE, [], bulk=True)
-    schema = _record_schema(paths)
-    filters = normalize_filters(ORDER_SOURCE, {
-        "updatedAtFrom": format_instant_py(start) if start else None,
-        "updatedAtTo": format_instant_py(end) if end else None})
-    parsed = read_bulk_jsonl(spark, jsonl_path, schema)
-    # the gate needs a full pass before anything is released: parse once, use twice
-    lines = parsed.lines.withColumn("load_id", F.lit(file_name)).persist(StorageLevel.MEMORY_AND_DISK)
-    from ..sources.jsonl import ParsedLines
-    parsed = ParsedLines(lines)
+    filters = normalize_filters(ORDER_SOURCE, {"createdAtFrom": format_instant_py(start), "createdAtTo": format_instant_py(end)})
+
+    # the gate needs a full pass before anything is released: classified once, written, read twice
+    classified = classify_lines(read_text_lines(spark, jsonl_path), schema).lines
+    staged = written_stage(classified.withColumn("load_id", F.lit(file_name)), "extraction")
+    counts = count_kinds(staged, ["load_id"])
     manifest = spark.createDataFrame([(file_name, None if expected_count is None else str(expected_count),
                                        jsonl_path if location_present else None)],
                                      "load_id string, expected_count string, location string")
-    gate = load_gate(parsed.counts(["load_id"]), manifest)
-    records = normalize_order_ids(release(parsed.records(), gate))
-    if errors:
-        records = records.limit(0)
-    status = gate.select(
-        (F.col("data_available") & F.lit(not errors)).alias("dataAvailable"),
-        F.when(F.lit(not errors), F.col("record_count")).otherwise(F.lit(0)).cast("long").alias("recordCount"),
-        F.lit(file_name).alias("fileName"), F.lit(RECORD_TYPE).alias("recordType"),
-        F.array_compact(F.concat(F.array(*[F.lit(e) for e in errors]) if errors else F.array().cast("array<string>"),
-                                 F.array(F.col("error")))).alias("errors"),
-        F.lit(render_search_query(ORDER_SOURCE, filters)).alias("searchQuery"),
-        F.lit(resolve_sort_key(ORDER_SOURCE, filters)).alias("sortKey"),
-        F.col("line_count").alias("jsonlLineCount"),
-    )
-    if write and not errors and location:
-        ok = status.first()
-        if ok and ok["dataAvailable"]:
-            meta = run_metadata(spark, sourceType=RECORD_TYPE, mode="BULK", shopifyAuthConfigId=config_id,
-                                sourceTimeZone=time_zone, preserveWindowInstants=preserve_instants,
-                                filterFields=list(filters), searchQuery=render_search_query(ORDER_SOURCE, filters),
-                                sortKey=resolve_sort_key(ORDER_SOURCE, filters),
-                                windowStart=format_instant_py(start), windowEnd=format_instant_py(end),
-                                jsonlLineCount=ok["jsonlLineCount"], fileName=file_name, rawFileName=raw_name,
-                                recordCount=ok["recordCount"])
-            write_records(records, location, file_name, meta)
-            write_raw_sidecar(spark.read.text(jsonl_path), location, raw_name)
+    gate = load_gate(counts, manifest)
+    row = gate.first()
+    if row["error"]:
+        stopped = _stopped(spark, schema, [row["error"]], file_name, raw_name)
+        stopped.gate = gate
+        return stopped
+    released = release(staged.filter(F.col("kind") == "record").select("load_id", "record"), gate)
+    records = normalize_order_ids(released.select("record.*"))
+    created = instant_column(records, "createdAt")
+    outside = records.filter(~(apply_window(records, filters) & created.isNotNull())).count()
+    warnings = [f"{outside} record(s) lie outside the requested window."] if outside else []
+
+    base = location.rstrip("/") if location else None
+    metadata = {
+        **(run or {}),
+        "sourceType": SOURCE_TYPE, "extractionMode": EXTRACTION_MODE, "graphqlExecutionMode": EXECUTION_MODE,
+        "shopifyAuthConfigId": config, "sourceTimeZone": zone, "calendarDateNormalized": not preserve_instants,
+        "exactWindowPreserved": preserve_instants, "filterFields": FILTER_FIELDS,
+        "searchQueries": [render_search_query(ORDER_SOURCE, filters)], "windowStartUtc": format_instant_py(start),
+        "windowEndUtc": format_instant_py(end), "bulkJsonlLineCount": row["line_count"],
+        "rawJsonlFileName": raw_name if row["line_count"] else None,
+        "rawJsonlLocation": f"{base}/{raw_name}" if row["line_count"] and base else None,
+        "extractedRecordCount": row["record_count"],
+    }
+    metadata = {n: metadata.get(n) for n, _ in METADATA_FIELDS}
+    if write and base:
+        write_records(records, base, file_name, run_metadata(spark, **metadata))
+        if row["line_count"]:
+            write_raw_sidecar(spark.read.text(jsonl_path), base, raw_name)
+    status = spark.createDataFrame([(row["record_count"] > 0, f"{base}/{file_name}" if base else None, file_name, FILE_TYPE,
+                                     row["record_count"], tuple(metadata.values()), warnings, [])], STATUS_SCHEMA)
     return Extraction(records, status, gate, file_name, raw_name)
 
 
+def _stopped(spark: SparkSession, schema: T.StructType, errors: list[str], file_name: str | None = None,
+             raw_name: str | None = None) -> Extraction:
+    none = normalize_order_ids(spark.createDataFrame([], schema_of_strings(schema)))
+    status = spark.createDataFrame([(False, None, None, None, 0, None, [], errors)], STATUS_SCHEMA)
+    return Extraction(none, status, None, file_name, raw_name)
+
+
+def apply_window(records: DataFrame, filters: dict) -> Column:
+    return F.coalesce(compile_filters(records, ORDER_SOURCE, filters), F.lit(False))
+
+
 def _record_schema(paths: list[str]) -> T.StructType:
     """JSONL read schema from the selected paths (only they are parsed: column pruning for
     text input, where Spark cannot prune nested fields by itself)."""

@@ -48,40 +48,10 @@ DRIVER_SCHEMAS = {
     "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
 }
 
-# Columns that identify a row of each driver table (used to spread an under-split scan).
-ROW_KEYS = {
-    "lineitem": ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"],
-    "orders": ["o_orderkey"],
-    "customer": ["c_custkey"],
-    "events": ["event_id"],
-}
-
-
-def spread(df: DataFrame, keys=None) -> DataFrame:
-    """Parallelism guard for under-split inputs, applied where row-level work comes before the
-    first shuffle (an aggregation needs none: it combines map-side in the scan task).
-
-    A scan with fewer partitions than the session's default parallelism (one small file with a
-    single row group is read by one task) is hash-partitioned on a row key, so the row-level
-    work after it uses every core. The key identifies a row, so the spread is balanced even
-    when one order or user holds a third of the rows, and deterministic (no local sort, safe
-    to recompute after an executor loss). On a cluster the scan already has thousands of
-    splits and this is a no-op."""
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave the plan as it is
-        return df
-    if current >= target:
-        return df
-    return df.repartition(target, *keys) if keys else df.repartition(target)
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
-    """A driver table read with its declared schema; ``spread_rows`` applies :func:`spread`."""
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table read with its declared schema."""
     reader = spark.read.schema(DRIVER_SCHEMAS[name]) if name in DRIVER_SCHEMAS else spark.read
-    df = reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df, ROW_KEYS.get(name)) if spread_rows else df
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _map(c: Column, mapping: dict) -> Column:
@@ -113,7 +83,6 @@ def line_totals(lineitem: DataFrame) -> DataFrame:
 def orders_shape(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     k = F.col("o_orderkey")
     totals = line_totals(lineitem)
-    orders = spread(orders, ROW_KEYS["orders"])
     o = orders.join(totals, orders["o_orderkey"] == totals["l_orderkey"], "left")
     created = F.col("o_orderdate")
     updated = F.coalesce(F.col("_last_ship"), created)
@@ -164,7 +133,7 @@ def _qty() -> Column:
 def line_items_shape(lineitem: DataFrame) -> DataFrame:
     """Child table for ``lineItems``: ``order_id`` = order gid, catalogue child fields, and the
     line columns that give the list order (``LINE_ORDER``)."""
-    return spread(lineitem, ROW_KEYS["lineitem"]).select(
+    return lineitem.select(
         F.concat(F.lit(ORDER_GID_PREFIX), F.col("l_orderkey").cast("string")).alias("order_id"),
         *LINE_ORDER,
         _line_gid(LINE_ITEM_GID_PREFIX).alias("id"),
@@ -200,14 +169,20 @@ def return_rows(lineitem: DataFrame) -> DataFrame:
     """Narrow return rows (raw line columns plus ``order_id``): the nested return fields are
     built from them by :func:`return_fields` only after the per-order top-n, so the sorts and
     shuffles before it move narrow rows."""
-    # light per-row work only (the structs come later), so no spread before the first shuffle
     r = lineitem.filter(F.col("l_returnflag").isin("A", "R"))
     cols = list(dict.fromkeys(LINE_ORDER + RETURN_ROW_COLUMNS))
     return r.select(F.concat(F.lit(ORDER_GID_PREFIX), F.col("l_orderkey").cast("string")).alias("order_id"), *cols)
 
 
-def return_fields() -> dict:
-    """The return struct fields as expressions over :func:`return_rows` columns."""
+def _children_text(item: Column) -> Column:
+    as_list = F.to_json(F.array(item))
+    return F.when(F.col("l_linenumber") % 2 == 1, as_list).otherwise(F.concat(F.lit('{"nodes":'), as_list, F.lit("}")))
+
+
+def return_fields(text_children: bool = False) -> dict:
+    """The return struct fields as expressions over :func:`return_rows` columns. With
+    ``text_children`` the line items of an exchange item come as JSON text, as a plain list on odd
+    lines and under ``nodes`` on even ones."""
     item = F.struct(
         _line_gid(LINE_ITEM_GID_PREFIX).alias("id"),
         F.concat(F.lit("SKU-"), F.col("l_partkey").cast("string")).alias("sku"),
@@ -216,28 +191,19 @@ def return_fields() -> dict:
     exchange = F.struct(
         _line_gid(EXCHANGE_ITEM_GID_PREFIX).alias("id"),
         _qty().alias("quantity"),
-        F.array(item).alias("lineItems"),
+        (_children_text(item) if text_children else F.array(item)).alias("lineItems"),
     )
+    items_type = EXCHANGE_ITEMS_TYPE if not text_children else "array<struct<id:string,quantity:string,lineItems:string>>"
     return {
         "id": _line_gid(RETURN_GID_PREFIX),
         "name": F.concat(F.lit("#"), F.col("l_orderkey").cast("string"), F.lit("-R"), F.col("l_linenumber").cast("string")),
         "status": return_status_rule(),
         "createdAt": format_instant(F.col("l_shipdate")),
         "exchangeLineItems": F.when(F.col("l_returnflag") == "R", F.array(exchange))
-        .otherwise(F.array().cast(EXCHANGE_ITEMS_TYPE)),
+        .otherwise(F.array().cast(items_type)),
     }
 
 
-def returns_shape(lineitem: DataFrame) -> DataFrame:
-    """One row per return: ``order_id``, list-order columns, and the return struct fields."""
-    rows = return_rows(lineitem)
-    return rows.select("order_id", *LINE_ORDER, *[c.alias(k) for k, c in return_fields().items()])
-
-
-def load_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return orders_shape(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
-
-
 # --- logs and configs ---------------------------------------------------------------------
 
 def configs_shape(customer: DataFrame) -> DataFrame:
@@ -290,11 +256,12 @@ def event_log(events: DataFrame) -> DataFrame:
               .otherwise(F.when(v < 200, F.lit(200)).otherwise(F.lit(404))))
     body = (F.when(et == "purchase", cost_ok).when(et == "view", throttled).when(et == "click", denied)
             .when(et == "signup", F.when(v < 100, F.lit("")).otherwise(F.lit("Service Unavailable")))
-            .otherwise(F.when(v < 100, F.lit("not-json")).when(v < 200, F.lit('{"errors":[{"message":"   "}],"data":{}}'))
+            .otherwise(F.when(v < 25, F.lit('{"errors":"Not Found"}')).when(v < 50, F.lit('{"errors":{"message":"Not Found"}}'))
+                       .when(v < 75, F.lit('{"data":{"orders":1}} trailing')).when(v < 100, F.lit("not-json")).when(v < 200, F.lit('{"errors":[{"message":"   "}],"data":{}}'))
                        .otherwise(F.lit(""))))
     query = F.when(F.col("user_id") % 10 == 0, F.lit("# start a run\nmutation Run { run { id } }")).otherwise(
         F.lit("query Orders { orders { id } }"))
-    return spread(events, ROW_KEYS["events"]).withColumns({
+    return events.withColumns({
         "request_id": event_request_id(),
         "status_code": status, "body": body, "query": query,
     })

@@ -4,17 +4,19 @@ A line is trimmed; blank lines are skipped but counted. A line that is valid JSO
 object, or not valid JSON at all, is reported with its 1-based number in its file. Errors do
 not stop the parse.
 
-Validity is decided by ``from_json`` with a one-field probe schema plus ``_corrupt_record``
-(it accepts every object whatever its field types, and rejects arrays, scalars, ``null``,
-cut objects and single quotes); the values come from a second ``from_json`` with the real
-schema, every leaf read as text so a wrongly typed value never drops the record.
+Validity is decided by ``from_json`` with a one-field probe plus ``_corrupt_record`` on the
+line wrapped in an object, together with the length of the line wrapped in an array: both hold
+only where the line is one JSON value with nothing after it (a parser that stops at the end of
+the first value accepts ``{..}{..}`` and ``{..},``). The values come from a second ``from_json``
+with the real schema, every leaf read as text so a wrongly typed value never drops the record.
+Each accessor derives only what it returns, so a plan holds each parse once.
 
 Line numbers for files: each file split is read whole by one task, in file order. Rows are
-tagged with ``monotonically_increasing_id``; a small per-split table (count, first id) gets
-cumulative offsets per file and is broadcast back after a size check (one row per split,
-bounded by input size / split size). No data is funnelled through one task and nothing but
-that one count reaches the driver. Split packing is deterministic, so both scans of the
-files assign the same ids.
+tagged with ``monotonically_increasing_id``; the first id and the offset of each split form a
+small table (one row per split) written to a folder of its own, whose size Spark knows when it
+plans the join, so the text is numbered where it was read. Both scans use the file listing made
+when the reader was created and pack it alike, so they assign the same ids; nothing is cached, so a
+later read of a grown folder starts anew.
 """
 
 from __future__ import annotations
@@ -26,8 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import trimmed
+from ..session import written_stage
 
-PROBE_SCHEMA = "_probe string, _corrupt_record string"
 _STRICT = {"allowSingleQuotes": "false", "allowUnquotedFieldNames": "false",
            "allowNumericLeadingZeros": "false", "allowNonNumericNumbers": "false",
            "allowUnquotedControlChars": "false", "allowBackslashEscapingAnyCharacter": "false"}
@@ -38,24 +40,20 @@ NOT_OBJECT = "Shopify bulk operation JSONL line {n} was not a JSON object."
 NOT_JSON = "Shopify bulk operation JSONL line {n} was not valid JSON."
 
 
-# Split-offset tables up to this many rows are broadcast (about 32 bytes a row: two path
-# hashes, the split start and the offset); beyond it the join is a regular shuffle join.
-MAX_BROADCAST_SPLITS = 4_000_000
+def read_text_lines(spark: SparkSession, path) -> DataFrame:
+    """Lines of one or more text files: (file, line_no, value); numbering restarts per file."""
+    return number_split_lines(spark.read.text(path))
 
 
-def read_text_lines(spark: SparkSession, path, max_broadcast_splits: int = MAX_BROADCAST_SPLITS) -> DataFrame:
-    """Lines of one or more text files: (file, line_no, value); numbering restarts per file.
-
-    Pass 1 counts lines per file split (one small row per split, keyed by two hashes of the
-    path and the split start). Its size is checked once (a count of that small table), and it
-    is broadcast when within ``max_broadcast_splits``, so pass 2 numbers the lines where they
-    were read, without shuffling the text."""
-    return number_split_lines(spark.read.text(path), max_broadcast_splits)
-
-
-def number_split_lines(text: DataFrame, max_broadcast_splits: int = MAX_BROADCAST_SPLITS) -> DataFrame:
+def number_split_lines(text: DataFrame) -> DataFrame:
     """Per-file line numbers for a text-file read (``value`` plus the hidden ``_metadata``
     column of a file source); also used per micro-batch by the streaming reader."""
+    return numbered_with_offsets(text)[0]
+
+
+def numbered_with_offsets(text: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(numbered lines, the written split offsets they read); a caller that knows when the lines
+    have been used may drop the offsets."""
     meta = F.col("_metadata.file_path") if "file" not in text.columns else F.col("file")
     block = F.col("_metadata.file_block_start") if "_block" not in text.columns else F.col("_block")
     base = text.select(
@@ -69,10 +67,10 @@ def number_split_lines(text: DataFrame, max_broadcast_splits: int = MAX_BROADCAS
     keys = ["_fh1", "_fh2", "_block"]
     stats = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
     w = Window.partitionBy("_fh1", "_fh2").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n").cache()
-    small = stats.count() <= max_broadcast_splits
-    out = base.join(F.broadcast(stats) if small else stats, keys, "inner")
-    return out.select("file", (F.col("_before") + F.col("_mid") - F.col("_first") + 1).alias("line_no"), "value")
+    stats = stats.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
+    offsets = written_stage(stats, "split-offsets")
+    out = base.join(offsets, keys, "inner")
+    return out.select("file", (F.col("_before") + F.col("_mid") - F.col("_first") + 1).alias("line_no"), "value"), offsets
 
 
 def schema_of_strings(schema: T.StructType) -> T.StructType:
@@ -86,46 +84,73 @@ def schema_of_strings(schema: T.StructType) -> T.StructType:
     return conv(schema)
 
 
+def whole_json(t: Column, as_type: str) -> Column:
+    """The line is one JSON value of ``as_type`` and nothing follows it."""
+    wrapped = F.from_json(F.concat(F.lit('{"w":'), t, F.lit("}")), f"w {as_type}, _corrupt_record string", PROBE_OPTIONS)
+    valid = wrapped["_corrupt_record"].isNull() & (F.json_array_length(F.concat(F.lit("["), t, F.lit("]"))) == 1)
+    if as_type != "string":
+        valid = valid & wrapped["w"].isNotNull()
+    return F.coalesce(valid, F.lit(False))
+
+
 @dataclass
 class ParsedLines:
-    lines: DataFrame        # every line: keys, line_no, kind ('record' | 'blank' | 'bad'), record, error
+    """Numbered lines and what they are. ``source`` has the keys, ``line_no`` and ``_text`` (trimmed)."""
+
+    source: DataFrame
+    schema: T.StructType
+    number_col: str = "line_no"
+    value_col: str = "value"
+
+    def _kept(self, *dropped: str) -> list[str]:
+        return [c for c in self.source.columns if c not in ("_text", *dropped)]
+
+    def _kinds(self) -> Column:
+        blank = F.coalesce(F.col("_text") == "", F.lit(True))
+        return F.when(blank, F.lit("blank")).when(whole_json(F.col("_text"), "struct<_probe:string>"), F.lit("record")).otherwise(F.lit("bad"))
+
+    def _record(self) -> Column:
+        return F.from_json("_text", schema_of_strings(self.schema), _STRICT)
+
+    def _error(self) -> Column:
+        n = F.col(self.number_col).cast("string")
+        return F.when(whole_json(F.col("_text"), "string"), F.replace(F.lit(NOT_OBJECT), F.lit("{n}"), n)).otherwise(
+            F.replace(F.lit(NOT_JSON), F.lit("{n}"), n))
+
+    @property
+    def lines(self) -> DataFrame:
+        """Every line: keys, line_no, kind ('record' | 'blank' | 'bad'), record, error."""
+        kinds = self.source.withColumn("kind", self._kinds())
+        return kinds.select(*self._kept(), "kind", F.when(F.col("kind") == "record", self._record()).alias("record"),
+                            F.when(F.col("kind") == "bad", self._error()).alias("error"))
 
     def records(self) -> DataFrame:
         """Valid object lines: keys, line_no and the record fields as columns."""
-        r = self.lines.filter(F.col("kind") == "record")
-        return r.select(*[c for c in r.columns if c not in ("kind", "record", "error", "value")], "record.*")
+        r = self.source.filter(self._kinds() == "record")
+        return r.select(*self._kept(self.value_col), self._record().alias("record")).select(*self._kept(self.value_col), "record.*")
 
     def bad_lines(self) -> DataFrame:
-        b = self.lines.filter(F.col("kind") == "bad")
-        return b.select(*[c for c in b.columns if c not in ("kind", "record", "value")])
+        b = self.source.filter(self._kinds() == "bad")
+        return b.select(*self._kept(self.value_col), self._error().alias("error"))
 
     def counts(self, keys=()) -> DataFrame:
         """Per load: lines (blank included), records, bad lines, first bad line number."""
-        return self.lines.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("line_count"),
-            F.count_if(F.col("kind") == "record").alias("parsed_count"),
-            F.count_if(F.col("kind") == "bad").alias("bad_count"),
-            F.min(F.when(F.col("kind") == "bad", F.col("line_no"))).alias("first_bad_line"),
-        )
+        return count_kinds(self.source.select(*keys, F.col(self.number_col).alias("line_no"), self._kinds().alias("kind")), keys)
+
+
+def count_kinds(kinds: DataFrame, keys=()) -> DataFrame:
+    return kinds.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("line_count"),
+        F.count_if(F.col("kind") == "record").alias("parsed_count"),
+        F.count_if(F.col("kind") == "bad").alias("bad_count"),
+        F.min(F.when(F.col("kind") == "bad", F.col("line_no"))).alias("first_bad_line"),
+    )
 
 
 def classify_lines(lines: DataFrame, schema: T.StructType, value_col: str = "value",
                    number_col: str = "line_no") -> ParsedLines:
     """S1 on numbered lines: kind, record (typed by ``schema``, leaves as text) and message."""
-    t = trimmed(F.col(value_col))
-    probe = F.from_json(t, PROBE_SCHEMA, PROBE_OPTIONS)
-    blank = F.coalesce(t == "", F.lit(True))
-    is_object = probe["_corrupt_record"].isNull()
-    kind = F.when(blank, F.lit("blank")).when(is_object, F.lit("record")).otherwise(F.lit("bad"))
-    n = F.col(number_col).cast("string")
-    error = F.when(
-        kind == "bad",
-        F.when(F.try_parse_json(t).isNotNull(), F.replace(F.lit(NOT_OBJECT), F.lit("{n}"), n))
-        .otherwise(F.replace(F.lit(NOT_JSON), F.lit("{n}"), n)),
-    )
-    record = F.when(kind == "record", F.from_json(t, schema_of_strings(schema), _STRICT))
-    out = lines.withColumns({"kind": kind, "record": record, "error": error})
-    return ParsedLines(out)
+    return ParsedLines(lines.withColumn("_text", trimmed(F.col(value_col))), schema, number_col, value_col)
 
 
 def read_bulk_jsonl(spark: SparkSession, path, schema: T.StructType) -> ParsedLines:

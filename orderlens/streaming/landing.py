@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.normalize import normalize_order_ids
-from ..sources.jsonl import classify_lines, number_split_lines
+from ..session import drop_stage
+from ..sources.jsonl import classify_lines, numbered_with_offsets
 
 
 def stream_landing(spark: SparkSession, landing: str, schema: T.StructType, records_out: str,
@@ -29,10 +30,14 @@ def stream_landing(spark: SparkSession, landing: str, schema: T.StructType, reco
     def handle(batch: DataFrame, batch_id: int) -> None:
         # each micro-batch owns one ``batch_id=N`` folder and overwrites it: a batch replayed
         # after a failure rewrites its own output instead of appending it twice
-        parsed = classify_lines(number_split_lines(batch), schema)
-        normalize_order_ids(parsed.records()).write.mode("overwrite").option("ignoreNullFields", "false") \
-            .json(f"{records_out.rstrip('/')}/batch_id={batch_id}")
-        parsed.bad_lines().write.mode("overwrite").json(f"{bad_out.rstrip('/')}/batch_id={batch_id}")
+        lines, offsets = numbered_with_offsets(batch)
+        try:
+            parsed = classify_lines(lines, schema)
+            normalize_order_ids(parsed.records()).write.mode("overwrite").option("ignoreNullFields", "false") \
+                .json(f"{records_out.rstrip('/')}/batch_id={batch_id}")
+            parsed.bad_lines().write.mode("overwrite").json(f"{bad_out.rstrip('/')}/batch_id={batch_id}")
+        finally:
+            drop_stage(offsets)
 
     writer = src.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")

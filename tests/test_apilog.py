@@ -101,3 +101,52 @@ def test_string_errors_and_edges(spark):
                          ("m", 1, 2, 200, '{"errors":[{"message":"x","extensions":{"code":"MAX_COST_EXCEEDED"}}]}')])
     assert c["s"]["error_text"] == "Shopify GraphQL error: plain failure" and not c["s"]["throttled"]
     assert c["m"]["throttled"] and c["m"]["retryable"]
+
+
+def test_errors_that_are_no_list_and_trailing_text(spark):
+    bodies = {"text": '{"errors":"Not Found"}', "object": '{"errors":{"message":"x"}}', "number": '{"errors":7}', "empty": '{"errors":[]}',
+              "null": '{"errors":null,"data":{"a":1}}', "blank": '{"errors":""}', "trail": '{"data":{"a":1}} trailing', "two": '{"a":1}{"b":2}'}
+    c = classify(spark, [(k, 1, 2, 200, b) for k, b in bodies.items()] + [("last", 2, 2, 200, bodies["text"])])
+    for k in ("text", "object", "number"):
+        assert not c[k]["ok"] and c[k]["retryable"] and c[k]["failure"] == "shape"
+        assert c[k]["error_text"] == "Shopify GraphQL request failed before a valid response was received."
+    assert not c["last"]["retryable"]
+    assert c["empty"]["ok"] and c["blank"]["ok"] and c["null"]["ok"] and c["null"]["data"] == '{"a":1}'
+    assert c["trail"]["failure"] == "json" and c["two"]["failure"] == "json"
+
+
+def test_cost_block_is_returned(spark):
+    r = classify(spark, [("ok", 1, 2, 200, COST)])["ok"]
+    assert (r["data"], r["actual_cost"], r["maximum_available"], r["currently_available"]) == ('{"x":1}', "4", "1000", "996")
+
+
+def test_histories_and_ignored_rows(spark):
+    rows = [("a", 0, "created"), ("a", 1, "RUNNING"), ("a", 1, "RUNNING"), ("a", 2, "FAILED"), ("a", 3, "COMPLETED")]
+    rows += [("b", i, "RUNNING") for i in range(5)] + [("b", 5, "COMPLETED")]
+    df = spark.createDataFrame(rows, "operation_id string, seq int, status string")
+    r = {x["operation_id"]: x for x in apilog.operation_rollup(df, max_polls=4).collect()}
+    assert [(h["seq"], h["status"]) for h in r["a"]["status_history"]] == [(0, "CREATED"), (1, "RUNNING"), (2, "FAILED")]
+    assert r["a"]["error"] == "Shopify bulk operation a ended with status FAILED."
+    assert (r["b"]["outcome"], r["b"]["ignored_rows"], len(r["b"]["status_history"])) == ("TIMED_OUT", 1, 5)
+    busy = "A bulk operation for this app and shop is already in progress."
+    df = spark.createDataFrame([("a", i, False, busy) for i in range(1, 6)], "operation_id string, attempt int, ok boolean, message string")
+    x = apilog.start_retry_rollup(df, retries=3).first()
+    assert (x["outcome"], x["start_retry_count"], [h["attempt"] for h in x["retry_history"]], x["ignored_rows"]) == ("EXHAUSTED", 3, [1, 2, 3], 1)
+    assert "after 3 retry attempt(s)" in x["error"]
+
+
+def test_a_hot_request_is_one_row(spark):
+    from pyspark.sql import functions as F
+    hot = spark.range(1, 20001).select(F.lit("hot").alias("request_id"), F.col("id").cast("int").alias("attempt"), F.lit(500).alias("status_code"),
+                                       F.lit("").alias("body"), F.lit("query Q { a }").alias("query"))
+    r = apilog.retry_plan(hot, max_attempts=3).first()
+    assert (r["attempts_used"], r["final_ok"], r["ignored_rows"], r["unfinished"]) == (3, False, 19997, False)
+
+
+def test_check_labels_and_durations(spark):
+    conf = spark.createDataFrame([("c", "t", None, "https://a.myshopify.com", "2025-10", "Y")],
+                                 "config_id string, accessToken string, credential_error string, shop_url string, api_version string, can_read_orders string")
+    call = spark.createDataFrame([("c", 200, '{"data":{}}', 41)], "config_id string, status_code int, body string, duration_ms long")
+    rows = {r["check_key"]: (r["label"], r["duration_millis"]) for r in apilog.check_rows(conf, call, call.drop("duration_ms")).collect()}
+    assert rows == {"credential": ("Credential readable", None), "reachable": ("Shop reachable", 41),
+                    "apiVersion": ("API version supported", None), "ordersRead": ("Orders readable", None)}

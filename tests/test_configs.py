@@ -72,3 +72,29 @@ def test_delete(spark):
     assert o["nope"] == (False, "Shopify auth config 'nope' was not found.")
     assert o[""] == (False, "Shopify auth config ID is required.")
     assert sorted(r["config_id"] for r in remaining.collect()) == ["chi2", "la"]
+
+
+UPDATE = "config_id string, description string, shop_api_url string, api_version string, time_zone string, access_token string, is_active string, can_read_orders string, position int"
+
+
+def update(config, n, url="https://n.myshopify.com", zone=None, token=None):
+    return (config, f"d{n}", url, "2025-10", zone, token, "Y", "Y", n)
+
+
+def test_updates_of_one_key_are_saved_one_after_another(spark):
+    rows = [update("new", 1), update("new", 2, zone="Asia/Kolkata", token="t2"), update("new", 3, zone="Nowhere"), update("new", 4),
+            update("new", 5, url="http://n.myshopify.com"), update("chi", 6, zone="Europe/Berlin"), update("chi", 7, url=" "), update(None, 8), update(" ", 9)]
+    merged, out = cfg.merge_configs(table(spark), spark.createDataFrame(rows, UPDATE), "T1", "admin", "position")
+    assert {r["position"]: r["action"] for r in out.collect()} == {
+        1: "rejected", 2: "inserted", 3: "rejected", 4: "updated", 5: "rejected", 6: "updated", 7: "rejected", 8: "rejected", 9: "rejected"}
+    m = {r["config_id"]: r for r in merged.collect()}
+    assert (m["new"]["description"], m["new"]["time_zone"], m["new"]["access_token"]) == ("d4", "Asia/Kolkata", "t2")
+    assert (m["chi"]["description"], m["chi"]["time_zone"], m["chi"]["access_token"]) == ("d6", "Europe/Berlin", "secret1")
+    assert set(m) == {"chi", "la", "chi2", "new"}
+
+
+def test_permission_flag_is_a_parameter(spark):
+    req = spark.createDataFrame([(1, "chi", "T1", None)], "request_id int, config_id string, trusted_tenant string, session_tenant string")
+    assert cfg.check_usable(req, table(spark), permission_col=None).first()["usable"]
+    flagged = table(spark).selectExpr("*", "'n' AS can_write")
+    assert cfg.check_usable(req, flagged, permission_col="can_write").first()["errors"] == ["Shopify auth config chi is not enabled for can_write."]

@@ -70,3 +70,46 @@ def test_sweep_cap_and_truncated(spark):
     assert capped.count() == 20 and trunc.first()["truncated"] is True
     exact, trunc = ex.sweep_exchanges(o, r, ["pos"], START, END, max_pages=5, page_size=5)
     assert exact.count() == 25 and trunc.first()["truncated"] is False
+
+
+def returns_of(spark, rows, items="array<struct<id:string>>"):
+    return spark.createDataFrame(rows, f"order_id string, pos int, id string, name string, status string, createdAt string, exchangeLineItems {items}")
+
+
+def one_order(spark, n="1"):
+    return spark.createDataFrame([(n, n, f"#{n}", "2026-07-28T00:00:00Z", "RETURNED")],
+                                 "id string, legacyResourceId string, name string, updatedAt string, returnStatus string")
+
+
+def test_every_return_of_an_order_is_seen(spark):
+    rows = [("1", i, f"r{i}", f"R{i}", "OPEN", "2026-07-28T05:00:00Z" if i > 10 else "2026-07-01T00:00:00Z", [("x",)]) for i in range(1, 13)]
+    r = returns_of(spark, rows)
+    hit = ex.sweep_exchanges(one_order(spark), r, ["pos"], START, END)[0].first()
+    assert (hit["returnId"], hit["exchangeReturnCount"]) == ("r11", 12)
+    nested = ex.nest_returns(one_order(spark), r, ["pos"]).first()
+    assert [x["id"] for x in nested["returns"]] == [f"r{i}" for i in range(1, 13)]
+    cut = ex.nest_returns(one_order(spark), r, ["pos"], cap=10).first()
+    assert len(cut["returns"]) == 10 and cut["returnsTruncated"]
+
+
+def test_failed_lookups_yield_nothing(spark):
+    r = returns_of(spark, [("1", 1, "r1", "R1", "OPEN", "2026-07-28T05:00:00Z", [("x",)])])
+    for ok in (True, False):
+        status = spark.createDataFrame([(ok,)], "ok boolean")
+        assert ex.sweep_exchanges(one_order(spark), r, ["pos"], START, END, status=status)[0].count() == int(ok)
+
+
+def test_state_reads_both_child_shapes_without_a_cap(spark):
+    import json
+    lines = [{"id": str(i), "sku": f"s{i}", "quantity": "1"} for i in range(25)]
+    texts = [json.dumps(lines), json.dumps({"nodes": lines}), '{"edges":[]}']
+    rows = [("gid://shopify/Order/1", i, f"r{i}", "R", "OPEN", "2026-07-28T05:00:00Z", [("x", "1", t)]) for i, t in enumerate(texts)]
+    r = returns_of(spark, rows, "array<struct<id:string,quantity:string,lineItems:string>>")
+    o = spark.createDataFrame([("gid://shopify/Order/1", "1", "RETURNED", (("5", "USD"),))],
+                              "id string, legacyResourceId string, returnStatus string, currentTotalPriceSet struct<shopMoney:struct<amount:string,currencyCode:string>>")
+    req = spark.createDataFrame([("1",)], "requested_id string")
+    got = ex.exchange_state_lookup(req, o, r, ["pos"]).first()["exchanges"]
+    assert [(e["exchangeLineItems"][0]["shape"], len(e["exchangeLineItems"][0]["lineItems"])) for e in got] == [("list", 25), ("connection", 25), (None, 0)]
+    failed = spark.createDataFrame([(False,)], "ok boolean")
+    assert ex.exchange_state_lookup(req, o, r, ["pos"], status=failed).count() == 0
+    assert not ex.state_lookup_ok(req, status=failed).first()["ok"] and ex.state_lookup_ok(req).first()["ok"]

@@ -1,5 +1,7 @@
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -108,3 +110,29 @@ def test_release_modes(spark):
     import pytest
     with pytest.raises(Exception, match="boom"):
         release(recs, gate, mode="raise").collect()
+
+
+def test_text_after_the_object_is_bad(spark):
+    from pyspark.sql import types as T
+    from orderlens.sources.jsonl import classify_lines
+    texts = ['{"id":"1"}', '{"id":"1"}{"id":"2"}', '{"id":"4"},', '{"id":"5"} x', '{"id":"6"}]', '{"id":"7"}}', '{"id":"8"},"b":2', " "]
+    df = spark.createDataFrame(list(enumerate(texts, 1)), "line_no long, value string")
+    p = classify_lines(df, T.StructType([T.StructField("id", T.StringType())]))
+    assert [r["id"] for r in p.records().collect()] == ["1"]
+    assert sorted(r["line_no"] for r in p.bad_lines().collect()) == [2, 3, 4, 5, 6, 7]
+    assert {r["kind"] for r in p.lines.filter("line_no IN (1, 8)").collect()} == {"record", "blank"}
+
+
+def test_unknown_loads_and_one_release_rule(spark):
+    counts = spark.createDataFrame([("a", 1, 1, 0, None), ("stray", 1, 1, 0, None)],
+                                   "load_id string, line_count long, parsed_count long, bad_count long, first_bad_line long")
+    manifest = spark.createDataFrame([("a", "1", "x"), ("nowhere", None, None)], "load_id string, expected_count string, location string")
+    gate = load_gate(counts, manifest)
+    rows = {r["load_id"]: r for r in gate.collect()}
+    assert rows["a"]["ok"] and rows["nowhere"]["ok"] and not rows["nowhere"]["data_available"]
+    assert not rows["stray"]["ok"] and "does not list" in rows["stray"]["error"]
+    known = spark.createDataFrame([("a", 1), ("nowhere", 2)], "load_id string, v int")
+    for mode in ("empty", "raise"):
+        assert [r["v"] for r in release(known, gate, mode=mode).collect()] == [1]
+    with pytest.raises(Exception, match="does not list"):
+        release(spark.createDataFrame([("other", 1)], "load_id string, v int"), gate, mode="raise").collect()

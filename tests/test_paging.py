@@ -43,5 +43,5 @@ def test_read_orders_clamps_and_children(spark):
     assert plan.page_size == 250 and plan.sort_key == "UPDATED_AT"
     rows = plan.df.collect()
     assert len(rows) == 53
-    assert plan.df.columns == ["id", "legacyResourceId", "lineItems", "name", "cursor"]
+    assert plan.df.columns == ["id", "legacyResourceId", "lineItems", "name", "hasMoreLineItems", "cursor"]
     assert [x["sku"] for x in rows[0]["lineItems"]] == ["s0", "s1"]

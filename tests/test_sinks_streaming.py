@@ -26,34 +26,107 @@ def test_extract_round_trip(spark, tmpdir_path):
     st = ex.status.first()
     assert st["dataAvailable"] and st["recordCount"] == 2 and st["errors"] == []
     assert ex.file_name == "shopify-orders-1775001600000-1775088000000.json"
-    assert st["searchQuery"] == "updated_at:>='2026-04-01T00:00:00Z' updated_at:<'2026-04-02T00:00:00Z'"
+    meta = st["requestMetadata"]
+    assert meta["searchQueries"] == ["created_at:>='2026-04-01T00:00:00Z' created_at:<'2026-04-02T00:00:00Z'"]
+    assert meta["filterFields"] == ["created_at"] and st["fileLocation"] == os.path.join(out, ex.file_name)
+    assert st["fileTypeEnumId"] == "DftJson" and st["warnings"] == ["2 record(s) lie outside the requested window."]
     recs = spark.read.json(os.path.join(out, ex.file_name, "records"))
     got = sorted((r["id"], r["shopifyGid"]) for r in recs.collect())
     assert got == [("1001", "gid://shopify/Order/1001"), ("1002", "gid://shopify/Order/1002")]
     raw = spark.read.text(os.path.join(out, ex.raw_file_name)).count()
     assert raw == 2
     meta = spark.read.json(os.path.join(out, ex.file_name, "metadata")).first().asDict()
-    assert meta["recordCount"] == 2 and "accessToken" not in meta and meta["shopifyAuthConfigId"] == "cfg"
+    assert meta["extractedRecordCount"] == 2 and "accessToken" not in meta and meta["shopifyAuthConfigId"] == "cfg"
+    assert meta["sourceType"] == "SHOPIFY_GRAPHQL_ORDERS" and meta["rawJsonlFileName"] == ex.raw_file_name
     # null record values survive; null metadata entries are dropped
     text = "".join(open(os.path.join(out, ex.file_name, "records", f)).read()
                    for f in os.listdir(os.path.join(out, ex.file_name, "records")) if f.endswith(".json"))
     assert '"email":null' in text
-    assert "startRetryCount" not in meta
+    assert "bulkStartRetryCount" not in meta
 
 
 def test_extract_incomplete_and_bad_window(spark, tmpdir_path):
     src = os.path.join(tmpdir_path, "short.jsonl")
     with open(src, "w") as fh:
         fh.write("\n".join(LINES) + "\n")
-    ex = extract_orders(spark, src, expected_count=3, location_present=True, window_start="1", window_end="2")
+    ex = extract_orders(spark, src, expected_count=3, location_present=True, window_start="1", window_end="2", config_id="c")
     st = ex.status.first()
     assert not st["dataAvailable"] and st["recordCount"] == 0 and "incomplete" in st["errors"][0]
     assert ex.records.count() == 0
-    ex2 = extract_orders(spark, src, expected_count=2, location_present=True, window_start=" ", window_end="2")
+    ex2 = extract_orders(spark, src, expected_count=2, location_present=True, window_start=" ", window_end="2", config_id="c")
     st2 = ex2.status.first()
     assert st2["errors"][0] == "windowStart is required." and not st2["dataAvailable"]
 
 
+CONFIG = "config_id string, description string, tenant_id string, created_by string, shop_api_url string, api_version string, time_zone string, access_token string, is_active string, can_read_orders string"
+
+
+def configs(spark):
+    return spark.createDataFrame([("chi", "d", "T1", "u", "https://a.myshopify.com", "2025-10", "America/Chicago", "t", "Y", "Y"),
+                                  ("off", "d", "T1", "u", "https://a.myshopify.com", "2025-10", None, "t", "N", "Y")], CONFIG)
+
+
+def test_extract_checks_the_config_and_uses_its_zone(spark, tmpdir_path):
+    src = os.path.join(tmpdir_path, "export.jsonl")
+    with open(src, "w") as fh:
+        fh.write('{"id":"gid://shopify/Order/1","createdAt":"2026-04-01T05:00:00Z"}\n{"id":"gid://shopify/Order/2","createdAt":"2026-04-01T04:59:59Z"}\n')
+    run = dict(expected_count=2, location_present=True, window_start="2026-04-01", window_end="2026-04-02", configs=configs(spark))
+    ex = extract_orders(spark, src, config_id="chi", tenant="T1", **run)
+    st = ex.status.first()
+    meta = st["requestMetadata"]
+    assert (meta["windowStartUtc"], meta["windowEndUtc"], meta["sourceTimeZone"]) == ("2026-04-01T05:00:00Z", "2026-04-02T05:00:00Z", "America/Chicago")
+    assert meta["calendarDateNormalized"] and not meta["exactWindowPreserved"] and st["warnings"] == ["1 record(s) lie outside the requested window."]
+    kept = extract_orders(spark, src, config_id="chi", tenant="T1", preserve_instants=True, **run).status.first()["requestMetadata"]
+    assert kept["windowStartUtc"] == "2026-04-01T00:00:00Z" and kept["exactWindowPreserved"]
+    for config, tenant, word in ((None, "T1", "required"), ("chi", "T2", "automation tenant"), ("off", "T1", "inactive"), ("x", "T1", "not found")):
+        bad = extract_orders(spark, src, config_id=config, tenant=tenant, **run)
+        st = bad.status.first()
+        assert word in st["errors"][0] and not st["dataAvailable"] and bad.records.count() == 0
+
+
+def test_extract_empty_run_writes_metadata(spark, tmpdir_path):
+    src, out = os.path.join(tmpdir_path, "empty.jsonl"), os.path.join(tmpdir_path, "out")
+    open(src, "w").close()
+    ex = extract_orders(spark, src, expected_count=0, location_present=True, window_start="2026-04-01", window_end="2026-04-02",
+                        config_id="c", location=out, write=True)
+    st = ex.status.first()
+    assert st["errors"] == [] and not st["dataAvailable"] and st["recordCount"] == 0
+    assert spark.read.json(os.path.join(out, ex.file_name, "metadata")).first()["extractedRecordCount"] == 0
+    assert os.path.isdir(os.path.join(out, ex.file_name, "records")) and not os.path.exists(os.path.join(out, ex.raw_file_name))
+
+
+def persisted(spark):
+    return spark.sparkContext._jsc.getPersistentRDDs().size()
+
+
+def test_a_completed_download_passes_in_the_same_session(spark, tmpdir_path):
+    src, before = os.path.join(tmpdir_path, "grown.jsonl"), persisted(spark)
+    run = dict(expected_count=2, location_present=True, window_start="1", window_end="2", config_id="c")
+    with open(src, "w") as fh:
+        fh.write(LINES[0] + "\n")
+    assert "parsed 1" in extract_orders(spark, src, **run).status.first()["errors"][0]
+    with open(src, "a") as fh:
+        fh.write(LINES[1] + "\n")
+    ex = extract_orders(spark, src, **run)
+    assert ex.status.first()["recordCount"] == 2 and sorted(r["id"] for r in ex.records.collect()) == ["1001", "1002"]
+    assert persisted(spark) == before
+
+
+def test_grown_folders_are_read_whole(spark, tmpdir_path):
+    from orderlens.operators.rownum import number_rows
+    from orderlens.sources.jsonl import read_bulk_jsonl
+    folder, table, before = os.path.join(tmpdir_path, "in"), os.path.join(tmpdir_path, "t"), persisted(spark)
+    os.makedirs(folder)
+    schema = T.StructType([T.StructField("id", T.StringType())])
+    for n in (1, 2):
+        with open(os.path.join(folder, f"{n}.jsonl"), "w") as fh:
+            fh.write("".join(f'{{"id":"{n}-{i}"}}\n' for i in range(3)))
+        assert read_bulk_jsonl(spark, folder, schema).records().count() == 3 * n
+        spark.range(n * 3).write.mode("overwrite").parquet(table)
+        assert sorted(r["n"] for r in number_rows(spark.read.parquet(table), ["id"], out="n").collect()) == list(range(1, 3 * n + 1))
+    assert persisted(spark) == before
+
+
 def test_streaming_landing(spark, tmpdir_path):
     landing = os.path.join(tmpdir_path, "landing")
     os.makedirs(landing)
@@ -67,6 +140,7 @@ def test_streaming_landing(spark, tmpdir_path):
     q.awaitTermination(120)
     recs = spark.read.json(os.path.join(tmpdir_path, "recs"))
     assert sorted(r["id"] for r in recs.collect()) == ["1001", "1002", "7"]
+    assert not spark.sparkContext._jsc.getPersistentRDDs().size()
     bad = spark.read.json(os.path.join(tmpdir_path, "bad")).collect()
     assert [(os.path.basename(r["file"]), r["line_no"]) for r in bad] == [("a.jsonl", 3)]
 
