@@ -1,7 +1,8 @@
 """BPE encoding and decoding of whole texts, with tree concatenation for long unsplit text.
 
 A text is cut where the vocabulary's own splitting can never join across (before a single space),
-and each distinct chunk is encoded once per worker. A chunk without such a cut that is longer than
+and each distinct chunk is encoded once per worker. Where a vocabulary's ids ascend in merge order,
+plain text goes through a rank engine over the same merges, which gives the same ids sooner. A chunk without such a cut that is longer than
 ``leaf`` goes by tree concatenation: leaves are encoded in parallel, and at every join a window of
 tokens to both sides is encoded again and grows until its first and last tokens equal those that
 stood there. Then every adjacent pair of tokens is one that BPE itself leaves standing, which makes
@@ -17,6 +18,8 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -25,28 +28,68 @@ from orderlens.llm.common import map_rows
 
 #: Characters of unsplit text from which the tree is used.
 LEAF = 4096
-#: Distinct chunks that a worker keeps.
-KEPT_CHUNKS = 1 << 19
+#: Distinct chunks, and distinct words, that a worker keeps.
+KEPT_CHUNKS = 1 << 18
 #: A text longer than this is worked through in slices cut at chunk bounds.
 SLICE = 1 << 20
 #: A space between two other white-space characters (or before the end): not a place to cut.
 _UNSAFE = re.compile(r"\s(?= (?:\s|\Z))")
 
 
+#: Characters that every Unicode version classes alike, so that the rank engine's splitting and the
+#: tokenizer's cannot differ. A text or chunk with any other goes to the tokenizer itself.
+_ODD = re.compile("[^\\t\\n\\r -~\u00a1-\u012f\u0132-\u017f\u2010-\u2027\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5]")
+_ODD_LATIN = re.compile("[^ -~\u00a1-\u012f\u0132-\u017f]")
+#: Fixed value: how a byte-level vocabulary with word ends splits lower-cased text.
+_WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+#: Stands for the word-end mark in rank-engine bytes; it occurs in no UTF-8 text.
+_END = b"\xff"
+
+
+def _byte_of_symbol() -> dict[str, int]:
+    """Byte-level vocabularies write printable bytes as themselves and the others from U+0100 on."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)}
+
+
+def rank_engine(spec: dict) -> tiktoken.Encoding | None:
+    """The same merges by rank, for a vocabulary whose ids ascend in merge order; else None."""
+    model, symbols = spec["model"], _byte_of_symbol()
+    vocab, suffix = model["vocab"], model.get("end_of_word_suffix") or ""
+    merged = [vocab[a + b] for a, b in (m.split(" ") if isinstance(m, str) else m for m in model["merges"])]
+    base = [i for t, i in vocab.items() if len(t.removesuffix(suffix) if suffix else t) == 1]
+    if merged != sorted(merged) or len(base) != (512 if suffix else 256) or max(base) > merged[0]:
+        return None
+    if len(set(merged)) + len(base) != len(vocab) or model.get("continuing_subword_prefix") or model.get("byte_fallback"):
+        return None
+    ranks = {}
+    for token, i in vocab.items():
+        stem = token.removesuffix(suffix) if suffix else token
+        ranks[bytes(symbols[c] for c in stem) + (_END if len(stem) < len(token) else b"")] = i
+    pattern = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks,
+                             special_tokens={t["content"]: t["id"] for t in spec["added_tokens"]})
+
+
+def read_spec(path: str) -> dict:
+    with open(path, encoding="utf-8") as f:
+        return json.load(f) | {"truncation": None, "padding": None}
+
+
 class Encoder:
     """ids of whole texts, equal to the tokenizer's own with add_special_tokens=False."""
 
     def __init__(self, path: str, leaf: int = LEAF):
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        spec["truncation"] = spec["padding"] = None
+        spec = read_spec(path)
         self.whole = Tokenizer.from_str(json.dumps(spec))
-        self.leaf, self.kept, self.trees = leaf, {}, None
-        self.spec = spec
+        self.path, self.leaf, self.kept, self.trees = path, leaf, {}, None
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        #: white space is dropped and splits: spaces and line ends are one kind of cut
         first = (spec["pre_tokenizer"].get("pretokenizers") or [{}])[0]
+        #: white space is dropped and splits: spaces and line ends are one kind of cut
         self.drops_space = first.get("behavior") == "Removed" and first.get("invert", False)
+        self.ranks = rank_engine(spec)
+        self.core = self.ranks._core_bpe if self.ranks and self.drops_space else None
+        self.words: dict[str, bytes] = {}
 
     def encode(self, text: str | None) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
@@ -67,9 +110,15 @@ class Encoder:
             at = end
         return b"".join(out)
 
+    def _unsplit(self, text: str) -> bool:
+        """Whether a run without white space is long enough for the tree."""
+        return len(text) > self.leaf and max(map(len, text.split()), default=0) > self.leaf
+
     def _slice(self, text: str) -> bytes:
         if self.drops_space:
             chunks = text.replace("\n", " ").split(" ")
+        elif self.ranks and not self._unsplit(text) and not _ODD.search(text):
+            return self.ranks.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False).tobytes()
         elif _UNSAFE.search(text):
             chunks = [text]
         else:
@@ -84,13 +133,30 @@ class Encoder:
         if len(kept) + len(new) > KEPT_CHUNKS:
             kept.clear()
             new = list(dict.fromkeys(chunks))
-        long = [x for x in new if len(x) > self.leaf and max(map(len, x.split()), default=0) > self.leaf]
-        short = [x for x in new if x not in long] if long else new
-        for x, e in zip(short, self.whole.encode_batch_fast(short, add_special_tokens=False)):
+        own, rest = {}, []
+        for x in new:
+            if self._unsplit(x):
+                own[x] = self._long(x)
+            elif self.core is not None and not _ODD_LATIN.search(x) and "<|" not in x:
+                kept[x] = self._by_words(x)
+            else:
+                rest.append(x)
+        for x, e in zip(rest, self.whole.encode_batch_fast(rest, add_special_tokens=False)):
             kept[x] = np.array(e.ids, "<u4").tobytes()
-        own = {x: self._long(x) for x in long}
         return b"".join([own[x] if x in own else kept[x] for x in chunks])
 
+    def _by_words(self, chunk: str) -> bytes:
+        """Word by word through the rank engine; each distinct word is encoded once."""
+        out, words = [], self.words
+        for w in _WORDS.findall(chunk.lower()):
+            ids = words.get(w)
+            if ids is None:
+                if len(words) >= KEPT_CHUNKS:
+                    words.clear()
+                ids = words[w] = np.array(self.core.encode_single_piece(w.encode() + _END), "<u4").tobytes()
+            out.append(ids)
+        return b"".join(out)
+
     def _long(self, chunk: str) -> bytes:
         """A chunk with no safe cut: added tokens first, then the vocabulary's own splitting, then
         the tree for each piece that is still long."""
@@ -107,7 +173,7 @@ class Encoder:
         return np.array(out, "<u4").tobytes()
 
     def tree(self) -> Tree:
-        self.trees = self.trees or Tree(self.spec, self.leaf)
+        self.trees = self.trees or Tree(read_spec(self.path), self.leaf)
         return self.trees
 
 
@@ -160,6 +226,7 @@ class Decoder:
         self.pieces = None
         if self.whole.decoder is None:  # tokens joined by spaces; ids outside the vocabulary vanish
             self.pieces = {i: t for t, i in self.whole.get_vocab(with_added_tokens=True).items()}
+            self.whole = None
 
     def decode(self, ids: bytes | None) -> str:
         numbers = np.frombuffer(ids or b"", "<u4").tolist()
