@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from orderlens.llm import queries, rules, secrets, simhash, toxicity
 from orderlens.llm.common import ship, stage, table
+from orderlens.session import drop_stage
 
 
 def _by_text(docs: DataFrame, change: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]]) -> DataFrame:
@@ -118,6 +119,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+    for number, (name, step) in enumerate(STAGES):
+        done = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+        if number:  # the stage before has been read for the last time
+            drop_stage(docs)
+        docs = done
     return docs

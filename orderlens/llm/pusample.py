@@ -36,15 +36,18 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, folds: Fold, id_col:
            most_positive: int = MOST_POSITIVE, most_unlabelled: int = MOST_UNLABELLED) -> tuple[DataFrame, float]:
     """(rows (``positive``, ``text``), class prior). The prior is the share of positives among the
     labelled ids of the learning folds, each id once; an id labelled both ways counts as positive.
-    Unlabelled texts are drawn from all rows of those folds, whatever their label."""
+    Unlabelled texts are drawn from all ids of those folds, whatever their label; an id with several
+    texts gives the smallest."""
     known = (labels.where(F.col(id_col).isNotNull() & F.col(label).isNotNull() & ~folds.held_out(id_col))
              .groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label) == 1).alias("positive")))
     n, positives = known.agg(F.count("*"), F.coalesce(F.sum(F.col("positive").cast("long")), F.lit(0))).first()
     texts = (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
              .where(F.col("id").isNotNull() & ~folds.held_out("id")))
     total = docs.count()
-    # at most `most_positive` ids: small by construction, so the documents are not shuffled for them
+    # about `most_positive` ids at most: small by construction, so the documents are not shuffled for them
     picked = known.where(F.col("positive") & _chosen("id", most_positive, positives, 1)).select("id").limit(most_positive)
-    rows = texts.join(F.broadcast(picked), "id", "left_semi").select(F.lit(True).alias("positive"), "text").limit(2 * most_positive)
-    other = texts.where(_chosen("id", most_unlabelled, total, 2)).select(F.lit(False).alias("positive"), "text").limit(2 * most_unlabelled)
-    return rows.unionByName(other), (positives / n if n else 0.0)
+    rows = texts.join(F.broadcast(picked), "id", "left_semi").select(F.lit(True).alias("positive"), "id", "text")
+    other = texts.where(_chosen("id", most_unlabelled, total, 2)).select(F.lit(False).alias("positive"), "id", "text")
+    # one text an id: rows that repeat an id cannot swell the sample, and it is dealt out before it is worked on
+    drawn = rows.unionByName(other).groupBy("positive", "id").agg(F.min("text").alias("text"))
+    return drawn.select("positive", "text"), (positives / n if n else 0.0)

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.common import batched, map_rows, ship, stage
+from orderlens.session import drop_stage
 
 SHINGLE_WORDS, SEED, MAX_BITS = 4, 42, 4
 #: Positions in three classes; a set lies in one class, or has two in a class and one in the next.
@@ -200,6 +201,7 @@ def connected(edges: DataFrame) -> DataFrame:
         low = then.groupBy("u").agg(F.count("*").alias("n"))
         if low.where("n > 1").isEmpty() and then.join(then.select(F.col("u").alias("v")), "v", "left_semi").isEmpty():
             return then.select(F.col("u").alias("node"), F.col("v").alias("root"))
+        drop_stage(now)
         now = then
 
 

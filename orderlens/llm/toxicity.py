@@ -71,7 +71,6 @@ def train(docs: DataFrame, labels: DataFrame, folds: Fold = FOLDS, id_col: str =
             yield (positive, f), 4 * len(f)
 
     schema = pa.schema([("positive", pa.bool_()), ("features", pa.list_(pa.int32()))])
-    # few rows: deal them out before the texts are worked on
     drawn = stage(map_rows(rows, ["positive", "text"], hashed, schema), "toxicity-sample")
     n = dict(drawn.groupBy("positive").count().collect())
     if not n.get(True) or not n.get(False):
