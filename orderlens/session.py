@@ -78,13 +78,6 @@ def written_stage(df: DataFrame, name: str) -> DataFrame:
 def drop_stage(staged: DataFrame) -> None:
     """Delete a written stage once its last reader has run."""
     spark = staged.sparkSession
-    for folder in {f.rsplit("/", 1)[0] for f in staged.inputFiles()}:
+    for folder in {f.rsplit("/", 1)[0] for f in staged.inputFiles()}:  # none where it holds no rows
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable lineage cut: ``checkpoint()`` writes to the shared checkpoint folder, so the
-    result survives executor loss (unlike ``localCheckpoint``)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
