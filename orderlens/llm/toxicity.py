@@ -89,7 +89,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: Fold = FOLDS, id_col: str =
 
     got = map_rows(drawn, ["positive", "features"], narrowed, pa.schema([("positive", pa.bool_()), ("features", pa.binary())])).collect()
     sets = {flag: [np.frombuffer(f, "<i4") for x, f in got if x == flag] for flag in (True, False)}
-    w, b = fit(sets[True], sets[False], max(1, len(number)), prior, sparsity=1e-4, rising=True)
+    w, b = fit(sets[True], sets[False], max(1, len(number)), prior, sparsity=1.5e-4, rising=True)
     return Scorer({f: float(w[i]) for f, i in number.items() if w[i]}, b)
 
 
