@@ -8,11 +8,14 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import bpe, chat, packing, quality, rules, secrets, sharding, simhash, topk, toxicity
-from orderlens.llm.common import map_rows, table
+from orderlens.llm import align, bpe, chat, idfile, packing, periods, quality, rules, secrets, sharding, simhash, topk, toxicity
+from orderlens.llm.common import table
+from orderlens.session import staging_path
 
 #: The end mark of byte_bpe documents in the packing contract.
 END_ID = 1
+#: The end mark of documents in the id files.
+FILE_END_ID = 0
 #: A conversation whose texts are the template's own control strings (fixed by the contract).
 CONTROL_CONVERSATION = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
 
@@ -80,6 +83,43 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_docs(spark, sf_dir))
 
 
+def op11_idfile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = staging_path(spark, "id-files")
+    idfile.write_documents(_docs(spark, sf_dir), out, public_tokenizers.path("byte_bpe_50k.json"), FILE_END_ID)
+    return idfile.read_ids(spark, out).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """The contract's change of the text: where the checksum of the id ends in 0, the words from ``a``
+    on repeat with period ``p``. A null id changes nothing."""
+    sum_ = F.crc32(F.col("doc_id").cast("string"))
+    words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    asked = docs.select("doc_id", "text", sum_.alias("h"), F.when(sum_ % 10 == 0, words).alias("w"))
+    n, g = F.size("w"), F.floor(F.col("h") / 10)
+    sized = asked.withColumns({"n": n, "g": g}).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    period = sized.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    place = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")
+    looped = F.transform("w", lambda w, i: F.get("w", place(i)))
+    return period.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(looped, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.find_runs(with_planted_periods(_docs(spark, sf_dir)))
+    none = F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>")
+    # runs come by start and period, so of equal exponents the first stays
+    best = F.reduce("runs", none, lambda x, r: F.when(x.isNull() | (r.length * x.period > x.length * r.period), r).otherwise(x))
+    lines = F.transform("runs", lambda r: F.concat(r.start.cast("string"), F.lit(","), r.length.cast("string"), F.lit(","), r.period.cast("string"), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = align.link_report(_docs(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return report.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -88,7 +128,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_simhash, op2_bpe, op3_chat, op4_topk, op5_toxicity, op6_packing, op7_rules, op8_secrets,
-                            op9_quality, op10_sharding, pipeline)
+                            op9_quality, op10_sharding, op11_idfile, op12_periods, op13_align, pipeline)
 }
 
 _OP3 = r"""
