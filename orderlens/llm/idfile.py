@@ -15,17 +15,16 @@ is not taken for a whole one. Everything is written and read by Spark, in any st
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderlens.llm import bpe
-from orderlens.llm.common import map_rows, stage
-from orderlens.session import drop_stage
+from orderlens.llm.common import map_rows
 
 #: Ids of a word by selector: 0 is the escape, 15 a run of zeros, the others share 60 bits evenly.
 COUNTS = np.array([0, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1, 240])
@@ -35,38 +34,70 @@ WIDTHS = [0 if s in (ESCAPE, ZEROS) else PAYLOAD // int(c) for s, c in enumerate
 BLOCK, SEGMENT = 4096, 1 << 18
 
 
+_NARROW = np.array([k.bit_length() for k in range(1 << 16)], np.uint8)
+_POWERS = np.array([1 << k for k in range(64)], np.uint64)
+
+
+def _bits(ids: np.ndarray) -> np.ndarray:
+    """Bits that each id needs; 0 needs none."""
+    return _NARROW[ids] if ids.max() < len(_NARROW) else np.searchsorted(_POWERS, ids, "right").astype(np.uint8)
+
+
+def _all_in_window(fits: np.ndarray, n: int) -> np.ndarray:
+    """Along each row, whether ``n`` places from here on fit (fewer near the end: not)."""
+    out, have = fits, 1
+    while have < n:  # windows double, the last step overlaps
+        step = min(have, n - have)
+        out = out[:, :out.shape[1] - step] & out[:, step:]
+        have += step
+    return out
+
+
 def pack_ids(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
     """(words, word offset of each block) of unsigned ids. No ids give no words and no blocks."""
     ids = np.ascontiguousarray(ids, np.uint64)
-    n = len(ids)
+    n, most = len(ids), int(COUNTS.max())
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    place = np.arange(n)
-    ends = np.minimum((place // block + 1) * block, n)
-    chosen = np.full(n, ESCAPE, np.int8)
+    # one row per block; the room behind the last id takes whatever is missing
+    bits = np.zeros((-(-n // block), block + most), np.uint8)
+    flat = np.zeros(bits.shape[0] * block, np.uint8)
+    flat[:n] = _bits(ids)
+    bits[:, :block] = flat.reshape(-1, block)
+    chosen = np.full((len(bits), block), ESCAPE, np.uint8)
     for s in [*range(SINGLE, 0, -1), ZEROS]:  # the largest count that fits is set last
-        wide = np.where(ids >> np.uint64(WIDTHS[s]) != 0, place, n)
-        first_wide = np.minimum.accumulate(wide[::-1])[::-1]
-        chosen[first_wide >= np.minimum(place + COUNTS[s], ends)] = s
-    step = np.minimum(np.where(chosen == ESCAPE, 1, COUNTS[chosen]), ends - place).tolist()
-    starts, at = [], 0
-    while at < n:
-        starts.append(at)
-        at += step[at]
+        fits = _all_in_window(bits <= WIDTHS[s], int(COUNTS[s]))[:, :block]
+        if not fits.any():
+            break  # nor does any larger count at a smaller width
+        chosen[fits] = s
+    chosen = chosen.ravel()[:n]
+    held = COUNTS[chosen]
+    held[chosen == ESCAPE] = 1
+    step, starts = held.tolist(), []
+    for at in range(0, n, block):
+        end = min(at + block, n)
+        while at < end:
+            starts.append(at)
+            at += step[at]
     first = np.array(starts)
     kind = chosen[first]
     escaped = kind == ESCAPE
     place_of = np.cumsum(1 + escaped) - 1  # of the word that holds the ids
     words = np.zeros(int(place_of[-1]) + 1, np.uint64)
-    padded = np.concatenate([ids, np.zeros(int(COUNTS.max()), np.uint64)])
+    padded = np.concatenate([ids, np.zeros(most, np.uint64)])
+    ends = np.minimum((first // block + 1) * block, n)
     for s in range(1, ZEROS):
-        mine = (kind == s) | escaped if s == SINGLE else kind == s
-        if mine.any():
-            steps = np.arange(COUNTS[s])
-            at = first[mine][:, None] + steps
-            held = np.where(at < ends[first[mine]][:, None], padded[at], np.uint64(0))
-            held &= np.uint64((1 << PAYLOAD) - 1)
-            words[place_of[mine]] = np.bitwise_or.reduce(held << (steps * WIDTHS[s]).astype(np.uint64), axis=1) | np.uint64(s << PAYLOAD)
+        mine = np.flatnonzero((kind == s) | escaped if s == SINGLE else kind == s)
+        if len(mine):
+            at, width, end = first[mine], WIDTHS[s], ends[mine]
+            whole = at + COUNTS[s] <= end
+            word = np.full(len(mine), s << PAYLOAD, np.uint64)
+            for k in range(COUNTS[s]):
+                own = padded[at + k] & np.uint64((1 << PAYLOAD) - 1)
+                if not whole.all():
+                    own = np.where(at + k < end, own, np.uint64(0))
+                word |= own << np.uint64(k * width)
+            words[place_of[mine]] = word
     words[place_of[kind == ZEROS]] = np.uint64(ZEROS << PAYLOAD)
     words[place_of[escaped] - 1] = ids[first[escaped]] >> np.uint64(PAYLOAD)
     return words, (place_of - escaped)[first % block == 0]
@@ -87,11 +118,12 @@ def unpack_ids(words: np.ndarray, blocks: np.ndarray, n: int, block: int = BLOCK
     for s in range(1, ZEROS):
         mine = np.flatnonzero(kind == s)
         if len(mine):
-            steps = np.arange(COUNTS[s])
-            at = first[mine][:, None] + steps
-            ids = words[mine][:, None] >> (steps * WIDTHS[s]).astype(np.uint64) & np.uint64((1 << WIDTHS[s]) - 1)
-            inside = at < ends[mine][:, None]  # the last word of a block may have room left
-            out[at[inside]] = ids[inside]
+            at, word, end = first[mine], words[mine], ends[mine]
+            whole = (at + COUNTS[s] <= end).all()  # the last word of a block may have room left
+            for k in range(COUNTS[s]):
+                ids = word >> np.uint64(k * WIDTHS[s]) & np.uint64((1 << WIDTHS[s]) - 1)
+                inside = slice(None) if whole else at + k < end
+                out[at[inside] + k] = ids[inside]
     high = np.flatnonzero(kind == ESCAPE)
     out[first[high + 1]] |= words[high] << np.uint64(PAYLOAD)
     return out
@@ -112,26 +144,19 @@ _SEGMENT = pa.schema([
     ("blocks", pa.binary()), ("doc_ids", pa.list_(pa.int64())), ("doc_tokens", pa.list_(pa.int64()))])
 
 
-def write_ids(encoded: DataFrame, out: str, ids_col: str = "ids", id_col: str = "doc_id", segment: int = SEGMENT) -> None:
-    """Write rows of (document id, ids as little-endian unsigned 32-bit) below the new folder ``out``.
-
-    Documents lie in ascending id order over the files, null ids first; rows of one id by checksum
-    and then as they came, so a repeated row is written as often as it occurs. A row whose ids are
-    null keeps its place with length 0. No rows give a table of no files. A
-    document is never divided, so a segment is larger than ``segment`` where a document is. Other
-    columns are not written. ``encoded`` is read twice (Spark samples the ranges): pass written rows."""
+def _write(dealt: DataFrame, out: str, segment: int, ids_of: Callable[[], Callable[[object], bytes]]) -> None:
+    """Write the rows (document id, what ``ids_of`` turns into ids) of each partition as one file."""
     def run(rows: Iterator[tuple]) -> Iterator[tuple[tuple, int]]:
-        file, number, before = TaskContext.get().partitionId(), 0, 0
+        file, number, before, own = TaskContext.get().partitionId(), 0, 0, ids_of()
         docs, sizes, held, total = [], [], [], 0
 
         def close() -> tuple[tuple, int]:
-            ids = np.frombuffer(b"".join(held), "<u4")
-            words, blocks = pack_ids(ids)
-            row = (file, number, before, len(ids), words.astype("<u8").tobytes(), blocks.astype("<u4").tobytes(), docs, sizes)
+            words, blocks = pack_ids(np.frombuffer(b"".join(held), "<u4"))
+            row = (file, number, before, total, words.astype("<u8").tobytes(), blocks.astype("<u4").tobytes(), docs, sizes)
             return row, 8 * len(words) + 16 * len(docs)
 
-        for key, ids in rows:
-            ids = ids or b""
+        for key, value in rows:
+            ids = own(value)
             docs.append(key)
             sizes.append(len(ids) // 4)
             held.append(ids)
@@ -143,18 +168,47 @@ def write_ids(encoded: DataFrame, out: str, ids_col: str = "ids", id_col: str =
         if docs:
             yield close()
 
-    spark, base = encoded.sparkSession, out.rstrip("/")
-    keyed = encoded.select(F.col(id_col).cast("long").alias("key"), F.col(ids_col).alias("ids"), F.crc32(ids_col).alias("sum"),
-                           F.monotonically_increasing_id().alias("row"))
-    order = [F.col(c).asc_nulls_first() for c in ("key", "sum", "row")]
-    dealt = keyed.repartitionByRange(*order).sortWithinPartitions(*order)
-    map_rows(dealt, ["key", "ids"], run, _SEGMENT).write.parquet(f"{base}/segments")
+    spark, base = dealt.sparkSession, out.rstrip("/")
+    map_rows(dealt, dealt.columns, run, _SEGMENT).write.parquet(f"{base}/segments")
     # one row per file: as many as Spark has dealt partitions
     files = spark.read.parquet(f"{base}/segments").groupBy("file").agg(F.sum("n_ids").alias("n_ids"), F.sum(F.size("doc_ids")).alias("n_docs"))
     ahead = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     files.withColumn("ids_before", F.coalesce(F.sum("n_ids").over(ahead), F.lit(0))).write.parquet(f"{base}/files")
 
 
+def _dealt(rows: DataFrame, id_col: str, value: Column) -> DataFrame:
+    """Ascending ids over the partitions, null ids first; rows of one id by the value's hash and then as
+    they came, so that copies of one row, however many, are spread like others."""
+    keyed = rows.select(F.col(id_col).cast("long").alias("key"), value.alias("value"), F.xxhash64(value).alias("sum"),
+                        F.monotonically_increasing_id().alias("row"))
+    order = [F.col(c).asc_nulls_first() for c in ("key", "sum", "row")]
+    return keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("key", "value")
+
+
+def write_ids(encoded: DataFrame, out: str, ids_col: str = "ids", id_col: str = "doc_id", segment: int = SEGMENT) -> None:
+    """Write rows of (document id, ids as little-endian unsigned 32-bit) below the new folder ``out``.
+
+    Documents lie in ascending id order over the files, null ids first; rows of one id by the hash of
+    their ids, so a repeated row is written as often as it occurs. A row whose ids are null keeps its
+    place with length 0. No rows give a table of no files. A document is never divided, so a segment is
+    larger than ``segment`` where a document is. Other columns are not written. ``encoded`` is read
+    twice (Spark samples the ranges)."""
+    _write(_dealt(encoded, id_col, F.col(ids_col)), out, segment, lambda: lambda ids: ids or b"")
+
+
+def write_documents(docs: DataFrame, out: str, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text",
+                    segment: int = SEGMENT) -> None:
+    """Encode whole texts with the tokenizer at ``path``, append ``end_id`` to each document and write
+    the ids as :func:`write_ids` does; rows of one id come by the hash of their texts. Texts are shuffled,
+    which are smaller than their ids, and encoded by the task that writes them. Null and empty texts
+    are the end id alone."""
+    def ids_of():
+        own, end = bpe.encoder(path), end_id.to_bytes(4, "little")
+        return lambda text: own.encode(text) + end
+
+    _write(_dealt(docs, id_col, F.col(text_col).cast("string")), out, segment, ids_of)
+
+
 def read_ids(spark: SparkSession, out: str) -> DataFrame:
     """One row per written document: ``doc_id``, ``start`` (ids of all documents before it),
     ``n_tokens``, ``ids``, from the files alone."""
@@ -190,12 +244,3 @@ def read_window(spark: SparkSession, out: str, start: int, stop: int) -> DataFra
     segments = spark.read.parquet(f"{base}/segments").join(F.broadcast(files.select("file", "ids_before")), "file")
     asked = segments.select(first, "n_ids", "words", "blocks").filter((F.col("first") < stop) & (F.col("first") + F.col("n_ids") > start))
     return map_rows(asked, ["first", "n_ids", "words", "blocks"], run, pa.schema([("start", pa.int64()), ("ids", pa.binary())]))
-
-
-def write_documents(docs: DataFrame, out: str, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Encode whole texts with the tokenizer at ``path``, append ``end_id`` to each document and
-    write the ids (:func:`write_ids`). Null and empty texts are the end id alone."""
-    ids = F.concat("ids", F.lit(end_id.to_bytes(4, "little"))).alias("ids")
-    encoded = stage(bpe.encode(docs, path, id_col, text_col).select("doc_id", ids), "token-ids")
-    write_ids(encoded, out)
-    drop_stage(encoded)
