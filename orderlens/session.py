@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,19 +67,63 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
+#: Folders of stages that have not been dropped, in the order in which they were made.
+_STAGES: list[str] = []
+
+
+def file_system(spark: SparkSession, path: str):
+    """The store that holds ``path``, and the path as it knows it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, at = file_system(spark, path)
+    return fs.exists(at)
+
+
+def keep_stage(spark: SparkSession, path: str) -> None:
+    """Enter ``path``, where an intermediate table goes, as one that leaves with this application: the
+    store deletes it when the driver ends, unless it is dropped before."""
+    fs, at = file_system(spark, path)
+    fs.deleteOnExit(at)
+    _STAGES.append(path)
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    fs, at = file_system(spark, path)
+    fs.delete(at, True)
+    fs.cancelDeleteOnExit(at)
+    if path in _STAGES:
+        _STAGES.remove(path)
+
+
 def written_stage(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once below the shared checkpoint folder and read back.
 
     Every reader sees the same rows, a lost executor costs nothing, and the folder is new each
-    time, so a later run over grown or rewritten inputs never meets an older result."""
-    path = staging_path(df.sparkSession, name)
+    time, so a later run over grown or rewritten inputs never meets an older result. It lasts until
+    :func:`drop_stage`, the end of a :func:`scratch` block, or the end of the driver."""
+    spark = df.sparkSession
+    path = staging_path(spark, name)
+    keep_stage(spark, path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_stage(staged: DataFrame) -> None:
     """Delete a written stage once its last reader has run."""
-    spark = staged.sparkSession
     for folder in {f.rsplit("/", 1)[0] for f in staged.inputFiles()}:  # none where it holds no rows
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        known = [p for p in _STAGES if folder.endswith(p.split(":", 1)[-1].lstrip("/"))]
+        _drop(staged.sparkSession, known[0] if known else folder)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Stages written inside the block are deleted at its end: write or collect the result inside."""
+    before = set(_STAGES)
+    try:
+        yield
+    finally:
+        for path in [p for p in _STAGES if p not in before]:
+            _drop(spark, path)
