@@ -17,7 +17,7 @@ from ..functions.messages import (FAILED_STATUSES, THROTTLE_CODES, describe_fail
                                   missing_scope)
 from ..functions.money import throttle_delay_millis
 from ..functions.text import is_mutation, normalize
-from ..sources.jsonl import whole_json
+from ..sources.jsonl import with_object
 
 # Attempt limits of the original clients.
 DEFAULT_MAX_ATTEMPTS = 2
@@ -56,7 +56,7 @@ def _fill(template: str, **cols) -> Column:
 # ``errors`` is kept as raw JSON text: only a list is one, and its entries, kept as text again, may
 # be objects with a message or plain strings.
 BODY_SCHEMA = (
-    "data string, errors string, "
+    "data {data}, errors string, "
     "extensions struct<cost:struct<requestedQueryCost:string,actualQueryCost:string,"
     "throttleStatus:struct<maximumAvailable:string,currentlyAvailable:string,restoreRate:string>>>"
 )
@@ -70,36 +70,28 @@ def _error_code(e: Column) -> Column:
     return F.when(F.trim(e).startswith("{"), F.get_json_object(e, "$.extensions.code"))
 
 
-def _is_json_object(text: Column) -> Column:
-    return F.coalesce(normalize(text).isNotNull() & whole_json(text, "struct<_probe:string>"), F.lit(False))
-
-
 def _empty_errors(text: Column) -> Column:
     """Values that count as no errors at all: absent, null, false, zero, empty text, list or object."""
     return F.coalesce(F.trim(text).isin("", "null", "false", "0", "[]", "{}"), F.lit(True))
 
 
 def classify_responses(log: DataFrame, status_col: str = "status_code", body_col: str = "body",
-                       attempt_col: str = "attempt", max_col: str | None = "max_attempts") -> DataFrame:
+                       attempt_col: str = "attempt", max_col: str | None = "max_attempts", data_type: str = "string") -> DataFrame:
     """L1: one classification per captured response.
 
     non-2xx -> not ok, retryable iff (429 or >= 500) and attempts remain; a body that is not one
     JSON object -> not ok, final; ``errors`` that is neither empty nor a list -> not ok (failure
     ``shape``), retryable while attempts remain; errors with a non-blank message -> not ok, messages prefixed,
     throttled iff a code is THROTTLED / MAX_COST_EXCEEDED, retryable iff throttled and attempts
-    remain; otherwise ok (errors whose messages are all blank count as ok)."""
+    remain; otherwise ok (errors whose messages are all blank count as ok). ``data`` is read as
+    ``data_type``, by the one parse of the body (raw JSON text where nothing else is asked for)."""
     s = F.coalesce(F.col(status_col).cast("int"), F.lit(0))
     attempt = F.col(attempt_col).cast("int")
     max_a = F.col(max_col).cast("int") if max_col else F.lit(1)
     left = attempt < max_a
     # staged: the body is parsed once, the messages and codes derived once, then every output
     # column reads those (an expensive expression used twice is not re-inlined by the optimizer)
-    staged = log.withColumns({
-        "__s": s,
-        "__left": left,
-        "__body": F.from_json(F.col(body_col), BODY_SCHEMA),
-        "__is_obj": _is_json_object(F.col(body_col)),
-    })
+    staged = with_object(log.withColumns({"__s": s, "__left": left}), body_col, BODY_SCHEMA.format(data=data_type), "__is_obj", "__body")
     staged = staged.withColumns({
         "__list": F.when(F.trim(F.col("__body.errors")).startswith("["), F.from_json(F.col("__body.errors"), "array<string>")),
     }).withColumns({
@@ -293,11 +285,13 @@ def check_rows(configs: DataFrame, connect: DataFrame, orders_probe: DataFrame,
     ``connect`` / ``orders_probe``: key, status_code, body and, where captured, duration_ms, which
     the first check of a call that was made reports. Orders returned by the probe are
     the edges in its body ("1 order returned" for exactly one)."""
-    c = classify_responses(connect.withColumn("attempt", F.lit(1)).withColumn("max_attempts", F.lit(1)))
+    c = classify_responses(connect.withColumn("attempt", F.lit(1)).withColumn("max_attempts", F.lit(1)),
+                           data_type="struct<shop:struct<myshopifyDomain:string>>")
     c = c.select(key, F.col("status_code").alias("c_status"), F.col("ok").alias("c_ok"),
-                 F.get_json_object("body", "$.data.shop.myshopifyDomain").alias("c_domain"), _duration(connect).alias("c_ms"))
-    o = classify_responses(orders_probe.withColumn("attempt", F.lit(1)).withColumn("max_attempts", F.lit(1)))
-    edges = F.from_json(F.get_json_object("body", "$.data.orders.edges"), "array<string>")
+                 F.col("data.shop.myshopifyDomain").alias("c_domain"), _duration(connect).alias("c_ms"))
+    o = classify_responses(orders_probe.withColumn("attempt", F.lit(1)).withColumn("max_attempts", F.lit(1)),
+                           data_type="struct<orders:struct<edges:array<string>>>")
+    edges = F.col("data.orders.edges")
     o = o.select(key, F.col("status_code").alias("o_status"), F.col("ok").alias("o_ok"),
                  F.col("graphql_messages").alias("o_msgs"), F.coalesce(F.size(edges), F.lit(0)).alias("o_count"),
                  _duration(orders_probe).alias("o_ms"))

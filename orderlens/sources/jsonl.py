@@ -1,22 +1,20 @@
 """Strict JSON-lines reading with line numbers, at any size.
 
 A line is trimmed; blank lines are skipped but counted. A line that is valid JSON but not an
-object, or not valid JSON at all, is reported with its 1-based number in its file. Errors do
+object, or not valid JSON at all, is reported with its 1-based number in its load. Errors do
 not stop the parse.
 
-Validity is decided by ``from_json`` with a one-field probe plus ``_corrupt_record`` on the
-line wrapped in an object, together with the length of the line wrapped in an array: both hold
-only where the line is one JSON value with nothing after it (a parser that stops at the end of
-the first value accepts ``{..}{..}`` and ``{..},``). The values come from a second ``from_json``
-with the real schema, every leaf read as text so a wrongly typed value never drops the record.
-Each accessor derives only what it returns, so a plan holds each parse once.
-
-Line numbers for files: each file split is read whole by one task, in file order. Rows are
-tagged with ``monotonically_increasing_id``; the first id and the offset of each split form a
-small table (one row per split) written to a folder of its own, whose size Spark knows when it
-plans the join, so the text is numbered where it was read. Both scans use the file listing made
-when the reader was created and pack it alike, so they assign the same ids; nothing is cached, so a
-later read of a grown folder starts anew.
+One parse a line. The line is put into an array before a second object that carries its hash, and
+the array is read with the real schema, every leaf as text so a wrongly typed value never drops the
+record. Two entries with the hash in the second prove that the line is one JSON value with nothing
+after it: text that ends the array early loses the second entry, and text that adds an entry makes
+it more than two. Lines that this parse refuses go through a strict probe of their own
+(:func:`whole_json`), which alone decides about them; in an export they are few.
+
+Files are read once. One job reads each split, in file order, classifies its lines and writes them
+with the split they came from and their order in it. How many lines come before a split is added up
+from what that job wrote, so numbers and lines cannot disagree, however a later scan would cut the
+files. The written lines stay until the application ends (``session.scratch`` ends them sooner).
 """
 
 from __future__ import annotations
@@ -39,38 +37,8 @@ PROBE_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_re
 NOT_OBJECT = "Shopify bulk operation JSONL line {n} was not a JSON object."
 NOT_JSON = "Shopify bulk operation JSONL line {n} was not valid JSON."
 
-
-def read_text_lines(spark: SparkSession, path) -> DataFrame:
-    """Lines of one or more text files: (file, line_no, value); numbering restarts per file."""
-    return number_split_lines(spark.read.text(path))
-
-
-def number_split_lines(text: DataFrame) -> DataFrame:
-    """Per-file line numbers for a text-file read (``value`` plus the hidden ``_metadata``
-    column of a file source); also used per micro-batch by the streaming reader."""
-    return numbered_with_offsets(text)[0]
-
-
-def numbered_with_offsets(text: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(numbered lines, the written split offsets they read); a caller that knows when the lines
-    have been used may drop the offsets."""
-    meta = F.col("_metadata.file_path") if "file" not in text.columns else F.col("file")
-    block = F.col("_metadata.file_block_start") if "_block" not in text.columns else F.col("_block")
-    base = text.select(
-        "value",
-        meta.alias("file"),
-        F.xxhash64(meta).alias("_fh1"),
-        F.hash(meta).alias("_fh2"),
-        block.alias("_block"),
-        F.monotonically_increasing_id().alias("_mid"),
-    )
-    keys = ["_fh1", "_fh2", "_block"]
-    stats = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
-    w = Window.partitionBy("_fh1", "_fh2").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-    offsets = written_stage(stats, "split-offsets")
-    out = base.join(offsets, keys, "inner")
-    return out.select("file", (F.col("_before") + F.col("_mid") - F.col("_first") + 1).alias("line_no"), "value"), offsets
+#: Field of the entry behind a line that carries the line's hash.
+_SEAL = "__seal"
 
 
 def schema_of_strings(schema: T.StructType) -> T.StructType:
@@ -93,49 +61,63 @@ def whole_json(t: Column, as_type: str) -> Column:
     return F.coalesce(valid, F.lit(False))
 
 
+def with_object(df: DataFrame, text_col: str, schema: T.StructType | str, is_object: str, value: str) -> DataFrame:
+    """``df`` with ``is_object`` (the trimmed text is one JSON object and nothing follows it) and
+    ``value`` (read with ``schema``; null unless it is one), by one parse (see the module's text)."""
+    wanted = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    sealed = T.ArrayType(T.StructType([*wanted.fields, T.StructField(_SEAL, T.StringType())]))
+    text, seal, read, proven = (F.col(f"__{value}_{n}") for n in ("text", "seal", "read", "proven"))
+    step = df.withColumn(f"__{value}_text", trimmed(F.col(text_col))).withColumn(f"__{value}_seal", F.xxhash64(text).cast("string"))
+    array = F.concat(F.lit("["), text, F.lit(f',{{"{_SEAL}":"'), seal, F.lit('"}]'))
+    step = step.withColumn(f"__{value}_read", F.when(text.startswith("{"), F.from_json(array, sealed, _STRICT)))
+    step = step.withColumn(f"__{value}_proven", F.coalesce((F.size(read) == 2) & (F.get(read, 1)[_SEAL] == seal), F.lit(False)))
+    step = step.withColumn(is_object, F.when(proven, F.lit(True)).otherwise(whole_json(text, "struct<_probe:string>")))
+    first = F.get(read, 0)
+    taken = F.struct(*[first[f.name].alias(f.name) for f in wanted.fields])
+    step = step.withColumn(value, F.when(proven, taken).when(F.col(is_object), F.from_json(text, wanted, _STRICT)))
+    return step.drop(*[f"__{value}_{n}" for n in ("text", "seal", "read", "proven")])
+
+
+def classified(lines: DataFrame, schema: T.StructType, value_col: str = "value") -> DataFrame:
+    """``lines`` with ``kind`` ('record' | 'blank' | 'bad') and ``record`` (``schema`` with text leaves;
+    null unless the line is a record)."""
+    blank = F.coalesce(trimmed(F.col(value_col)) == "", F.lit(True))
+    step = with_object(lines, value_col, schema_of_strings(schema), "__object", "record")
+    kind = F.when(F.col("__object"), F.lit("record")).when(blank, F.lit("blank")).otherwise(F.lit("bad"))
+    return step.withColumn("kind", kind).drop("__object").select(*lines.columns, "kind", "record")
+
+
 @dataclass
 class ParsedLines:
-    """Numbered lines and what they are. ``source`` has the keys, ``line_no`` and ``_text`` (trimmed)."""
+    """Classified, numbered lines: keys, ``line_no``, the raw text, ``kind`` and ``record``."""
 
-    source: DataFrame
-    schema: T.StructType
+    classified: DataFrame
     number_col: str = "line_no"
     value_col: str = "value"
 
-    def _kept(self, *dropped: str) -> list[str]:
-        return [c for c in self.source.columns if c not in ("_text", *dropped)]
-
-    def _kinds(self) -> Column:
-        blank = F.coalesce(F.col("_text") == "", F.lit(True))
-        return F.when(blank, F.lit("blank")).when(whole_json(F.col("_text"), "struct<_probe:string>"), F.lit("record")).otherwise(F.lit("bad"))
-
-    def _record(self) -> Column:
-        return F.from_json("_text", schema_of_strings(self.schema), _STRICT)
+    def _kept(self) -> list[str]:
+        return [c for c in self.classified.columns if c not in ("kind", "record", self.value_col)]
 
     def _error(self) -> Column:
         n = F.col(self.number_col).cast("string")
-        return F.when(whole_json(F.col("_text"), "string"), F.replace(F.lit(NOT_OBJECT), F.lit("{n}"), n)).otherwise(
+        return F.when(whole_json(trimmed(F.col(self.value_col)), "string"), F.replace(F.lit(NOT_OBJECT), F.lit("{n}"), n)).otherwise(
             F.replace(F.lit(NOT_JSON), F.lit("{n}"), n))
 
     @property
     def lines(self) -> DataFrame:
-        """Every line: keys, line_no, kind ('record' | 'blank' | 'bad'), record, error."""
-        kinds = self.source.withColumn("kind", self._kinds())
-        return kinds.select(*self._kept(), "kind", F.when(F.col("kind") == "record", self._record()).alias("record"),
-                            F.when(F.col("kind") == "bad", self._error()).alias("error"))
+        """Every line: keys, line_no, raw text, kind, record, and the message of a bad line."""
+        return self.classified.withColumn("error", F.when(F.col("kind") == "bad", self._error()))
 
     def records(self) -> DataFrame:
         """Valid object lines: keys, line_no and the record fields as columns."""
-        r = self.source.filter(self._kinds() == "record")
-        return r.select(*self._kept(self.value_col), self._record().alias("record")).select(*self._kept(self.value_col), "record.*")
+        return self.classified.filter(F.col("kind") == "record").select(*self._kept(), "record.*")
 
     def bad_lines(self) -> DataFrame:
-        b = self.source.filter(self._kinds() == "bad")
-        return b.select(*self._kept(self.value_col), self._error().alias("error"))
+        return self.classified.filter(F.col("kind") == "bad").select(*self._kept(), self._error().alias("error"))
 
     def counts(self, keys=()) -> DataFrame:
         """Per load: lines (blank included), records, bad lines, first bad line number."""
-        return count_kinds(self.source.select(*keys, F.col(self.number_col).alias("line_no"), self._kinds().alias("kind")), keys)
+        return count_kinds(self.classified.select(*keys, F.col(self.number_col).alias("line_no"), "kind"), keys)
 
 
 def count_kinds(kinds: DataFrame, keys=()) -> DataFrame:
@@ -149,10 +131,54 @@ def count_kinds(kinds: DataFrame, keys=()) -> DataFrame:
 
 def classify_lines(lines: DataFrame, schema: T.StructType, value_col: str = "value",
                    number_col: str = "line_no") -> ParsedLines:
-    """S1 on numbered lines: kind, record (typed by ``schema``, leaves as text) and message."""
-    return ParsedLines(lines.withColumn("_text", trimmed(F.col(value_col))), schema, number_col, value_col)
+    """S1 on numbered lines: kind, record (typed by ``schema``, leaves as text) and message. The
+    result is lazy, and each of its frames parses anew; for several readers write the lines first."""
+    return ParsedLines(classified(lines, schema, value_col), number_col, value_col)
+
+
+# --- files ---------------------------------------------------------------------------------
+
+def placed(text: DataFrame) -> DataFrame:
+    """A text-file read with the place of each line: ``file``, ``_block`` (start of its split) and
+    ``_mid``, which rises in file order inside a split. All three hold for this one scan."""
+    own = {"file": F.col("_metadata.file_path")} if "file" not in text.columns else {}
+    block = {"_block": F.col("_metadata.file_block_start")} if "_block" not in text.columns else {}
+    return text.select("*", *[c.alias(n) for n, c in {**own, **block}.items()], F.monotonically_increasing_id().alias("_mid"))
+
+
+def numbered(staged: DataFrame, load_cols=("file",)) -> DataFrame:
+    """``line_no`` for written rows of :func:`placed`. Numbers run through the files of a load in name
+    order; the place columns go. The offsets (one row per split) are written too, so that Spark knows
+    their size when it plans the join and leaves the text where it is."""
+    splits = staged.groupBy(*load_cols, *[c for c in ("file", "_block") if c not in load_cols]).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
+    before = Window.partitionBy(*load_cols).orderBy("file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select(F.col("file").alias("_file"), F.col("_block").alias("_start"), "_first",
+                           F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    offsets = written_stage(splits, "split-offsets")
+    joined = staged.join(offsets, (staged["file"] == offsets["_file"]) & (staged["_block"] == offsets["_start"]))
+    number = (F.col("_before") + F.col("_mid") - F.col("_first") + 1).alias("line_no")
+    others = [c for c in staged.columns if c not in ("file", "_block", "_mid", *load_cols)]
+    return joined.select(*[staged[c] for c in load_cols], *([] if "file" in load_cols else ["file"]), number, *others)
+
+
+def read_text_lines(spark: SparkSession, path) -> DataFrame:
+    """Lines of one or more text files: (file, line_no, value); numbering restarts per file. Reads the
+    files once, when it is called."""
+    return numbered(written_stage(placed(spark.read.text(path)), "text-lines"))
+
+
+def stage_lines(text: DataFrame, schema: T.StructType, observation=None, metrics=()) -> DataFrame:
+    """The one pass over files: lines placed, classified and written. ``metrics`` (columns over the
+    classified lines) are added up into ``observation`` by the same job."""
+    lines = classified(placed(text), schema)
+    return written_stage(lines.observe(observation, *metrics) if observation is not None else lines, "classified-lines")
+
 
+def read_bulk_jsonl(spark: SparkSession, path, schema: T.StructType, load_col: str | None = None) -> ParsedLines:
+    """S1 over files: ``(records, bad_lines, counts)`` via the returned :class:`ParsedLines`.
 
-def read_bulk_jsonl(spark: SparkSession, path, schema: T.StructType) -> ParsedLines:
-    """S1 over files: ``(records, bad_lines, counts)`` via the returned :class:`ParsedLines`."""
-    return classify_lines(read_text_lines(spark, path), schema)
+    Reads the files once, when it is called, and parses each line once. ``load_col``, a partition
+    column of the folder (``load_id=...``), makes all files below one value a load whose lines are
+    numbered through; otherwise each file is a load."""
+    return ParsedLines(numbered(stage_lines(spark.read.text(path), schema), (load_col,) if load_col else ("file",)))

@@ -136,3 +136,74 @@ def test_unknown_loads_and_one_release_rule(spark):
         assert [r["v"] for r in release(known, gate, mode=mode).collect()] == [1]
     with pytest.raises(Exception, match="does not list"):
         release(spark.createDataFrame([("other", 1)], "load_id string, v int"), gate, mode="raise").collect()
+
+
+def test_lines_are_read_in_one_scan(spark, tmpdir_path):
+    """Scans that would cut the files differently, by other sizes or core counts, lose nothing: offsets
+    and lines come from the same pass."""
+    path, n = os.path.join(tmpdir_path, "big.jsonl"), 60000
+    with open(path, "w") as fh:
+        fh.writelines(f'{{"id":"{i}","name":"{"x" * 90}"}}\n' for i in range(1, n + 1))
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.leafNodeDefaultParallelism", "spark.sql.files.openCostInBytes")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    settings = [("1m", "4", "4m"), ("1m", "12", "64k"), ("300k", "3", "64k"), ("64m", "40", "1k")]
+
+    def use(values):
+        for k, v in zip(keys, values):
+            spark.conf.set(k, v)
+
+    try:
+        for made, used in zip(settings, settings[1:] + settings[:1]):
+            use(made)
+            lines, parsed = read_text_lines(spark, path), read_bulk_jsonl(spark, path, SCHEMA)
+            use(used)
+            for df, number in ((lines, F.get_json_object("value", "$.id")), (parsed.records(), F.col("id"))):
+                got = df.agg(F.count("*"), F.countDistinct("line_no"), F.min("line_no"), F.max("line_no"),
+                             F.count_if(number.cast("long") != F.col("line_no"))).first()
+                assert tuple(got) == (n, n, 1, n, 0)
+            assert parsed.counts().first()["line_count"] == n
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_a_load_of_many_files_is_numbered_through(spark, tmpdir_path):
+    for load, part, lines in (("x", 0, ["[1]", '{"id":"2"}']), ("x", 1, ['{"id":"3"}', "", "oops"]), ("y", 0, ['{"id":"1"}'])):
+        folder = os.path.join(tmpdir_path, f"load={load}", f"part={part}")
+        os.makedirs(folder)
+        write(os.path.join(folder, "lines.txt"), lines)
+    parsed = read_bulk_jsonl(spark, tmpdir_path, SCHEMA, load_col="load")
+    assert sorted((r["load"], r["line_no"], r["id"]) for r in parsed.records().collect()) == [("x", 2, "2"), ("x", 3, "3"), ("y", 1, "1")]
+    assert sorted((r["load"], r["line_no"]) for r in parsed.bad_lines().collect()) == [("x", 1), ("x", 5)]
+    assert {r["load"]: r["line_count"] for r in parsed.counts(["load"]).collect()} == {"x": 5, "y": 1}
+
+
+NESTED = T.StructType([T.StructField("id", T.StringType()), T.StructField("money", T.StructType([T.StructField("amount", T.StringType())])),
+                       T.StructField("tags", T.ArrayType(T.StringType()))])
+HOSTILE = ['{"id":"1"}],[{"id":"2"}', '{"id":"1"}] {"id":"2"}', '{"id":"1"},{"__seal":"0"}', '{"id":"1"},{"id":"2"}', '{"id":"1"', '{"a":[{"b":1}',
+           '{"id":"9","money":5}', '{"id":"8","money":{"amount":5.10}}', '{"id":7,"tags":[1,"a",{"b":2}]}', '{"id":"6","tags":5}', '{}', '{"__seal":"x"}',
+           '{"id":{"a":1}}', '{"id":"a","id":"b"}', '{"id":"\\u0041"}', '{"id":"\x01"}', '{"id":NaN}', '{"id":01}', '{"id":null}', "{'id':'4'}", '{id:"1"}',
+           '{"id":"1"}//', ' {"id":"3"} \t', '\ufeff{"id":"1"}', '[{"id":"1"}]', '{"id":"1"}]', '{"id":"1"}}', '{"id":"1"},', '1', 'true', '""', '{"id":tru}']
+
+
+def test_the_one_parse_agrees_with_the_strict_probe(spark):
+    from orderlens.functions.text import trimmed
+    from orderlens.sources.jsonl import _STRICT, classified, schema_of_strings, whole_json
+    df = spark.createDataFrame(list(enumerate(HOSTILE)), "n int, value string").repartition(3)
+    got = {r["n"]: (r["kind"], r["record"]) for r in classified(df, NESTED).collect()}
+    text = trimmed(F.col("value"))
+    probe = df.select("n", F.when(whole_json(text, "struct<_probe:string>"), "record").otherwise("bad").alias("kind"),
+                      F.from_json(text, schema_of_strings(NESTED), _STRICT).alias("record"))
+    want = {r["n"]: (r["kind"], r["record"] if r["kind"] == "record" else None) for r in probe.collect()}
+    for n, text in enumerate(HOSTILE):
+        assert got[n] == want[n], text
+    assert {HOSTILE[n] for n, (kind, _) in got.items() if kind == "record"} >= {'{"id":"9","money":5}', "{}", '{"id":"a","id":"b"}'}
+
+
+def test_one_parse_a_line(spark, tmpdir_path):
+    """The job that writes the lines parses each once; the two strict probes stand behind its refusals."""
+    from orderlens.sources.jsonl import classified, placed
+    path = os.path.join(tmpdir_path, "a.jsonl")
+    write(path, EDGE_LINES)
+    plan = classified(placed(spark.read.text(path)), SCHEMA)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(ArrayType") == 1, plan
