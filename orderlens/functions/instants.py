@@ -40,6 +40,11 @@ def zone_ids() -> frozenset:
     return frozenset(zoneinfo.available_timezones()) | {"Z", "UTC", "GMT", "UT"}
 
 
+def known_zone(name: str) -> bool:
+    """Whether a time zone of this name exists."""
+    return name in zoneinfo.available_timezones()
+
+
 def _offset(text: str) -> _dt.timezone | None:
     if text == "Z":
         return _dt.timezone.utc
@@ -158,9 +163,11 @@ def parse_iso_millis(c) -> Column:
 
 
 def _known_zone(t: Column) -> Column:
-    """No zone in brackets, or one that exists."""
-    zone = F.regexp_extract(t, r"\[([^\]]*)\]$", 1)
-    return ~F.endswith(t, F.lit("]")) | zone.isin(*sorted(zone_ids()))
+    """No zone in brackets, or one that exists. The names are one literal text (no name has a comma), so
+    a plan holds one constant however often an instant is parsed, not one per name."""
+    zone = F.regexp_extract(t, r"\[([^\],]*)\]$", 1)
+    listed = F.lit("," + ",".join(sorted(zone_ids())) + ",")
+    return ~F.endswith(t, F.lit("]")) | ((zone != "") & F.contains(listed, F.concat(F.lit(","), zone, F.lit(","))))
 
 
 def _common_era(c) -> Column:
@@ -200,11 +207,13 @@ def _bounded_millis(ms: Column) -> Column:
     return F.when(ms.between(MIN_MILLIS, MAX_MILLIS), F.timestamp_millis(ms))
 
 
-def window_bound_error(c, label: str) -> Column:
-    t = normalize(c)
+def window_bound_error(c, label: str, parsed: Column | None = None) -> Column:
+    """The message for a bound that is missing or not one; ``parsed`` is its :func:`parse_window_bound`,
+    where a column holds it already."""
+    bound = parse_window_bound(c) if parsed is None else parsed
     return (
-        F.when(t.isNull(), F.lit(f"{label} {MSG_REQUIRED}"))
-        .when(parse_window_bound(c).isNull(), F.lit(f"{label} {MSG_BAD_BOUND}"))
+        F.when(normalize(c).isNull(), F.lit(f"{label} {MSG_REQUIRED}"))
+        .when(bound.isNull(), F.lit(f"{label} {MSG_BAD_BOUND}"))
     )
 
 
