@@ -33,3 +33,10 @@ def legacy_from_gid(c) -> Column:
 def trailing_digits(c) -> Column:
     """Trailing digits of a gid, null when there are none."""
     return F.nullif(F.regexp_extract(col_of(c), r"(\d+)$", 1), F.lit(""))
+
+
+def order_number(c) -> Column:
+    """The number that ends an order gid, null for any other text. Numbers are equal just where the gids
+    are, so one with leading zeros, which no order has, is none."""
+    digits = F.regexp_extract(col_of(c), rf"^{ORDER_GID_PREFIX}(0|[1-9]\d*)$", 1)
+    return F.nullif(digits, F.lit("")).try_cast("long")

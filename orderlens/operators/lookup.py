@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ids import to_order_gid_lookup, to_order_gid_state
 from ..functions.text import normalize
+from ..sources.gate import behind
 from .rownum import number_rows
 
 # Ids per remote call in the original (kept as the default batch sizes).
@@ -35,16 +36,17 @@ def requested_ids(requests: DataFrame, request_col: str = "requested_id", positi
 
 
 def split_found_missing(requests: DataFrame, primary: DataFrame, lookup_ok: bool = True,
-                        request_col: str = "requested_id", id_col: str = "id") -> DataFrame:
+                        request_col: str = "requested_id", id_col: str = "id", status: DataFrame | None = None) -> DataFrame:
     """One row per distinct requested id (as requested), ``found`` by canonical gid.
 
-    ``lookup_ok=False`` (the primary read failed) yields no rows at all: a failed lookup must
-    never classify an id as missing. Empty input -> empty result."""
+    A failed primary read yields no rows at all: a failed lookup must never classify an id as missing.
+    It is told by ``status``, the lookup's one-row frame (column ``ok``), or by ``lookup_ok=False``.
+    Empty input -> empty result."""
     req = requested_ids(requests, request_col).withColumn("canonical_id", to_order_gid_lookup(F.col("requested_id")))
     known = primary.select(F.col(id_col).alias("canonical_id")).distinct().withColumn("found", F.lit(True))
     out = req.join(known, "canonical_id", "left").select(
         "requested_id", "canonical_id", F.coalesce(F.col("found"), F.lit(False)).alias("found"))
-    return out if lookup_ok else out.limit(0)
+    return behind(out, status) if lookup_ok else out.limit(0)
 
 
 def found_ids(split: DataFrame) -> DataFrame:

@@ -56,10 +56,12 @@ def after_predicate(df: DataFrame, sort_key: str, cursor: str, reverse: bool, id
     if sort_text is None or parse_instant_py(sort_text) is None:
         return k.isNull() & ((i < F.lit(row_id)) if reverse else (i > F.lit(row_id)))
     v = instant_literal(df, field, sort_text)
-    # the first part follows from the second; alone it is simple enough to reach the scan
+    # a bound on the key alone, which the scan can use, and the rows of the cursor's own instant up to
+    # it taken out; the second part shares no term with the first, or the optimizer would fold both
+    # into one OR that no scan understands
     if reverse:
-        return ((k <= v) | k.isNull()) & ((k < v) | ((k == v) & (i < F.lit(row_id))) | k.isNull())
-    return ((k >= v) | k.isNull()) & ((k > v) | ((k == v) & (i > F.lit(row_id))) | k.isNull())
+        return ((k <= v) | k.isNull()) & ~(k.eqNullSafe(v) & (i >= F.lit(row_id)))
+    return ((k >= v) | k.isNull()) & ~(k.eqNullSafe(v) & (i <= F.lit(row_id)))
 
 
 @dataclass

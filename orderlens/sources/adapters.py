@@ -83,9 +83,6 @@ def line_totals(lineitem: DataFrame) -> DataFrame:
 def orders_shape(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     k = F.col("o_orderkey")
     totals = line_totals(lineitem)
-    # dealt out by the join key: the exchange that the join needs on a large table, and on a small one
-    # it lets the row-level work after it use every core
-    orders = orders.repartition("o_orderkey")
     o = orders.join(totals, orders["o_orderkey"] == totals["l_orderkey"], "left")
     created = F.col("o_orderdate")
     updated = F.coalesce(F.col("_last_ship"), created)
