@@ -24,10 +24,10 @@ from orderlens.operators.projection import flatten
 from orderlens.operators.rownum import number_rows
 from orderlens.plans.catalog import ORDER_SOURCE, resolve_field_paths
 from orderlens.plans.spec import ReadSpec, read_orders, read_orders_bulk
-from orderlens.session import pin_utc, written_stage
+from orderlens.session import keep_stage, pin_utc, staging_path
 from orderlens.sources import adapters as ad
 from orderlens.sources.gate import load_gate, release
-from orderlens.sources.jsonl import ParsedLines, classify_lines
+from orderlens.sources.jsonl import ParsedLines, read_bulk_jsonl
 from orderlens.sinks.files import DEFAULT_NAME, _record_schema
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -219,16 +219,18 @@ ORDER BY ts_processed DESC, id DESC LIMIT 100"""
 # string, 44 cut object, 55 null, 66 single quotes, 77 an object with a wrongly typed id, 88 two
 # objects, 99 a comma after the object, 111 a bracket after it.
 CORRUPT_EVERY = 4999
+#: Order keys whose lines go into one file of a load.
+EXPORT_KEYS = 1 << 20
 
 
-def _jsonl_lines(spark, sf_dir) -> DataFrame:
+def _export(spark, sf_dir) -> str:
+    """The exports as they land: text files, each load (``load_id=...``) cut by key into files whose names
+    keep the key order. Returns the folder."""
     from orderlens.operators.projection import prune_nested
     o = _orders(spark, sf_dir)
     paths = resolve_field_paths(ORDER_SOURCE, [], bulk=True)
     k = F.col("order_key")
-    body = F.col("_body")
-    m = k % CORRUPT_EVERY
-    ks = k.cast("string")
+    m, ks, body = k % CORRUPT_EVERY, k.cast("string"), F.col("_body")
     line = (F.when(m == 11, F.lit("   "))
             .when(m == 22, F.concat(F.lit("["), body, F.lit("]")))
             .when(m == 33, F.concat(F.lit('"'), F.col("name"), F.lit('"')))
@@ -240,20 +242,20 @@ def _jsonl_lines(spark, sf_dir) -> DataFrame:
             .when(m == 99, F.concat(body, F.lit(",")))
             .when(m == 111, F.concat(body, F.lit("}")))
             .otherwise(body))
-    # the export lines are numbered on narrow (load, key) rows; the text is built once, after that
-    narrow = _t(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("order_key"), F.concat(F.lit("orders-"), F.date_format("o_orderdate", "yyyy-MM")).alias("load_id"))
-    numbered = o.select("order_key", *prune_nested(o, paths)).join(
-        number_rows(narrow, ["order_key"], ["load_id"], out="line_no"), "order_key")
     body_struct = F.struct(*[F.col(c) for c in sorted({p.split(".")[0] for p in paths})])
-    # the export as it lands: written once, then read as text by whoever parses it
-    return written_stage(numbered.withColumn("_body", F.to_json(body_struct, {"ignoreNullFields": "false"})).select(
-        "order_key", "load_id", "line_no", line.alias("value")), "export")
+    load = F.concat(F.lit("orders-"), F.date_format("_ts_createdAt", "yyyy-MM"))
+    bodies = o.select("order_key", "name", load.alias("load_id"), F.lpad(F.floor(k / EXPORT_KEYS).cast("string"), 12, "0").alias("part"),
+                      F.to_json(body_struct, {"ignoreNullFields": "false"}).alias("_body"))
+    dealt = bodies.select("load_id", "part", "order_key", line.alias("value")).repartition("load_id", "part")
+    path = staging_path(spark, "export")
+    keep_stage(spark, path)
+    dealt.sortWithinPartitions("load_id", "part", "order_key").drop("order_key").write.partitionBy("load_id", "part").text(path)
+    return path
 
 
 def _parsed(spark, sf_dir) -> ParsedLines:
     schema = _record_schema(resolve_field_paths(ORDER_SOURCE, [], bulk=True))
-    return classify_lines(_jsonl_lines(spark, sf_dir), schema)
+    return read_bulk_jsonl(spark, _export(spark, sf_dir), schema, load_col="load_id")
 
 
 def q_jsonl_records(spark, sf_dir):
@@ -527,6 +529,10 @@ SWEEP_START_MS = 852076800000   # 1997-01-01T00:00:00Z
 SWEEP_END_MS = 854755200000     # 1997-02-01T00:00:00Z
 
 
+#: The stored order numbers of orders and returns.
+ORDER_KEYS = ("order_key", "l_orderkey")
+
+
 def _returns(spark, sf_dir):
     pin_utc(spark)
     return ad.return_rows(_t(spark, sf_dir, "lineitem"))
@@ -534,7 +540,7 @@ def _returns(spark, sf_dir):
 
 def _sweep(spark, sf_dir):
     return ex.sweep_exchanges(_orders(spark, sf_dir), _returns(spark, sf_dir), ad.LINE_ORDER,
-                              SWEEP_START_MS, SWEEP_END_MS, fields=ad.return_fields())[0]
+                              SWEEP_START_MS, SWEEP_END_MS, fields=ad.return_fields(), keys=ORDER_KEYS)[0]
 
 
 def q_exchange_sweep(spark, sf_dir):
@@ -558,8 +564,8 @@ WHERE os.ts_updated >= TIMESTAMP '1997-01-01' AND lower(os.returnStatus) <> 'no_
 
 def q_exchange_counts(spark, sf_dir):
     """A4 + T5: per order with returns, its live exchange returns of any date, and all returns."""
-    totals = ex.exchange_totals(_returns(spark, sf_dir), ad.LINE_ORDER, SWEEP_START_MS, SWEEP_END_MS, ad.return_fields())
-    return totals.select(F.col("order_id").alias("id"), F.col("exchangeReturnCount").cast("int").alias("exchangeReturnCount"),
+    totals = ex.exchange_totals(_returns(spark, sf_dir), ad.LINE_ORDER, SWEEP_START_MS, SWEEP_END_MS, ad.return_fields(), key="l_orderkey")
+    return totals.select(F.concat(F.lit(ORDER_GID_PREFIX), F.col("l_orderkey").cast("string")).alias("id"), F.col("exchangeReturnCount").cast("int").alias("exchangeReturnCount"),
                          F.col("returnCount").cast("int").alias("returnCount"))
 
 
@@ -578,7 +584,8 @@ def _state_requests(spark, sf_dir):
 def q_exchange_state(spark, sf_dir):
     """J2 + P6 + A5: nested exchange state of every order with an exchange line, flattened."""
     st = ex.exchange_state_lookup(_state_requests(spark, sf_dir), _orders(spark, sf_dir), _returns(spark, sf_dir),
-                                  ad.LINE_ORDER, position_col="position", fields=ad.return_fields(text_children=True))
+                                  ad.LINE_ORDER, position_col="position", fields=ad.return_fields(text_children=True),
+                                  keys=ORDER_KEYS, numbered=True)
     e = st.select("order_key", "returnStatus", F.col("currentTotalAmount").cast("string").alias("currentTotalAmount"),
                   "currentTotalCurrency", F.explode_outer("exchanges").alias("x"))
     e = e.select("*", F.explode_outer("x.exchangeLineItems").alias("xi"))
@@ -625,9 +632,8 @@ def _shape_texts(spark, sf_dir):
 
 def q_child_shapes(spark, sf_dir):
     """Nested line items arriving as a plain list or as {nodes: [...]}, normalised."""
-    t = _shape_texts(spark, sf_dir)
-    items, shape = ex.normalize_child_shape(F.col("line_items_text"))
-    return t.select("return_id", shape.alias("shape"), F.explode_outer(items).alias("it")).select(
+    t = _shape_texts(spark, sf_dir).withColumn("c", ex.child_shape(F.col("line_items_text")))
+    return t.select("return_id", "c.shape", F.explode_outer("c.items").alias("it")).select(
         "return_id", "shape", F.col("it.id").alias("item_id"), F.col("it.sku").alias("item_sku"),
         F.col("it.quantity").alias("item_quantity"))
 
@@ -1099,11 +1105,10 @@ def q_window_bounds(spark, sf_dir):
             .when(r == 5, F.date_format(ts1, "yyyy-MM-dd'T'HH:mm"))
             .when(r == 6, F.date_format(ts1, "yyyy-MM-dd"))
             .when(k % 16 == 7, F.lit("not-a-date")).otherwise(F.lit("  ")))
-    b = o.select(k.alias("order_key"), text.alias("t"))
-    parsed = parse_window_bound(F.col("t"))
-    start, _ = source_window(parsed, parsed, "America/Chicago", preserve=False)
-    return b.select("order_key", format_instant(parsed).alias("bound"),
-                    window_bound_error(F.col("t"), "windowStart").alias("error"),
+    b = o.select(k.alias("order_key"), text.alias("t")).withColumn("at", parse_window_bound(F.col("t")))
+    start, _ = source_window("at", "at", "America/Chicago", preserve=False)
+    return b.select("order_key", format_instant("at").alias("bound"),
+                    window_bound_error(F.col("t"), "windowStart", parsed=F.col("at")).alias("error"),
                     format_instant(start).alias("calendar_start"))
 
 
@@ -1322,7 +1327,7 @@ def q_instant_forms(spark, sf_dir):
             .when(r == 5, F.date_format(ts1, "yyyy-MM-dd"))
             .otherwise(F.unix_millis(ts1.cast("timestamp")).cast("string")))
     b = o.select(k.alias("order_key"), text.alias("t"))
-    return b.select("order_key", format_instant(parse_instant_filter(F.col("t"))).alias("filter_instant"),
+    return b.withColumn("at", parse_instant_filter(F.col("t"))).select("order_key", format_instant("at").alias("filter_instant"),
                     parse_iso_millis(F.col("t")).alias("instant_millis"))
 
 
