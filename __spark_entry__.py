@@ -632,8 +632,8 @@ def _shape_texts(spark, sf_dir):
 
 def q_child_shapes(spark, sf_dir):
     """Nested line items arriving as a plain list or as {nodes: [...]}, normalised."""
-    t = _shape_texts(spark, sf_dir).withColumn("c", ex.child_shape(F.col("line_items_text")))
-    return t.select("return_id", "c.shape", F.explode_outer("c.items").alias("it")).select(
+    t = ex.with_child_shape(_shape_texts(spark, sf_dir), "line_items_text")
+    return t.select("return_id", "shape", F.explode_outer("items").alias("it")).select(
         "return_id", "shape", F.col("it.id").alias("item_id"), F.col("it.sku").alias("item_sku"),
         F.col("it.quantity").alias("item_quantity"))
 

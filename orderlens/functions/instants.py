@@ -16,7 +16,7 @@ from functools import lru_cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import col_of, normalize, normalize_py
+from .text import col_of, normalize, normalize_py, trimmed
 
 # Window-bound messages (the label is put in front).
 MSG_REQUIRED = "is required."
@@ -130,31 +130,30 @@ def _date_text(text: str) -> _dt.datetime | None:
 
 # --- column side ---------------------------------------------------------------------------
 
-_OFFSET_FORM = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:\d{2})(\[[^\]]+\])?$"
-_INSTANT_FORM = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:\d{2})$"
-_LOCAL_FORM = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?$"
-_SQL_FORM = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}(\.\d{1,9})?$"
-_DATE_FORM = r"^\d{4}-\d{2}-\d{2}$"
+# A time of day after the date, and forms with it. The driver form cannot hold the year 0000, so the two
+# parsers that have one refuse it here as well.
+_TIME = r"T\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?"
+_OFFSET_FORM = rf"^(?!0000)\d{{4}}-\d{{2}}-\d{{2}}{_TIME}(Z|[+-]\d{{2}}:\d{{2}})(\[[^\]]+\])?$"
+_INSTANT_FORM = rf"^\d{{4}}-\d{{2}}-\d{{2}}{_TIME}(Z|[+-]\d{{2}}:\d{{2}})$"
+_LOCAL_FORM = rf"^(?!0000)\d{{4}}-\d{{2}}-\d{{2}}{_TIME}$"
+_SQL_FORM = r"^(?!0000)\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}(\.\d{1,9})?$"
+_DATE_FORM = r"^(?!0000)\d{4}-\d{2}-\d{2}$"
 
 
-def _with_seconds(t: Column) -> Column:
-    """Spark's parser needs a seconds field; ``HH:mm`` gets ``:00``; ``[zone]`` is dropped
-    (the offset in front of it decides the instant)."""
-    t = F.regexp_replace(t, r"\[[^\]]*\]$", "")
+def _readable(t: Column) -> Column:
+    """What Spark's parser takes: at most 6 fraction digits, no ``[zone]`` (the offset in front of it
+    decides the instant), and ``:00`` where the seconds are left out."""
+    t = F.regexp_replace(t, r"^([^\[.]*(?:\.\d{1,6})?)\d*([^\[]*)(?:\[.*)?$", "$1$2")
     return F.regexp_replace(t, r"^(\d{4}-\d{2}-\d{2}T\d{2}:\d{2})(Z|[+-]|$)", "$1:00$2")
 
 
-def _micros_cut(t: Column) -> Column:
-    """Spark keeps at most 6 fraction digits."""
-    return F.regexp_replace(t, r"(\.\d{6})\d+", "$1")
-
+# The parsers below trim, but need no null for blank text: no form matches it.
 
 def parse_iso_instant(c) -> Column:
     """X3 core: trimmed instant with ``Z`` or an offset -> timestamp (null when bad); a
     bracketed zone id is not an instant and is refused."""
-    t = normalize(c)
-    fixed = _micros_cut(_with_seconds(t))
-    return F.when(t.rlike(_INSTANT_FORM), fixed.try_cast("timestamp"))
+    t = trimmed(c)
+    return F.when(t.rlike(_INSTANT_FORM), _readable(t).try_cast("timestamp"))
 
 
 def parse_iso_millis(c) -> Column:
@@ -165,36 +164,28 @@ def parse_iso_millis(c) -> Column:
 def _known_zone(t: Column) -> Column:
     """No zone in brackets, or one that exists. The names are one literal text (no name has a comma), so
     a plan holds one constant however often an instant is parsed, not one per name."""
-    zone = F.regexp_extract(t, r"\[([^\],]*)\]$", 1)
-    listed = F.lit("," + ",".join(sorted(zone_ids())) + ",")
-    return ~F.endswith(t, F.lit("]")) | ((zone != "") & F.contains(listed, F.concat(F.lit(","), zone, F.lit(","))))
-
-
-def _common_era(c) -> Column:
-    """Normalised text; null in the year 0000, which the driver form cannot hold."""
-    t = normalize(c)
-    return F.when(~t.startswith("0000-"), t)
+    zone = F.regexp_extract(t, r"\[([^\],]+)\]$", 1)
+    listed = F.lit(",," + ",".join(sorted(zone_ids())) + ",")
+    return ~F.endswith(t, F.lit("]")) | F.contains(listed, F.concat(F.lit(","), F.nullif(zone, F.lit("")), F.lit(",")))
 
 
 def parse_instant_filter(c) -> Column:
     """X1 for columns: offset/zoned forms, or local date-time read as UTC."""
-    t = _common_era(c)
-    fixed = _micros_cut(_with_seconds(t))
+    t = trimmed(c)
     return (
-        F.when(t.rlike(_OFFSET_FORM) & _known_zone(t), fixed.try_cast("timestamp"))
-        .when(t.rlike(_LOCAL_FORM), F.concat(fixed, F.lit("Z")).try_cast("timestamp"))
+        F.when(t.rlike(_OFFSET_FORM) & _known_zone(t), _readable(t).try_cast("timestamp"))
+        .when(t.rlike(_LOCAL_FORM), F.concat(_readable(t), F.lit("Z")).try_cast("timestamp"))
     )
 
 
 def parse_window_bound(c) -> Column:
     """X2 for columns: epoch millis text, ISO forms, SQL text, local, date -> timestamp."""
-    t = _common_era(c)
-    fixed = _micros_cut(_with_seconds(t))
+    t = trimmed(c)
     return (
         F.when(t.rlike(r"^-?\d+$"), _bounded_millis(t.try_cast("long")))
-        .when(t.rlike(_OFFSET_FORM) & _known_zone(t), fixed.try_cast("timestamp"))
-        .when(t.rlike(_LOCAL_FORM), F.concat(fixed, F.lit("Z")).try_cast("timestamp"))
-        .when(t.rlike(_SQL_FORM), F.concat(_micros_cut(t), F.lit("Z")).try_cast("timestamp"))
+        .when(t.rlike(_OFFSET_FORM) & _known_zone(t), _readable(t).try_cast("timestamp"))
+        .when(t.rlike(_LOCAL_FORM), F.concat(_readable(t), F.lit("Z")).try_cast("timestamp"))
+        .when(t.rlike(_SQL_FORM), F.concat(_readable(t), F.lit("Z")).try_cast("timestamp"))
         .when(t.rlike(_DATE_FORM), F.concat(t, F.lit("T00:00:00Z")).try_cast("timestamp"))
     )
 
@@ -228,11 +219,9 @@ def format_instant(c) -> Column:
     """ISO-8601 text in UTC, whatever the session's zone; a zero fraction is not printed,
     else 3 or 6 digits."""
     text = _utc_wall_clock(col_of(c)).cast("string")  # prints as many fraction digits as needed
-    whole = F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8))
-    fraction = F.substring(text, 21, 6)
-    n = F.length(fraction)
-    return F.concat(whole, F.when(n == 0, F.lit("")).otherwise(
-        F.concat(F.lit("."), F.rpad(fraction, 6, "0").substr(F.lit(1), F.when(n <= 3, F.lit(3)).otherwise(F.lit(6))))), F.lit("Z"))
+    day, time, n = F.substring(text, 1, 10), F.substring(text, 12, 15), F.length(text)
+    digits = F.when(n <= 23, F.lit(12)).otherwise(F.lit(15))
+    return F.concat(day, F.lit("T"), F.when(n <= 19, time).otherwise(F.rpad(time, digits, F.lit("0"))), F.lit("Z"))
 
 
 def source_window(start, end, tz, preserve: bool):

@@ -101,11 +101,10 @@ ORDER_READS = "order reads"
 
 
 def left_join_by_id(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
-    """Left join on a key that may be blank: rows without one stay out of the shuffle, where they
-    would all meet in one partition."""
-    with_id = rows.filter(F.col(key).isNotNull()).join(table, key, "left")
-    extra = [F.lit(None).cast(f.dataType).alias(f.name) for f in table.schema.fields if f.name != key]
-    return with_id.unionByName(rows.filter(F.col(key).isNull()).select("*", *extra))
+    """Left join on a key that may be null: each such row gets a key of its own, which no table has (ids
+    are trimmed and cannot start with a zero character), or they would all meet in one partition."""
+    own = F.coalesce(F.col(key), F.concat(F.lit("\0"), F.monotonically_increasing_id().cast("string")))
+    return rows.withColumn("__own", own).join(table.withColumnRenamed(key, "__own"), "__own", "left").drop("__own")
 
 
 def check_usable(requests: DataFrame, configs: DataFrame, key: str = "request_id",

@@ -18,7 +18,7 @@ from ..functions.ids import legacy_from_gid, order_number, to_order_gid_state
 from ..functions.instants import format_instant_py, parse_iso_millis
 from ..functions.messages import is_canceled
 from ..functions.money import to_decimal_or_null
-from ..functions.text import normalize
+from ..functions.text import normalize, trimmed
 from ..session import written_stage
 from ..sources.gate import behind
 from .filters import instant_column, instant_literal, not_keyword
@@ -153,11 +153,24 @@ def child_shape(text: Column) -> Column:
 
 
 def normalize_child_shape(text: Column) -> tuple[Column, Column]:
-    """P7 as two columns (items, shape); where both are used take :func:`child_shape`."""
+    """P7 as two columns (items, shape)."""
     both = child_shape(text)
     return both["items"], both["shape"]
 
 
+def with_child_shape(df: DataFrame, text_col: str, items: str = "items", shape: str = "shape") -> DataFrame:
+    """P7 for a column of a table: :func:`child_shape` as two more columns, the parse in one of its own,
+    which generated code runs."""
+    t, nodes = F.col(f"__{items}_text"), F.col(f"__{items}_nodes")
+    step = df.withColumn(f"__{items}_text", trimmed(F.col(text_col)))
+    as_object = F.when(t.startswith("["), F.concat(F.lit('{"nodes":'), t, F.lit("}"))).when(t.startswith("{"), t)
+    step = step.withColumn(f"__{items}_nodes", F.from_json(as_object, "nodes array<string>")["nodes"])
+    objects = F.transform(F.filter(nodes, lambda x: F.coalesce(F.trim(x).startswith("{"), F.lit(False))), lambda x: F.from_json(x, ITEM_STRUCT))
+    kept = F.filter(F.coalesce(objects, F.array().cast(ITEM_SCHEMA)), lambda x: x.isNotNull())
+    named = F.when(nodes.isNotNull(), F.when(t.startswith("["), F.lit("list")).otherwise(F.lit("connection")))
+    return step.withColumns({items: kept, shape: named}).drop(f"__{items}_text", f"__{items}_nodes")
+
+
 def _line_items(item: Column, is_text: bool) -> Column:
     """items and shape of an exchange item whose ``lineItems`` is an array or JSON text."""
     if is_text:

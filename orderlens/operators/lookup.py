@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ids import to_order_gid_lookup, to_order_gid_state
-from ..functions.text import normalize
+from ..functions.text import trimmed
 from ..sources.gate import behind
 from .rownum import number_rows
 
@@ -28,10 +28,9 @@ def orders_by_id(orders: DataFrame, ids: DataFrame, id_col: str = "id", request_
 
 def requested_ids(requests: DataFrame, request_col: str = "requested_id", position_col: str | None = None) -> DataFrame:
     """Blank ids dropped, duplicates (by trimmed text) collapsed to their first position."""
-    raw = normalize(F.col(request_col))
     pos = F.col(position_col) if position_col else F.lit(0).cast("long")
-    return (requests.select(raw.alias("requested_id"), pos.alias("_pos"))
-            .filter(F.col("requested_id").isNotNull())
+    return (requests.select(trimmed(F.col(request_col)).alias("requested_id"), pos.alias("_pos"))
+            .filter(F.col("requested_id") != "")
             .groupBy("requested_id").agg(F.min("_pos").alias("first_position")))
 
 
@@ -42,7 +41,8 @@ def split_found_missing(requests: DataFrame, primary: DataFrame, lookup_ok: bool
     A failed primary read yields no rows at all: a failed lookup must never classify an id as missing.
     It is told by ``status``, the lookup's one-row frame (column ``ok``), or by ``lookup_ok=False``.
     Empty input -> empty result."""
-    req = requested_ids(requests, request_col).withColumn("canonical_id", to_order_gid_lookup(F.col("requested_id")))
+    # never null here; said so, or the join's null check would be evaluated again on every raw request
+    req = requested_ids(requests, request_col).withColumn("canonical_id", F.coalesce(to_order_gid_lookup(F.col("requested_id")), F.lit("")))
     known = primary.select(F.col(id_col).alias("canonical_id")).distinct().withColumn("found", F.lit(True))
     out = req.join(known, "canonical_id", "left").select(
         "requested_id", "canonical_id", F.coalesce(F.col("found"), F.lit(False)).alias("found"))

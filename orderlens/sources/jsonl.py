@@ -66,16 +66,17 @@ def with_object(df: DataFrame, text_col: str, schema: T.StructType | str, is_obj
     ``value`` (read with ``schema``; null unless it is one), by one parse (see the module's text)."""
     wanted = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
     sealed = T.ArrayType(T.StructType([*wanted.fields, T.StructField(_SEAL, T.StringType())]))
-    text, seal, read, proven = (F.col(f"__{value}_{n}") for n in ("text", "seal", "read", "proven"))
-    step = df.withColumn(f"__{value}_text", trimmed(F.col(text_col))).withColumn(f"__{value}_seal", F.xxhash64(text).cast("string"))
+    text, read = F.col(f"__{value}_text"), F.col(f"__{value}_read")
+    seal = F.xxhash64(text).cast("string")
     array = F.concat(F.lit("["), text, F.lit(f',{{"{_SEAL}":"'), seal, F.lit('"}]'))
-    step = step.withColumn(f"__{value}_read", F.when(text.startswith("{"), F.from_json(array, sealed, _STRICT)))
-    step = step.withColumn(f"__{value}_proven", F.coalesce((F.size(read) == 2) & (F.get(read, 1)[_SEAL] == seal), F.lit(False)))
-    step = step.withColumn(is_object, F.when(proven, F.lit(True)).otherwise(whole_json(text, "struct<_probe:string>")))
+    proven = F.coalesce((F.size(read) == 2) & (F.get(read, 1)[_SEAL] == seal), F.lit(False))
     first = F.get(read, 0)
     taken = F.struct(*[first[f.name].alias(f.name) for f in wanted.fields])
-    step = step.withColumn(value, F.when(proven, taken).when(F.col(is_object), F.from_json(text, wanted, _STRICT)))
-    return step.drop(*[f"__{value}_{n}" for n in ("text", "seal", "read", "proven")])
+    step = df.withColumn(f"__{value}_text", trimmed(F.col(text_col)))
+    step = step.withColumn(f"__{value}_read", F.when(text.startswith("{"), F.from_json(array, sealed, _STRICT)))
+    step = step.withColumn(is_object, F.when(proven, F.lit(True)).otherwise(whole_json(text, "struct<_probe:string>")))
+    return step.withColumn(value, F.when(proven, taken).when(F.col(is_object), F.from_json(text, wanted, _STRICT))) \
+        .drop(f"__{value}_text", f"__{value}_read")
 
 
 def classified(lines: DataFrame, schema: T.StructType, value_col: str = "value") -> DataFrame:
