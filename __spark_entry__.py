@@ -9,6 +9,7 @@ column names.
 from __future__ import annotations
 
 import importlib
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -1439,12 +1440,13 @@ _QUERIES: dict[str, tuple[Callable, str | None]] = {
 
 
 def _add_corpus_queries() -> None:
-    """The corpus operators live in a subpackage of their own, which may be absent."""
+    """The corpus operators live in a subpackage of their own. It may be absent, or a library that it
+    needs may be; the order queries do not depend on either."""
     try:
         corpus = importlib.import_module("orderlens.llm.queries")
-    except ModuleNotFoundError as e:
-        if not (e.name or "").startswith("orderlens.llm"):
-            raise
+    except ImportError as e:
+        if not (isinstance(e, ModuleNotFoundError) and (e.name or "").startswith("orderlens.llm")):
+            warnings.warn(f"The corpus queries are left out: {e}", ImportWarning, stacklevel=2)
         return
     _QUERIES.update({name: (run, corpus.ORACLES.get(name)) for name, run in corpus.QUERIES.items()})
 
