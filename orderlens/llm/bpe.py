@@ -1,12 +1,18 @@
 """BPE encoding and decoding of whole texts, with tree concatenation for long unsplit text.
 
-A text is cut where the vocabulary's own splitting can never join across (before a single space),
-and each distinct chunk is encoded once per worker. Where a vocabulary's ids ascend in merge order,
-plain text goes through a rank engine over the same merges, which gives the same ids sooner. A chunk without such a cut that is longer than
-``leaf`` goes by tree concatenation: leaves are encoded in parallel, and at every join a window of
-tokens to both sides is encoded again and grows until its first and last tokens equal those that
-stood there. Then every adjacent pair of tokens is one that BPE itself leaves standing, which makes
-the whole sequence the BPE encoding.
+A text longer than ``leaf`` is halved, wherever the middle falls, until its parts are leaves, and the
+parts' encodings are joined in pairs. At a join the text around the cut is encoded again: a window that
+reaches on both sides to a place where the vocabulary's own splitting can never join across (before a
+single space), and grows until the tokens that it replaces are exactly those that end the left part
+and begin the right one. A leaf is cut at such places too, and each distinct chunk is encoded once per
+worker. Where a vocabulary's ids ascend in merge order, plain text goes through a rank engine over the
+same merges, which gives the same ids sooner.
+
+A run without any such place that is longer than ``leaf`` is one piece to BPE itself. It goes by the
+same concatenation over tokens: leaves are encoded in parallel, and at every join a window of tokens to
+both sides is encoded again and grows until its first and last tokens equal those that stood there.
+Then every adjacent pair of tokens is one that BPE itself leaves standing, which makes the whole
+sequence the BPE encoding.
 """
 
 from __future__ import annotations
@@ -26,8 +32,10 @@ from tokenizers import Tokenizer
 
 from orderlens.llm.common import map_rows
 
-#: Characters of unsplit text from which the tree is used.
+#: Characters of a text, or of a piece without a place to cut, above which it is halved.
 LEAF = 4096
+#: Characters that a join looks at on either side of its cut, at first.
+AROUND = 32
 #: Distinct chunks, and distinct words, that a worker keeps.
 KEPT_CHUNKS = 1 << 18
 #: A text longer than this is worked through in slices cut at chunk bounds.
@@ -90,26 +98,57 @@ class Encoder:
         self.ranks = rank_engine(spec)
         self.core = self.ranks._core_bpe if self.ranks and self.drops_space else None
         self.words: dict[str, bytes] = {}
+        #: windows encoded again so far
+        self.joins = 0
 
     def encode(self, text: str | None) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        if len(text) <= SLICE:
+        if len(text) <= self.leaf:
             return self._slice(text)
+        if not self._unsplit(text):
+            return self._halved(text, 0, len(text))
         out, at = [], 0
         while at < len(text):
-            end = at + SLICE
-            while end < len(text):  # the next space between two other characters
-                end = text.find(" ", end)
-                end = len(text) if end < 0 else end
-                if end + 1 < len(text) and not text[end - 1].isspace() and not text[end + 1].isspace():
-                    break
-                end += 1
-            out.append(self._slice(text[at:min(end, len(text))]))
+            end = self._place(text, at + SLICE, 1)
+            out.append(self._slice(text[at:end]))
             at = end
         return b"".join(out)
 
+    @staticmethod
+    def _place(text: str, at: int, way: int) -> int:
+        """The first place from ``at`` on (``way`` 1) or back (-1) before a space between two other
+        characters; an end of the text if there is none."""
+        while 0 < at < len(text) - 1:
+            at = text.find(" ", at) if way > 0 else text.rfind(" ", 0, at + 1)
+            if at > 0 and at + 1 < len(text) and not text[at - 1].isspace() and not text[at + 1].isspace():
+                return at
+            if at < 0:
+                break
+            at += way
+        return len(text) if way > 0 else 0
+
+    def _halved(self, text: str, start: int, end: int) -> bytes:
+        """ids of ``text[start:end]`` from those of its halves."""
+        if end - start <= self.leaf:
+            return self._slice(text[start:end])
+        cut = (start + end) // 2
+        return self._joined(text[start:end], cut - start, self._halved(text, start, cut), self._halved(text, cut, end))
+
+    def _joined(self, text: str, cut: int, left: bytes, right: bytes) -> bytes:
+        """ids of ``text`` from those of its parts before and after ``cut``."""
+        around = AROUND
+        while True:
+            a, b = self._place(text, cut - around, -1), self._place(text, cut + around, 1)
+            tail, head = self._slice(text[a:cut]), self._slice(text[cut:b])
+            agree = left.endswith(tail) and right.startswith(head)
+            self.joins += 1
+            if agree or a == 0 and b == len(text):  # a window of the whole text replaces all there is
+                out = self._slice(text[a:b])
+                return left[:len(left) - len(tail)] + out + right[len(head):] if agree else out
+            around *= 4
+
     def _unsplit(self, text: str) -> bool:
         """Whether a run without white space is long enough for the tree."""
         return len(text) > self.leaf and max(map(len, text.split()), default=0) > self.leaf

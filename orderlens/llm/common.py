@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.session import staging_path
+from orderlens.session import written_stage
 
 #: Rows and payload bytes after which a task hands its rows on; it bounds what one batch holds.
 BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
@@ -21,12 +21,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared checkpoint folder and read back: a lineage cut that outlives a lost
-    executor, and one computation for several readers."""
-    path = staging_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+#: Write to the shared checkpoint folder and read back: a lineage cut that outlives a lost executor,
+#: and one computation for several readers.
+stage = written_stage
 
 
 _SHIPPED: set[str] = set()

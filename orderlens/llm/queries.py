@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from orderlens.llm import align, bpe, chat, idfile, packing, periods, quality, rules, secrets, sharding, simhash, topk, toxicity
 from orderlens.llm.common import table
-from orderlens.session import staging_path
+from orderlens.session import keep_stage, staging_path
 
 #: The end mark of byte_bpe documents in the packing contract.
 END_ID = 1
@@ -85,6 +85,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_idfile(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = staging_path(spark, "id-files")
+    keep_stage(spark, out)
     idfile.write_documents(_docs(spark, sf_dir), out, public_tokenizers.path("byte_bpe_50k.json"), FILE_END_ID)
     return idfile.read_ids(spark, out).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 

@@ -32,6 +32,11 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _WIDE = 1 << 21
 
 
+def _points(data: bytes) -> int:
+    """Characters (code points) of UTF-8 bytes."""
+    return len(data.decode())
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     """splitmix64 of word numbers."""
     x = (x + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
@@ -68,14 +73,15 @@ def measure(text: str | None) -> dict:
     lines = [x for x in data.split(b"\n") if x.strip()]
     seen = Counter(lines)
     out["n_dup_lines"] = len(lines) - len(seen)
-    line_chars = sum(map(len, lines))
+    points = len if len(data) == len(text) else _points
+    line_chars = sum(map(points, lines))
     out["dup_line_share"] = out["n_dup_lines"] / max(1, len(lines))
-    out["dup_line_char_share"] = sum((c - 1) * len(x) for x, c in seen.items() if c > 1) / max(1, line_chars)
+    out["dup_line_char_share"] = sum((c - 1) * points(x) for x, c in seen.items() if c > 1) / max(1, line_chars)
     out["n_repeat_words"] = 0
     numbers: dict[bytes, int] = {}
     ids = np.fromiter([numbers.setdefault(w, len(numbers)) for w in words], np.uint64, n)
-    chars = np.fromiter(map(len, words), np.int64, n)
-    total = max(1, in_words)
+    chars = np.fromiter(map(points, words), np.int64, n)
+    total = max(1, out["word_chars"])
     shares = {k: 0.0 for k in (*TOP_NGRAM, *DUP_NGRAM)}
     if n >= 3:
         three = (ids[:-2], ids[1:-1], ids[2:])

@@ -4,7 +4,8 @@ One Aho-Corasick pass over the lower-cased bytes finds every keyword; an express
 where its keyword starts, left to right and without overlap within a kind. Long hexadecimal runs
 have no keyword of their own: their class is mapped to one symbol and 32 of that symbol are the
 keyword. GitHub and npm tokens carry a CRC-32 in base 62, which must hold; the header of a JWT
-must decode."""
+must decode. A run of token characters is tried as a JWT's header once, at the first place in it where
+one can start, so a text takes time in proportion to its length."""
 
 from __future__ import annotations
 
@@ -44,6 +45,7 @@ _KEYWORDS = {
 _DIGITS = b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 _LONG_HEX, _HEX_RUN = 32, re.compile(rb"[0-9a-f]+")
 _HEX_CLASS = bytes(120 if c in b"0123456789abcdef" else 32 for c in range(256))
+_TOKEN_RUN = re.compile(rb"[A-Za-z0-9_-]+")
 _WORD = frozenset(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz_")
 
 
@@ -69,19 +71,17 @@ def base62_crc(body: bytes) -> bytes:
     return bytes(reversed(out))
 
 
-def _holds(kind: str, m: re.Match, data: bytes) -> bool:
+def _holds(kind: str, m: re.Match) -> bool:
     if kind == "assign":
         return len(m[1]) >= 8
     if kind == "access":
         return len(m[0]) >= 16
-    if m.start() and data[m.start() - 1] in _WORD:
-        return False
     if kind in ("github", "npm"):
         return base62_crc(m[1]) == m[2]
     if kind == "jwt":
         try:
             head = json.loads(base64.urlsafe_b64decode(m[1] + b"=" * (-len(m[1]) % 4)))
-        except (binascii.Error, ValueError):
+        except (binascii.Error, ValueError, RecursionError):
             return False
         return isinstance(head, dict) and "alg" in head
     return True
@@ -98,11 +98,14 @@ def spans(text: str | None) -> list[tuple[str, int, int]]:
     hits = sorted((end + 1 - n, kinds) for end, (n, kinds) in _automaton().iter(data.lower().decode("latin-1")))
     for start, kinds in hits:
         for kind in kinds:
-            if start >= done[kind] and (m := _EXPR[kind].match(data, start)):
-                if _holds(kind, m, data):
+            if start < done[kind] or kind not in BASE and start and data[start - 1] in _WORD:
+                continue
+            if kind == "jwt":
+                done[kind] = _TOKEN_RUN.match(data, start).end() if data.startswith(b"eyJ", start) else start + 1
+            if m := _EXPR[kind].match(data, start):
+                if holds := _holds(kind, m):
                     found.append((start, KINDS.index(kind), m.end()))
-                    done[kind] = m.end()
-                elif kind in BASE:
+                if holds or kind in BASE:
                     done[kind] = m.end()
     marked, key, at = data.translate(_HEX_CLASS), b"x" * _LONG_HEX, 0
     while (at := marked.find(key, at)) >= 0:

@@ -17,8 +17,9 @@ from orderlens.llm.pusample import MOST_POSITIVE, MOST_UNLABELLED, Fold, sample
 
 FOLDS = Fold(5, 0)
 BITS = 20
-#: Features that the model may use, chosen by how far their rate among positives lies above that among unlabelled texts.
-MOST_FEATURES = 1 << 12
+#: Features that the model may use, chosen by how far their rate among positives lies above that among
+#: unlabelled texts, and sampled positives that a feature must occur in (defaults of :func:`train`).
+MOST_FEATURES, LEAST_POSITIVES = 1 << 12, 3
 #: Distinct words whose weight a worker keeps.
 KEPT_WORDS = 1 << 19
 _BEGINNINGS = (4, 5, 6)
@@ -61,8 +62,10 @@ class Scorer:
 
 
 def train(docs: DataFrame, labels: DataFrame, folds: Fold = FOLDS, id_col: str = "doc_id", text_col: str = "text",
-          most_positive: int = MOST_POSITIVE, most_unlabelled: int = MOST_UNLABELLED) -> Scorer:
-    """Fit on bounded samples of the learning folds. Without positives every score is near 0."""
+          most_positive: int = MOST_POSITIVE, most_unlabelled: int = MOST_UNLABELLED,
+          most_features: int = MOST_FEATURES, least_positives: int = LEAST_POSITIVES) -> Scorer:
+    """Fit on bounded samples of the learning folds. Without positives every score is near 0. The four
+    bounds limit the model and its samples, never the rows that it scores."""
     rows, prior = sample(docs, labels, "toxic", folds, id_col, text_col, most_positive, most_unlabelled)
 
     def hashed(items: Iterator[tuple]) -> Iterator[tuple[tuple, int]]:
@@ -79,7 +82,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: Fold = FOLDS, id_col: str =
     rates = (drawn.select("positive", F.explode("features").alias("feature")).groupBy("feature")
              .agg(F.count_if("positive").alias("p"), F.count_if(~F.col("positive")).alias("u")))
     apart = (p - u) / F.sqrt(F.greatest(u, F.lit(1.0 / n[False])))
-    best = rates.where((F.col("p") >= 3) & (apart > 0)).orderBy(apart.desc(), "feature").limit(MOST_FEATURES).select("feature")
+    best = rates.where((F.col("p") >= least_positives) & (apart > 0)).orderBy(apart.desc(), "feature").limit(most_features).select("feature")
     number = {f: i for i, (f,) in enumerate(best.collect())}
 
     def narrowed(items: Iterator[tuple]) -> Iterator[tuple[tuple, int]]:

@@ -106,3 +106,34 @@ def test_query_digest(spark, tmp_path):
     ids = np.array([*plain(BYTES, "a b c"), 1], "<u4")
     assert rows[0, 0].ids_crc32 == zlib.crc32(ids.tobytes()) and rows[0, 0].length == 4
     assert rows[1, 0].doc_tokens == 1
+
+
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+@pytest.mark.parametrize("leaf", [24, 31, 50])
+def test_halves_joined_anywhere_equal_the_tokenizer(path, leaf):
+    """Cuts fall inside words, white space, added tokens and composed characters."""
+    rnd, own = random.Random(leaf), bpe.Encoder(path, leaf)
+    pieces = [t for t in TEXTS + ["plain words", "e\u0301te\u0301", "I'll they're"] if max(map(len, t.split()), default=0) < 20]
+    for _ in range(60):
+        text = " ".join(rnd.choice(pieces) for _ in range(rnd.randint(8, 40)))
+        assert ids_of(own.encode(text)) == plain(path, text), text
+    assert own.joins > 100
+
+
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_documents_of_the_given_table_are_joined(spark, path):
+    """The tree is entered on the given texts, at the leaf that the queries use."""
+    own = bpe.Encoder(path)
+    texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    for text in texts:
+        assert ids_of(own.encode(text)) == plain(path, text)
+    assert own.joins >= sum(len(t or "") > own.leaf for t in texts) > 0
+
+
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_very_long_texts(path):
+    rnd, own = random.Random(4), bpe.Encoder(path)
+    words = ["".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(1, 9))) for _ in range(500)]
+    text = " ".join(rnd.choice(words) for _ in range(200_000))
+    assert ids_of(own.encode(text)) == plain(path, text) and own.joins > 100
+    assert ids_of(own.encode("x" * 300_000 + " end")) == plain(path, "x" * 300_000 + " end")

@@ -66,13 +66,13 @@ def plain_counts(text):
 
 
 def plain_share(words, n):
-    """Word bytes inside n-grams that occurred before."""
+    """Share of the words' characters that lie inside n-grams that occurred before."""
     seen, hit = set(), set()
     for i in range(len(words) - n + 1):
         g = tuple(words[i:i + n])
         hit |= {*range(i, i + n)} if g in seen else set()
         seen.add(g)
-    return sum(len(words[i].encode()) for i in hit) / sum(len(w.encode()) for w in words)
+    return sum(len(words[i]) for i in hit) / sum(map(len, words))
 
 
 def test_counts_and_coverage_by_definition():
@@ -108,3 +108,48 @@ def test_assess_odd_rows(odd_docs, no_docs):
     assert Counter(r.doc_id for r in rows) == Counter(i for i, _ in ODD)
     assert all(r.base_failed and not r.kept for r in rows)
     assert rules.assess(no_docs).collect() == []
+
+
+def test_characters_not_bytes():
+    """A text whose repeated part is in wide letters has the same shares as its one-byte twin."""
+    rnd = random.Random(6)
+    words = [f"{rnd.choice('abcd') * rnd.randint(1, 6)}{k % 40}" for k in range(200)]
+    narrow = " ".join(words) + "\n" + "\n".join(["xyz abc"] * 5)
+    wide = narrow.translate(str.maketrans("abcdxyz", "äéñß漢字ж"))
+    a, b = rules.measure(narrow), rules.measure(wide)
+    assert a == b and max(a["shares"].values()) > 0 and a["dup_line_char_share"] > 0
+
+
+HOSTILE = {
+    "assign": ["token", "password    ", "secret=a;", "api_key='", "token=" + "a" * 7 + " ", "passwd" + " " * 50],
+    "access": ["AKIA", "AKIAA ", "AKIA-"],
+    "github": ["ghp_", "ghp_" + "a" * 36 + " ", "ghs_ghs_"],
+    "npm": ["npm_", "npm_" + "b" * 36],
+    "jwt": ["eyJa", "eyJ.", "eyJa-", "eyJhIjp7", "-eyJa.eyJb.", "eyJa.", "eyJa.eyJb", "eyJhbGciOiJub25lIn0-"],
+    "private_key": ["-----BEGIN ", "-----BEGIN PRIVATE KEY-----", "-----BEGIN A ", "-----BEGIN PRIVATE KEY-----AAAA\n", "-----BEGIN A A A A PRIVATE KEY-----"],
+    "hex": ["0123456789abcdef", "0123456789abcdef0123456789abcdef ", "abc "],
+}
+
+
+@pytest.mark.parametrize("piece", [p for own in HOSTILE.values() for p in own])
+def test_long_hostile_texts_take_linear_time(piece):
+    """A megabyte of any kind's beginnings is done in moments."""
+    import time
+    start = time.process_time()
+    secrets.spans(piece * ((1 << 20) // len(piece)))
+    assert time.process_time() - start < 12
+
+
+def test_headers_of_web_tokens():
+    import base64
+    def part(data):
+        return base64.urlsafe_b64encode(data).decode().rstrip("=")
+    head, body = part(b'{"alg":"none"}'), part(b'{"sub":"1"}')
+    token = f"{head}.{body}.c2ln"
+    kinds = lambda text: [(k, text[a:b]) for k, a, b in secrets.spans(text) if k == "jwt"]
+    assert kinds(f"x {token} y") == [("jwt", token)]
+    assert kinds(f"word-{token}") == [("jwt", token)]  # a dash may stand before it
+    assert kinds(f"word{token}") == [] and kinds(f"{part(b'{}')}.{body}.x") == []
+    assert kinds(f"{head[:9]}.{body}.x {token}") == [("jwt", token)]
+    deep = part(b'{"a":' * 30000 + b"1" + b"}" * 30000)
+    assert kinds(f"{deep}.{body}.x {token}") == [("jwt", token)]

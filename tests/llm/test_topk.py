@@ -49,3 +49,33 @@ def test_few_and_none(spark):
     assert topk.top_k(spark.createDataFrame([], schema)).collect() == []
     assert topk.top_k(spark.createDataFrame([(50, [1.0])], schema)).collect() == []
     assert [tuple(r) for r in topk.top_k(spark.createDataFrame([(50, [1.0]), (3, [2.0])], schema)).collect()] == [(50, 1, 3, 131072)]
+
+
+def test_terms_are_split_by_bounds_and_threshold():
+    """On vectors with a few strong terms most are not essential, and a threshold from elsewhere passes
+    blocks over; the results are those of the whole product."""
+    import numpy as np
+    rng = np.random.default_rng(3)
+    weights = np.concatenate([np.full(4, 40.0), np.full(60, 1.0)])
+    block = np.floor(rng.normal(size=(2000, 64)) * weights)
+    ids, low, high = np.arange(2000), block.min(axis=0), block.max(axis=0)
+    work, carried = topk.Work(), topk.Work()
+    for q in range(0, 2000, 50):
+        scores = block @ block[q]
+        order = [i for i in np.lexsort((ids, -scores)) if i != q][:5]
+        want = [(int(scores[i]), int(i)) for i in order]
+        assert topk.best(block[q], ids, q, block, low, high, 5, work=work) == want
+        assert topk.best(block[q], ids, q, block, low, high, 5, floor=want[-1][0], work=carried) == want
+        assert topk.best(block[q], ids, q, block, low, high, 5, floor=want[1][0]) == [w for w in want if w[0] >= want[1][0]]
+        assert topk.best(block[q], ids, q, block, low, high, 5, floor=1e12, work=carried) == []
+    assert work.essential < 0.5 * work.terms and carried.essential <= work.essential and carried.passed == 40
+    assert carried.read <= work.read < 0.4 * work.components
+
+
+def test_thresholds_are_carried_between_blocks(spark):
+    rows = vectors(700, 8, 5)
+    df = spark.createDataFrame([(i, v, "x", "y") for i, v in rows], SCHEMA)
+    import struct
+    single = [(i, [struct.unpack("f", struct.pack("f", x))[0] for x in v]) for i, v in rows]
+    got = topk.top_k(df, block=64, queries=3).collect()
+    assert {(r.query_id, r["rank"], r.vec_id, r.score) for r in got} == plain(single)
