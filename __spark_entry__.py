@@ -1446,7 +1446,7 @@ def _add_corpus_queries() -> None:
         corpus = importlib.import_module("orderlens.llm.queries")
     except ImportError as e:
         if not (isinstance(e, ModuleNotFoundError) and (e.name or "").startswith("orderlens.llm")):
-            warnings.warn(f"The corpus queries are left out: {e}", ImportWarning, stacklevel=2)
+            warnings.warn(f"The corpus queries are left out: {e}", RuntimeWarning, stacklevel=2)
         return
     _QUERIES.update({name: (run, corpus.ORACLES.get(name)) for name, run in corpus.QUERIES.items()})
 
