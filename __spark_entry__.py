@@ -951,18 +951,35 @@ _DESCRIBE_SQL = """CASE WHEN {s} = 401 OR {s} = 403 THEN 'The access token was r
   WHEN {s} > 0 THEN 'The request failed with HTTP ' || {s} || '.'
   ELSE 'The shop could not be reached.' END"""
 
+_IS_OBJECT_SQL = "(CASE WHEN json_valid({body}) THEN json_type({body}) = 'OBJECT' ELSE false END)"
+_BODY_MESSAGES_SQL = """(CASE WHEN json_valid({body}) THEN
+    list_filter(CAST(json_extract_string({body}, '$.errors[*].message') AS VARCHAR[]), lambda m: trim(m) <> '') ELSE [] END)"""
+
 SQL_CONNECTION_CHECKS = _with(SQL_CONFIGS_CTE) + f""",
-b AS (
+r AS (
   SELECT config_id, custkey,
     coalesce(CASE WHEN custkey % 50 = 0 THEN 'Credential could not be decrypted.' END,
              CASE WHEN access_token IS NULL OR trim(access_token) = '' THEN 'No access token is stored for this configuration.' END) AS cred_fail,
     trim(shop_api_url) AS shop_url, trim(api_version) AS ver,
     coalesce(upper(trim(can_read_orders)) = 'N', false) AS disabled,
     CASE custkey % 9 WHEN 0 THEN 401 WHEN 1 THEN 404 WHEN 2 THEN 503 WHEN 3 THEN 0 ELSE 200 END AS cs,
-    custkey % 9 >= 4 AS c_ok, 'shop' || custkey || '.myshopify.com' AS domain,
+    CASE WHEN custkey % 9 >= 4 THEN '{{"data":{{"shop":{{"myshopifyDomain":"shop' || custkey || '.myshopify.com"}}}}}}' ELSE '' END AS c_body,
     CASE WHEN custkey % 7 = 1 THEN 500 ELSE 200 END AS os,
-    custkey % 500 + 20 AS c_ms, custkey % 300 + 5 AS o_ms, custkey % 7 >= 3 AS o_ok, custkey % 7 = 0 AS scope_missing, custkey % 2 AS order_count
-  FROM cf)
+    CASE custkey % 7 WHEN 0 THEN '{{"data":null,"errors":[{{"message":"Access denied for orders field. Required access: read_orders"}}]}}'
+      WHEN 1 THEN '' WHEN 2 THEN '{{"errors":[{{"message":"Internal error"}}]}}'
+      ELSE CASE WHEN custkey % 2 = 1 THEN '{{"data":{{"orders":{{"edges":[{{"node":{{"id":"gid://shopify/Order/1"}}}}]}}}}}}'
+        ELSE '{{"data":{{"orders":{{"edges":[]}}}}}}' END END AS o_body,
+    custkey % 500 + 20 AS c_ms, custkey % 300 + 5 AS o_ms
+  FROM cf),
+a AS (
+  SELECT *, {_BODY_MESSAGES_SQL.format(body='c_body')} AS c_msgs, {_BODY_MESSAGES_SQL.format(body='o_body')} AS o_msgs FROM r),
+b AS (
+  SELECT *, cs BETWEEN 200 AND 299 AND {_IS_OBJECT_SQL.format(body='c_body')} AND len(c_msgs) = 0 AS c_ok,
+    CASE WHEN json_valid(c_body) THEN json_extract_string(c_body, '$.data.shop.myshopifyDomain') END AS domain,
+    os BETWEEN 200 AND 299 AND {_IS_OBJECT_SQL.format(body='o_body')} AND len(o_msgs) = 0 AS o_ok,
+    len(list_filter(o_msgs, lambda m: contains(lower(m), 'access denied') OR contains(lower(m), 'required access'))) > 0 AS scope_missing,
+    CASE WHEN json_valid(o_body) THEN coalesce(json_array_length(o_body, '$.data.orders.edges'), 0) ELSE 0 END AS order_count
+  FROM a)
 SELECT * EXCLUDE (c_ms, o_ms),
   CASE WHEN status = 'SKIP' THEN NULL WHEN check_key = 'reachable' THEN c_ms WHEN check_key = 'ordersRead' THEN o_ms END AS duration_millis
 FROM (
@@ -1397,6 +1414,150 @@ FROM events"""
 # Registry
 # ---------------------------------------------------------------------------------------
 
+# ---------------------------------------------------------------------------------------
+# 9. Stored layouts and jobs
+# ---------------------------------------------------------------------------------------
+EXTRACT_YEAR = 1997
+
+
+def _own_folder(spark, name: str) -> str:
+    """A folder of this query's own, which leaves with the driver."""
+    path = staging_path(spark, name)
+    keep_stage(spark, path)
+    return path
+
+
+def q_extract_job(spark, sf_dir):
+    """K4 with K1-K3: one year's export written as files, extracted for a quarter of it (S1, S2, P4),
+    written as a run and read back through its manifest, with what the run's metadata says."""
+    from orderlens.operators.projection import prune_nested
+    from orderlens.sinks.files import extract_orders, read_run
+    o = _orders(spark, sf_dir)
+    paths = resolve_field_paths(ORDER_SOURCE, [], bulk=True)
+    export, out = _own_folder(spark, "year-export"), _own_folder(spark, "runs")
+    body = F.struct(*[F.col(c) for c in sorted({p.split(".")[0] for p in paths})])
+    o.filter(F.year("_ts_createdAt") == EXTRACT_YEAR).select(*prune_nested(o, paths)) \
+        .select(F.to_json(body, {"ignoreNullFields": "false"})).write.text(export)
+    expected = _t(spark, sf_dir, "orders").filter(F.year("o_orderdate") == EXTRACT_YEAR).count()
+    done = extract_orders(spark, export, expected, True, f"{EXTRACT_YEAR}-01-01", f"{EXTRACT_YEAR}-04-01", config_id="store",
+                          location=out, name="year", write=True)
+    about = read_run(spark, out, done.file_name, "metadata").select(
+        F.col("extractedRecordCount").alias("records"), F.col("bulkJsonlLineCount").alias("lines"), F.array_join("searchQueries", ",").alias("search"))
+    told = done.status.select(F.array_join("warnings", ",").alias("warnings"))
+    rows = read_run(spark, out, done.file_name, schema=done.records.schema).select("id", "legacyResourceId", "shopifyGid", "name", "createdAt", "totalPrice")
+    # metadata and status are one row each
+    one = F.lit(1).alias("_one")
+    return rows.withColumn("_one", F.lit(1)).join(F.broadcast(about.select("*", one)), "_one").join(F.broadcast(told.select("*", one)), "_one").drop("_one")
+
+
+SQL_EXTRACT_JOB = _with(ORDERS_CTE) + f""",
+y AS (SELECT *, CAST(order_key AS VARCHAR) AS legacy FROM os WHERE year(ts_created) = {EXTRACT_YEAR}),
+n AS (SELECT count(*) AS c, count(*) FILTER (WHERE NOT ts_created < TIMESTAMP '{EXTRACT_YEAR}-04-01') AS outside FROM y)
+SELECT legacy AS id, legacy AS legacyResourceId, y.id AS shopifyGid, name, createdAt, totalPrice, n.c AS records, n.c AS lines,
+  'created_at:>=''{EXTRACT_YEAR}-01-01T00:00:00Z'' created_at:<''{EXTRACT_YEAR}-04-01T00:00:00Z''' AS search,
+  CASE WHEN n.outside > 0 THEN n.outside || ' record(s) lie outside the requested window.' ELSE '' END AS warnings
+FROM y, n"""
+
+DEEP_AFTER = ("2000-06-01T00:00:00Z", ORDER_GID_PREFIX + "5000")
+
+
+def q_page_clustered(spark, sf_dir):
+    """T3 on the clustered layout: a deep page read from the files that can hold it."""
+    from orderlens.sinks.clustered import read_clustered_page, write_clustered
+    path = _own_folder(spark, "clustered")
+    write_clustered(_orders(spark, sf_dir), path, "CREATED_AT", file_rows=20_000)
+    spec = ReadSpec(fields=["createdAt", "name", "totalPrice"], filters={"createdAtFrom": "1990-01-01T00:00:00Z"}, page_size=250,
+                    after=encode_cursor(*DEEP_AFTER))
+    return read_clustered_page(spark, path, spec).df
+
+
+SQL_PAGE_CLUSTERED = _with(ORDERS_CTE) + f"""
+SELECT createdAt, id, legacyResourceId, name, totalPrice, {_sql_cursor('createdAt')}
+FROM os WHERE ts_created > TIMESTAMP '2000-06-01' OR (ts_created = TIMESTAMP '2000-06-01' AND id > '{DEEP_AFTER[1]}')
+ORDER BY ts_created, id LIMIT 250"""
+
+
+def q_exchange_sweep_capped(spark, sf_dir):
+    """W2 with T4: at most 40 pages of 100 candidates in update order, and whether more remained."""
+    rows, truncated = ex.sweep_exchanges(_orders(spark, sf_dir), _returns(spark, sf_dir), ad.LINE_ORDER, SWEEP_START_MS, SWEEP_END_MS,
+                                         max_pages=40, page_size=100, fields=ad.return_fields(), keys=ORDER_KEYS)
+    # ``truncated`` is one row
+    return rows.withColumn("_one", F.lit(1)).join(F.broadcast(truncated.withColumn("_one", F.lit(1))), "_one").drop("_one")
+
+
+SQL_EXCHANGE_SWEEP_CAPPED = _with(ORDERS_CTE, RETURNS_CTE) + """,
+cand AS (SELECT * FROM os WHERE ts_updated >= TIMESTAMP '1997-01-01' AND lower(returnStatus) <> 'no_return'),
+few AS (SELECT * FROM cand ORDER BY ts_updated, id LIMIT 4000),
+cnt AS (SELECT l_orderkey, count(*) FILTER (WHERE live) AS exchangeReturnCount FROM rx GROUP BY l_orderkey),
+hit AS (
+  SELECT l_orderkey, arg_min(return_id, pos) AS returnId, arg_min(return_name, pos) AS returnName,
+         arg_min(return_status, pos) AS returnStatus, arg_min(epoch_ms(l_shipdate), pos) AS returnCreatedAtMillis
+  FROM rx WHERE live AND l_shipdate >= TIMESTAMP '1997-01-01' AND l_shipdate < TIMESTAMP '1997-02-01'
+  GROUP BY l_orderkey)
+SELECT few.legacyResourceId AS externalId, few.name AS orderName, hit.returnId, hit.returnName, hit.returnStatus,
+       hit.returnCreatedAtMillis, cnt.exchangeReturnCount, (SELECT count(*) > 4000 FROM cand) AS truncated
+FROM few JOIN hit ON hit.l_orderkey = few.order_key JOIN cnt ON cnt.l_orderkey = few.order_key
+WHERE few.legacyResourceId IS NOT NULL AND few.legacyResourceId <> ''"""
+
+
+def q_exchange_sweep_kept(spark, sf_dir):
+    """W2 kept up to date: a first run without the orders updated from June 1997 on and some older ones,
+    then a run after they have arrived. The rows are those of the whole sweep."""
+    from orderlens.sinks.sweep_state import update_sweep
+    orders, state = _own_folder(spark, "orders-by-month"), _own_folder(spark, "sweep-state")
+    o = _orders(spark, sf_dir).select("order_key", "id", "legacyResourceId", "name", "returnStatus", "updatedAt", "_ts_updatedAt")
+    o = o.withColumn("month", F.substring("updatedAt", 1, 7))
+    late = (F.col("month") >= "1997-06") | ((F.col("month") == "1997-03") & (F.col("order_key") % 7 == 0))
+    for part in (~late, late):
+        o.filter(part).repartition("month").write.mode("append").partitionBy("month").parquet(orders)
+        rows, _ = update_sweep(spark, orders, "month", _returns(spark, sf_dir), ad.LINE_ORDER, SWEEP_START_MS, SWEEP_END_MS, state,
+                               "january", fields=ad.return_fields(), keys=ORDER_KEYS)
+    return rows
+
+
+def q_id_differences(spark, sf_dir):
+    """E1 by digests: two copies of the order ids of which a few differ; only their buckets are joined."""
+    k = F.col("o_orderkey")
+    o = _t(spark, sf_dir, "orders")
+    left = o.select(F.when(k % 997 == 0, k + 10_000_000).otherwise(k).cast("string").alias("left_id"))
+    right = o.filter(k % 1009 != 0).select(F.concat(F.lit(ORDER_GID_PREFIX), k.cast("string")).alias("right_id"))
+    return lookup.id_differences(left, right)
+
+
+SQL_ID_DIFFERENCES = f"""
+WITH l AS (SELECT DISTINCT '{ORDER_GID_PREFIX}' || CASE WHEN o_orderkey % 997 = 0 THEN o_orderkey + 10000000 ELSE o_orderkey END AS cid FROM orders),
+r AS (SELECT DISTINCT '{ORDER_GID_PREFIX}' || o_orderkey AS cid FROM orders WHERE o_orderkey % 1009 <> 0)
+SELECT coalesce(l.cid, r.cid) AS canonical_id, CASE WHEN r.cid IS NULL THEN 'missing_right' ELSE 'missing_left' END AS state
+FROM l FULL OUTER JOIN r ON l.cid = r.cid WHERE l.cid IS NULL OR r.cid IS NULL"""
+
+STATE_PART = 2
+
+
+def q_exchange_state_parts(spark, sf_dir):
+    """J2 for orders of any size: each order's exchanges in parts of two returns."""
+    st = ex.exchange_state_parts(_state_requests(spark, sf_dir), _orders(spark, sf_dir), _returns(spark, sf_dir), ad.LINE_ORDER, STATE_PART,
+                                 position_col="position", fields=ad.return_fields(), keys=ORDER_KEYS, numbered=True)
+    return st.select("order_key", "returnStatus", "part", F.posexplode_outer("exchanges").alias("pos", "x")).select(
+        "order_key", "returnStatus", "part", "pos", F.col("x.returnId").alias("returnId"), F.col("x.status").alias("exchangeReturnStatus"))
+
+
+SQL_EXCHANGE_STATE_PARTS = _with(ORDERS_CTE, RETURNS_CTE) + f""",
+want AS (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_returnflag = 'R'),
+x AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY pos) - 1 AS n FROM rx WHERE has_exchange)
+SELECT CAST(os.order_key AS VARCHAR) AS order_key, os.returnStatus, coalesce(x.n // {STATE_PART}, 0) AS part,
+  CAST(x.n % {STATE_PART} AS INTEGER) AS pos, x.return_id AS returnId, x.return_status AS exchangeReturnStatus
+FROM os JOIN want ON want.l_orderkey = os.order_key LEFT JOIN x ON x.l_orderkey = os.order_key"""
+
+
+def q_config_saved(spark, sf_dir):
+    """J5 on the stored table: the updates saved into a table kept by tenant, read back redacted."""
+    from orderlens.sinks.config_table import read_configs, save_configs, write_configs
+    path = _own_folder(spark, "config-table")
+    write_configs(_configs(spark, sf_dir), path)
+    save_configs(spark, path, _updates(spark, sf_dir), ACTIVE_TENANT, ACTIVE_USER, "position")
+    return cfg.redact(read_configs(spark, path))
+
+
 _QUERIES: dict[str, tuple[Callable, str | None]] = {
     "orders_window": (q_orders_window, SQL_ORDERS_WINDOW),
     "orders_page": (q_orders_page, SQL_ORDERS_PAGE),
@@ -1436,6 +1597,13 @@ _QUERIES: dict[str, tuple[Callable, str | None]] = {
     "instant_forms": (q_instant_forms, SQL_INSTANT_FORMS),
     "orders_page_info": (q_orders_page_info, SQL_ORDERS_PAGE_INFO),
     "user_errors": (q_user_errors, SQL_USER_ERRORS),
+    "extract_job": (q_extract_job, SQL_EXTRACT_JOB),
+    "page_clustered": (q_page_clustered, SQL_PAGE_CLUSTERED),
+    "exchange_sweep_capped": (q_exchange_sweep_capped, SQL_EXCHANGE_SWEEP_CAPPED),
+    "exchange_sweep_kept": (q_exchange_sweep_kept, SQL_EXCHANGE_SWEEP),
+    "id_differences": (q_id_differences, SQL_ID_DIFFERENCES),
+    "exchange_state_parts": (q_exchange_state_parts, SQL_EXCHANGE_STATE_PARTS),
+    "config_saved": (q_config_saved, SQL_CONFIG_MERGE),
 }
 
 

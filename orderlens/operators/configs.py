@@ -161,6 +161,24 @@ def merge_configs(current: DataFrame, updates: DataFrame, active_tenant: str, ac
     time zone keep what is stored by then (no zone: UTC); owner and creator are kept (new rows get
     the active tenant and user); description, URL, version and flags are overwritten (flags default
     Y / N); another tenant's row is refused."""
+    j = evaluate_updates(current, updates, active_tenant, active_user, position_col)
+    stored = stored_rows(j)
+    untouched = current.join(stored.select("config_id"), "config_id", "left_anti").select(*CONFIG_COLUMNS)
+    return untouched.unionByName(stored.select(*CONFIG_COLUMNS)), update_outcomes(j)
+
+
+def update_outcomes(evaluated: DataFrame) -> DataFrame:
+    return evaluated.select("config_id", F.col("_pos").alias("position"), F.col("_action").alias("action"), F.col("_errors").alias("errors"))
+
+
+def stored_rows(evaluated: DataFrame) -> DataFrame:
+    """The row that each saved key has in the end."""
+    return evaluated.filter("_action != 'rejected'").groupBy("config_id").agg(F.max_by("_row", "_pos").alias("r")).select("config_id", "r.*")
+
+
+def evaluate_updates(current: DataFrame, updates: DataFrame, active_tenant: str, active_user: str, position_col: str) -> DataFrame:
+    """J5 for each update: its ``_pos``, ``_action``, ``_errors``, the ``_row`` that it leaves in the table
+    (meant only if it is saved), and ``_owner``, the tenant of the row that was there."""
     spark = current.sparkSession
     u = updates.select(
         normalize("config_id").alias("config_id"), normalize("description").alias("u_description"),
@@ -217,9 +235,8 @@ def merge_configs(current: DataFrame, updates: DataFrame, active_tenant: str, ac
         "_saved_before": F.coalesce(F.max("_ok").over(before), F.lit(False)),
         "_token": F.last(F.when(F.col("_ok"), F.col("u_token")), True).over(so_far),
     })
-    outcomes = j.select("config_id", F.col("_pos").alias("position"),
-                        F.when(~F.col("_ok"), F.lit("rejected")).when(F.col("_exists") | F.col("_saved_before"), F.lit("updated"))
-                        .otherwise(F.lit("inserted")).alias("action"), F.col("_errors").alias("errors"))
+    action = (F.when(~F.col("_ok"), F.lit("rejected")).when(F.col("_exists") | F.col("_saved_before"), F.lit("updated"))
+              .otherwise(F.lit("inserted")))
     row = F.struct(
         F.col("u_description").alias("description"),
         F.coalesce(F.col("c_tenant_id"), F.lit(active_tenant)).alias("tenant_id"),
@@ -231,9 +248,7 @@ def merge_configs(current: DataFrame, updates: DataFrame, active_tenant: str, ac
         F.col("u_active").alias("is_active"),
         F.col("u_read").alias("can_read_orders"),
     )
-    stored = j.filter("_ok").groupBy("config_id").agg(F.max_by(row, "_pos").alias("r")).select("config_id", "r.*")
-    untouched = current.join(stored.select("config_id"), "config_id", "left_anti").select(*CONFIG_COLUMNS)
-    return untouched.unionByName(stored.select(*CONFIG_COLUMNS)), outcomes
+    return j.select("config_id", "_pos", action.alias("_action"), "_errors", row.alias("_row"), F.col("c_tenant_id").alias("_owner"), "_exists")
 
 
 def delete_configs(current: DataFrame, ids: DataFrame, tenant: str | None, id_col: str = "config_id"):

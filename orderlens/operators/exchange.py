@@ -111,10 +111,18 @@ def sweep_exchanges(orders: DataFrame, returns: DataFrame, return_order, start_m
     truncated = truncated_flag(cands, cap)
     if cap is not None:
         cands = cands.orderBy(*sort_columns(cands, "UPDATED_AT", False)).limit(cap)
+    exchanges = sweep_rows(cands, returns, return_order, start_ms, end_ms, fields, keys).drop("_key")
+    return behind(exchanges, status), truncated
+
+
+def sweep_rows(candidates: DataFrame, returns: DataFrame, return_order, start_ms: int, end_ms: int, fields=RETURN_FIELDS,
+               keys: tuple[str, str] = ("id", "order_id")) -> DataFrame:
+    """W1, A4 and P9 for candidate orders: the rows of the sweep, with the order's ``_key``."""
     own, other = keys
     totals = exchange_totals(returns, return_order, start_ms, end_ms, fields, other).filter(F.col("hit").isNotNull())
-    known = cands.filter(F.coalesce(F.col("legacyResourceId"), F.lit("")) != "").select(F.col(own).alias("_key"), "legacyResourceId", "name")
-    exchanges = known.join(totals, known["_key"] == totals[other]).select(
+    known = candidates.filter(F.coalesce(F.col("legacyResourceId"), F.lit("")) != "").select(F.col(own).alias("_key"), "legacyResourceId", "name")
+    return known.join(totals, known["_key"] == totals[other]).select(
+        "_key",
         F.col("legacyResourceId").alias("externalId"),
         F.col("name").alias("orderName"),
         F.col("hit.id").alias("returnId"),
@@ -123,7 +131,6 @@ def sweep_exchanges(orders: DataFrame, returns: DataFrame, return_order, start_m
         F.col("hit.createdMillis").alias("returnCreatedAtMillis"),
         F.col("exchangeReturnCount").cast("int").alias("exchangeReturnCount"),
     )
-    return behind(exchanges, status), truncated
 
 
 # --- P7 / P6 / J2 -----------------------------------------------------------------------

@@ -52,7 +52,8 @@ class Plan:
     page: Page | None = None
 
 
-def _bool(value, default=False) -> bool:
+def as_flag(value, default=False) -> bool:
+    """A flag of a spec: a boolean or one of the words for it."""
     if isinstance(value, bool):
         return value
     v = normalize_py(value)
@@ -81,7 +82,7 @@ def read_orders(orders: DataFrame, spec: ReadSpec, line_items: DataFrame | None
     filters = normalize_filters(source, spec.filters)
     size = clamp(spec.page_size, source.default_page_size, source.max_page_size)
     after = normalize_py(spec.after)
-    reverse = _bool(spec.reverse)
+    reverse = as_flag(spec.reverse)
     child_sizes = resolve_child_page_sizes(source, paths, spec.child_page_sizes)
     sort_key = resolve_sort_key(source, filters)
 
