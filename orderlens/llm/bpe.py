@@ -37,7 +37,7 @@ LEAF = 4096
 #: Characters that a join looks at on either side of its cut, at first.
 AROUND = 32
 #: Distinct chunks, and distinct words, that a worker keeps.
-KEPT_CHUNKS = 1 << 18
+KEPT_CHUNKS = 1 << 17
 #: A text longer than this is worked through in slices cut at chunk bounds.
 SLICE = 1 << 20
 #: A space between two other white-space characters (or before the end): not a place to cut.

@@ -110,3 +110,33 @@ def test_long_chain_becomes_one_component(spark):
 def test_odd_rows_clashing_columns_and_empty_table(odd_docs, no_docs):
     assert Counter(tuple(r) for r in simhash.components(odd_docs).collect()) == plain_components(ODD)
     assert simhash.components(no_docs).collect() == []
+
+
+def parts(links, nodes):
+    root = {n: n for n in nodes}
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+    for a, b in links:
+        root[find(b)] = find(a)
+    return {n: min(m for m in nodes if find(m) == find(n)) for n in nodes}
+
+
+def test_long_postings_are_probed_and_lose_no_link():
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 1 << 63, 120, dtype=np.uint64)
+    close = [int(x) ^ sum(1 << int(b) for b in rng.choice(64, rng.integers(0, 7), replace=False)) for x in base for _ in range(3)]
+    fps = np.unique(np.array([*base.tolist(), *close], np.uint64) & np.uint64(0xFFFFFFFFFF) | np.uint64(7 << 40))  # three shared bytes
+    assert len(fps) > simhash.PROBED
+    nodes = fps.tolist()
+    all_links = [(a, b) for i, a in enumerate(nodes) for b in nodes[i + 1:] if bin(a ^ b).count("1") <= 4]
+    assert parts(simhash.link(fps), nodes) == parts(all_links, nodes) and len(all_links) > 100
+
+
+def test_a_full_block_of_strangers_takes_moments():
+    import time
+    fps = np.random.default_rng(9).integers(0, 1 << 40, simhash.BLOCK, dtype=np.uint64)
+    start = time.process_time()
+    assert sum(1 for _ in simhash.link(fps)) < len(fps)
+    assert time.process_time() - start < 60
