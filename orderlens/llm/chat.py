@@ -130,6 +130,11 @@ def format_chat(turns: DataFrame, template: Template = INSTRUCT, conv_col: str =
     return map_rows(ordered, ["conv_id", "role", "text"], run, _TURN)
 
 
+def in_order(formatted: DataFrame) -> DataFrame:
+    """Formatted turns of any origin, dealt out and sorted as :func:`format_chat` leaves them."""
+    return formatted.repartition("conv_id").sortWithinPartitions("conv_id", "position")
+
+
 _DIGEST = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()),
                      ("loss_sha256", pa.string()), ("formatted_chars", pa.int64()), ("valid", pa.bool_())])
 
@@ -137,7 +142,11 @@ _DIGEST = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_s
 def digest(formatted: DataFrame, template: Template = INSTRUCT) -> DataFrame:
     """One row per conversation of :func:`format_chat`'s output, read back from it as a stream:
     counts and hashes of its turns and of the text under the loss flags, and ``valid`` (every turn
-    allowed, the last one final)."""
+    allowed, the last one final).
+
+    ``formatted`` must come as :func:`format_chat` leaves it, whole conversations in order within the
+    partitions. Turns that were written and read again, or dealt out anew, go through :func:`in_order`
+    first; without it a conversation that lies in several partitions gives several, wrong rows."""
     def run(items: Iterator[tuple]) -> Iterator[tuple[tuple, int]]:
         open_row = None
         for conv, position, allowed, made in items:

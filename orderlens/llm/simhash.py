@@ -86,7 +86,8 @@ def _near(a: np.ndarray, b: np.ndarray, max_bits: int) -> np.ndarray:
 
 
 def link(fps: np.ndarray, max_bits: int = MAX_BITS) -> Iterator[tuple[int, int]]:
-    """Links among one posting's fingerprints (uint64) whose connected parts are those of all its links.
+    """A spanning forest of the links among one posting's fingerprints (uint64), as (smallest of its part,
+    other).
 
     All share the bytes of the posting's positions. Where those are fewer than the guaranteed minimum, a
     pair that reaches it shares one more, so the posting is probed at each other position: only
@@ -96,10 +97,22 @@ def link(fps: np.ndarray, max_bits: int = MAX_BITS) -> Iterator[tuple[int, int]]
         held = left.view(np.uint8).reshape(-1, 8)
         other = [p for p in range(8) if (held[:, p] != held[0, p]).any()]
         if len(other) > max_bits:
+            over: dict[int, int] = {}  # towards the smallest of a part
+
+            def top(f: int) -> int:
+                while (up := over.get(f, f)) != f:
+                    over[f] = f = over.get(up, up)
+                return f
+
             for p in other:
                 order = np.argsort(held[:, p], kind="stable")
                 for same in np.split(left[order], np.flatnonzero(np.diff(held[order, p])) + 1):
-                    yield from forest(same, max_bits)
+                    for a, b in forest(same, max_bits):
+                        a, b = sorted((top(a), top(b)))
+                        over[b] = a
+            for f in list(over):
+                if (root := top(f)) != f:
+                    yield root, f
             return
     yield from forest(left, max_bits)
 
