@@ -32,11 +32,12 @@ def orders_by_id(orders: DataFrame, ids: DataFrame, id_col: str = "id", request_
     return orders.join(keys, orders[id_col] == keys["_gid"], "left_semi")
 
 
-def save_bucketed(orders: DataFrame, table: str, buckets: int, id_col: str = "id") -> None:
-    """Store orders as a catalogue table in ``buckets`` by id, each sorted by it. Point reads (S6), found /
-    missing splits (J1) and reconciliation (E1) against it then leave the orders where they are."""
-    dealt = orders.repartition(buckets, id_col)
-    dealt.write.bucketBy(buckets, id_col).sortBy(id_col).mode("overwrite").saveAsTable(table)
+def save_bucketed(orders: DataFrame, table: str, buckets: int, id_col: str = "id", path: str | None = None) -> None:
+    """Store orders as a catalogue table (at ``path``, else in the warehouse) in ``buckets`` by id, each
+    sorted by it. Point reads (S6) and found / missing splits (J1) against it then leave the orders
+    where they are."""
+    writer = orders.repartition(buckets, id_col).write.bucketBy(buckets, id_col).sortBy(id_col).mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
 def requested_ids(requests: DataFrame, request_col: str = "requested_id", position_col: str | None = None) -> DataFrame:

@@ -108,14 +108,14 @@ def written_stage(df: DataFrame, name: str) -> DataFrame:
     path = staging_path(spark, name)
     keep_stage(spark, path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged.stage_path = path
+    return staged
 
 
 def drop_stage(staged: DataFrame) -> None:
-    """Delete a written stage once its last reader has run."""
-    for folder in {f.rsplit("/", 1)[0] for f in staged.inputFiles()}:  # none where it holds no rows
-        known = [p for p in _STAGES if folder.endswith(p.split(":", 1)[-1].lstrip("/"))]
-        _drop(staged.sparkSession, known[0] if known else folder)
+    """Delete a written stage, given as :func:`written_stage` returned it, once its last reader has run."""
+    _drop(staged.sparkSession, staged.stage_path)
 
 
 @contextmanager

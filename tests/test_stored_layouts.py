@@ -227,7 +227,7 @@ def test_point_reads_leave_the_orders_where_they_are(spark, tmpdir_path):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.sql("DROP TABLE IF EXISTS bucketed_orders")
     try:
-        orders.write.bucketBy(4, "id").sortBy("id").mode("overwrite").option("path", os.path.join(tmpdir_path, "b")).saveAsTable("bucketed_orders")
+        lookup.save_bucketed(orders, "bucketed_orders", 4, path=os.path.join(tmpdir_path, "b"))
         stored = spark.table("bucketed_orders")
         for df in (lookup.orders_by_id(stored, ids), lookup.found_ids(lookup.split_found_missing(ids, stored))):
             df.collect()
@@ -293,3 +293,14 @@ def test_a_failed_lookup_says_nothing_of_any_id(spark):
     assert lookup.split_found_missing(requests, orders, status=told(False)).count() == 0
     split = lookup.split_found_missing(requests, orders, status=told(True))
     assert [r["requested_id"] for r in lookup.missing_ids(split).collect()] == ["2"]
+
+
+def test_a_stage_without_rows_goes_too(spark):
+    from orderlens.session import drop_stage, written_stage
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    for rows in (0, 3):
+        staged = written_stage(spark.range(rows), "gone")
+        assert staged.count() == rows and set(os.listdir(folder)) > before
+        drop_stage(staged)
+        assert set(os.listdir(folder)) == before
