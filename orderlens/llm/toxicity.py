@@ -20,6 +20,9 @@ BITS = 20
 #: Features that the model may use, chosen by how far their rate among positives lies above that among
 #: unlabelled texts, and sampled positives that a feature must occur in (defaults of :func:`train`).
 MOST_FEATURES, LEAST_POSITIVES = 1 << 12, 3
+#: Unlabelled texts in the sample; four times as many as for quality, for a toxic word is rare among them.
+#: Chosen on a validation fold out of the learning folds.
+UNLABELLED = 4 * MOST_UNLABELLED
 #: Distinct words whose weight a worker keeps.
 KEPT_WORDS = 1 << 19
 _BEGINNINGS = (4, 5, 6)
@@ -62,7 +65,7 @@ class Scorer:
 
 
 def train(docs: DataFrame, labels: DataFrame, folds: Fold = FOLDS, id_col: str = "doc_id", text_col: str = "text",
-          most_positive: int = MOST_POSITIVE, most_unlabelled: int = MOST_UNLABELLED,
+          most_positive: int = MOST_POSITIVE, most_unlabelled: int = UNLABELLED,
           most_features: int = MOST_FEATURES, least_positives: int = LEAST_POSITIVES) -> Scorer:
     """Fit on bounded samples of the learning folds. Without positives every score is near 0. The four
     bounds limit the model and its samples, never the rows that it scores."""
