@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import col_of, normalize
+from .text import col_of, normalize, trimmed
 
 # Global-id prefixes used by the remote service.
 GID_SCHEME = "gid://"
@@ -36,7 +36,7 @@ def trailing_digits(c) -> Column:
 
 
 def order_number(c) -> Column:
-    """The number that ends an order gid, null for any other text. Numbers are equal just where the gids
-    are, so one with leading zeros, which no order has, is none."""
-    digits = F.regexp_extract(col_of(c), rf"^{ORDER_GID_PREFIX}(0|[1-9]\d*)$", 1)
-    return F.nullif(digits, F.lit("")).try_cast("long")
+    """The number of the order that an id names, be it the number alone or the gid that X7 makes of it;
+    null for any other text. Numbers are equal just where the gids are, so one with leading zeros, which
+    no order has, is none. One pattern reads both forms, and text without a number casts to null."""
+    return F.regexp_extract(trimmed(c), rf"^(?:{ORDER_GID_PREFIX})?(0|[1-9]\d*)$", 1).try_cast("long")

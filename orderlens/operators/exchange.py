@@ -220,8 +220,7 @@ def exchange_state(nested: DataFrame, keep=()) -> DataFrame:
 def _requested(requests: DataFrame, request_col: str, position_col: str | None, numbered: bool) -> DataFrame:
     """Distinct canonical ids (``numbered``: the order numbers behind them) with their first position."""
     pos = F.col(position_col) if position_col else F.lit(0).cast("long")
-    gid = to_order_gid_state(F.col(request_col))
-    key = order_number(gid) if numbered else gid
+    key = order_number(F.col(request_col)) if numbered else to_order_gid_state(F.col(request_col))
     return requests.select(key.alias("_key"), pos.alias("_pos")).filter("_key IS NOT NULL").groupBy("_key").agg(F.min("_pos").alias("_pos"))
 
 
@@ -268,7 +267,9 @@ def exchange_state_parts(requests: DataFrame, orders: DataFrame, returns: DataFr
                          keys: tuple[str, str] = ("id", "order_id"), numbered: bool = False) -> DataFrame:
     """J2 for orders of any size: the rows of :func:`exchange_state_lookup`, an order's list cut into
     consecutive parts of ``part_size`` returns (``part`` from 0; an order without exchanges has one,
-    empty). Parts are cut by the distributed numbering, so no task ever holds more than one of them.
+    empty). Parts are cut by row numbers and packed one by one, so a task never holds a whole list, and
+    an order too large for one window is numbered over ranges. The orders are written once, the returns
+    dealt out once by the order's key, then numbered, packed and joined where they lie.
     ``return_order`` must tell the returns of an order apart."""
     own, other = keys
     chosen = _requested_orders(requests, orders, request_col, position_col, own, numbered)

@@ -1,8 +1,9 @@
 """Numbering and top-n without a single-task window.
 
-``number_rows`` is the two-pass scheme behind ``RDD.zipWithIndex`` written with DataFrame
-operators: range-partition on (group, order), count rows per (group, partition) -- a table
-no larger than #groups + #partitions --, take cumulative offsets over that small table, and
+``number_rows`` gives each group a row number in its own window, dealt out by group. What a window
+cannot spread -- a group past ``WIDE_GROUP`` rows, or rows without groups -- goes by the two-pass
+scheme behind ``RDD.zipWithIndex`` written with DataFrame operators: range-partition on (group,
+order), count rows per (group, partition), take cumulative offsets over that small table, and
 number each row inside its partition. A group holding a third of all rows is spread over
 many range partitions instead of landing in one task.
 
@@ -17,6 +18,9 @@ from pyspark.sql import functions as F
 
 from ..session import written_stage
 
+# Fixed value: rows of a group that one task still sorts; a larger group is spread over ranges.
+WIDE_GROUP = 100_000
+
 _IDX_BITS = 33
 _IDX_MASK = (1 << _IDX_BITS) - 1
 
@@ -29,12 +33,35 @@ def number_rows(df: DataFrame, order_cols, group_cols=(), out: str = "row_no",
                 num_partitions: int | None = None) -> DataFrame:
     """Dense 1-based numbers in ``order_cols`` order within ``group_cols``.
 
-    ``group_cols + order_cols`` should identify a row (ties are numbered in any order). The
-    range-sorted, id-tagged rows are written once to a folder of this call's own, which the count
-    pass and the numbering pass both read: two independent range exchanges would sample different
-    bounds. Without ``num_partitions`` the session's adaptive planning sets their number. Pass
-    narrow rows: every column given is sorted and written."""
-    group_cols, order_cols = list(group_cols), list(order_cols)
+    ``group_cols + order_cols`` should identify a row (ties are numbered in any order). One count per
+    group, with partial sums, tells the groups of more than ``WIDE_GROUP`` rows; where there are none,
+    which is the rule, the rows are dealt out by group and numbered there, and a later step by group
+    needs no other shuffle. ``num_partitions`` sets the ranges of the others; without it the session's
+    adaptive planning does. Pass narrow rows: every column given is sorted."""
+    group_cols = list(group_cols)
+    if not group_cols:
+        return _number_over_ranges(df, order_cols, group_cols, out, num_partitions)
+    gnames = [f"__nr_w{i}" for i in range(len(group_cols))]
+    named = df.withColumns({g: c for g, c in zip(gnames, _cols(group_cols))})
+    sizes = named.groupBy(*gnames).agg(F.count(F.lit(1)).alias("__nr_size")).filter(F.col("__nr_size") > WIDE_GROUP)
+    wide = written_stage(sizes.select(*[F.col(g).alias(g + "s") for g in gnames]), "wide-groups")
+    window = Window.partitionBy(*_cols(group_cols)).orderBy(*_cols(order_cols))
+    number = F.row_number().over(window).cast("long")
+    if wide.isEmpty():
+        return df.withColumn(out, number)
+    # null-safe: the rows whose group is null are a group too; there are few wide groups (rows / WIDE_GROUP at most)
+    same = F.lit(True)
+    for g in gnames:
+        same = same & F.col(g).eqNullSafe(F.col(g + "s"))
+    rest = named.join(F.broadcast(wide), same, "left_anti").drop(*gnames).withColumn(out, number)
+    spread = named.join(F.broadcast(wide), same, "left_semi").drop(*gnames)
+    return rest.unionByName(_number_over_ranges(spread, order_cols, group_cols, out, num_partitions))
+
+
+def _number_over_ranges(df: DataFrame, order_cols, group_cols, out: str, num_partitions: int | None) -> DataFrame:
+    """:func:`number_rows` for groups of any size. The range-sorted, id-tagged rows are written once to a
+    folder of this call's own, which the count pass and the numbering pass both read: two independent
+    range exchanges would sample different bounds."""
     keys = _cols(group_cols) + _cols(order_cols)
     gnames = [f"__nr_g{i}" for i in range(len(group_cols))]
     tagged = df.withColumns({g: F.col(c) if isinstance(c, str) else c for g, c in zip(gnames, group_cols)})

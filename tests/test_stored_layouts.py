@@ -275,6 +275,40 @@ def test_an_order_of_any_size_comes_in_parts(spark):
     assert len(whole["1"]) > 25000 and whole["3"] == []
 
 
+def test_parts_deal_the_returns_out_once(spark):
+    """Returns are numbered, packed and joined to their orders where one shuffle by the order number left them."""
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(E.q_exchange_state_parts(spark, SF)).split("== Initial Plan")[0]
+        assert plan.count("Exchange hashpartitioning") <= 3  # the orders for either join, and the returns
+        assert not [f for f in set(os.listdir(folder)) - before if f.startswith("numbered-rows")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_parts_of_a_wide_order_equal_the_whole(spark, monkeypatch):
+    """An order past the window's limit is numbered over ranges, the others in windows, into one result."""
+    from orderlens.operators import rownum
+    rows = lambda: sorted(map(tuple, E.q_exchange_state_parts(spark, SF).collect()), key=repr)
+    expect = rows()
+    monkeypatch.setattr(rownum, "WIDE_GROUP", 2)
+    assert rows() == expect
+
+
+def test_order_number_reads_either_form(spark):
+    from orderlens.functions.ids import order_number, to_order_gid_state
+    gid = ORDER_GID_PREFIX
+    numbers = {"7": 7, " 7\n": 7, gid + "7": 7, f"\t{gid}0 ": 0, "07": None, gid + "07": None, gid + gid + "7": None, gid: None, "7 8": None, "+7": None, "": None,
+               " ": None, "gid://shopify/Return/7": None, gid.lower() + "7": None, "9" * 18: int("9" * 18), "9" * 19: None, None: None}
+    df = spark.createDataFrame([(k,) for k in numbers], "t string").select("t", order_number("t").alias("n"), to_order_gid_state("t").alias("gid"))
+    for r in df.collect():
+        assert r["n"] == numbers[r["t"]]
+        assert r["n"] is None or r["gid"] == f"{gid}{r['n']}"
+
+
 # --- stages ------------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("name", ["jsonl_records", "id_batches", "orders_children", "exchange_state_parts", "config_saved"])
